@@ -6,20 +6,37 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import substring_dedup
+from tidemark.llm import mixing, packing, substring_dedup
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan_mix(_read(spark, sf_dir, "documents")).drop("part")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.kept_digest(substring_dedup.dedup_substrings(_read(spark, sf_dir, "documents")))
 
 
+def tokenizer_path() -> str:
+    """The public vocabulary that packing counts in."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_source_mixing": op1_source_mixing,
         "op5_substring_dedup": op5_substring_dedup,
+        "op6_packing": op6_packing,
     }
 
 
