@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, packing, substring_dedup
+from tidemark.llm import embedding_dedup, mixing, ngram_join, packing, substring_dedup
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -32,11 +32,21 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.link_vectors(_read(spark, sf_dir, "embeddings"))
+
+
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_documents(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mixing": op1_source_mixing,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_packing": op6_packing,
+        "op8_embedding_dedup": op8_embedding_dedup,
+        "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     }
 
 
