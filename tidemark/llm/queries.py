@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import embedding_dedup, mixing, ngram_join, packing, substring_dedup
+from tidemark.llm import embedding_dedup, mixing, ngram_join, packing, substring_dedup, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,6 +17,12 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan_mix(_read(spark, sf_dir, "documents")).drop("part")
 
 
+def op3_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.train_chain(docs, _read(spark, sf_dir, "labels"))
+    return toxicity.score(docs, chain).drop("text")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.kept_digest(substring_dedup.dedup_substrings(_read(spark, sf_dir, "documents")))
 
@@ -43,6 +49,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mixing": op1_source_mixing,
+        "op3_toxicity_chain": op3_toxicity_chain,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_packing": op6_packing,
         "op8_embedding_dedup": op8_embedding_dedup,
