@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import embedding_dedup, mixing, ngram_join, packing, substring_dedup, toxicity
+from tidemark.llm import embedding_dedup, mixing, ngram_join, packing, pii, substring_dedup, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,6 +17,14 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan_mix(_read(spark, sf_dir, "documents")).drop("part")
 
 
+#: The key of surrogates; in production a secret, given by the caller.
+PII_KEY = "documents-v1"
+
+
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_pii(_read(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY, count_col="n_replaced")
+
+
 def op3_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     chain = toxicity.train_chain(docs, _read(spark, sf_dir, "labels"))
@@ -49,6 +57,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mixing": op1_source_mixing,
+        "op2_pii_surrogates": op2_pii_surrogates,
         "op3_toxicity_chain": op3_toxicity_chain,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_packing": op6_packing,
