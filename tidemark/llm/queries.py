@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import embedding_dedup, mixing, ngram_join, packing, pii, substring_dedup, toxicity
+from tidemark.llm import embedding_dedup, mixing, ngram_join, packing, pii, quality, substring_dedup, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -50,6 +50,10 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link_vectors(_read(spark, sf_dir, "embeddings"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_documents(_read(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_substring_dedup": op5_substring_dedup,
         "op6_packing": op6_packing,
         "op8_embedding_dedup": op8_embedding_dedup,
+        "op9_quality_rules": op9_quality_rules,
         "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     }
 
