@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import embedding_dedup, mixing, ngram_join, packing, pii, quality, substring_dedup, toxicity
+from tidemark.llm import embedding_dedup, html_extract, mixing, ngram_join, packing, pii, quality, substring_dedup, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -46,6 +46,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_read(spark, sf_dir, "pages"))
+
+
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link_vectors(_read(spark, sf_dir, "embeddings"))
 
@@ -65,6 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_toxicity_chain": op3_toxicity_chain,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_packing": op6_packing,
+        "op7_html_extraction": op7_html_extraction,
         "op8_embedding_dedup": op8_embedding_dedup,
         "op9_quality_rules": op9_quality_rules,
         "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
