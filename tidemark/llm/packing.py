@@ -23,8 +23,9 @@ it counts as padded to `length`, or to a power of two that holds it.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,52 +35,70 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialize
 
-#: Words whose ids a task remembers; then it starts anew.
+#: Words whose ids a worker remembers; then it starts anew. Documents that are tokenized together.
 CACHE = 400_000
+SLICE = 1000
 #: Rows of (partition, source) up to which base offsets are broadcast: 24 bytes each, 12 MB.
 BROADCAST_ROWS = 500_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 class WordIds:
-    """Ids of texts by a public tokenizer that never joins across ASCII white space, word by word
-    and remembered, as bytes of little-endian unsigned 32-bit ids."""
+    """Ids of texts by a public tokenizer that never joins across ASCII white space, word by word, as
+    bytes of little-endian unsigned 32-bit ids. Words that come up again are remembered; most
+    different words come up once, and those are forgotten with their batch."""
 
     def __init__(self, path: str, end_id: int) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.end = np.array([end_id], "<u4").tobytes()
-        self.known: dict[str, bytes] = {}
+        self.end = array("I", [end_id]).tobytes()
+        self.known: dict[bytes, bytes] = {}
 
-    def learn(self, texts: list[list[str]]) -> None:
-        new = list({w for t in texts for w in t if w not in self.known})
-        if len(self.known) + len(new) > CACHE:
+    def ids(self, texts: list[list[bytes]]) -> list[bytes]:
+        if len(self.known) > CACHE:
             self.known.clear()
-            new = list({w for t in texts for w in t})
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-
-    def ids(self, tokens: list[str]) -> bytes:
-        return b"".join(map(self.known.__getitem__, tokens)) + self.end
+        once: set[bytes] = set()
+        again: set[bytes] = set()
+        known = self.known
+        for t in texts:
+            new = [w for w in t if w not in known]
+            again.update(once.intersection(new))
+            once.update(new)
+        table = known
+        fresh = list(once)
+        added = []
+        for i in range(0, len(fresh), 10_000):
+            part = fresh[i : i + 10_000]
+            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
+                table[w] = array("I", e.ids).tobytes()
+                if w not in again:
+                    added.append(w)
+        get = table.__getitem__
+        out = [b"".join(map(get, t)) + self.end for t in texts]
+        for w in added:
+            del table[w]
+        return out
+
+
+@cache
+def word_ids(path: str, end_id: int) -> WordIds:
+    """One for a worker process, so that tasks which follow each other share what is remembered."""
+    return WordIds(path, end_id)
 
 
 def _tokenize(path: str, end_id: int):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, unit, at = WordIds(path, end_id), TaskContext.get().partitionId(), {}
+        coder, unit, at = word_ids(path, end_id), TaskContext.get().partitionId(), {}
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                texts = [[w.decode() for w in (t or "").encode().split()] for t in part.column("text").to_pylist()]
-                coder.learn(texts)
-                offsets, counts, ids = [], [], []
-                for skey, t in zip(part.column("skey").to_pylist(), texts, strict=True):
-                    ids.append(coder.ids(t))
-                    counts.append(len(ids[-1]) // 4)
+            for lo in range(0, batch.num_rows, SLICE):
+                part = batch.slice(lo, SLICE)
+                ids = coder.ids([(t or "").encode().split() for t in part.column("text").to_pylist()])
+                counts = [len(x) // 4 for x in ids]
+                offsets = []
+                for skey, n in zip(part.column("skey").to_pylist(), counts, strict=True):
                     offsets.append(at.get(skey, 0))
-                    at[skey] = offsets[-1] + counts[-1]
+                    at[skey] = offsets[-1] + n
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("skey"), pa.array([unit] * len(ids), pa.int32()), pa.array(offsets, pa.int64()), pa.array(counts, pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "skey", "unit", "inner", "n", "ids"])
 
     return run
@@ -140,28 +159,65 @@ class Dealer:
         amounts = before[1:] - before[:-1]
         return before, np.cumsum(amounts, axis=1) - amounts
 
-    def pieces(self, s: int, a: int, b: int) -> Iterator[tuple[int, int, int, int]]:
-        """(queue position, length, window, offset) of the pieces of tokens a..b of source s."""
-        # the block of a: the last that begins at or before it
+    def table(self, s: int, a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The windows that tokens a..b of source s go to: their numbers, the source's tokens given
+        before and after each, and where the source begins in it. Windows that it skips are left out."""
+        if self.k > 1:
+            return self._table_of_blocks(s, a, b)
+        last = self.n_blocks - 1
+        slack = 2 + (-(-2 * len(self.totals) * self.all // (self.totals[s] * self.length)) if s == self.big else 0)
+        lo = max(0, a * self.all // (self.totals[s] * self.length) - slack)
+        hi = min(last, b * self.all // (self.totals[s] * self.length) + slack)
+        if s != self.big and hi - lo > b - a + 2 * slack:  # less than a token a window: the windows of the tokens
+            tokens = np.arange(a, b) if self.small else np.arange(a, b).astype(object)
+            windows = np.unique(np.minimum(((tokens + 1) * self.all - 1) // (self.totals[s] * self.length), last).astype(np.int64))
+        else:
+            windows = np.arange(lo, hi + 1)
+        rest = windows[-1] == last if len(windows) else False
+        windows = windows[windows < last]
+        before, after = self._given_at(windows), self._given_at(windows + 1)
+        start = np.cumsum(after - before, axis=1) - (after - before)
+        out = [windows, before[:, s], after[:, s], start[:, s]]
+        if rest:  # the last block holds the full window and the short one after it
+            rows, offsets = self.block(last)
+            out = [np.concatenate(x) for x in zip(out, (last + np.arange(len(offsets)), rows[:-1, s].astype(np.int64), rows[1:, s].astype(np.int64), offsets[:, s].astype(np.int64)), strict=True)]
+        return tuple(out)
+
+    def _given_at(self, windows: np.ndarray) -> np.ndarray:
+        done = windows if self.small else windows.astype(object)
+        a = ((done * self.length)[:, None] * self._t[None, :] // self.all).astype(np.int64)
+        a[:, self.big] += windows * self.length - a.sum(axis=1)
+        return a
+
+    def _table_of_blocks(self, s: int, a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         lo, hi = 0, self.n_blocks - 1
-        guess = min(hi, int(a * self.all // (self.totals[s] * self.k * self.length)))
-        lo, hi = max(0, guess - 2), min(hi, guess + 2)
-        while lo < hi:
+        while lo < hi:  # the last block that begins at or before token a
             mid = (lo + hi + 1) // 2
-            lo, hi = (mid, hi) if self.at(mid, s) <= a else (lo, mid - 1)
-        while a < b:
-            before, offsets = self.block(lo)
-            col = before[:, s]
-            w = int(np.searchsorted(col, a, side="right")) - 1
-            if w >= len(col) - 1:
-                lo += 1
-                continue
-            end = min(b, int(col[w + 1]))
-            yield a, end - a, lo * self.k + w, int(offsets[w][s] + a - col[w])
-            a = end
-
-    def at(self, g: int, s: int) -> int:
-        return int(self.given(g)[s])
+            lo, hi = (mid, hi) if int(self.given(mid)[s]) <= a else (lo, mid - 1)
+        parts = []
+        while lo < self.n_blocks:
+            rows, offsets = self.block(lo)
+            parts.append((lo * self.k + np.arange(len(offsets)), rows[:-1, s].astype(np.int64), rows[1:, s].astype(np.int64), offsets[:, s].astype(np.int64)))
+            if int(rows[-1][s]) >= b:
+                break
+            lo += 1
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def cut_queue(dealer: Dealer, s: int, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Cut documents of source s, in order of their start in its queue: for each piece the document's
+    index, its start in the document, its length, the window and the offset there."""
+    ends = starts + sizes
+    window, before, after, offset = dealer.table(s, int(starts[0]), int(ends[-1]))
+    some = after > before
+    window, before, after, offset = (x[some] for x in (window, before, after, offset))
+    first = np.searchsorted(after, starts, side="right")
+    last = np.searchsorted(before, ends, side="left") - 1
+    n = last - first + 1
+    doc = np.repeat(np.arange(len(starts)), n)
+    w = np.repeat(first, n) + np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+    a, e = np.maximum(starts[doc], before[w]), np.minimum(ends[doc], after[w])
+    return doc, a - starts[doc], e - a, window[w], offset[w] + a - before[w]
 
 
 def _cut(sources: list[str], totals: list[int], length: int):  # noqa: ANN202
@@ -170,14 +226,20 @@ def _cut(sources: list[str], totals: list[int], length: int):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dealer = Dealer(totals, length)
         for batch in batches:
-            cols: list[list[int | None]] = [[] for _ in range(7)]
-            for doc, skey, start, n, ids in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "skey", "start", "n", "ids")), strict=True):
-                view = memoryview(ids)
-                for a, size, window, offset in dealer.pieces(index[skey], start, start + n):
-                    inner = a - start
-                    for col, v in zip(cols, (doc, inner, size, zlib.crc32(view[4 * inner : 4 * (inner + size)]), n, window, offset), strict=True):
-                        col.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], [x.split()[0] for x in PIECES.split(", ")])
+            doc_ids, start, n = (np.array(batch.column(c).to_pylist(), object if c == "doc_id" else np.int64) for c in ("doc_id", "start", "n"))
+            views = [memoryview(x) for x in batch.column("ids").to_pylist()]
+            by_source: dict[str, list[int]] = {}
+            for i, skey in enumerate(batch.column("skey").to_pylist()):
+                by_source.setdefault(skey, []).append(i)
+            for skey, rows in by_source.items():
+                at = np.array(rows)[np.argsort(start[rows], kind="stable")]
+                # documents far apart in the queue, from different partitions, are cut apart
+                for part in np.split(at, np.flatnonzero(start[at][1:] != (start[at] + n[at])[:-1]) + 1):
+                    doc, inner, size, window, offset = cut_queue(dealer, index[skey], start[part], n[part])
+                    own = part[doc]
+                    crcs = [zlib.crc32(views[i][4 * a : 4 * b]) for i, a, b in zip(own.tolist(), inner.tolist(), (inner + size).tolist(), strict=True)]
+                    cols = [pa.array(doc_ids[own], pa.int64()), *(pa.array(np.asarray(c, np.int64)) for c in (inner, size, crcs, n[own], window, offset))]
+                    yield pa.RecordBatch.from_arrays(cols, [x.split()[0] for x in PIECES.split(", ")])
 
     return run
 
