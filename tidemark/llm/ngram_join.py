@@ -9,7 +9,8 @@ over all documents, so passages found everywhere seldom come up.
 2. Prefix tokens that a second sketch puts in one set only are dropped: they lead to no pair.
 3. Groups that share a token are candidates if their sizes allow. In a token's list each group is
    first paired with a few groups picked by hash, never with all; each member of a group is paired with
-   its head. Pairs are verified on the whole sets, and the links give components.
+   its head. Pairs that share too few prefix tokens for their sizes are dropped, the others are
+   verified on the whole sets, and the links give components.
 4. Lists with one component are done: whatever else links there changes nothing. In the others the
    groups are expanded, and the step is repeated with other picks. Then, in each list that is still
    mixed, every class outside the list's main component is verified against all classes of the list
@@ -37,6 +38,8 @@ from tidemark.llm.common import materialize, rolling, word_hashes
 from tidemark.llm.components import components
 
 BASE = 0x9E3779B97F4A7C15
+#: Ids up to which texts are picked by a broadcast: 8 MB.
+BROADCAST_IDS = 500_000
 FORMS = "doc_id long, n int, s1 long, s2 long, g long, prefix binary"
 
 
@@ -122,10 +125,9 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     inner = members.where("cls <> gid").select(F.col("gid").alias("a"), F.col("cls").alias("b"))
     pairs = materialize(picked_pairs(posts, list(range(picks))).unionAll(inner), "pairs")
 
-    # the whole sets of all that any later step can verify
-    lists = posts.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi").select("token")
-    needed = posts.join(lists, "token", "left_semi").select(F.col("cls").alias("doc_id")).join(members.select(F.col("gid").alias("doc_id"), "cls"), "doc_id").select(F.col("cls").alias("doc_id"))
-    needed = needed.unionAll(members.where("size > 1").select(F.col("cls").alias("doc_id"))).distinct()
+    # each class with its prefix tokens that may lead to pairs (at most a prefix long)
+    tokens = posts.groupBy("cls", "n").agg(F.collect_list("token").alias("t")).withColumnRenamed("cls", "gid")
+    tokens = materialize(members.select("cls", "n", "gid").join(tokens, ["gid", "n"]).select("cls", "n", "t"), "tokens")
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,11 +136,19 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 found = [shingles(t, size).view(np.int64) for t in _texts(part)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], ["cls", "s"])
 
-    sets = materialize(named.join(needed, "doc_id", "left_semi").mapInArrow(sets_of, "cls long, s array<long>").where(F.size("s") > 0), "sets")
-
     def verified(pairs: DataFrame) -> DataFrame:
-        of = lambda c: sets.select(F.col("cls").alias(c), F.col("s").alias(f"s{c}"))
-        both = pairs.join(of("a"), "a").join(of("b"), "b").withColumn("i", F.size(F.array_intersect("sa", "sb")))
+        """The pairs that link. Those that share too few prefix tokens for their sizes can't; the
+        whole sets of the others are compared."""
+        of = lambda df, c: df.select(*[F.col(x).alias(c if x == "cls" else f"{x}{c}") for x in df.columns])
+        both = pairs.join(of(tokens, "a"), "a").join(of(tokens, "b"), "b")
+        overlap = F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent) - 1e-9)
+        slack = F.least(*[overlap - F.ceil(F.col(n) * percent / 100 - 1e-9) + 1 for n in ("na", "nb")])
+        likely = materialize(both.where(F.size(F.array_intersect("ta", "tb")) >= slack).select("a", "b").distinct(), "likely")
+        ids = materialize(likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+        if ids.count() <= BROADCAST_IDS:
+            ids = F.broadcast(ids)
+        sets = materialize(named.join(ids, "doc_id", "left_semi").mapInArrow(sets_of, "cls long, s array<long>").where(F.size("s") > 0), "sets")
+        both = likely.join(of(sets, "a"), "a").join(of(sets, "b"), "b").withColumn("i", F.size(F.array_intersect("sa", "sb")))
         return both.where(F.col("i") * 100 >= (F.size("sa") + F.size("sb") - F.col("i")) * percent).select("a", "b")
 
     links = materialize(verified(pairs), "links")
@@ -167,3 +177,11 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     labels = labels.unionAll(found.select(F.col("node").alias("doc_id"), "label")).groupBy("doc_id").agg(F.min("label").alias("label"))
     out = light.join(labels, "doc_id", "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("label", "doc_id").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, found: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
+    """The documents but those that link to one with a smaller id; null ids stay."""
+    gone = materialize(found.where("component_id < doc_id").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
