@@ -1,4 +1,9 @@
-"""The registered queries and their SQL."""
+"""The registered queries and their SQL.
+
+Roles of the tables: a review is a lineitem (posted_at = l_shipdate, rating from the line number, its
+sentiment from the return flag, its severity from the discount), a product is a part, its brand
+p_brand and its aspect p_type; documents are review texts, embeddings their vectors.
+"""
 
 from __future__ import annotations
 
@@ -6,10 +11,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.plans import queries_analytics, queries_reviews
+
+MODULES = (queries_reviews, queries_analytics)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {k: v for m in MODULES for k, v in m.REGISTRY.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: v for m in MODULES for k, v in m.REGISTRY.sql.items()}
