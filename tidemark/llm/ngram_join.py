@@ -1,8 +1,10 @@
 """N-gram Jaccard join by grouped prefixes, with components of the links.
 
 Documents are sets of word n-grams. Two sets that are similar enough share a token among the first
-few of each, in any order that is the same for all sets; rare tokens go first, by a count-min sketch
-over all documents, so passages found everywhere seldom come up.
+few of each, in any order that is the same for all sets. Tokens that a count-min sketch over all
+documents puts in one set only go first, then the others by how common a second sketch says they
+are: passages found everywhere seldom come up, and a document with enough words of its own has no
+partners at all.
 
 1. Equal sets are one class, its smallest document stands for it. Classes of the same size with the
    same prefix are one group, its smallest class stands for it.
@@ -12,7 +14,7 @@ over all documents, so passages found everywhere seldom come up.
    its head. Pairs that share too few prefix tokens for their sizes are dropped, the others are
    verified on the whole sets, and the links give components.
 4. Lists with one component are done: whatever else links there changes nothing. In the others the
-   groups are expanded, and the step is repeated with other picks. Then, in each list that is still
+   groups are expanded, and the step is repeated with other picks, more each time. Then, in each list that is still
    mixed, every class outside the list's main component is verified against all classes of the list
    that lie elsewhere, so that no link between components is lost.
 
@@ -62,7 +64,7 @@ def _texts(batch: pa.RecordBatch) -> list[str]:
     return [t or "" for t in batch.column("text").to_pylist()]
 
 
-def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 4, percent: int = 85, picks: int = 4) -> DataFrame:
+def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 4, percent: int = 85, picks: tuple[int, ...] = (1, 2, 4)) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -73,6 +75,10 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     common = spark.sparkContext.broadcast(sketch.levels(named.select("text").mapInArrow(sketch.level_pass(all_keys), sketch.LEVEL_SCHEMA)))
 
+    n_chars = named.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
+    seen_width = sketch.width_for(n_chars / 6)
+    seen = spark.sparkContext.broadcast(sketch.repeated(named.select("text").mapInArrow(sketch.sketch_pass(all_keys, seen_width, 1), sketch.SCHEMA), seen_width, 1))
+
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cols: list[list] = [[] for _ in range(5)]
@@ -80,7 +86,9 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 s = shingles(text, size)
                 n = len(s)
                 whole = xxhash.xxh3_128_intdigest(s.tobytes())
-                first = s[np.lexsort((s, sketch.level_of(common.value, s)))][: n - least_common(n, percent) + 1] if n else s
+                again = sketch.maybe_repeated(seen.value, s, seen_width, 1)
+                order = np.where(again, 1 + sketch.level_of(common.value, s).astype(np.int16), 0)
+                first = s[np.lexsort((s, order))][: n - least_common(n, percent) + 1] if n else s
                 group = xxhash.xxh3_64_intdigest(first.tobytes(), seed=n)
                 for c, v in zip(cols, (n, (whole >> 64) - 2**63, (whole & (2**64 - 1)) - 2**63, group - 2**63, first.tobytes()), strict=True):
                     c.append(v)
@@ -123,8 +131,6 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         return p.select(F.least("cls", "p.cls").alias("a"), F.greatest("cls", "p.cls").alias("b")).distinct()
 
     inner = members.where("cls <> gid").select(F.col("gid").alias("a"), F.col("cls").alias("b"))
-    pairs = materialize(picked_pairs(posts, list(range(picks))).unionAll(inner), "pairs")
-
     # each class with its prefix tokens that may lead to pairs (at most a prefix long)
     tokens = posts.groupBy("cls", "n").agg(F.collect_list("token").alias("t")).withColumnRenamed("cls", "gid")
     tokens = materialize(members.select("cls", "n", "gid").join(tokens, ["gid", "n"]).select("cls", "n", "t"), "tokens")
@@ -151,7 +157,6 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         both = likely.join(of(sets, "a"), "a").join(of(sets, "b"), "b").withColumn("i", F.size(F.array_intersect("sa", "sb")))
         return both.where(F.col("i") * 100 >= (F.size("sa") + F.size("sb") - F.col("i")) * percent).select("a", "b")
 
-    links = materialize(verified(pairs), "links")
     by_class = posts.drop("label").withColumnRenamed("cls", "gid").join(members.select("gid", "cls"), "gid").select("token", "cls", "n")
     alike = members.where("size > 1").select(F.xxhash64(F.lit("group"), "g", "n").alias("token"), "cls", "n")
     by_class = by_class.unionAll(alike)
@@ -160,10 +165,13 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         found = components(links)
         return by_class.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
 
-    lists = materialize(labelled(links), "lists")
-    links = materialize(links.unionAll(verified(picked_pairs(lists, list(range(picks, 3 * picks))))), "links")
-    lists = labelled(links)
-    lists = materialize(lists.join(mixed(lists, [0]).select("token"), "token", "left_semi"), "lists")
+    lists, links, salt = posts, None, 0
+    for n in picks:
+        pairs = picked_pairs(lists, list(range(salt, salt + n)))
+        found = verified(pairs.unionAll(inner) if links is None else pairs)
+        links = materialize(found if links is None else links.unionAll(found), "links")
+        lists, salt = labelled(links), salt + n
+        lists = materialize(lists.join(mixed(lists, [0]).select("token"), "token", "left_semi"), "lists")
     main = lists.groupBy("token", "label").count().groupBy("token").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
     minor = lists.join(main, "token").where("label <> main").select("token", F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("label").alias("lx"))
     rest = lists.join(minor, "token").where((F.col("label") != F.col("lx")) & fits("n", "nx"))

@@ -27,15 +27,15 @@ def width_for(n_keys: float) -> int:
     return 1 << min(28, max(16, int(np.ceil(np.log2(max(1.0, n_keys) * 8)))))
 
 
-def cells(keys: np.ndarray, width: int) -> list[np.ndarray]:
-    """The cell of each 64-bit key in each row."""
+def cells(keys: np.ndarray, width: int, rows: int = ROWS) -> list[np.ndarray]:
+    """The cell of each 64-bit key in each of one or two rows."""
     mask = np.uint64(width - 1)
-    return [keys & mask, (keys >> np.uint64(32)) & mask if width <= 1 << 28 else keys & mask]
+    return [keys & mask, (keys >> np.uint64(32)) & mask][:rows]
 
 
-def partition_sketch(keys: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
+def partition_sketch(keys: np.ndarray, width: int, rows: int = ROWS) -> Iterator[pa.RecordBatch]:
     """The sketch of one partition's keys; a key that counts twice is given twice."""
-    for row, c in enumerate(cells(keys, width)):
+    for row, c in enumerate(cells(keys, width, rows)):
         u, n = np.unique(c, return_counts=True)
         chunk = (u // CHUNK).astype(np.int64)
         local = (u % CHUNK).astype("<u2")
@@ -59,25 +59,25 @@ def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1], "bits": [np.packbits(n >= 2, bitorder="little").tobytes()]})
 
 
-def repeated(parts: DataFrame, width: int) -> np.ndarray:
+def repeated(parts: DataFrame, width: int, rows: int = ROWS) -> np.ndarray:
     """Merge partition sketches to the bitmap of cells that count two or more."""
-    bits = np.zeros(ROWS * width // 8, np.uint8)
+    bits = np.zeros(rows * width // 8, np.uint8)
     merged = parts.groupBy("chunk").applyInPandas(_merge, "chunk int, bits binary")
     for r in merged.toLocalIterator():
         bits[r["chunk"] * (CHUNK // 8) : (r["chunk"] + 1) * (CHUNK // 8)] = np.frombuffer(r["bits"], np.uint8)
     return bits
 
 
-def maybe_repeated(bits: np.ndarray, keys: np.ndarray, width: int) -> np.ndarray:
+def maybe_repeated(bits: np.ndarray, keys: np.ndarray, width: int, rows: int = ROWS) -> np.ndarray:
     """For each key, whether the sketch estimates it at two or more."""
     ok = np.ones(len(keys), bool)
-    for row, c in enumerate(cells(keys, width)):
+    for row, c in enumerate(cells(keys, width, rows)):
         at = c.astype(np.int64) + row * width
         ok &= (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
     return ok
 
 
-def sketch_pass(keys_of: Callable[[pa.RecordBatch], np.ndarray], width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def sketch_pass(keys_of: Callable[[pa.RecordBatch], np.ndarray], width: int, rows: int = ROWS) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A mapInArrow function that sketches what keys_of gives for each batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,18 +86,18 @@ def sketch_pass(keys_of: Callable[[pa.RecordBatch], np.ndarray], width: int) ->
             held.append(keys_of(batch))
             n += len(held[-1])
             if n > 4_000_000:  # bounds a task's memory; a cell may then be sent twice, which merging adds
-                yield from partition_sketch(np.concatenate(held), width)
+                yield from partition_sketch(np.concatenate(held), width, rows)
                 held, n = [], 0
         if n:
-            yield from partition_sketch(np.concatenate(held), width)
+            yield from partition_sketch(np.concatenate(held), width, rows)
 
     return run
 
 
 # Levels: how common a key is, on a log scale, for ordering. A fixed size whatever the corpus: LEVEL_ROWS
-# * LEVEL_WIDTH bytes reach the driver and the executors (8 MB).
+# * LEVEL_WIDTH bytes reach the driver and the executors (4 MB).
 
-LEVEL_WIDTH = 1 << 22
+LEVEL_WIDTH = 1 << 21
 LEVEL_ROWS = 2
 LEVEL_SCHEMA = "chunk int, counts binary"
 
