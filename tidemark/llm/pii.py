@@ -79,10 +79,6 @@ def _pick(pool: str | Column, n: Column, size: int) -> Column:
     return F.substring(F.lit(pool) if isinstance(pool, str) else pool, (F.pmod(n, F.lit(size)) + 1).cast("int"), F.lit(1))
 
 
-def _digest(key: str, kind: str, value: Column, attempt: Column) -> Column:
-    return F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), value, attempt.cast("string")), 512)
-
-
 def _chars(s: Column) -> Column:
     return F.filter(F.split(s, ""), lambda c: c != "")
 
@@ -122,48 +118,53 @@ def _iban(value: Column, digest: Column) -> Column:
     return F.concat(country, F.lpad((98 - rest).cast("string"), 2, "0"), body)
 
 
-def _name_word(word: Column, key: str, attempt: Column, given: Column, female: Column) -> Column:
-    d = _digest(key, "name", word, attempt)
+def _name_word(word: Column, d: Column, given: Column, female: Column) -> Column:
+    """A made-up word of the word's script: consonants and vowels by the digest's bytes."""
+    script = F.when(word.rlike(r"^\p{IsCyrillic}"), "cyrillic").when(word.rlike(r"^\p{IsGreek}"), "greek").otherwise("latin")
+
+    def of_script(pools: dict) -> Column:
+        return F.when(script == "cyrillic", F.lit(pools["cyrillic"])).when(script == "greek", F.lit(pools["greek"])).otherwise(F.lit(pools["latin"]))
+
+    def letter(i: Column) -> Column:
+        pool = F.when(i % 2 == 0, of_script(CONSONANT)).otherwise(of_script(VOWEL))
+        return F.substring(pool, (F.pmod(_byte(d, i), F.length(pool)) + 1).cast("int"), F.lit(1))
 
-    def build(script: str) -> Column:
-        cs, vs = CONSONANT[script], VOWEL[script]
-        parts = []
-        for i in range(3):
-            parts += [_pick(cs, _byte(d, F.lit(2 * i)), len(cs)), _pick(vs, _byte(d, F.lit(2 * i + 1)), len(vs))]
-        stem = F.concat(*parts, _pick(cs, _byte(d, F.lit(6)), len(cs)))
-        man, woman = ENDING[script]
-        return F.initcap(F.when(given, F.concat(stem, F.when(female, woman).otherwise(man))).otherwise(stem))
+    stem = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(6)), letter), "")
+    ending = F.when(~given, F.lit("")).when(female, of_script({k: v[1] for k, v in ENDING.items()})).otherwise(of_script({k: v[0] for k, v in ENDING.items()}))
+    return F.initcap(F.concat(stem, ending))
 
-    return F.when(word.rlike(r"^\p{IsCyrillic}"), build("cyrillic")).when(word.rlike(r"^\p{IsGreek}"), build("greek")).otherwise(build("latin"))
 
+def digest(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
+    return F.sha2(F.concat_ws("|", F.lit(key), kind, canon, attempt.cast("string")), 512)
 
-def surrogate(hit: Column, kind: Column, key: str, attempt: Column) -> Column:
-    canon = canonical(hit, kind)
+
+def surrogate(hit: Column, kind: Column, canon: Column, attempt: Column, d: Column, key: str) -> Column:
+    """The surrogate of a hit, from its type, canonical form and digest. All are columns or fields, so that
+    the expression names each of them often and computes it once."""
     local, domain = F.substring_index(canon, "@", 1), F.substring_index(canon, "@", -1)
-    site, top = F.regexp_extract(domain, r"^(.*)\.", 1), F.regexp_extract(domain, r"([^.]*)$", 1)
-    email = F.concat(_remap(local, _digest(key, "email", canon, attempt)), F.lit("@"), _remap(site, _digest(key, "domain", domain, F.lit(0))), F.lit("."), top)
-    secret_head = F.regexp_extract(hit, r"^(AKIA|ghp_|sk_|pk_)?", 1)
-    secret_body = F.substring(hit, F.length(secret_head) + 1, F.length(hit))
-    d = _digest(key, "secret", hit, attempt)
-    hexed = F.array_join(F.transform(_chars(secret_body), lambda c, i: _pick(F.when(hit.rlike("[A-F]"), F.lit("0123456789ABCDEF")).otherwise(F.lit("0123456789abcdef")), _byte(d, i), 16)), "")
-    secret = F.when(secret_head == "", hexed).otherwise(F.concat(secret_head, _remap(secret_body, d)))
-    octet = lambda o, i: F.when(F.length(o) == 3, 100 + F.pmod(_byte(_digest(key, "ip", hit, attempt), 2 * i) * 256 + _byte(_digest(key, "ip", hit, attempt), 2 * i + 1), F.lit(156))).when(F.length(o) == 2, 10 + F.pmod(_byte(_digest(key, "ip", hit, attempt), i), F.lit(90))).otherwise(F.pmod(_byte(_digest(key, "ip", hit, attempt), i), F.lit(10))).cast("string")
+    sited = F.transform(F.array(F.struct(F.regexp_extract(domain, r"^(.*)\.", 1).alias("site"), F.sha2(F.concat(F.lit(f"{key}|domain|"), domain), 512).alias("d"))), lambda x: _remap(x["site"], x["d"]))
+    email = F.concat(_remap(local, d), F.lit("@"), F.get(sited, F.lit(0)), F.lit("."), F.regexp_extract(domain, r"([^.]*)$", 1))
+    head = F.regexp_extract(hit, r"^(AKIA|ghp_|sk_|pk_)?", 1)
+    body = F.substring(hit, F.length(head) + 1, F.length(hit))
+    sixteen = F.when(hit.rlike("[A-F]"), F.lit("0123456789ABCDEF")).otherwise(F.lit("0123456789abcdef"))
+    hexed = F.array_join(F.transform(_chars(body), lambda c, i: _pick(sixteen, _byte(d, i), 16)), "")
+    secret = F.when(head == "", hexed).otherwise(F.concat(head, _remap(body, d)))
+    octet = lambda o, i: F.when(F.length(o) == 3, 100 + F.pmod(_byte(d, 2 * i) * 256 + _byte(d, 2 * i + 1), F.lit(156))).when(F.length(o) == 2, 10 + F.pmod(_byte(d, i), F.lit(90))).otherwise(F.pmod(_byte(d, i), F.lit(10))).cast("string")
     ip = F.array_join(F.transform(F.split(hit, r"\."), octet), ".")
-    digits = _remap(canon, _digest(key, "digits", canon, attempt))
-    body = F.concat(F.substring(canon, 1, 1), F.substring(digits, F.lit(2), F.length(canon) - 2))
-    card = F.concat(body, F.when(_luhn(canon), _luhn_digit(body)).otherwise(F.substring(digits, -1, 1)))
+    digits = _remap(canon, d)
+    front = F.concat(F.substring(canon, 1, 1), F.substring(digits, F.lit(2), F.length(canon) - 2))
+    card = F.concat(front, F.when(_luhn(canon), _luhn_digit(front)).otherwise(F.substring(digits, -1, 1)))
     # +1 and the like stay; the number after them begins with 2..9
     country = F.regexp_extract(hit, r"^\+(\d{1,3})(?=[ .(-])", 1)
-    n = F.length(country)
-    phone = F.concat(country, _pick("23456789", _byte(_digest(key, "lead", canon, attempt), F.lit(0)), 8), F.substring(digits, n + 2, F.length(canon)))
-    female = hit.rlike(FEMALE)
-    parts = F.split(canon, " ")
-    several = F.size(parts) > 1
+    phone = F.concat(country, _pick("23456789", _byte(d, F.lit(63)), 8), F.substring(digits, F.length(country) + 2, F.length(canon)))
+    new_symbols = F.when(kind == "ssn", digits).when(kind == "card", card).when(kind == "phone", phone).when(kind == "iban", _iban(canon, d))
     # an attempt is for the whole name, so that names which share words stay distinct too
-    name = F.concat(F.regexp_extract(hit, r"^(\p{L}+\.? )", 1), F.array_join(F.transform(parts, lambda w, i: _name_word(w, key, attempt, several & (i == 0), female)), " "))
-    out = F.when(kind == "email", email).when(kind == "secret", secret).when(kind == "ip", ip)
-    out = out.when(kind == "ssn", _fill(hit, digits, "[0-9]")).when(kind == "card", _fill(hit, card, "[0-9]")).when(kind == "phone", _fill(hit, phone, "[0-9]"))
-    return out.when(kind == "iban", _fill(hit, _iban(canon, _digest(key, "iban", canon, attempt)), "[A-Z0-9]")).when(kind == "name", name).otherwise(hit)
+    parts = F.split(canon, " ")
+    word_digest = lambda w, i: F.struct(w.alias("w"), i.alias("i"), F.sha2(F.concat_ws("|", F.lit(key), F.lit("word"), w, attempt.cast("string")), 512).alias("d"))
+    made = F.transform(F.transform(parts, word_digest), lambda x: _name_word(x["w"], x["d"], (F.size(parts) > 1) & (x["i"] == 0), hit.rlike(FEMALE)))
+    name = F.concat(F.regexp_extract(hit, r"^(\p{L}+\.? )", 1), F.array_join(made, " "))
+    out = F.when(kind == "email", email).when(kind == "secret", secret).when(kind == "ip", ip).when(kind == "name", name)
+    return out.when(kind.isin("ssn", "card", "phone"), _fill(hit, new_symbols, "[0-9]")).when(kind == "iban", _fill(hit, new_symbols, "[A-Z0-9]")).otherwise(hit)
 
 
 def _hits(text: Column) -> Column:
@@ -183,7 +184,9 @@ def exceptions(hits: DataFrame, key: str) -> DataFrame:
     state = hits.groupBy("kind", "canon").agg(F.min("hit").alias("hit")).withColumn("attempt", F.lit(0))
     real = hits.select("kind", F.col("canon").alias("new"), F.lit(True).alias("real")).distinct()
     while True:
-        made = state.withColumn("new", canonical(surrogate(F.col("hit"), F.col("kind"), key, F.col("attempt")), F.col("kind")))
+        made = state.withColumn("d", digest(key, F.col("kind"), F.col("canon"), F.col("attempt")))
+        made = made.withColumn("new", surrogate(*[F.col(c) for c in ("hit", "kind", "canon", "attempt", "d")], key))
+        made = made.withColumn("new", canonical(F.col("new"), F.col("kind"))).drop("d")
         # an earlier attempt keeps its surrogate; others of the same one try again
         nth = F.row_number().over(Window.partitionBy("kind", "new").orderBy("attempt", "canon"))
         made = materialize(made.withColumn("nth", nth).join(real, ["kind", "new"], "left"), "surrogates")
@@ -211,10 +214,14 @@ def replace_pii(docs: DataFrame, key: str, *, text_col: str = "text", count_col:
         attempt = lambda h: F.coalesce(F.try_element_at(F.col(tries), h), F.lit(0))
     else:
         attempt = lambda h: F.lit(0)
+    # hits with their type, then their canonical form, then their digest: each is a field of the next
     hit_col = "__hits"
-    keyed = keyed.withColumn(hit_col, _hits(text))
+    found = F.transform(_hits(text), lambda h: F.struct(h.alias("hit"), kind_of(h).alias("kind"), attempt(h).alias("attempt")))
+    found = F.transform(found, lambda x: F.struct(x["hit"].alias("hit"), x["kind"].alias("kind"), x["attempt"].alias("attempt"), canonical(x["hit"], x["kind"]).alias("canon")))
+    found = F.transform(found, lambda x: F.struct(x["hit"].alias("hit"), x["kind"].alias("kind"), x["attempt"].alias("attempt"), x["canon"].alias("canon"), digest(key, x["kind"], x["canon"], x["attempt"]).alias("d")))
+    keyed = keyed.withColumn(hit_col, found)
     parts = F.split(text, ANY, -1)
-    new = F.transform(F.col(hit_col), lambda h: surrogate(h, kind_of(h), key, attempt(h)))
+    new = F.transform(F.col(hit_col), lambda x: surrogate(x["hit"], x["kind"], x["canon"], x["attempt"], x["d"], key))
     joined = F.array_join(F.zip_with(parts, new, lambda p, s: F.concat(p, F.coalesce(s, F.lit("")))), "")
     changed = F.size(hit_col) > 0
     columns = []
@@ -224,7 +231,7 @@ def replace_pii(docs: DataFrame, key: str, *, text_col: str = "text", count_col:
         else:
             columns.append(F.col(f"`{c}`"))
     if count_col:
-        columns.append(F.size(F.filter(hit_col, lambda h: kind_of(h).isNotNull())).alias(count_col))
+        columns.append(F.size(F.filter(hit_col, lambda x: x["kind"].isNotNull())).alias(count_col))
     out = keyed.select(*columns)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.length(text_col).isNotNull() & (F.col("n_chars").isNotNull()), F.length(text_col).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
