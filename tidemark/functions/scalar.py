@@ -143,7 +143,8 @@ def like_any(text: Column, phrases: Sequence[str]) -> Column:
 
 def sentence_with(text: Column, needle: Column) -> Column:
     """The sentence (ended by . ! ? or a newline) that holds the first match of needle, verbatim."""
-    return strip(F.regexp_extract(text, F.concat(F.lit(r"(?i)[^.!?\n]*\Q"), needle, F.lit(r"\E[^.!?\n]*[.!?\n]?")), 0))
+    pattern = F.concat(F.lit(r"(?i)[^.!?\n]*\Q"), needle, F.lit(r"\E[^.!?\n]*[.!?\n]?"))
+    return strip(F.call_function("regexp_extract", text, pattern, F.lit(0)))
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -155,9 +156,11 @@ def hash_vector(text: Column, dim: int = 32) -> Column:
     """A deterministic unit vector: SHA-256 rounds cut into 32-bit words, mapped to [-1, 1] and normed."""
     rounds = -(-dim // 8)
     hexed = F.concat(*[F.sha2(F.concat(F.encode(F.coalesce(text, F.lit("")), "UTF-8"), F.unhex(F.lit(f"{r:08x}"))), 256) for r in range(rounds)])
-    raw = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.conv(F.substring(hexed, i * 8 + 1, F.lit(8)), 16, 10).cast("double") / 4294967295.0 * 2.0 - 1.0)
-    norm = F.sqrt(F.aggregate(raw, F.lit(0.0), lambda s, v: s + v * v))
-    return F.transform(raw, lambda v: v / F.greatest(norm, F.lit(1e-12)))
+    words = lambda h: F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.conv(F.substring(h, i * 8 + 1, F.lit(8)), 16, 10).cast("double") / 4294967295.0 * 2.0 - 1.0)
+    # as elements of arrays the digest and the norm are computed once
+    raw = F.transform(F.array(hexed), words)
+    normed = F.transform(raw, lambda v: F.struct(v.alias("v"), F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x)).alias("n")))
+    return F.get(F.transform(normed, lambda r: F.transform(r["v"], lambda x: x / F.when(r["n"] == 0, 1.0).otherwise(r["n"]))), F.lit(0))
 
 
 def json_object(text: Column) -> Column:

@@ -11,34 +11,33 @@ from tidemark.operators import lexicon as lx
 MENTION = "array<struct<code:string,sentiment:string,severity:string,quote:string>>"
 
 
-def sentiment(quote: Column) -> Column:
-    neg, pos = contains_any(F.lower(quote), lx.NEGATIVE), contains_any(F.lower(quote), lx.POSITIVE)
-    return F.when(neg & ~pos, "negative").when(pos & ~neg, "positive").otherwise("neutral")
+def _judged(low: Column) -> tuple[Column, Column]:
+    """Sentiment and severity (of negative ones only) of a lower-cased quote."""
+    neg, pos = contains_any(low, lx.NEGATIVE), contains_any(low, lx.POSITIVE)
+    feeling = F.when(neg & ~pos, "negative").when(pos & ~neg, "positive").otherwise("neutral")
+    return feeling, F.when(neg & ~pos, F.when(contains_any(low, lx.HIGH), "high").when(contains_any(low, lx.MEDIUM), "medium").otherwise("low"))
 
 
-def severity(quote: Column) -> Column:
-    """Of negative quotes only."""
-    q = F.lower(quote)
-    return F.when(sentiment(quote) == "negative", F.when(contains_any(q, lx.HIGH), "high").when(contains_any(q, lx.MEDIUM), "medium").otherwise("low"))
+def _mentions(quotes: Column) -> Column:
+    """From (code, quote): the mentions with sentiment and severity; each quote is lower-cased once."""
+    some = F.filter(quotes, lambda m: F.coalesce(m["quote"] != "", F.lit(False)))
+    lowered = F.transform(some, lambda m: F.struct(m["code"].alias("code"), m["quote"].alias("quote"), F.lower(m["quote"]).alias("low")))
 
+    def one(m: Column) -> Column:
+        feeling, weight = _judged(m["low"])
+        return F.struct(m["code"].alias("code"), feeling.alias("sentiment"), weight.alias("severity"), m["quote"].alias("quote"))
 
-def _mention(code: str, quote: Column) -> Column:
-    made = F.struct(F.lit(code).alias("code"), sentiment(quote).alias("sentiment"), severity(quote).alias("severity"), quote.alias("quote"))
-    return F.when(quote.isNotNull() & (quote != ""), made)
+    return F.transform(lowered, one)
 
 
 def _reliability(text: Column) -> Column:
     """The sentence of the first keyword that no guard rejects."""
     specific = [k for code, words in lx.ASPECTS.items() if code != "delivery" for k in words]
-    low = F.lower(text)
-
-    def quote(k: str) -> Column:
-        q = F.when(low.contains(k), sentence_with(text, F.lit(k)))
-        ql = F.lower(q)
-        shipping_only = contains_any(ql, lx.SHIPPING) & ~contains_any(ql, lx.PRODUCT_FAILURE)
-        return F.when((q != "") & ~contains_any(ql, specific) & ~shipping_only, q)
-
-    return F.coalesce(*[quote(k) for k in lx.RELIABILITY])
+    held = F.filter(F.array(*[F.lit(k) for k in lx.RELIABILITY]), lambda k: F.contains(F.lower(text), k))
+    found = F.transform(held, lambda k: sentence_with(text, k))
+    found = F.transform(found, lambda q: F.struct(q.alias("q"), F.lower(q).alias("low")))
+    good = lambda r: (r["q"] != "") & ~contains_any(r["low"], specific) & ~(contains_any(r["low"], lx.SHIPPING) & ~contains_any(r["low"], lx.PRODUCT_FAILURE))
+    return F.get(F.filter(found, good), F.lit(0))["q"]
 
 
 def extract(reviews: DataFrame, text: str = "text", aspects: dict[str, tuple[str, ...]] | None = None, reliability: bool = True, out: str = "mentions") -> DataFrame:
@@ -48,11 +47,11 @@ def extract(reviews: DataFrame, text: str = "text", aspects: dict[str, tuple[str
     df = reviews
     for code, words in (aspects or lx.ASPECTS).items():
         df = df.withColumn(f"__{code}", sentence_with(t, first_contained(F.lower(t), words)))
-        cols.append(_mention(code, F.col(f"__{code}")))
+        cols.append(F.struct(F.lit(code).alias("code"), F.col(f"__{code}").alias("quote")))
     if reliability:
         df = df.withColumn("__reliability", _reliability(t))
-        cols.append(_mention("reliability", F.col("__reliability")))
-    df = df.withColumn(out, F.filter(F.array(*cols), lambda m: m.isNotNull()))
+        cols.append(F.struct(F.lit("reliability").alias("code"), F.col("__reliability").alias("quote")))
+    df = df.withColumn(out, _mentions(F.array(*cols)))
     return df.drop(*[c for c in df.columns if c.startswith("__")])
 
 
