@@ -70,8 +70,8 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 def fit(feats: list[np.ndarray], extra: np.ndarray, y: np.ndarray, steps: int = 150, penalty: float = 2e-4) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Logistic regression: places, their weights, and the weights of the extra columns and the bias."""
     n = len(y)
-    row = np.repeat(np.arange(n), [len(f) for f in feats])
-    place = np.concatenate(feats).astype(np.int64) if n else np.array([], np.int64)
+    row = np.repeat(np.arange(n, dtype=np.int32), [len(f) for f in feats])
+    place = np.concatenate(feats).astype(np.int32) if n else np.array([], np.int32)
     pos = np.bincount(place, weights=y[row], minlength=PLACES)
     neg = np.bincount(place, minlength=PLACES) - pos
     ratio = np.log((pos + 0.5) / (y.sum() + 1)) - np.log((neg + 0.5) / (n - y.sum() + 1))
@@ -164,11 +164,24 @@ def train_chain(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", t
     total, toxic = rows.agg(F.count(F.lit(1)), F.sum("toxic")).first()
     if not total or not toxic or toxic == total:
         return None
-    terms = rows.select("toxic", F.explode(F.filter("feats", lambda f: f < HALF)).alias("f")).groupBy("f").agg(F.sum("toxic").alias("pos"), F.count(F.lit(1)).alias("n"))
+    terms = rows.select("toxic", F.explode("feats").alias("f")).groupBy("f").agg(F.sum("toxic").alias("pos"), F.count(F.lit(1)).alias("n"))
+    terms = materialize(terms, "terms")
     ratio = F.log((F.col("pos") + 0.5) / (toxic + 1)) - F.log((F.col("n") - F.col("pos") + 0.5) / (total - toxic + 1))
-    hostile = terms.where((F.col("pos") >= 5) & (ratio >= 3)).select("f")
+    hostile = terms.where((F.col("f") < HALF) & (F.col("pos") >= 5) & (ratio >= 3)).select("f")
     strong = rows.where("toxic = 1").select("doc_id", F.explode("feats").alias("f")).join(hostile, "f").groupBy("doc_id").agg(F.count_distinct("f").alias("n")).where("n >= 2").select("doc_id", F.lit(1).alias("strong"))
     rows = rows.join(strong, "doc_id", "left").withColumn("strong", F.coalesce("strong", F.lit(0)))
+    # features that say nothing of the class aren't carried into the fits; at most PLACES numbers are sent
+    telling = np.zeros(PLACES, bool)
+    telling[terms.where((F.col("n") >= 3) & (F.abs(ratio) >= 0.8)).select("f").toPandas()["f"].to_numpy(np.int64)] = True
+    sent = docs.sparkSession.sparkContext.broadcast(np.packbits(telling))
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.unpackbits(sent.value).astype(bool)
+        for b in batches:
+            kept = [(f := x.values.to_numpy())[known[f]] for x in b.column("feats")]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), pa.array(kept, pa.list_(pa.int32())), b.column("strong")], ["doc_id", "toxic", "feats", "strong"])
+
+    rows = rows.select("doc_id", "toxic", "feats", "strong").mapInArrow(told, "doc_id long, toxic int, feats array<int>, strong int")
     rows = materialize(rows.select("*", F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(FOLDS)).cast("int").alias("fold"), F.array().cast("array<double>").alias("extra")), "chain")
     models = []
     for category in CHAIN:
