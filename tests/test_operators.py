@@ -103,5 +103,5 @@ def test_upserts_and_reads(spark, tmp_path):
 def test_streaming_weeks(spark, tmp_path, sf):
     from tidemark.streaming import weekly
 
-    got = weekly.run_once(spark, f"{sf}/events.parquet", str(tmp_path / "out"), str(tmp_path / "ck"))
+    got = weekly.run_once(spark, sf, str(tmp_path / "out"), str(tmp_path / "ck"), files="events.parquet")
     assert got.agg(F.sum("volume")).first()[0] > 0

@@ -13,11 +13,11 @@ def weekly_counts(events: DataFrame, at: str, key: str, late: str = "7 days") ->
     return stream.groupBy(w.alias("w"), key).agg(F.count(F.lit(1)).alias("volume")).select(F.to_date("w.start").alias("week_start"), key, "volume")
 
 
-def run_once(spark: SparkSession, source: str, target: str, checkpoint: str, key: str = "event_type") -> DataFrame:
-    """Take in all that the source folder or file holds, append final weeks to target, and read them."""
-    schema = spark.read.parquet(source).schema
-    source = source if source.endswith("/") else source.rsplit("/", 1)[0] + "/" + source.rsplit("/", 1)[1]
-    events = spark.readStream.schema(schema).parquet(source).withColumn("ts", F.col("ts").cast("timestamp"))
+def run_once(spark: SparkSession, folder: str, target: str, checkpoint: str, files: str = "*.parquet", key: str = "event_type") -> DataFrame:
+    """Take in the files of a folder that are new since the checkpoint, append weeks that have become final to
+    target, and read them."""
+    schema = spark.read.option("pathGlobFilter", files).parquet(folder).schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", files).parquet(folder).withColumn("ts", F.col("ts").cast("timestamp"))
     q = weekly_counts(events, "ts", key).writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.schema("week_start date, event_type string, volume long").parquet(target)
