@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import embedding_dedup, html_extract, mixing, ngram_join, packing, pii, quality, substring_dedup, toxicity
+from tidemark.llm import embedding_dedup, html_extract, mixing, ngram_join, packing, pii, quality, sharding, substring_dedup, toxicity
 from tidemark.llm.components import components
 
 DOC = "doc_id long, text string, source string, size string"
@@ -226,3 +226,23 @@ def test_empty_tables(spark):
     assert ngram_join.link_documents(none).count() == 0 and pii.replace_pii(none, "k").count() == 0
     assert packing.pack(none, public_tokenizers.path("word_bpe_49k.json")).count() == 0 and quality.statistics(none).count() == 0
     assert embedding_dedup.link_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_sharding(spark, docs, rows):
+    limit = 2000
+    same = [(1000, "copy " * 60, None, "x")] * 40 + [(1001, "z" * 5000, None, "x"), (1002, None, None, "x")]
+    df = docs.unionAll(spark.createDataFrame(same, DOC))
+    got = sharding.assign(df, limit=limit).collect()
+    assert len(got) == len(rows) + len(same)
+    shards = collections.defaultdict(list)
+    for r in got:
+        shards[r.shard].append(r)
+        assert len(r.shard) == r.depth
+    for bits, v in shards.items():
+        total = sum(r.n_bytes for r in v)
+        assert total == v[0].shard_bytes and (total <= limit or (len(v) == 1 and v[0].oversized))
+        # only oversized buckets are split: the parent of each shard exceeds the limit
+        if bits:
+            assert sum(r.n_bytes for k, w in shards.items() if k.startswith(bits[:-1]) for r in w) > limit
+        assert not any(k != bits and k.startswith(bits) for k in shards)
+    assert sum(r.oversized for r in got) == 1

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import embedding_dedup, html_extract, mixing, ngram_join, packing, pii, quality, substring_dedup, toxicity
+from tidemark.llm import embedding_dedup, html_extract, mixing, ngram_join, packing, pii, quality, sharding, substring_dedup, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -31,6 +31,14 @@ def op3_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, chain).drop("text")
 
 
+#: Bytes of text in a shard, at most.
+SHARD_BYTES = 8 << 20
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(_read(spark, sf_dir, "documents"), limit=SHARD_BYTES)
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.kept_digest(substring_dedup.dedup_substrings(_read(spark, sf_dir, "documents")))
 
@@ -67,6 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_source_mixing": op1_source_mixing,
         "op2_pii_surrogates": op2_pii_surrogates,
         "op3_toxicity_chain": op3_toxicity_chain,
+        "op4_sharding": op4_sharding,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_packing": op6_packing,
         "op7_html_extraction": op7_html_extraction,
