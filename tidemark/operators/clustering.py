@@ -19,14 +19,14 @@ def terms(text: Column) -> Column:
     """Words of two letters or more without stop words, then pairs of neighbours."""
     stop = F.array(*[F.lit(w) for w in StopWordsRemover.loadDefaultStopWords("english")])
     w = F.filter(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"(?U)\b\w\w+\b"), F.lit(0)), lambda x: ~F.array_contains(stop, x))
-    return F.transform(w, lambda x: x), F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - 1, F.lit(1))), lambda i: F.concat_ws(" ", F.get(w, i - 1), F.get(w, i)))
+    pairs = lambda ws: F.transform(F.sequence(F.lit(1), F.size(ws) - 1), lambda i: F.concat_ws(" ", F.get(ws, i - 1), F.get(ws, i)))
+    # as the element of an array the words are found once
+    return F.get(F.transform(F.array(w), lambda ws: F.when(F.size(ws) > 1, F.concat(ws, pairs(ws))).otherwise(ws)), F.lit(0))
 
 
 def tf_idf(docs: DataFrame, group: str, id_col: str, text: str) -> DataFrame:
     """(group, id, term, weight): sublinear tf, smoothed idf within the group, rows of length 1."""
-    uni, bi = terms(F.col(text))
-    base = docs.select(group, id_col, uni.alias("__u"), bi.alias("__b"))
-    listed = base.select(group, id_col, F.explode(F.when(F.size("__u") > 1, F.concat("__u", "__b")).otherwise(F.col("__u"))).alias("term"))
+    listed = docs.select(group, id_col, F.explode(terms(F.col(text))).alias("term"))
     tf = listed.groupBy(group, id_col, "term").agg((1 + F.log(F.count(F.lit(1)))).alias("tf"))
     n = docs.groupBy(group).agg(F.count(F.lit(1)).alias("__n"))
     df = tf.groupBy(group, "term").agg(F.count(F.lit(1)).alias("__df")).join(n, group)
