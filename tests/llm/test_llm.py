@@ -160,6 +160,34 @@ def test_embeddings(spark):
     assert all((got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True) for i in range(n, n + 5))
 
 
+def linked(spark, vectors):
+    """n_links and component_id found, and by brute force."""
+    got = embedding_dedup.link_vectors(spark.createDataFrame([(i, [float(x) for x in v], 0) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int"), depth=8).collect()
+    unit = [np.array(v) / np.linalg.norm(v) for v in vectors]
+    near = [[j for j, b in enumerate(unit) if j != i and len(a) == len(b) and a @ b >= 0.93] for i, a in enumerate(unit)]
+    label = list(range(len(unit)))
+    for _ in label:
+        label = [min([label[i], *(label[j] for j in near[i])]) for i in range(len(label))]
+    return {r.vec_id: (r.n_links, r.component_id) for r in got}, {i: (len(near[i]), label[i]) for i in range(len(unit))}
+
+
+@pytest.mark.parametrize("n", [2, 4, 7])
+def test_fewer_vectors_than_depth(spark, n):
+    r = np.random.default_rng(n)
+    got, true = linked(spark, [np.ones(6) + 0.05 * r.normal(size=6) for _ in range(n - 1)] + [-np.ones(6)])
+    assert got == true and (n == 2 or got[0][0] == n - 2)
+    got, true = linked(spark, [np.ones(6) + 0.05 * r.normal(size=6) for _ in range(n)])
+    assert got == true and got[0] == (n - 1, 0)
+
+
+def test_rare_vector_lengths(spark):
+    r = np.random.default_rng(9)
+    common = list(r.normal(size=(400, 8)))
+    rare = [np.ones(d) + 0.05 * r.normal(size=d) for d in (3, 5) for _ in range(6)]
+    got, true = linked(spark, [*common, *rare])
+    assert all(got[i] == true[i] and got[i][0] == 5 for i in range(400, 412))
+
+
 def test_pii(spark):
     text = "Mail ann.b@mail.example.com or ANN.B@mail.example.com, +1 (987) 555-2485, 4111111111111111, 198.7.22.3. Frau Anna Smith, Mr. Smith."
     df = spark.createDataFrame([(1, text), (2, None), (3, ""), (4, "clean 12 text"), (1, text)], "doc_id long, text string")

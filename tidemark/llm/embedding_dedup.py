@@ -68,7 +68,8 @@ def _block_pair(x: pd.DataFrame, y: pd.DataFrame, pivot: int, same: bool, least:
     px, py = np.stack(list(x["pivots"])), np.stack(list(y["pivots"]))
     common, lowest = np.zeros((len(px), len(py)), np.int16), np.ones((len(px), len(py)), bool)
     for i in range(px.shape[1]):
-        hit = (py[None, :, :] == px[:, i, None, None]).any(axis=2)
+        # -1 pads rows that have fewer pivots: it is none that two rows could share
+        hit = (py[None, :, :] == px[:, i, None, None]).any(axis=2) & (px[:, i, None] >= 0)
         common += hit
         lowest &= ~(hit & (px[:, i, None] < pivot))
     near = (ux @ uy.T >= least) & (common >= shared) & lowest
