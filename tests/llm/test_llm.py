@@ -274,3 +274,17 @@ def test_sharding(spark, docs, rows):
             assert sum(r.n_bytes for k, w in shards.items() if k.startswith(bits[:-1]) for r in w) > limit
         assert not any(k != bits and k.startswith(bits) for k in shards)
     assert sum(r.oversized for r in got) == 1
+
+
+def test_written_shards_fit(spark, tmp_path):
+    limit = 2000
+    rows = [(7, f"one id {i} " * 10, "x") for i in range(60)] + [(8, "copy " * 60, "y")] * 40 + [(None, f"none {i} " * 12, None) for i in range(60)] + [(i, f"own {i}", "z") for i in range(100, 160)] + [(9, "z" * 5000, "x")]
+    sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string, source string"), str(tmp_path / "out"), limit=limit)
+    # the bits of a shard are a string
+    got = spark.read.option("basePath", str(tmp_path / "out")).schema("doc_id long, text string, source string, shard string").parquet(str(tmp_path / "out")).collect()
+    key = lambda r: tuple(map(str, r))
+    assert sorted(key(r[:3]) for r in got) == sorted(map(key, rows))
+    shards = collections.defaultdict(list)
+    for r in got:
+        shards[r.shard].append(len(r.text))
+    assert all(sum(v) <= limit or len(v) == 1 for v in shards.values())

@@ -11,8 +11,9 @@ hash is of id and text; rows that are the same in both are told apart by bits of
 it, so no group of copies, however large, stays in one shard.
 
 A document larger than the limit is a shard of its own, marked oversized, after which it can't be split.
-A null or empty text has 0 bytes. An empty table has no shards. Columns other than id and text are
-carried by shard_documents and don't matter.
+A null or empty text has 0 bytes. An empty table has no shards. Columns other than id and text don't
+matter; shard_documents writes them all. It numbers the rows and joins by these numbers, so each row
+goes to its own shard, and rows that share an id, or have none, may go to different ones.
 """
 
 from __future__ import annotations
@@ -35,8 +36,13 @@ def _bits(x: Column) -> Column:
 
 def assign(docs: DataFrame, *, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_bytes, shard (the bucket's bits), depth, shard_bytes, oversized."""
+    return _assign(docs, limit, id_col, text_col, [])
+
+
+def _assign(docs: DataFrame, limit: int, id_col: str, text_col: str, kept: list[str]) -> DataFrame:
+    """assign, with the columns `kept` of the documents."""
     text = F.col(text_col)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"), F.concat(_bits(F.xxhash64(F.col(id_col), text)), _bits(F.xxhash64(F.monotonically_increasing_id()))).alias("bits"))
+    rows = docs.select(*kept, F.col(id_col).alias("doc_id"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"), F.concat(_bits(F.xxhash64(F.col(id_col), text)), _bits(F.xxhash64(F.monotonically_increasing_id()))).alias("bits"))
     rows = materialize(rows, "sizes")  # from here on each row keeps its bits
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
     d = min(60, max(8, ceil(log2(max(1.0, total / limit))) + 4))
@@ -49,18 +55,18 @@ def assign(docs: DataFrame, *, limit: int, id_col: str = "doc_id", text_col: str
     homes = materialize(cells.join(homes, "cell", "left").select("cell", "home.*"), "homes")
     sent = F.broadcast(homes) if homes.count() <= BROADCAST_CELLS else homes
     placed = rows.withColumn("cell", cell).join(sent, "cell")
-    names = ["doc_id", "n_bytes", "shard", "depth", "shard_bytes"]
+    names = [*kept, "doc_id", "n_bytes", "shard", "depth", "shard_bytes"]
     out = placed.where("shard IS NOT NULL").select(*names, F.lit(False).alias("oversized"))
-    left = placed.where("shard IS NULL").select("doc_id", "n_bytes", "bits")
+    left = placed.where("shard IS NULL").select(*kept, "doc_id", "n_bytes", "bits")
     while d < BITS and left.head(1):
         d += 1
         left = materialize(left.withColumn("shard", F.substring("bits", 1, d)), "left")
         sums = left.groupBy("shard").agg(F.sum("n_bytes").alias("shard_bytes"), F.count(F.lit(1)).alias("n"))
         # one document can't be split further
         done = sums.where((F.col("shard_bytes") <= limit) | (F.col("n") == 1))
-        found = left.join(done, "shard").select("doc_id", "n_bytes", "shard", F.lit(d).alias("depth"), "shard_bytes", (F.col("shard_bytes") > limit).alias("oversized"))
+        found = left.join(done, "shard").select(*kept, "doc_id", "n_bytes", "shard", F.lit(d).alias("depth"), "shard_bytes", (F.col("shard_bytes") > limit).alias("oversized"))
         out = out.unionByName(materialize(found, "split"))
-        left = left.join(done.select("shard"), "shard", "left_anti").select("doc_id", "n_bytes", "bits")
+        left = left.join(done.select("shard"), "shard", "left_anti").select(*kept, "doc_id", "n_bytes", "bits")
     return out
 
 
@@ -70,8 +76,8 @@ def directory(assigned: DataFrame) -> DataFrame:
 
 
 def shard_documents(docs: DataFrame, path: str, *, limit: int, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write the documents with one folder for each shard. Rows that share an id go to the shard of the
-    first of them."""
-    home = assign(docs, limit=limit, id_col=id_col, text_col=text_col).groupBy(F.col("doc_id").alias("__id")).agg(F.min("shard").alias("shard"))
-    joined = docs.join(home, docs[id_col].eqNullSafe(F.col("__id"))).drop("__id")
-    joined.repartition("shard").write.partitionBy("shard").parquet(path)
+    """Write the documents with one folder for each shard, each row to the shard that assign gives it."""
+    # the numbers are written, so that both sides of the join have the same
+    rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    homes = _assign(rows, limit, id_col, text_col, ["__row"]).select("__row", "shard")
+    rows.join(homes, "__row").drop("__row").repartition("shard").write.partitionBy("shard").parquet(path)
