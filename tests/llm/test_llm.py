@@ -248,6 +248,22 @@ def test_html(spark):
     assert got[4].text == "" and got[5].text == "only this" and got[6].text.startswith("A & B")
 
 
+def test_html_names_and_attributes():
+    text = lambda page: html_extract.Page(page).text(None)
+    story = "<p>a long story of many words about a thing<p>and how it went on after that"
+    plain = "a long story of many words about a thing\nand how it went on after that"
+    for name in ("content has-sidebar", "no-header", "with-comments", "post-related"):
+        for page in (f"<div class='{name}'>{story}</div>", f"<div id='{name}'>{story}</div>"):
+            assert text(f"<body><nav>menu</nav>{page}<div class='site-footer'>foot</div><div class=comments>nice</div></body>") == plain
+    # nothing but a marked container: names don't count, tags do
+    assert text(f"<body><nav>menu</nav><div class='sidebar'>{story}</div></body>") == plain
+    # a long discussion is none of the article
+    assert text(f"<body><div class=post>{story}</div><div class=comments>{'<p>so it is indeed' * 30}</div></body>") == plain
+    assert text(f"<body><svg viewBox='0 0 1 1' />{story}</body>") == text(f"<body><svg><text>x</text></svg>{story}</body>") == plain
+    assert text(f"<body><div class=post data-class='ads' data-id='sidebar' title='a class=ads'>{story}</div></body>") == plain
+    assert html_extract.Page(f"<body><div class=post data-class='x'>{story}</div></body>").best().path == "/body/div.post"
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], DOC)
     assert mixing.plan_mix(none).count() == 0 and substring_dedup.dedup_substrings(none).count() == 0

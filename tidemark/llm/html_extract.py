@@ -9,6 +9,11 @@
 3. Every page is extracted anew from the containers on its host's winning path; a page without any
    text there falls back to its own best container.
 
+Tags and roles that are not the article (nav, footer and the like) are left out, and so are containers
+whose class or id is a word for such, as sidebar. Where it is only a part of a longer name, as in
+site-footer or post-related, the container is left out if it holds less than half of the page's text;
+names as has-sidebar or no-header tell nothing. If nothing is left, names of classes don't count.
+
 A block's white space becomes one space; blocks are joined by a newline in page order. A null or empty
 page has an empty text; a cut-off page is read as far as it goes. A null or odd url belongs to the host
 ''. Repeated rows are extracted alike. Columns other than id, url and html don't matter.
@@ -42,10 +47,14 @@ ASIDE_WORDS = frozenset(
     "widget pagination pager toolbar login signup search".split()
 )
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu".split())
+#: First parts of names that tell of a state, not of what the container is.
+STATE_WORDS = frozenset("has have no not with without is hide hidden show shows".split())
 CONTENT_WORDS = frozenset("article content post entry story main body text".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
-_ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"'>]+)))?")
+#: How far a class or id tells that a container is not the article: not at all, in part of a name, in a whole one.
+PLAIN, PARTLY, WHOLLY = range(3)
 
 
 @dataclass
@@ -54,7 +63,9 @@ class Node:
     path: str
     parent: Node | None
     aside: bool
+    mark: int = PLAIN
     weight: float = 1.0
+    held: int = 0
     chars: int = 0
     link_chars: int = 0
     blocks: list[str] = field(default_factory=list)
@@ -68,6 +79,24 @@ def _weight(tag: str, names: set[str]) -> float:
     return 1.2 if names & CONTENT_WORDS else 1.0
 
 
+def _mark(tokens: list[str]) -> int:
+    """What the class names and the id tell."""
+    mark = PLAIN
+    for t in tokens:
+        parts = re.split(r"[^a-z#]+", t)
+        if t in ASIDE_WORDS:
+            return WHOLLY
+        if parts[0] not in STATE_WORDS and not ASIDE_WORDS.isdisjoint(parts):
+            mark = PARTLY
+    return mark
+
+
+def _above(node: Node | None) -> Iterator[Node]:
+    while node is not None:
+        yield node
+        node = node.parent
+
+
 class Page:
     """The containers of a page, in page order, each with the blocks of text below it."""
 
@@ -76,23 +105,36 @@ class Page:
         self.nodes: list[Node] = []
         self.stack = [self.root]
         self.pending: list[tuple[str, bool]] = []
+        self.found: list[tuple[Node, str, int]] = []
         self._read(source)
+        self._credit()
 
     def _flush(self) -> None:
-        """End the current block and credit it to all containers that it lies in."""
+        """End the current block."""
         if not self.pending:
             return
         text = " ".join(htmllib.unescape("".join(t for t, _ in self.pending)).split())
         linked = sum(len(t) for t, in_link in self.pending if in_link)
         self.pending = []
-        node: Node | None = self.stack[-1]
-        if not text or node is None or node.aside:
-            return
-        while node is not None:
-            node.chars += len(text)
-            node.link_chars += min(linked, len(text))
-            node.blocks.append(text)
-            node = node.parent
+        if text and not self.stack[-1].aside:
+            self.found.append((self.stack[-1], text, min(linked, len(text))))
+
+    def _credit(self) -> None:
+        """Credit each block to all containers that it lies in, unless one of them isn't the article."""
+        for at, text, _ in self.found:
+            above = list(_above(at))
+            if not any(n.mark == WHOLLY for n in above):
+                for n in above:
+                    n.held += len(text)
+        least = self.root.held / 2
+        told = lambda n: n.mark == WHOLLY or (n.mark == PARTLY and n.held < least)
+        chosen = [x for x in self.found if not any(map(told, _above(x[0])))]
+        # where that leaves nothing the names of classes don't count
+        for at, text, linked in chosen or self.found:
+            for n in _above(at):
+                n.chars += len(text)
+                n.link_chars += linked
+                n.blocks.append(text)
 
     def _open(self, tag: str, attrs: str) -> None:
         if tag in CLOSED_BY_SELF:
@@ -103,11 +145,15 @@ class Page:
                 if self.stack[k].tag in ("ul", "ol", "dl", "table", "div", "article"):
                     break
         parent = self.stack[-1]
-        found = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(attrs)}
+        found: dict[str, str] = {}
+        for k, a, b, c in _ATTR.findall(attrs):
+            found.setdefault(k.lower(), a or b or c)  # of repeated attributes the first counts
         classes = re.sub(r"\d+", "#", found.get("class", "")).lower().split()
-        names = set(re.split(r"[^a-z#]+", " ".join([*classes, re.sub(r"\d+", "#", found.get("id", "")).lower()])))
-        aside = parent.aside or tag in DROPPED or found.get("role", "").lower() in ASIDE_ROLES or (tag not in ("body", "html", "article", "main") and bool(names & ASIDE_WORDS))
-        node = Node(tag, f"{parent.path}/{'.'.join([tag, *sorted(classes)])}", parent, aside, _weight(tag, names))
+        tokens = [*classes, *re.sub(r"\d+", "#", found.get("id", "")).lower().split()]
+        names = set(re.split(r"[^a-z#]+", " ".join(tokens)))
+        aside = parent.aside or tag in DROPPED or found.get("role", "").lower() in ASIDE_ROLES
+        mark = PLAIN if tag in ("body", "html", "article", "main") else _mark(tokens)
+        node = Node(tag, f"{parent.path}/{'.'.join([tag, *sorted(classes)])}", parent, aside, mark, _weight(tag, names))
         self.stack.append(node)
         if not aside and tag not in ("p", "li"):
             self.nodes.append(node)
@@ -140,6 +186,8 @@ class Page:
                 self._flush()
                 if self.stack[-1].tag == "p":
                     self.stack.pop()
+                if tag == "svg" and m[3].endswith("/"):
+                    continue  # of foreign elements the closing slash holds
                 if tag in RAW:
                     stop = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
                     at = stop.end() if stop else end
