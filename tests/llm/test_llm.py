@@ -201,6 +201,30 @@ def test_pii(spark):
     assert len(re.sub(r"\w", "x", new)) == len(new) and re.search(r"Frau \w+a ", new) and re.search(r"\b4\d{15}\b", new)
 
 
+def test_pii_secrets_names_and_phones(spark):
+    secrets = ["AKIA" + "ABCDEFGHIJKLMNOP", "ghp_" + "abcdefghijKLMNOPQRSTuvwx", "sk_" + "a" * 90, "pk_" + "Zy" * 40, "abcdefAB" * 4, "a1" * 100, "DeadBeef" * 20]
+    names = ["Mrs Mary Jane Watson", "Frau Meier-Lang", "Mr McDonald", "Mr O'Brien", "Herr Karl Otto Emil Lang", "Ms J. Watson"]
+    texts = [f"the key {s} is here" for s in secrets] + [f"we met {n} today" for n in names]
+    texts += ["call +1 555 123 4567 or +15551234567 or +1-555-123-4567 now", "call +49 30 1234 5678 or +493012345678 now", "call +351 21 123 4567 or +351211234567 now", "Mr Smith's car, Mr Smith, Mr Smith Mrs Jones"]
+    got = [r.text for r in sorted(pii.replace_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").collect(), key=lambda r: r.doc_id)]
+    for old, s, new in zip(texts, secrets, got, strict=False):
+        # head, length and case of letters stay
+        head = re.match(r"AKIA|ghp_|sk_|pk_|", s)[0]
+        assert s not in new and len(new) == len(old) and f"the key {head}" in new and new.endswith(" is here")
+        assert s != s.lower() or new == new.lower()
+    for n, new in zip(names, got[len(secrets) :], strict=False):
+        words_of = re.findall(r"\w\w+", n)
+        assert new.startswith(f"we met {words_of[0]}") and new.endswith(" today")
+        assert not [w for w in words_of[1:] if w in new] and len(new.split()) == len(n.split()) + 3 and ("-" in new) == ("-" in n)
+    surname = re.findall(r"\w+", got[len(secrets)])[-2]
+    assert surname in got[len(secrets) + len(names) - 1]
+    for new, country in zip(got[-4:-1], ("1", "49", "351"), strict=True):
+        numbers = {re.sub(r"\D", "", x) for x in re.split(" or ", new)}
+        assert len(numbers) == 1 and numbers.pop().startswith(country)
+    own = re.fullmatch(r"Mr (\w+)'s car, Mr (\w+), Mr (\w+) Mrs (\w+)", got[-1]).groups()
+    assert own[0] == own[1] == own[2] != own[3] and not {"Smith", "Jones"} & set(own)
+
+
 def test_colliding_surrogates_are_replaced(spark, monkeypatch):
     real = pii.digest
     monkeypatch.setattr(pii, "digest", lambda key, kind, canon, attempt: F.when(attempt == 0, F.lit("0" * 128)).otherwise(real(key, kind, canon, attempt)))

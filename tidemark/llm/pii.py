@@ -25,21 +25,27 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import materialize
 
 _L = r"\p{L}\p{N}"
+_TITLE = "Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sra?|Господин|Госпожа|Κύριος|Κυρία"
+#: A word of a name (Meier-Lang, O'Brien and McDonald are one each), or an initial before another word.
+_WORD = r"(?:\p{Lu}(?:(?:-|['’])(?=\p{Lu})|[\p{L}\p{M}])++(?<=[\p{L}\p{M}])|\p{Lu}\.?(?= \p{Lu}))"
 #: The patterns of the entity types, tried in this order.
 PATTERNS = {
     "email": rf"(?<![{_L}._%+-])[{_L}_%+-]++(?:\.[{_L}_%+-]++)*+@[{_L}-]++(?:\.[{_L}-]++)+",
-    "secret": rf"(?<![{_L}])(?:AKIA[0-9A-Z]{{16}}|[0-9a-f]{{32,128}}|[0-9A-F]{{32,128}}|(?:ghp|sk|pk)_[A-Za-z0-9]{{20,64}})(?![{_L}])",
+    "secret": rf"(?<![{_L}])(?:AKIA[0-9A-Z]{{16}}|[0-9A-Fa-f]{{32,}}+|(?:ghp|sk|pk)_[A-Za-z0-9]{{20,}}+)(?![{_L}])",
     "iban": rf"(?<![{_L}])[A-Z]{{2}}\d{{2}}(?:[A-Z0-9]{{11,30}}|(?: [A-Z0-9]{{4}}){{3,7}}(?: [A-Z0-9]{{1,3}})?)(?![{_L}])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\d|\.\d)",
     "ssn": rf"(?<![{_L}-])\d{{3}}-\d{{2}}-\d{{4}}(?![\d-])",
     "card": rf"(?<![{_L}])(?:\d{{4}}[ -]\d{{4}}[ -]\d{{4}}[ -]\d{{1,7}}|\d{{4}}[ -]\d{{6}}[ -]\d{{5}}|\d{{13,19}})(?![{_L}])",
     "phone": rf"(?<![{_L}+])(?:\+\d{{1,3}}[ .-]?(?:\(\d{{1,4}}\)[ .-]?)?\d{{2,4}}(?:[ .-]\d{{2,4}}){{1,4}}|\+\d{{8,15}}|\(\d{{3}}\) ?\d{{3}}[ .-]\d{{4}}|\d{{3}}[.-]\d{{3}}[.-]\d{{4}})(?![{_L}])",
-    "name": rf"(?<![{_L}])(?:Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sra?|Господин|Госпожа|Κύριος|Κυρία)\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?(?![{_L}])",
+    "name": rf"(?<![{_L}])(?:{_TITLE})\.? {_WORD}(?: (?!(?:{_TITLE})(?![{_L}])){_WORD})*(?![{_L}])",
 }
+#: Country codes of phone numbers; those not listed by their first digits have three.
+COUNTRY = r"^\+(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 #: Titles of women; the others in the pattern are men's.
 FEMALE = r"^(?:Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Госпожа|Κυρία)\b"
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-MAYBE = r"[@0-9]|(?:M(?:r|s|iss|me|onsieur|adame)|Herr|Frau|Señor|Sr|Госп|Κύρ|Κυρ)"
+#: Holds in every text that ANY is found in: all but names and secrets need an @ or a digit.
+MAYBE = r"[@0-9]|AKIA|(?:ghp|sk|pk)_|[A-Fa-f]{32}|(?:M(?:r|s|iss|me|onsieur|adame)|Herr|Frau|Señor|Sr|Госп|Κύρ|Κυρ)"
 #: Letters by script, and the endings of given names by script and gender (men's first).
 LOWER = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
 ENDING = {"latin": ("o", "a"), "cyrillic": ("ий", "ина"), "greek": ("ος", "α")}
@@ -64,10 +70,11 @@ def kind_of(hit: Column) -> Column:
 
 
 def canonical(hit: Column, kind: Column) -> Column:
-    """Spellings of one entity have one canonical form. A name's is that of its words, without the title."""
+    """Spellings of one entity have one canonical form. A name's is that of its words, without the
+    title; a phone number keeps the + that tells that it begins with a country code."""
     digits = F.regexp_replace(hit, r"\D", "")
     name = F.regexp_replace(hit, r"^[\p{L}]+\.? ", "")
-    return F.when(kind == "email", F.lower(hit)).when(kind.isin("ssn", "card", "phone"), digits).when(kind == "iban", F.regexp_replace(hit, " ", "")).when(kind == "name", name).otherwise(hit)
+    return F.when(kind == "email", F.lower(hit)).when(kind.isin("ssn", "card"), digits).when(kind == "phone", F.regexp_replace(hit, r"[^+\d]", "")).when(kind == "iban", F.regexp_replace(hit, " ", "")).when(kind == "name", name).otherwise(hit)
 
 
 def _byte(digest: Column, i: Column) -> Column:
@@ -146,23 +153,26 @@ def surrogate(hit: Column, kind: Column, canon: Column, attempt: Column, d: Colu
     email = F.concat(_remap(local, d), F.lit("@"), F.get(sited, F.lit(0)), F.lit("."), F.regexp_extract(domain, r"([^.]*)$", 1))
     head = F.regexp_extract(hit, r"^(AKIA|ghp_|sk_|pk_)?", 1)
     body = F.substring(hit, F.length(head) + 1, F.length(hit))
-    sixteen = F.when(hit.rlike("[A-F]"), F.lit("0123456789ABCDEF")).otherwise(F.lit("0123456789abcdef"))
-    hexed = F.array_join(F.transform(_chars(body), lambda c, i: _pick(sixteen, _byte(d, i), 16)), "")
+    # letters keep their case; what stands for a digit has the case of the token, lower in mixed ones
+    upper = hit.rlike("[A-F]") & ~hit.rlike("[a-f]")
+    sixteen = lambda c: F.when(upper | c.rlike("[A-F]"), F.lit("0123456789ABCDEF")).otherwise(F.lit("0123456789abcdef"))
+    hexed = F.array_join(F.transform(_chars(body), lambda c, i: _pick(sixteen(c), _byte(d, i), 16)), "")
     secret = F.when(head == "", hexed).otherwise(F.concat(head, _remap(body, d)))
     octet = lambda o, i: F.when(F.length(o) == 3, 100 + F.pmod(_byte(d, 2 * i) * 256 + _byte(d, 2 * i + 1), F.lit(156))).when(F.length(o) == 2, 10 + F.pmod(_byte(d, i), F.lit(90))).otherwise(F.pmod(_byte(d, i), F.lit(10))).cast("string")
     ip = F.array_join(F.transform(F.split(hit, r"\."), octet), ".")
-    digits = _remap(canon, d)
+    number = F.regexp_replace(canon, r"^\+", "")
+    digits = _remap(number, d)
     front = F.concat(F.substring(canon, 1, 1), F.substring(digits, F.lit(2), F.length(canon) - 2))
     card = F.concat(front, F.when(_luhn(canon), _luhn_digit(front)).otherwise(F.substring(digits, -1, 1)))
     # +1 and the like stay; the number after them begins with 2..9
-    country = F.regexp_extract(hit, r"^\+(\d{1,3})(?=[ .(-])", 1)
-    phone = F.concat(country, _pick("23456789", _byte(d, F.lit(63)), 8), F.substring(digits, F.length(country) + 2, F.length(canon)))
+    country = F.regexp_extract(canon, COUNTRY, 1)
+    phone = F.concat(country, _pick("23456789", _byte(d, F.lit(63)), 8), F.substring(digits, F.length(country) + 2, F.length(number)))
     new_symbols = F.when(kind == "ssn", digits).when(kind == "card", card).when(kind == "phone", phone).when(kind == "iban", _iban(canon, d))
     # an attempt is for the whole name, so that names which share words stay distinct too
-    parts = F.split(canon, " ")
+    parts = F.regexp_extract_all(canon, F.lit(r"[\p{L}\p{M}]+"), F.lit(0))
     word_digest = lambda w, i: F.struct(w.alias("w"), i.alias("i"), F.sha2(F.concat_ws("|", F.lit(key), F.lit("word"), w, attempt.cast("string")), 512).alias("d"))
-    made = F.transform(F.transform(parts, word_digest), lambda x: _name_word(x["w"], x["d"], (F.size(parts) > 1) & (x["i"] == 0), hit.rlike(FEMALE)))
-    name = F.concat(F.regexp_extract(hit, r"^(\p{L}+\.? )", 1), F.array_join(made, " "))
+    made = F.transform(F.transform(parts, word_digest), lambda x: _name_word(x["w"], x["d"], canon.contains(" ") & (x["i"] == 0), hit.rlike(FEMALE)))
+    name = F.concat(F.regexp_extract(hit, r"^(\p{L}+\.? )", 1), F.array_join(F.zip_with(F.split(canon, r"[\p{L}\p{M}]+", -1), made, lambda s, w: F.concat(s, F.coalesce(w, F.lit("")))), ""))
     out = F.when(kind == "email", email).when(kind == "secret", secret).when(kind == "ip", ip).when(kind == "name", name)
     return out.when(kind.isin("ssn", "card", "phone"), _fill(hit, new_symbols, "[0-9]")).when(kind == "iban", _fill(hit, new_symbols, "[A-Z0-9]")).otherwise(hit)
 
