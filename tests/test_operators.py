@@ -1,12 +1,15 @@
 """Operators on small inputs with known results."""
 
 import datetime as dt
+import re
 import uuid
 
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalar
 from tidemark.operators import absa, agent, anomaly, brand, dq, metrics, retrieval, sampling
+from tidemark.operators import lexicon as lx
+from tidemark.plans import queries_text
 from tidemark.sources import readers, sinks
 
 
@@ -63,6 +66,38 @@ def test_extraction_and_guards(spark):
     assert {r.review_id: r.status for r in absa.review_status(df, v).collect()}[3] == "no_mentions"
 
 
+def test_reliability_extract_reads_whole_texts(spark, tmp_path):
+    texts = ["The charger broke. All fine otherwise", "audio is great!\nit lasted only a day", "shipping was slow and the box was broken", "the package failed", "nothing here", "", "It QUIT working?! The price is bad", "died in a fire. died"]
+    tails = (" It stopped working. ", " The package failed us! ", " The battery died. ", " Shipping was bad.")
+    rows = [(i, t, x) for i, x in enumerate(texts) for t in range(4)]
+    spark.createDataFrame(rows, "conv_id long, turn long, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+
+    def sentence(text, word):
+        return re.search(rf"(?i)[^.!?\n]*{re.escape(word)}[^.!?\n]*[.!?\n]?", text)[0].strip()
+
+    def holds(low, words):
+        return any(w in low for w in words)
+
+    true = set()
+    for i, t, x in rows:
+        text, quotes = x + tails[t], {}
+        for code, words in lx.ASPECTS.items():
+            if first := next((w for w in words if w in text.lower()), None):
+                quotes[code] = sentence(text, first)
+        specific = [w for code, words in lx.ASPECTS.items() if code != "delivery" for w in words]
+        for w in lx.RELIABILITY:
+            low = sentence(text, w).lower() if w in text.lower() else ""
+            if low and not holds(low, specific) and not (holds(low, lx.SHIPPING) and not holds(low, lx.PRODUCT_FAILURE)):
+                quotes["reliability"] = sentence(text, w)
+                break
+        for code, q in quotes.items():
+            neg, pos = holds(q.lower(), lx.NEGATIVE), holds(q.lower(), lx.POSITIVE)
+            severity = ("high" if holds(q.lower(), lx.HIGH) else "medium" if holds(q.lower(), lx.MEDIUM) else "low") if neg and not pos else None
+            true.add((i, t, code, "negative" if neg and not pos else "positive" if pos and not neg else "neutral", severity, q))
+    got = queries_text.reliability_extract(spark, str(tmp_path)).collect()
+    assert len(got) == len(true) and {(r.conv_id, r.turn, r.code, r.sentiment, r.severity, r.quote) for r in got} == true
+
+
 def test_model_answers_are_parsed_strictly(spark):
     raw = ['noise {"aspects":[{"aspect_code":"price","sentiment":"negative","severity":"low","evidence_quote":"dear"}]} end', '{"aspects":[{"aspect_code":"price","sentiment":"negative","severity":null,"evidence_quote":"dear"}]}', "no json"]
     got = [r.mentions for r in absa.parse(spark.createDataFrame(list(enumerate(raw)), "i int, raw string")).orderBy("i").collect()]

@@ -211,7 +211,7 @@ def array_filter_any(spark: SparkSession, d: str) -> DataFrame:
 def reliability_extract(spark: SparkSession, d: str) -> DataFrame:
     """Conversations with stock complaints appended: the guards of the catch-all aspect."""
     tail = F.when(F.col("turn") % 4 == 0, " It stopped working. ").when(F.col("turn") % 4 == 1, " The package failed us! ").when(F.col("turn") % 4 == 2, " The battery died. ").otherwise(" Shipping was bad.")
-    t = table(spark, d, "conversations").select("conv_id", "turn", F.concat(F.regexp_replace("text", "[a-z]", ""), tail).alias("text"))
+    t = table(spark, d, "conversations").select("conv_id", "turn", F.concat("text", tail).alias("text"))
     return absa.extract(t).select("conv_id", "turn", F.inline("mentions"))
 
 
