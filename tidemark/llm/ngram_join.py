@@ -1,24 +1,26 @@
 """N-gram Jaccard join by grouped prefixes, with components of the links.
 
 Documents are sets of word n-grams. Two sets that are similar enough share a token among the first
-few of each, in any order that is the same for all sets. Tokens that a count-min sketch over all
-documents puts in one set only go first, then the others by how common a second sketch says they
-are: passages found everywhere seldom come up, and a document with enough words of its own has no
-partners at all.
+few of each, in any order that is the same for all sets: here by hash, behind those that a count-min
+sketch over all documents calls common, so that passages found everywhere seldom come up.
 
 1. Equal sets are one class, its smallest document stands for it. Classes of the same size with the
    same prefix are one group, its smallest class stands for it.
-2. Prefix tokens that a second sketch puts in one set only are dropped: they lead to no pair.
-3. Groups that share a token are candidates if their sizes allow. In a token's list each group is
-   first paired with a few groups picked by hash, never with all; each member of a group is paired with
-   its head. Pairs that share too few prefix tokens for their sizes are dropped, the others are
-   verified on the whole sets, and the links give components.
-4. Lists with one component are done: whatever else links there changes nothing. In the others the
-   groups are expanded, and the step is repeated with other picks, more each time. Then, in each list that is still
-   mixed, every class outside the list's main component is verified against all classes of the list
-   that lie elsewhere, so that no link between components is lost.
-
-Lists that a family of near copies fills are thus linear in its size, not quadratic.
+2. Prefix tokens that a second sketch puts in one group only are dropped: they lead to no pair. Of
+   tokens that stand in the same groups one is kept.
+3. Pairs of groups that share a token are filtered by size and by a bound on what their sets differ
+   in: each set has a bitmap of the parities of its tokens' places, and two bitmaps differ in no
+   more bits than the sets differ in tokens. In a token's list each group meets a few groups picked by
+   hash, never all, and keeps the one of the smallest component. Each member of a group meets its
+   head. What the filter leaves is verified on the whole sets; the links give components.
+4. The groups are expanded to their members. Lists with one component are done: whatever else links
+   there changes nothing. In the others step 3 is repeated with other picks. Then, in each list that
+   is still mixed, every class outside the list's main component meets all classes of the list that lie
+   elsewhere, under the same filter, so that no link between components is lost.
+
+Each class has one partner a round, and the join's filter drops the others before they become rows: a
+family of near copies costs rows in proportion to its size. Up to about 3000 tokens the bitmap tells nearly
+exactly; of longer sets more pairs are left to verification.
 
 Rows that share an id are one document whose links are those of each. A null id links with nothing
 and has a null component. A null or empty text has an empty set and links with nothing. An empty
@@ -28,11 +30,13 @@ table gives no rows. Only the id and text columns are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import sketch
@@ -42,7 +46,9 @@ from tidemark.llm.components import components
 BASE = 0x9E3779B97F4A7C15
 #: Ids up to which texts are picked by a broadcast: 8 MB.
 BROADCAST_IDS = 500_000
-FORMS = "doc_id long, n int, s1 long, s2 long, g long, prefix binary"
+#: Long columns of a set's bitmap: 1024 bits.
+BITMAP = [f"m{i}" for i in range(16)]
+FORMS = "doc_id long, n int, s1 long, s2 long, g long, prefix binary, " + ", ".join(f"{m} long" for m in BITMAP)
 
 
 def shingles(text: str, size: int) -> np.ndarray:
@@ -64,8 +70,22 @@ def _texts(batch: pa.RecordBatch) -> list[str]:
     return [t or "" for t in batch.column("text").to_pylist()]
 
 
-def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 4, percent: int = 85, picks: tuple[int, ...] = (1, 2, 4)) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
+def bitmap(s: np.ndarray) -> np.ndarray:
+    """For each of 1024 places the parity of the tokens there, as 16 longs."""
+    odd = np.bincount((s >> np.uint64(20)).astype(np.int64) & 1023, minlength=1024) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def near(percent: int, n: str, m: str) -> Column:
+    """Whether classes of n and m tokens, with bitmaps in BITMAP and in the columns named k.., may link."""
+    fits = F.least(n, m) * 100 >= F.greatest(n, m) * percent
+    apart = reduce(add, (F.bit_count(F.col(f"m{i}").bitwiseXOR(F.col(f"k{i}"))) for i in range(len(BITMAP))))
+    return fits & (apart * (100 + percent) <= (F.col(n) + F.col(m)) * (100 - percent))
+
+
+def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 4, percent: int = 85, rounds: int = 3, picks: int = 8) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id. The first round is on groups, the others
+    on classes; rounds and picks change the work, not the result."""
     spark = docs.sparkSession
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
@@ -75,31 +95,34 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     common = spark.sparkContext.broadcast(sketch.levels(named.select("text").mapInArrow(sketch.level_pass(all_keys), sketch.LEVEL_SCHEMA)))
 
-    n_chars = named.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
-    seen_width = sketch.width_for(n_chars / 6)
-    seen = spark.sparkContext.broadcast(sketch.repeated(named.select("text").mapInArrow(sketch.sketch_pass(all_keys, seen_width, 1), sketch.SCHEMA), seen_width, 1))
-
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cols: list[list] = [[] for _ in range(5)]
-            for text in _texts(batch):
+            maps = np.zeros((batch.num_rows, len(BITMAP)), np.int64)
+            for at, text in enumerate(_texts(batch)):
                 s = shingles(text, size)
                 n = len(s)
                 whole = xxhash.xxh3_128_intdigest(s.tobytes())
-                again = sketch.maybe_repeated(seen.value, s, seen_width, 1)
-                order = np.where(again, 1 + sketch.level_of(common.value, s).astype(np.int16), 0)
-                first = s[np.lexsort((s, order))][: n - least_common(n, percent) + 1] if n else s
+                first = s[np.lexsort((s, sketch.level_of(common.value, s)))][: n - least_common(n, percent) + 1] if n else s
                 group = xxhash.xxh3_64_intdigest(first.tobytes(), seed=n)
+                maps[at] = bitmap(s)
                 for c, v in zip(cols, (n, (whole >> 64) - 2**63, (whole & (2**64 - 1)) - 2**63, group - 2**63, first.tobytes()), strict=True):
                     c.append(v)
             types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], [x.split()[0] for x in FORMS.split(", ")])
+            columns = [*(pa.array(c, t) for c, t in zip(cols, types, strict=True)), *(pa.array(np.ascontiguousarray(m)) for m in maps.T)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], [x.split()[0] for x in FORMS.split(", ")])
 
     forms = materialize(named.mapInArrow(describe, FORMS), "forms")
     full = forms.where("doc_id IS NOT NULL AND n > 0")
-    width = sketch.width_for((full.agg(F.sum(F.length("prefix"))).first()[0] or 0) / 8)
+    classes = full.groupBy("s1", "s2").agg(F.min("doc_id").alias("cls"), *[F.first(c).alias(c) for c in ("n", "g", *BITMAP)])
+    classes = materialize(classes, "classes")
+    heads = materialize(classes.groupBy("g", "n").agg(F.min("cls").alias("gid"), F.count(F.lit(1)).alias("size")), "heads")
+    members = materialize(classes.join(heads, ["g", "n"]).drop("s1", "s2").withColumn("label", F.col("cls")), "members")
+
+    firsts = materialize(full.join(heads.select(F.col("gid").alias("doc_id"), "n", "g"), ["doc_id", "n", "g"], "left_semi").select("doc_id", "prefix"), "prefixes")
+    width = sketch.width_for((firsts.agg(F.sum(F.length("prefix"))).first()[0] or 0) / 8)
     prefix_keys = lambda batch: np.frombuffer(b"".join(batch.column("prefix").to_pylist()), np.uint64)
-    bits = spark.sparkContext.broadcast(sketch.repeated(full.select("prefix").mapInArrow(sketch.sketch_pass(prefix_keys, width), sketch.SCHEMA), width))
+    bits = spark.sparkContext.broadcast(sketch.repeated(firsts.select("prefix").mapInArrow(sketch.sketch_pass(prefix_keys, width), sketch.SCHEMA), width))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,33 +130,28 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             keys = prefix_keys(batch)
             hit = sketch.maybe_repeated(bits.value, keys, width)
             rows = pa.array(np.repeat(np.arange(len(sizes)), sizes)[hit])
-            yield pa.RecordBatch.from_arrays([pa.array(keys[hit].view(np.int64)), batch.column("doc_id").take(rows), batch.column("n").take(rows)], ["token", "doc_id", "n"])
-
-    classes = full.groupBy("s1", "s2").agg(F.min("doc_id").alias("cls"))
-    members = full.select("s1", "s2", "g", "n", "doc_id").join(classes, ["s1", "s2"]).where("doc_id = cls").select("cls", "n", "g").distinct()
-    heads = members.groupBy("g", "n").agg(F.min("cls").alias("gid"), F.count(F.lit(1)).alias("size"))
-    members = materialize(members.join(heads, ["g", "n"]), "members")
-    raw = full.select("doc_id", "n", "prefix").mapInArrow(post, "token long, doc_id long, n int")
-    posts = materialize(raw.join(members.where("cls = gid").select(F.col("gid").alias("doc_id"), "n"), ["doc_id", "n"]).select("token", F.col("doc_id").alias("cls"), "n"), "posts")
-    posts = posts.withColumn("label", F.col("cls"))
-
-    def fits(a: str, b: str):  # noqa: ANN202
-        return F.least(a, b) * 100 >= F.greatest(a, b) * percent
-
-    def mixed(posts: DataFrame, salts: list[int]) -> DataFrame:
-        """Tokens whose list has two labels or more, with classes picked by hash."""
-        pick = [F.min_by(F.struct("cls", "n", "label"), F.xxhash64("cls", F.lit(s))).alias(f"p{s}") for s in salts]
-        return posts.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), *pick).where("lo < hi").select("token", F.array(*[f"p{s}" for s in salts]).alias("picked"))
-
-    def picked_pairs(posts: DataFrame, salts: list[int]) -> DataFrame:
-        p = posts.join(mixed(posts, salts), "token").select("cls", "n", "label", F.explode("picked").alias("p"))
-        p = p.where((F.col("label") != F.col("p.label")) & fits("n", "p.n"))
-        return p.select(F.least("cls", "p.cls").alias("a"), F.greatest("cls", "p.cls").alias("b")).distinct()
-
-    inner = members.where("cls <> gid").select(F.col("gid").alias("a"), F.col("cls").alias("b"))
-    # each class with its prefix tokens that may lead to pairs (at most a prefix long)
-    tokens = posts.groupBy("cls", "n").agg(F.collect_list("token").alias("t")).withColumnRenamed("cls", "gid")
-    tokens = materialize(members.select("cls", "n", "gid").join(tokens, ["gid", "n"]).select("cls", "n", "t"), "tokens")
+            yield pa.RecordBatch.from_arrays([pa.array(keys[hit].view(np.int64)), batch.column("doc_id").take(rows)], ["token", "gid"])
+
+    def mixed(lists: DataFrame, state: DataFrame) -> DataFrame:
+        """The lists that hold two labels or more, one of each set of classes."""
+        lists = lists.join(state.select("cls", "label").distinct(), "cls")
+        sums = [F.bit_xor(F.xxhash64("cls", F.lit(s))).alias(f"x{s}") for s in (1, 2)]
+        found = lists.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"), *sums)
+        found = found.where("lo < hi").groupBy("size", "x1", "x2").agg(F.min("token").alias("token"))
+        return materialize(lists.join(found.select("token"), "token", "left_semi").select("token", "cls", "label"), "lists")
+
+    def facing(state: DataFrame) -> DataFrame:
+        """The other side of a pair: y, its label and size, and its bitmap in the columns k.."""
+        return state.select(F.col("cls").alias("y"), F.col("label").alias("ly"), F.col("n").alias("ny"), *[F.col(m).alias(f"k{i}") for i, m in enumerate(BITMAP)])
+
+    wide = ["cls", "n", *BITMAP]
+
+    def partners(lists: DataFrame, state: DataFrame, salt: int) -> DataFrame:
+        """For each class the one of the smallest label among those picked in its lists that may link."""
+        order = F.xxhash64("cls", F.lit(salt))
+        picked = lists.groupBy("token", F.pmod(order, F.lit(picks)).alias("bucket")).agg(F.min_by("cls", order).alias("y")).select("token", "y")
+        met = lists.join(state.select(*wide), "cls").join(picked.join(facing(state), "y"), "token").where((F.col("label") != F.col("ly")) & near(percent, "n", "ny"))
+        return met.groupBy(F.col("cls").alias("a")).agg(F.min_by("y", "ly").alias("b"))
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,44 +161,43 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], ["cls", "s"])
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs that link. Those that share too few prefix tokens for their sizes can't; the
-        whole sets of the others are compared."""
-        of = lambda df, c: df.select(*[F.col(x).alias(c if x == "cls" else f"{x}{c}") for x in df.columns])
-        both = pairs.join(of(tokens, "a"), "a").join(of(tokens, "b"), "b")
-        overlap = F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent) - 1e-9)
-        slack = F.least(*[overlap - F.ceil(F.col(n) * percent / 100 - 1e-9) + 1 for n in ("na", "nb")])
-        likely = materialize(both.where(F.size(F.array_intersect("ta", "tb")) >= slack).select("a", "b").distinct(), "likely")
-        ids = materialize(likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+        """The pairs whose whole sets are similar enough."""
+        pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "pairs")
+        ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
         if ids.count() <= BROADCAST_IDS:
             ids = F.broadcast(ids)
         sets = materialize(named.join(ids, "doc_id", "left_semi").mapInArrow(sets_of, "cls long, s array<long>").where(F.size("s") > 0), "sets")
-        both = likely.join(of(sets, "a"), "a").join(of(sets, "b"), "b").withColumn("i", F.size(F.array_intersect("sa", "sb")))
+        of = lambda c: sets.select(F.col("cls").alias(c), F.col("s").alias(f"s{c}"))
+        both = pairs.join(of("a"), "a").join(of("b"), "b").withColumn("i", F.size(F.array_intersect("sa", "sb")))
         return both.where(F.col("i") * 100 >= (F.size("sa") + F.size("sb") - F.col("i")) * percent).select("a", "b")
 
-    by_class = posts.drop("label").withColumnRenamed("cls", "gid").join(members.select("gid", "cls"), "gid").select("token", "cls", "n")
-    alike = members.where("size > 1").select(F.xxhash64(F.lit("group"), "g", "n").alias("token"), "cls", "n")
-    by_class = by_class.unionAll(alike)
-
-    def labelled(links: DataFrame) -> DataFrame:
-        found = components(links)
-        return by_class.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-
-    lists, links, salt = posts, None, 0
-    for n in picks:
-        pairs = picked_pairs(lists, list(range(salt, salt + n)))
-        found = verified(pairs.unionAll(inner) if links is None else pairs)
-        links = materialize(found if links is None else links.unionAll(found), "links")
-        lists, salt = labelled(links), salt + n
-        lists = materialize(lists.join(mixed(lists, [0]).select("token"), "token", "left_semi"), "lists")
-    main = lists.groupBy("token", "label").count().groupBy("token").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
-    minor = lists.join(main, "token").where("label <> main").select("token", F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("label").alias("lx"))
-    rest = lists.join(minor, "token").where((F.col("label") != F.col("lx")) & fits("n", "nx"))
-    rest = materialize(rest.select(F.least("cls", "x").alias("a"), F.greatest("cls", "x").alias("b")).distinct(), "rest")
-    found = components(links.unionAll(verified(rest)))
+    def joined(links: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The links with those found, and the classes labelled by their components."""
+        links = materialize(links.unionAll(found), "links")
+        labels = components(links).withColumnRenamed("node", "cls")
+        return links, materialize(members.drop("label").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls")), "labelled")
+
+    # groups: their heads meet each other, their members the head
+    lists = materialize(firsts.mapInArrow(post, "token long, gid long"), "posts")
+    own = members.where("cls <> gid").join(facing(members.where("cls = gid")).withColumnRenamed("y", "gid"), "gid").where(near(percent, "n", "ny")).select(F.col("gid").alias("a"), F.col("cls").alias("b"))
+    first = members.where("cls = gid")
+    pairs = partners(mixed(lists.withColumnRenamed("gid", "cls"), first), first, 0).unionAll(own)
+    links, state = joined(spark.createDataFrame([], "a long, b long"), verified(pairs))
+    # classes: each member stands in its group's lists, and groups of several are lists of their own
+    lists = lists.join(members.select("gid", "cls"), "gid").select("token", "cls")
+    lists = lists.unionAll(members.where("size > 1").select(F.xxhash64(F.lit("group"), "g", "n").alias("token"), "cls"))
+    for salt in range(1, rounds):
+        lists = mixed(lists.select("token", "cls"), state)
+        links, state = joined(links, verified(partners(lists, state, salt)))
+    lists = mixed(lists.select("token", "cls"), state)
+    main = lists.groupBy("token", "label").count().groupBy("token").agg(F.max_by("label", "count").alias("main"))
+    minor = lists.join(main, "token").where("label <> main").select("token", F.col("cls").alias("y"))
+    rest = lists.join(state.select(*wide), "cls").join(minor.join(facing(state), "y"), "token").where((F.col("label") != F.col("ly")) & near(percent, "n", "ny"))
+    found = components(links.unionAll(verified(rest.select(F.col("cls").alias("a"), F.col("y").alias("b")))))
 
     light = forms.select("doc_id", "n", "s1", "s2")
     # each document to its class, each class to its component
-    edges = full.select("s1", "s2", "doc_id").join(classes, ["s1", "s2"]).select("doc_id", "cls").where("doc_id <> cls")
+    edges = full.select("s1", "s2", "doc_id").join(classes.select("s1", "s2", "cls"), ["s1", "s2"]).select("doc_id", "cls").where("doc_id <> cls")
     labels = edges.join(found.withColumnRenamed("node", "cls"), "cls", "left").select("doc_id", F.coalesce("label", "cls").alias("label"))
     labels = labels.unionAll(found.select(F.col("node").alias("doc_id"), "label")).groupBy("doc_id").agg(F.min("label").alias("label"))
     out = light.join(labels, "doc_id", "left")

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 CHUNK = 1 << 16
+#: Keys that a task holds before it adds them up.
+HELD = 500_000
 ROWS = 2
 SCHEMA = "chunk int, once binary, more binary"
 
@@ -85,7 +87,7 @@ def sketch_pass(keys_of: Callable[[pa.RecordBatch], np.ndarray], width: int, row
         for batch in batches:
             held.append(keys_of(batch))
             n += len(held[-1])
-            if n > 4_000_000:  # bounds a task's memory; a cell may then be sent twice, which merging adds
+            if n > HELD:  # bounds a task's memory; a cell may then be sent twice, which merging adds
                 yield from partition_sketch(np.concatenate(held), width, rows)
                 held, n = [], 0
         if n:
@@ -122,7 +124,7 @@ def level_pass(keys_of: Callable[[pa.RecordBatch], np.ndarray]) -> Callable[[Ite
                 counts = np.zeros((LEVEL_ROWS, LEVEL_WIDTH), np.uint32)
             held.append(keys_of(batch))
             n += len(held[-1])
-            if n > 4_000_000:
+            if n > HELD:
                 add()
                 held, n = [], 0
         if counts is not None:
