@@ -148,7 +148,7 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     def partners(lists: DataFrame, state: DataFrame, salt: int) -> DataFrame:
         """For each class the one of the smallest label among those picked in its lists that may link."""
-        order = F.xxhash64("cls", F.lit(salt))
+        order = F.xxhash64("cls", "token", F.lit(salt))  # other picks in each list
         picked = lists.groupBy("token", F.pmod(order, F.lit(picks)).alias("bucket")).agg(F.min_by("cls", order).alias("y")).select("token", "y")
         met = lists.join(state.select(*wide), "cls").join(picked.join(facing(state), "y"), "token").where((F.col("label") != F.col("ly")) & near(percent, "n", "ny"))
         return met.groupBy(F.col("cls").alias("a")).agg(F.min_by("y", "ly").alias("b"))
