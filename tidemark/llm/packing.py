@@ -3,7 +3,9 @@
 Each source is a queue of tokens: its documents one after another. A window of `length` tokens gets
 from every source its target share; what rounding leaves a source short of is its deficit, and is
 carried on to the next window. By default the target shares are the sources' shares of all tokens,
-under which every queue runs dry in the last window and nothing is padded before it.
+under which every queue runs dry in the last window and nothing is padded before it. With weights
+given, a queue that runs dry passes its quota on to the others: the windows fall into phases in
+which the same queues last, and each phase is dealt as if its tokens were all there are.
 
 Carried deficits have a closed form: after k windows a source has been given floor(k * length *
 share) tokens, and the largest source takes what keeps the windows full. So the state of the queues
@@ -22,63 +24,95 @@ it counts as padded to `length`, or to a power of two that holds it.
 
 from __future__ import annotations
 
+import os
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialize
 
-#: Words whose ids a worker remembers; then it starts anew. Documents that are tokenized together.
-CACHE = 400_000
-SLICE = 1000
+#: Words whose ids a worker remembers; then it starts anew. Bytes of text, and words, tokenized together.
+CACHE = 200_000
+SLICE = 8 << 20
+TOGETHER = 2000
+#: Bytes of dealt blocks that a task keeps.
+BLOCK_BYTES = 128 << 20
 #: Rows of (partition, source) up to which base offsets are broadcast: 24 bytes each, 12 MB.
 BROADCAST_ROWS = 500_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+#: Stands between words that are tokenized in one go.
+MARK = "\x01"
+
+
 class WordIds:
-    """Ids of texts by a public tokenizer that never joins across ASCII white space, word by word, as
-    bytes of little-endian unsigned 32-bit ids. Words that come up again are remembered; most
-    different words come up once, and those are forgotten with their batch."""
+    """Ids of texts by a public tokenizer that never joins across ASCII white space: each distinct word
+    of a slice is tokenized once, and the words' ids are put together by their numbers. Words that come
+    up again within a slice are remembered for the next ones."""
 
     def __init__(self, path: str, end_id: int) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.end = array("I", [end_id]).tobytes()
-        self.known: dict[bytes, bytes] = {}
+        self.end = end_id
+        mark = self._encode([MARK])[0]
+        self.mark = mark[0] if len(mark) == 1 else None
+        self.known: dict[str, bytes] = {}
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, as unsigned 32-bit ones: many words in one go, parted by the mark."""
+        out = []
+        for i in range(0, len(words), TOGETHER):
+            part = words[i : i + TOGETHER]
+            if self.mark is not None and not any(MARK in w for w in part):
+                ids = np.array(self._encode([f" {MARK} ".join(part)])[0], np.uint32)
+                at = np.flatnonzero(ids == self.mark)
+                if len(at) == len(part) - 1:
+                    out += [ids[x:y].tobytes() for x, y in zip([0, *(at + 1).tolist()], [*at.tolist(), len(ids)], strict=True)]
+                    continue
+            out += [np.array(ids, np.uint32).tobytes() for ids in self._encode(part)]
+        return out
 
-    def ids(self, texts: list[list[bytes]]) -> list[bytes]:
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, each with the end id; and how many each has."""
         if len(self.known) > CACHE:
             self.known.clear()
-        once: set[bytes] = set()
-        again: set[bytes] = set()
-        known = self.known
-        for t in texts:
-            new = [w for w in t if w not in known]
-            again.update(once.intersection(new))
-            once.update(new)
-        table = known
-        fresh = list(once)
-        added = []
-        for i in range(0, len(fresh), 10_000):
-            part = fresh[i : i + 10_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                table[w] = array("I", e.ids).tobytes()
-                if w not in again:
-                    added.append(w)
-        get = table.__getitem__
-        out = [b"".join(map(get, t)) + self.end for t in texts]
-        for w in added:
-            del table[w]
-        return out
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
+        bounds = lists.offsets.to_numpy().astype(np.int64)
+        coded = lists.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
+        which = coded.indices.to_numpy()
+        words = coded.dictionary.to_pylist()
+        found = list(map(self.known.get, words))
+        new = [i for i, x in enumerate(found) if x is None]
+        again = np.bincount(which, minlength=len(words)) > 1
+        for i, x in zip(new, self._words([words[i] for i in new]), strict=True):
+            found[i] = x
+            if again[i]:
+                self.known[words[i]] = x
+        flat = np.frombuffer(b"".join(found), np.uint32)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(sizes) - sizes
+        own = sizes[which]
+        before = np.r_[0, np.cumsum(own)]
+        tokens = flat[np.repeat(starts[which] - before[:-1], own) + np.arange(before[-1])]
+        counts = np.diff(before[bounds - bounds[0]]) + 1
+        out = np.full(len(tokens) + len(counts), self.end, np.uint32)
+        inner = np.ones(len(out), bool)
+        inner[np.cumsum(counts) - 1] = False
+        out[inner] = tokens
+        return out, counts
 
 
 @cache
@@ -87,19 +121,30 @@ def word_ids(path: str, end_id: int) -> WordIds:
     return WordIds(path, end_id)
 
 
+def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about SLICE bytes of text each."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64))
+    lo = 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + SLICE, side="right")))
+        yield lo, hi
+        lo = hi
+
+
 def _tokenize(path: str, end_id: int):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, unit, at = word_ids(path, end_id), TaskContext.get().partitionId(), {}
         for batch in batches:
-            for lo in range(0, batch.num_rows, SLICE):
-                part = batch.slice(lo, SLICE)
-                ids = coder.ids([(t or "").encode().split() for t in part.column("text").to_pylist()])
-                counts = [len(x) // 4 for x in ids]
+            for lo, hi in slices(batch.column("text")):
+                part = batch.slice(lo, hi - lo)
+                ids, counts = coder.ids(part.column("text"))
                 offsets = []
-                for skey, n in zip(part.column("skey").to_pylist(), counts, strict=True):
+                for skey, n in zip(part.column("skey").to_pylist(), counts.tolist(), strict=True):
                     offsets.append(at.get(skey, 0))
                     at[skey] = offsets[-1] + n
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("skey"), pa.array([unit] * len(ids), pa.int32()), pa.array(offsets, pa.int64()), pa.array(counts, pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "skey", "unit", "inner", "n", "ids"])
+                edges = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32) * 4, pa.int32())
+                binary = pa.Array.from_buffers(pa.binary(), len(counts), [None, edges.buffers()[1], pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("skey"), pa.array([unit] * len(counts), pa.int32()), pa.array(offsets, pa.int64()), pa.array(counts), binary], ["doc_id", "skey", "unit", "inner", "n", "ids"])
 
     return run
 
@@ -118,7 +163,7 @@ class Dealer:
         self.n_blocks = max(1, self.all // (k * length))  # the last takes the rest
         self.small = self.all * self.all < 2**62
         self._t = np.array(totals, np.int64 if self.small else object)
-        self.block = lru_cache(256)(self._block)
+        self.block = lru_cache(max(64, BLOCK_BYTES // (16 * self.k * max(1, len(totals)))))(self._block)
 
     def given(self, g: int) -> np.ndarray:
         """Tokens that each source has given before block g."""
@@ -204,7 +249,67 @@ class Dealer:
         return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-def cut_queue(dealer: Dealer, s: int, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+def phases(totals: list[int], weights: list[float], length: int) -> list[list[int]]:
+    """How many tokens each source gives while the same queues last, phase by phase: whole windows in
+    proportion to the weights. Where a queue runs dry within a window it gives what it has left and
+    the others fill up. Sources without a weight, and what doesn't fill a window, come last."""
+    left, out = list(totals), []
+    while True:
+        live = [s for s, w in enumerate(weights) if w > 0 and left[s] > 0]
+        room = sum(left[s] for s in live) // length * length
+        if not room:
+            break
+        # tokens until the first queue runs dry, in whole windows, one at least
+        total = sum(weights[s] for s in live)
+        size = min(room, max(length, int(min(left[s] / weights[s] for s in live) * total) // length * length))
+        give, need, filling = [0] * len(left), size, live
+        while filling:  # those that have less than their share give all
+            total = sum(weights[s] for s in filling)
+            short = [s for s in filling if left[s] <= need * weights[s] / total]
+            if not short:
+                break
+            for s in short:
+                give[s] = left[s]
+                need -= left[s]
+            filling = [s for s in filling if s not in short]
+        done, so_far, total = 0, 0.0, sum(weights[s] for s in filling)
+        for s in filling:
+            so_far += weights[s]
+            upto = need if s == filling[-1] else int(need * so_far / total)
+            give[s], done = upto - done, upto
+        over = 0  # rounding may ask for a token that a source lacks
+        for s in live:
+            over, give[s] = over + max(0, give[s] - left[s]), min(give[s], left[s])
+        for s in live:
+            more = min(over, left[s] - give[s])
+            give[s], over = give[s] + more, over - more
+        out.append(give)
+        left = [a - b for a, b in zip(left, give, strict=True)]
+    return [*out, left] if any(left) or not out else out
+
+
+class Mixture:
+    """The windows of all phases, each dealt by the shares of its tokens."""
+
+    def __init__(self, totals: list[int], length: int, weights: list[float] | None = None) -> None:
+        self.parts, window, start = [], 0, [0] * len(totals)
+        for give in [totals] if weights is None else phases(totals, weights, length):
+            dealer = Dealer(give, length)
+            self.parts.append((dealer, window, start))
+            window, start = window + dealer.n_windows, [a + b for a, b in zip(start, give, strict=True)]
+
+    def table(self, s: int, a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As of a Dealer, over all phases."""
+        found = []
+        for dealer, window, start in self.parts:
+            lo, hi = max(a, start[s]), min(b, start[s] + dealer.totals[s])
+            if lo < hi:
+                w, before, after, offset = dealer.table(s, lo - start[s], hi - start[s])
+                found.append((w + window, before + start[s], after + start[s], offset))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def cut_queue(dealer: Dealer | Mixture, s: int, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
     """Cut documents of source s, in order of their start in its queue: for each piece the document's
     index, its start in the document, its length, the window and the offset there."""
     ends = starts + sizes
@@ -220,11 +325,11 @@ def cut_queue(dealer: Dealer, s: int, starts: np.ndarray, sizes: np.ndarray) ->
     return doc, a - starts[doc], e - a, window[w], offset[w] + a - before[w]
 
 
-def _cut(sources: list[str], totals: list[int], length: int):  # noqa: ANN202
+def _cut(sources: list[str], totals: list[int], length: int, weights: list[float] | None):  # noqa: ANN202
     index = {k: i for i, k in enumerate(sources)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dealer = Dealer(totals, length)
+        dealer = Mixture(totals, length, weights)
         for batch in batches:
             doc_ids, start, n = (np.array(batch.column(c).to_pylist(), object if c == "doc_id" else np.int64) for c in ("doc_id", "start", "n"))
             views = [memoryview(x) for x in batch.column("ids").to_pylist()]
@@ -244,15 +349,18 @@ def _cut(sources: list[str], totals: list[int], length: int):  # noqa: ANN202
     return run
 
 
-def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", end_id: int = 1, length: int = 2048, max_sources: int = 100_000) -> DataFrame:
+def source_key(name: str | None) -> str:
+    return "-" if name is None else f"+{name}"
+
+
+def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", end_id: int = 1, length: int = 2048, weights: dict[str | None, float] | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    max_sources bounds what the driver holds of the sources (a name and a count each); with more
-    of them, sources are joined into that many queues by a hash of their name."""
+    weights: target token proportions by source (None: those of a null source); sources that it lacks
+    come after the others. Without weights the targets are the sources' shares of all tokens. The
+    driver and each task hold a name and a count for each source."""
     skey = F.when(F.col(source_col).isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col(source_col).cast("string")))
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), skey.alias("skey"))
-    if base.select(F.approx_count_distinct("skey")).first()[0] > 0.9 * max_sources:
-        base = base.withColumn("skey", F.pmod(F.xxhash64("skey"), F.lit(max_sources // 2)).cast("string"))
     ids = materialize(base.mapInArrow(_tokenize(tokenizer_path, end_id), "doc_id long, skey string, unit int, inner long, n long, ids binary"), "ids")
     units = materialize(ids.groupBy("unit", "skey").agg(F.sum("n").alias("words")), "units")
     queues = units.groupBy("skey").agg(F.sum("words").alias("words")).orderBy("skey").collect()
@@ -260,4 +368,6 @@ def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_c
     if units.count() <= BROADCAST_ROWS:
         bases = F.broadcast(bases)
     placed = ids.join(bases, ["unit", "skey"]).select("doc_id", "skey", (F.col("inner") + F.col("base")).alias("start"), "n", "ids")
-    return placed.mapInArrow(_cut([q["skey"] for q in queues], [q["words"] for q in queues], length), PIECES)
+    by_key = None if weights is None else {source_key(k): float(w) for k, w in weights.items()}
+    shares = None if by_key is None else [by_key.get(q["skey"], 0.0) for q in queues]
+    return placed.mapInArrow(_cut([q["skey"] for q in queues], [q["words"] for q in queues], length, shares), PIECES)
