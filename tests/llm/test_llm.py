@@ -102,6 +102,53 @@ def test_ngram_join(docs, rows):
     assert ngram_join.keep_one(docs, found).count() == len({root(i) for i in sets})
 
 
+def test_family_of_near_copies(spark, monkeypatch):
+    """Pairs that are verified stay in proportion to a family's size; its components equal brute force."""
+    r = random.Random(8)
+    base, rows = [f"w{i}" for i in range(100)], []
+    for i in range(2000):
+        copy = list(base)
+        for _ in range(r.randint(0, 4)):
+            copy[r.randrange(100)] = f"x{r.randrange(10**6)}"
+        rows.append((i, " ".join(copy)))
+    pairs, write = [], ngram_join.materialize
+
+    def counted(df, name):
+        out = write(df, name)
+        if name == "pairs":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "materialize", counted)
+    got = {x.doc_id: x.component_id for x in ngram_join.link_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = [{tuple(t.split()[j : j + 4]) for j in range(97)} for _, t in rows]
+    label = list(range(len(rows)))
+
+    def root(v):
+        while label[v] != v:
+            v = label[v]
+        return v
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if root(a) != root(b) and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                x, y = root(a), root(b)
+                label[max(x, y)] = min(x, y)
+    assert got == {i: root(i) for i in range(len(rows))} and sum(pairs) <= 6 * len(rows)
+
+
+def test_repeated_ids_and_long_texts(spark):
+    long = " ".join(f"w{i}" for i in range(30_000))
+    rows = [(1, long), (2, long + " end"), (3, "a b c d e f"), (3, "p q r s t"), (4, "p q r s t"), (5, "a b c d e f"), (None, long)]
+    got = sorted((x.doc_id, x.component_id) for x in ngram_join.link_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect() if x.doc_id)
+    assert got == [(1, 1), (2, 1), (3, 3), (3, 3), (4, 3), (5, 3)]
+    out = {x.doc_id: x.n_removed for x in substring_dedup.dedup_substrings(spark.createDataFrame(rows[:2], "doc_id long, text string")).collect()}
+    assert out == {1: 0, 2: 30_000}
+    pii_rows = [(1, long + " mail a.b@c.example"), (2, None)]
+    assert "a.b@c" not in pii.replace_pii(spark.createDataFrame(pii_rows, "doc_id long, text string"), "k").where("doc_id = 1").first().text
+    assert {x.n_words for x in quality.statistics(spark.createDataFrame(rows[:2], "doc_id long, text string")).collect()} == {30_000, 30_001}
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
     got = {r.node: r.label for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
@@ -144,6 +191,41 @@ def test_dealer_with_very_many_sources():
     assert sum(sum(m for _, m in v) == 512 for v in windows.values()) >= len(windows) - 1
 
 
+def test_mixture_keeps_to_weights(spark):
+    rows = [(i, " ".join(["of"] * 99), "a" if i % 4 else None, "x") for i in range(400)]
+    df = spark.createDataFrame(rows, DOC)
+    got = packing.pack(df, public_tokenizers.path("word_bpe_49k.json"), length=200, weights={"a": 1, None: 1}).collect()
+    per = collections.defaultdict(lambda: collections.Counter())
+    for r in got:
+        per[r.sequence_id]["a" if r.doc_id % 4 else None] += r.length
+    # half of each window from either, until the 100 documents without a source are used up: 100 windows
+    order = sorted(per)
+    assert order == list(range(len(order))) and all(per[w]["a"] == per[w][None] == 100 for w in order[:100])
+    assert all(per[w] == {"a": 200} for w in order[100:]) and sum(sum(c.values()) for c in per.values()) == 40_000
+
+
+def test_phases():
+    r = random.Random(2)
+    for _ in range(200):
+        n = r.randint(1, 6)
+        totals, weights, length = [r.randint(0, 900) for _ in range(n)], [r.choice([0, 1, 2, 5.5]) for _ in range(n)], r.choice([1, 7, 64])
+        found = packing.phases(totals, weights, length)
+        assert [sum(x) for x in zip(*found, strict=True)] == totals
+        assert all(sum(p) % length == 0 and min(p) >= 0 for p in found[:-1])
+
+
+def test_words_are_tokenized_as_whole_texts(rows):
+    import pyarrow as pa
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [t for _, t, *_ in rows] + ["a\x01b \x01 c", "naïve café — don't 12,5 %\u00a0x", "<|endoftext|> x", "e\u0301 \u0301", " lead  and\tend\n", "漢字 かな", "w" * 3000, "many words " * 20_000]
+    coder = packing.WordIds(path, 1)
+    for _ in range(2):  # the second time words are remembered
+        ids, counts = coder.ids(pa.array(texts, pa.string()))
+        want = [[*e.ids, 1] for e in coder.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+        assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 def test_embeddings(spark):
     r = np.random.default_rng(3)
     base = r.normal(size=(40, 8))
@@ -225,13 +307,28 @@ def test_pii_secrets_names_and_phones(spark):
     assert own[0] == own[1] == own[2] != own[3] and not {"Smith", "Jones"} & set(own)
 
 
-def test_colliding_surrogates_are_replaced(spark, monkeypatch):
-    real = pii.digest
-    monkeypatch.setattr(pii, "digest", lambda key, kind, canon, attempt: F.when(attempt == 0, F.lit("0" * 128)).otherwise(real(key, kind, canon, attempt)))
-    df = spark.createDataFrame([(1, "10.20.30.40 and 11.21.31.41"), (2, "11.21.31.41")], "doc_id long, text string")
-    got = {r.doc_id: r.text for r in pii.replace_pii(df, "k").collect()}
-    a, b = got[1].split(" and ")
-    assert a != b and got[2] == b
+def test_surrogates_are_a_permutation(spark):
+    # all addresses of one-digit parts: as many surrogates, none its own
+    ips = spark.range(10_000).selectExpr("id", "concat_ws('.', id div 1000, (id div 100) % 10, (id div 10) % 10, id % 10) AS text")
+    got = pii.replace_pii(ips, "k").collect()
+    assert {r.text for r in got} == {r.text for r in ips.collect()}
+    assert not [1 for r, o in zip(sorted(got), sorted(ips.collect()), strict=True) if r.text == o.text]
+    names = [f"Mr {a}{b}a" for a in "BCDFG" for b in "aeiou"] + ["mail a@b.c", "mail b@b.c", "4111-1111-1111-1111", "4111 1111 1111 1112"]
+    df = spark.createDataFrame(list(enumerate(names)), "doc_id long, text string")
+    assert pii.collisions(df, "k").count() == 0 and pii.replace_pii(df, "k").select("text").distinct().count() == len(names)
+
+
+def test_one_person_one_surrogate(spark):
+    text = "Frau Anna Smith wrote. Later Anna Smith came; Smith left, Anna stayed. Dr. Anna Smith (987) 555-2485 or +1 (987) 555-2485, version 1.2.3.4, 2001:db8::1, password=hunter2secret."
+    new = pii.replace_pii(spark.createDataFrame([(1, text)], "hits long, text string").withColumn("pattern", F.lit("own")), "k")
+    assert new.columns == ["hits", "text", "pattern"]
+    row = new.first()
+    assert (row.hits, row.pattern) == (1, "own")
+    anna, smith = re.match(r"Frau (\w+) (\w+) wrote", row.text).groups()
+    assert f"Later {anna} {smith} came; {smith} left, {anna} stayed. Dr. {anna} {smith} (" in row.text and anna.endswith("a")
+    phones = re.findall(r"\((\d{3})\) (\d{3}-\d{4})", row.text)
+    assert len(phones) == 2 and phones[0] == phones[1] and "version 1.2.3.4" in row.text
+    assert not [x for x in ("Anna", "Smith", "555-2485", "2001:db8", "hunter2") if x in row.text]
 
 
 def test_quality(spark, docs, rows):
@@ -288,12 +385,35 @@ def test_html_names_and_attributes():
     assert html_extract.Page(f"<body><div class=post data-class='x'>{story}</div></body>").best().path == "/body/div.post"
 
 
+def test_html_names_that_may_be_topics():
+    text = lambda page: html_extract.Page(page).text(None)
+    story = "<p>" + "a long story of many words about a thing " * 8
+    one = "how the engines find what they are asked for " * 5
+    head = text(f"<body><div class=post><div class='post-header'><h1>Title of it</h1></div>{story}<div class='text-search-engines'><p>{one}</div></div></body>")
+    assert head.startswith("Title of it\n") and head.endswith(one.strip())
+    left = text(f"<body><div class=post>{story}<div class='box-search'><p>find it</div><div class='post-related'><p>{one}</div><div class='share-buttons'><a href=x>{one}</a></div></div></body>")
+    assert "find it" not in left and one.strip() not in left
+    assert text("<body><div class='text-search-engines'><p>engines</p></div></body>") == "engines"
+
+
+def test_toxicity_learns_from_its_folds_only():
+    feats = [np.array([i % 5, 7 + i % 3]) for i in range(60)]
+    toxic = np.array([float(i % 5 == 0) for i in range(60)])
+    assert toxicity.strong(feats, toxic).sum() == 0
+    assert toxicity.strong([np.r_[f, 100 + f[0]] for f in feats], toxic).sum() == toxic.sum()
+    # a probability, not its log-odds, goes on to the next model
+    scorer = toxicity.Scorer({"places": [3], "weights": [2.0], "dense": [4.0, -1.0]})
+    assert scorer.probability([3], [0.5]) == pytest.approx(1 / (1 + np.exp(-3.0)), abs=1e-6)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], DOC)
     assert mixing.plan_mix(none).count() == 0 and substring_dedup.dedup_substrings(none).count() == 0
     assert ngram_join.link_documents(none).count() == 0 and pii.replace_pii(none, "k").count() == 0
     assert packing.pack(none, public_tokenizers.path("word_bpe_49k.json")).count() == 0 and quality.statistics(none).count() == 0
     assert embedding_dedup.link_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+    assert toxicity.train_chain(none, spark.createDataFrame([], "doc_id long, toxic int")) is None and toxicity.score(none, None).count() == 0
+    assert sharding.assign(none, limit=100).count() == 0 and html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
 def test_sharding(spark, docs, rows):

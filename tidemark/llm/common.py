@@ -23,8 +23,9 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder that the cluster names in spark.checkpoint.dir."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="checkpoints-")
-        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

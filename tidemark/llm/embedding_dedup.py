@@ -3,10 +3,12 @@
 A bounded, documented sample of the vectors serves as reference points (pivots). Every vector is
 described by its `depth` nearest pivots in order of nearness. Inverted lists hold, for each label
 and pivot, the vectors that describe themselves by it. Two vectors of a list are candidates if they
-share at least `shared` pivots; candidates are verified by cosine in double precision. A pair is
-verified in the list of its first shared pivot only.
+share at least `shared` pivots; candidates, and no others, are verified by cosine in double precision.
+A pair is verified in the list of its first shared pivot only.
 
-The number of pivots follows the number of vectors, so that lists stay about as long at any size. A
+The number of pivots follows the number of vectors up to MOST_PIVOTS, so that lists stay about as long
+up to 131,072 vectors; beyond, they grow with the table, and the comparisons with its square over the
+number of pivots (raise `most_pivots` there: it is what each task holds). A
 list is cut into blocks, and pairs of blocks are compared by matrix products, so no task holds a
 whole list; a list that a third of all vectors falls in is only more block pairs. Blocks send back
 counts of links and a spanning forest of them, not the pairs.
@@ -14,7 +16,7 @@ counts of links and a spanning forest of them, not the pairs.
 Equal vectors of a label are one vector with a count, so thousands of copies cost as much as one.
 
 Vectors that are null, empty or zero, or that hold null or non-finite components, link with nothing,
-as do those with a null label or id. Vectors of different lengths never link. Rows that share an id
+as do those with a null label or id; of a null id component_id is null and kept true. Vectors of different lengths never link. Rows that share an id
 are one node; its n_links counts those of its rows. An empty table gives no rows.
 """
 
@@ -63,19 +65,36 @@ def spanning(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
     return x, y
 
 
+def _bits(pivots: np.ndarray) -> np.ndarray:
+    """A bitmap of the pivots of each row, in words of 64."""
+    out = np.zeros((len(pivots), (max(int(pivots.max(initial=0)), 0) >> 6) + 1), np.uint64)
+    for column in pivots.T:
+        at = np.flatnonzero(column >= 0)
+        out[at, column[at] >> 6] |= np.uint64(1) << (column[at] & 63).astype(np.uint64)
+    return out
+
+
 def _block_pair(x: pd.DataFrame, y: pd.DataFrame, pivot: int, same: bool, least: float, shared: int) -> pd.DataFrame:
-    ux, uy = _unit(list(x["v"])), _unit(list(y["v"]))
     px, py = np.stack(list(x["pivots"])), np.stack(list(y["pivots"]))
-    common, lowest = np.zeros((len(px), len(py)), np.int16), np.ones((len(px), len(py)), bool)
-    for i in range(px.shape[1]):
-        # -1 pads rows that have fewer pivots: it is none that two rows could share
-        hit = (py[None, :, :] == px[:, i, None, None]).any(axis=2) & (px[:, i, None] >= 0)
-        common += hit
-        lowest &= ~(hit & (px[:, i, None] < pivot))
-    near = (ux @ uy.T >= least) & (common >= shared) & lowest
+    # shared pivots are counted on bitmaps of each row's pivots (-1 pads rows that have fewer: no bit)
+    bx, by = _bits(px), _bits(py)
+    common, lower = np.zeros((len(px), len(py)), np.uint8), np.zeros((len(px), len(py)), bool)
+    for word in range(max(bx.shape[1], by.shape[1])):
+        if word < min(bx.shape[1], by.shape[1]) and bx[:, word].any() and by[:, word].any():
+            both = bx[:, word, None] & by[None, :, word]
+            common += np.bitwise_count(both)
+            if word <= pivot >> 6:
+                lower |= (both if word < pivot >> 6 else both & np.uint64((1 << (pivot & 63)) - 1)) > 0
+    have = lambda p: np.minimum((p >= 0).sum(axis=1), shared)  # noqa: E731  of vectors with fewer pivots all have to be shared
+    near = (common >= np.minimum(have(px)[:, None], have(py)[None, :])) & ~lower
     if same:
         near = np.triu(near, 1)
-    i, j = np.nonzero(near)
+    # candidates alone are verified
+    rows, cols = near.any(axis=1), near.any(axis=0)
+    dots = np.zeros(near.shape)
+    if rows.any():
+        dots[np.ix_(rows, cols)] = _unit([v for v, r in zip(x["v"], rows, strict=True) if r]) @ _unit([v for v, c in zip(y["v"], cols, strict=True) if c]).T
+    i, j = np.nonzero(near & (dots >= least))
     xi, yi, wx, wy = x["vec_id"].to_numpy(), y["vec_id"].to_numpy(), x["copies"].to_numpy(), y["copies"].to_numpy()
     n = pd.concat([pd.Series(wy[j]).groupby(xi[i]).sum(), pd.Series(wx[i]).groupby(yi[j]).sum()])
     n = n.groupby(level=0).sum()
@@ -83,7 +102,7 @@ def _block_pair(x: pd.DataFrame, y: pd.DataFrame, pivot: int, same: bool, least:
     return pd.DataFrame({"a": [*n.index, *a], "b": [*([None] * len(n)), *b], "n": [*n.to_list(), *([0] * len(a))]}).astype({"a": "int64", "b": "Int64", "n": "int64"})
 
 
-def link_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", least: float = 0.93, depth: int = 8, shared: int = 1, seed: int = 5) -> DataFrame:
+def link_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", least: float = 0.93, depth: int = 8, shared: int = 2, most_pivots: int = MOST_PIVOTS, seed: int = 5) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     spark = vectors.sparkSession
     v = F.col(vector_col)
@@ -99,7 +118,7 @@ def link_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
     heads = rows.join(kinds, "key").where("vec_id = head").groupBy("key", "label", "copies", "vec_id").agg(F.first("v").alias("v"))
     heads = materialize(heads, "heads")
     total = heads.count()
-    wanted = min(MOST_PIVOTS, max(LEAST_PIVOTS, total // 64))
+    wanted = min(most_pivots, max(LEAST_PIVOTS, total // 64))
     sample = heads.orderBy(F.xxhash64("vec_id", F.lit(seed))).select("v").limit(wanted).collect()
     by_size: dict[int, np.ndarray] = {}
     for size in {len(r["v"]) for r in sample}:
@@ -146,4 +165,4 @@ def link_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
     own = own.dropDuplicates(["vec_id", "key"]).groupBy("vec_id").agg(F.sum("n_links").alias("n_links"), F.min("label").alias("component_id"))
     out = base.select("vec_id").join(own, "vec_id", "left")
     component = F.coalesce("component_id", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))

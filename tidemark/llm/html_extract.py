@@ -12,7 +12,9 @@
 Tags and roles that are not the article (nav, footer and the like) are left out, and so are containers
 whose class or id is a word for such, as sidebar. Where it is only a part of a longer name, as in
 site-footer or post-related, the container is left out if it holds less than half of the page's text;
-names as has-sidebar or no-header tell nothing. If nothing is left, names of classes don't count.
+if the part may as well be a topic, as in text-search-engines, only if most of its text is links or
+it is short. Names as has-sidebar, no-header or post-header (the head of the article itself) tell
+nothing. If nothing is left, names of classes don't count.
 
 A block's white space becomes one space; blocks are joined by a newline in page order. A null or empty
 page has an empty text; a cut-off page is read as far as it goes. A null or odd url belongs to the host
@@ -50,11 +52,17 @@ ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search aler
 #: First parts of names that tell of a state, not of what the container is.
 STATE_WORDS = frozenset("has have no not with without is hide hidden show shows".split())
 CONTENT_WORDS = frozenset("article content post entry story main body text".split())
+#: Words that name the head of an article where a content word stands by them, and words
+#: that may be a topic, with the characters below which a container of such a name is left out.
+HEAD_WORDS = frozenset("header masthead".split())
+TOPIC_WORDS = frozenset("search menu login signup social share sharing promo widget ad ads banner modal".split())
+SHORT = 120
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"'>]+)))?")
-#: How far a class or id tells that a container is not the article: not at all, in part of a name, in a whole one.
-PLAIN, PARTLY, WHOLLY = range(3)
+#: How far a class or id tells that a container is not the article: not at all, in part of a name that
+#: may be a topic, in part of a name, in a whole one.
+PLAIN, MAYBE, PARTLY, WHOLLY = range(4)
 
 
 @dataclass
@@ -66,6 +74,7 @@ class Node:
     mark: int = PLAIN
     weight: float = 1.0
     held: int = 0
+    held_links: int = 0
     chars: int = 0
     link_chars: int = 0
     blocks: list[str] = field(default_factory=list)
@@ -86,8 +95,11 @@ def _mark(tokens: list[str]) -> int:
         parts = re.split(r"[^a-z#]+", t)
         if t in ASIDE_WORDS:
             return WHOLLY
-        if parts[0] not in STATE_WORDS and not ASIDE_WORDS.isdisjoint(parts):
-            mark = PARTLY
+        told = ASIDE_WORDS.intersection(parts)
+        if not CONTENT_WORDS.isdisjoint(parts):
+            told -= HEAD_WORDS
+        if told and parts[0] not in STATE_WORDS:
+            mark = max(mark, MAYBE if told <= TOPIC_WORDS else PARTLY)
     return mark
 
 
@@ -121,13 +133,15 @@ class Page:
 
     def _credit(self) -> None:
         """Credit each block to all containers that it lies in, unless one of them isn't the article."""
-        for at, text, _ in self.found:
+        for at, text, linked in self.found:
             above = list(_above(at))
             if not any(n.mark == WHOLLY for n in above):
                 for n in above:
                     n.held += len(text)
+                    n.held_links += linked
         least = self.root.held / 2
-        told = lambda n: n.mark == WHOLLY or (n.mark == PARTLY and n.held < least)
+        thin = lambda n: n.held < SHORT or n.held_links > n.held / 2
+        told = lambda n: n.mark == WHOLLY or (n.mark and n.held < least and (n.mark == PARTLY or thin(n)))
         chosen = [x for x in self.found if not any(map(told, _above(x[0])))]
         # where that leaves nothing the names of classes don't count
         for at, text, linked in chosen or self.found:

@@ -1,17 +1,21 @@
 """PII surrogates, with DataFrame functions only.
 
-Entities are found by patterns: mail addresses, secrets (access keys, hex tokens), IBANs, IPv4
-addresses, social security numbers, payment cards, phone numbers, and names after a title. Each is
-replaced by a surrogate of the same type and format, made from a keyed digest of its canonical form:
-letters become letters of the same case and script, digits digits; network and country prefixes,
-top-level domains and separators stay; cards and IBANs keep valid check digits; a name keeps its title,
-and its given name gets an ending of the gender that the title tells.
-
-The same entity gets the same surrogate everywhere, whatever its spelling, and a name's words do so one
-by one (coreference). Different entities keep different surrogates, and no surrogate is an entity
-of the corpus: all entities are gathered, and those whose surrogates collide get others, until none
-do. Only such exceptions have to be joined to the texts; by a broadcast up to EXCEPTIONS of them,
-which is checked, else by a hash of the text.
+Entities are found by patterns: mail addresses, secrets (access keys, hex tokens, values after
+password= and the like), IBANs, IPv4 and IPv6 addresses, social security numbers, payment cards, phone
+numbers, and names after a title or a salutation; words of such a name are found in all of its text.
+
+Each is replaced by a surrogate of the same type and format. The surrogate is a keyed permutation of all
+entities of that format: a Feistel network over the characters, each of which stays within its class
+(digit, case, script; in names vowel or consonant). Network and country prefixes, top-level domains,
+separators and titles stay; cards and IBANs whose check digits hold get check digits that hold; a
+name's word that ends in a vowel keeps it, as that tells the gender.
+
+Different entities therefore have different surrogates by construction, however many the corpus holds,
+without a pass over it; and no entity is its own surrogate, since the permutation is one without fixed
+points. `collisions` checks it on a table. The same entity gets the same surrogate everywhere, whatever its spelling: a
+phone number with and without its country code, a card with and without spaces, a name with another
+title or without, each word of a name by itself (coreference). A surrogate may equal some other
+entity's original. Characters outside the scripts in POOLS stay.
 
 A null text stays null, an empty one empty; repeated rows get the same text. Texts are handled whole.
 All other columns are kept; n_chars, where there is one, is counted anew for changed texts.
@@ -19,39 +23,47 @@ All other columns are kept; n_chars, where there is one, is counted anew for cha
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from collections.abc import Callable
 
-from tidemark.llm.common import materialize
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 _L = r"\p{L}\p{N}"
-_TITLE = "Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sra?|Господин|Госпожа|Κύριος|Κυρία"
+_TITLE = "Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sra?|Господин|Госпожа|Κύριος|Κυρία"
+#: Salutations; what follows is a name unless it is one of the words after them.
+_DEAR = r"(?:Dear|Liebe|Lieber|Cher|Chère|Querid[oa]|Estimad[oa]) (?!(?:Sirs?|Madam|Mada?me|Monsieur|All|Team|Customers?|Friends?|Kunden?|Kundin|Client|Cliente|Freunde?)(?![\p{L}]))"
 #: A word of a name (Meier-Lang, O'Brien and McDonald are one each), or an initial before another word.
 _WORD = r"(?:\p{Lu}(?:(?:-|['’])(?=\p{Lu})|[\p{L}\p{M}])++(?<=[\p{L}\p{M}])|\p{Lu}\.?(?= \p{Lu}))"
+_HEX = "[0-9A-Fa-f]{1,4}"
 #: The patterns of the entity types, tried in this order.
 PATTERNS = {
     "email": rf"(?<![{_L}._%+-])[{_L}_%+-]++(?:\.[{_L}_%+-]++)*+@[{_L}-]++(?:\.[{_L}-]++)+",
+    "login": rf"(?<![{_L}])(?i:password|passwd|pwd|api[_-]?key|secret|access[_-]?token)(?:=|: ?)[\"']?[^\s\"',;&]{{6,}}+",
     "secret": rf"(?<![{_L}])(?:AKIA[0-9A-Z]{{16}}|[0-9A-Fa-f]{{32,}}+|(?:ghp|sk|pk)_[A-Za-z0-9]{{20,}}+)(?![{_L}])",
     "iban": rf"(?<![{_L}])[A-Z]{{2}}\d{{2}}(?:[A-Z0-9]{{11,30}}|(?: [A-Z0-9]{{4}}){{3,7}}(?: [A-Z0-9]{{1,3}})?)(?![{_L}])",
-    "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\d|\.\d)",
+    "ip": r"(?<![\d.])(?<![vV])(?<![vV]ersion )(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\d|\.\d)",
+    "ip6": rf"(?<![{_L}:.])(?=[0-9A-Fa-f:]*\d)(?:(?:{_HEX}:){{7}}{_HEX}|{_HEX}(?::{_HEX}){{0,6}}::(?:{_HEX}(?::{_HEX}){{0,5}})?)(?![{_L}:])",
     "ssn": rf"(?<![{_L}-])\d{{3}}-\d{{2}}-\d{{4}}(?![\d-])",
     "card": rf"(?<![{_L}])(?:\d{{4}}[ -]\d{{4}}[ -]\d{{4}}[ -]\d{{1,7}}|\d{{4}}[ -]\d{{6}}[ -]\d{{5}}|\d{{13,19}})(?![{_L}])",
     "phone": rf"(?<![{_L}+])(?:\+\d{{1,3}}[ .-]?(?:\(\d{{1,4}}\)[ .-]?)?\d{{2,4}}(?:[ .-]\d{{2,4}}){{1,4}}|\+\d{{8,15}}|\(\d{{3}}\) ?\d{{3}}[ .-]\d{{4}}|\d{{3}}[.-]\d{{3}}[.-]\d{{4}})(?![{_L}])",
-    "name": rf"(?<![{_L}])(?:{_TITLE})\.? {_WORD}(?: (?!(?:{_TITLE})(?![{_L}])){_WORD})*(?![{_L}])",
+    "name": rf"(?<![{_L}])(?:(?:{_TITLE})\.? |{_DEAR}(?!(?:{_TITLE})(?![{_L}])))(?:(?:{_TITLE})\.? )*{_WORD}(?: (?!(?:{_TITLE})(?![{_L}])){_WORD})*(?![{_L}])",
 }
 #: Country codes of phone numbers; those not listed by their first digits have three.
 COUNTRY = r"^\+(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
-#: Titles of women; the others in the pattern are men's.
-FEMALE = r"^(?:Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Госпожа|Κυρία)\b"
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+_TITLED = r"(?:M(?:r|s|iss|me|onsieur|adame)|Dr|Prof|Herr|Frau|Señor|Sr|Госп|Κύρ|Κυρ|Dear|Liebe|Ch[eè]r|Querid|Estimad)"
 #: Holds in every text that ANY is found in: all but names and secrets need an @ or a digit.
-MAYBE = r"[@0-9]|AKIA|(?:ghp|sk|pk)_|[A-Fa-f]{32}|(?:M(?:r|s|iss|me|onsieur|adame)|Herr|Frau|Señor|Sr|Госп|Κύρ|Κυρ)"
-#: Letters by script, and the endings of given names by script and gender (men's first).
-LOWER = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
-ENDING = {"latin": ("o", "a"), "cyrillic": ("ий", "ина"), "greek": ("ος", "α")}
-VOWEL = {"latin": "aeiou", "cyrillic": "аеиоу", "greek": "αειου"}
-CONSONANT = {k: "".join(c for c in v if c not in VOWEL[k]) for k, v in LOWER.items()}
-EXCEPTIONS = 10_000
+MAYBE = rf"[@0-9]|AKIA|(?:ghp|sk|pk)_|[A-Fa-f]{{32}}|(?i:password|passwd|pwd|key|secret|token)[=:]|{_TITLED}"
+_LEAD = rf"^(?:(?:(?:{_TITLE})\.? |(?:Dear|Liebe|Lieber|Cher|Chère|Querid[oa]|Estimad[oa]) )+)?"
+#: The classes of characters, each closed under replacement; in names vowels first.
+HEX = ["0123456789", "abcdef", "ABCDEF"]
+VOWELS = ["aeiou", "àáâãäåèéêëìíîïòóôõöøùúûü", "аеёиоуыэюя", "αεηιουωάέήίόύώ"]
+SCRIPTS = ["abcdefghijklmnopqrstuvwxyz", "àáâãäåæçèéêëìíîïñòóôõöøùúûüýþ", "абвгдеёжзийклмнопрстуфхцчшщъыьэюя", "αβγδεζηθικλμνξοπρσςτυφχψωάέήίόύώ", "ابتثجحخدذرزسشصضطظعغفقكلمنهوي", "אבגדהוזחטיכלמנסעפצקרשת", "अआइईउऊएऐओऔकखगघचछजझटठडढणतथदधनपफबभमयरलवशषसह"]
+POOLS = ["0123456789", *SCRIPTS, *[p.upper() for p in SCRIPTS[:4]]]
+CONSONANTS = ["".join(c for c in p if c not in v) for p, v in zip(SCRIPTS, VOWELS, strict=False)]
+NAME_POOLS = [*VOWELS, *[v.upper() for v in VOWELS], *CONSONANTS, *[c.upper() for c in CONSONANTS], *SCRIPTS[4:]]
+_ENDINGS = "".join([*VOWELS, *[v.upper() for v in VOWELS]])
+ROUNDS = 4
 
 
 def _luhn(digits: Column) -> Column:
@@ -59,50 +71,106 @@ def _luhn(digits: Column) -> Column:
 
 
 def kind_of(hit: Column) -> Column:
-    """The type of a match of ANY; null for digits that are no card number: 15 or 16 of them are taken
-    for one with a slip, other lengths have to pass the Luhn check."""
+    """The type of a match; null for digits that are no card number: 15 or 16 of them are taken for one
+    with a slip, other lengths have to pass the Luhn check."""
     digits = F.regexp_replace(hit, r"[ -]", "")
     card = _luhn(digits) | F.length(digits).isin(15, 16)
-    out = F.when(hit.contains("@"), "email")
-    for k in ("secret", "iban", "ip", "ssn"):
+    out = F.when(hit.rlike(rf"^(?:{PATTERNS['login']})$"), "login").when(hit.contains("@"), "email")
+    for k in ("secret", "iban", "ip", "ip6", "ssn"):
         out = out.when(hit.rlike(rf"^(?:{PATTERNS[k]})$"), k)
     return out.when(hit.rlike(rf"^(?:{PATTERNS['card']})$"), F.when(card, "card")).when(hit.rlike(r"^[+(\d]"), "phone").otherwise("name")
 
 
 def canonical(hit: Column, kind: Column) -> Column:
-    """Spellings of one entity have one canonical form. A name's is that of its words, without the
-    title; a phone number keeps the + that tells that it begins with a country code."""
+    """Spellings of one entity have one canonical form. A name's is that of its words, without title; a
+    phone number's its country code, if it has one, and a blank before the rest."""
     digits = F.regexp_replace(hit, r"\D", "")
-    name = F.regexp_replace(hit, r"^[\p{L}]+\.? ", "")
-    return F.when(kind == "email", F.lower(hit)).when(kind.isin("ssn", "card"), digits).when(kind == "phone", F.regexp_replace(hit, r"[^+\d]", "")).when(kind == "iban", F.regexp_replace(hit, " ", "")).when(kind == "name", name).otherwise(hit)
-
+    plus = F.concat(F.lit("+"), digits)
+    country = F.regexp_extract(plus, COUNTRY, 1)
+    phone = F.when(hit.startswith("+"), F.concat(country, F.lit(" "), F.substring(digits, F.length(country) + 1, F.length(digits)))).otherwise(F.concat(F.lit(" "), digits))
+    out = F.when(kind.isin("email", "ip6"), F.lower(hit)).when(kind.isin("ssn", "card"), digits).when(kind == "phone", phone)
+    return out.when(kind == "iban", F.regexp_replace(hit, " ", "")).when(kind == "name", F.regexp_replace(hit, _LEAD, "")).otherwise(hit)
 
-def _byte(digest: Column, i: Column) -> Column:
-    """The i-th byte (from 0, going round) of a 512-bit hex digest."""
-    return F.conv(F.substring(digest, (F.pmod(i, F.lit(64)) * 2 + 1).cast("int"), F.lit(2)), 16, 10).cast("int")
 
-
-def _pick(pool: str | Column, n: Column, size: int) -> Column:
-    return F.substring(F.lit(pool) if isinstance(pool, str) else pool, (F.pmod(n, F.lit(size)) + 1).cast("int"), F.lit(1))
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _chars(s: Column) -> Column:
     return F.filter(F.split(s, ""), lambda c: c != "")
 
 
-def _remap(value: Column, digest: Column) -> Column:
-    """Each letter to a letter of its case and script, each digit to a digit, all else as it is."""
+def _number(digest: Column, i: Column) -> Column:
+    """The i-th 16-bit number of a hex digest, going round."""
+    return F.conv(F.substring(digest, (F.pmod(i, F.lit(32)) * 4 + 1).cast("int"), F.lit(4)), 16, 10).cast("int")
+
+
+def permuted(values: Column, sizes: Column, tag: Column) -> Column:
+    """The place of `values` in a keyed permutation of all arrays in which the i-th number is below the
+    i-th size: with F a Feistel network whose halves are the even and the odd places, and S a shift of
+    the first number that can change, F, then S, then the inverse of F. As S has no fixed point, neither
+    has the whole."""
+    ops = []
+    for r in range(ROUNDS):
+        ops += [(0, r, 0), (1, r, 1)]
+    ops += [(0, 9, 0), (2, 9, 0)]
+    for r in reversed(range(ROUNDS)):
+        ops += [(0, r, 0), (1, r, -1)]
+    steps = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(r).alias("r"), F.lit(sign).alias("sign")) for k, r, sign in ops])
+    start = F.struct(values.alias("v"), sizes.alias("m"), F.lit("").alias("d"))
+
+    def step(a: Column, op: Column) -> Column:
+        # what a round is keyed with: the half that it leaves alone, and for the shift the sizes only
+        rest = F.when(op["r"] == 9, F.array_join(a["m"], ",")).otherwise(F.array_join(F.transform(a["v"], lambda x, i: F.when(F.pmod(i, F.lit(2)) == F.pmod(op["r"], F.lit(2)), F.lit("")).otherwise(x.cast("string"))), ","))
+        digest = F.sha2(F.concat_ws("|", tag, op["r"].cast("string"), rest), 512)
+        moved = F.transform(a["v"], lambda x, i: F.when(F.pmod(i, F.lit(2)) == F.pmod(op["r"], F.lit(2)), F.pmod(x + op["sign"] * _number(a["d"], i), F.get(a["m"], i))).otherwise(x))
+        first = F.array_position(F.transform(a["m"], lambda m: m > 1), F.lit(True)).cast("int") - 1
+        shifted = F.transform(a["v"], lambda x, i: F.when(i == first, F.pmod(x + 1 + F.pmod(_number(a["d"], F.lit(0)), F.greatest(F.get(a["m"], i) - 1, F.lit(1))), F.get(a["m"], i))).otherwise(x))
+        values = F.when(op["k"] == 0, a["v"]).when(op["k"] == 1, moved).otherwise(shifted)
+        return F.struct(values.alias("v"), a["m"].alias("m"), F.when(op["k"] == 0, digest).otherwise(F.lit("")).alias("d"))
+
+    return F.aggregate(steps, start, step, lambda a: a["v"])
+
+
+#: Sets of classes that a piece of an entity may have.
+PLAIN, HEXED, NAMED, DIALLED = range(4)
+
 
-    def one(c: Column, i: Column) -> Column:
-        n = _byte(digest, i)
-        out = F.when(c.rlike("[0-9]"), _pick("0123456789", n, 10)).when(c.rlike("[a-z]"), _pick(LOWER["latin"], n, 26)).when(c.rlike("[A-Z]"), _pick(LOWER["latin"].upper(), n, 26))
-        for script in ("cyrillic", "greek"):
-            pool = LOWER[script]
-            block = rf"\p{{Is{script.capitalize()}}}"
-            out = out.when(c.rlike(rf"[{block}&&\p{{Lu}}]"), _pick(pool.upper(), n, len(pool))).when(c.rlike(block), _pick(pool, n, len(pool)))
-        return out.when(c.rlike(r"\p{Lu}"), _pick(LOWER["latin"].upper(), n, 26)).when(c.rlike(r"\p{Ll}"), _pick(LOWER["latin"], n, 26)).otherwise(c)
+def _mapped(piece: Column) -> Column:
+    """A piece (s string, k set of classes, t tag) with each character replaced by one of its class.
+    Of numbers that are dialled the first digit stays a trunk digit or none; of names the last vowel."""
+    sets = {PLAIN: POOLS, HEXED: HEX, NAMED: NAME_POOLS, DIALLED: ["0123456789"]}
 
-    return F.array_join(F.transform(_chars(value), one), "")
+    def pools(k: Column, i: Column) -> Column:
+        out = F.when((k == DIALLED) & (i == 0), F.array(F.lit("01"), F.lit("23456789")))
+        for n, of in sets.items():
+            out = out.when(k == n, F.array(*map(F.lit, of)))
+        return out
+
+    def cell(c: Column, i: Column, n: Column) -> Column:
+        own = F.get(F.filter(pools(piece["k"], i), lambda pool: pool.contains(c)), F.lit(0))
+        kept = (piece["k"] == NAMED) & (i == n - 1) & (i > 0) & F.lit(_ENDINGS).contains(c)
+        return F.struct(F.when(~kept, own).alias("p"), c.alias("c"))
+
+    def whole(cells: Column) -> Column:
+        at = F.transform(cells, lambda x: F.coalesce(F.call_function("instr", x["p"], x["c"]) - 1, F.lit(0)))
+        values = permuted(at, F.transform(cells, lambda x: F.coalesce(F.length(x["p"]), F.lit(1))), piece["t"])
+        return F.array_join(F.zip_with(cells, values, lambda x, v: F.coalesce(F.substring(x["p"], v + 1, F.lit(1)), x["c"])), "")
+
+    return _let(_let(_chars(piece["s"]), lambda cs: F.transform(cs, lambda c, i: cell(c, i, F.size(cs)))), whole)
+
+
+def _octets(value: Column, tag: Column) -> Column:
+    """An IPv4 address to one whose parts have as many digits."""
+    base = lambda o: F.when(F.length(o) == 3, 100).when(F.length(o) == 2, 10).otherwise(0)
+    size = lambda o: F.when(F.length(o) == 3, 156).when(F.length(o) == 2, 90).otherwise(10)
+
+    def whole(parts: Column) -> Column:
+        new = permuted(F.transform(parts, lambda o: o.cast("int") - base(o)), F.transform(parts, size), tag)
+        return F.array_join(F.zip_with(parts, new, lambda o, v: (base(o) + v).cast("string")), ".")
+
+    return _let(F.split(value, r"\."), whole)
 
 
 def _fill(hit: Column, symbols: Column, which: str) -> Column:
@@ -115,133 +183,102 @@ def _fill(hit: Column, symbols: Column, which: str) -> Column:
 def _luhn_digit(body: Column) -> Column:
     """The digit that makes body + digit pass the Luhn check."""
     total = F.aggregate(F.transform(F.reverse(_chars(body)), lambda c, i: F.when(i % 2 == 0, (c.cast("int") * 2) % 10 + F.floor(c.cast("int") * 2 / 10).cast("int")).otherwise(c.cast("int"))), F.lit(0), lambda a, x: a + x)
-    return F.pmod(-total, F.lit(10)).cast("string")
+    return F.pmod(-total, F.lit(10))
+
 
+def _card(canon: Column, front: Column) -> Column:
+    """With new digits but for the last, which is as far from the right check digit as it was."""
+    old = F.substring(canon, F.lit(1), F.length(canon) - 1)
+    return F.concat(front, F.pmod(_luhn_digit(front) + F.substring(canon, -1, 1).cast("int") - _luhn_digit(old), F.lit(10)).cast("string"))
 
-def _iban(value: Column, digest: Column) -> Column:
-    country, body = F.substring(value, 1, 2), _remap(F.substring(value, F.lit(5), F.length(value)), digest)
+
+def _iban_check(country: Column, body: Column) -> Column:
     n = lambda c: F.when(c.rlike("[0-9]"), c.cast("int")).otherwise(F.ascii(c) - 55)
-    rest = F.aggregate(_chars(F.concat(body, country, F.lit("00"))), F.lit(0), lambda a, c: F.when(c.rlike("[0-9]"), (a * 10 + n(c)) % 97).otherwise((a * 100 + n(c)) % 97))
-    return F.concat(country, F.lpad((98 - rest).cast("string"), 2, "0"), body)
-
-
-def _name_word(word: Column, d: Column, given: Column, female: Column) -> Column:
-    """A made-up word of the word's script: consonants and vowels by the digest's bytes."""
-    script = F.when(word.rlike(r"^\p{IsCyrillic}"), "cyrillic").when(word.rlike(r"^\p{IsGreek}"), "greek").otherwise("latin")
-
-    def of_script(pools: dict) -> Column:
-        return F.when(script == "cyrillic", F.lit(pools["cyrillic"])).when(script == "greek", F.lit(pools["greek"])).otherwise(F.lit(pools["latin"]))
-
-    def letter(i: Column) -> Column:
-        pool = F.when(i % 2 == 0, of_script(CONSONANT)).otherwise(of_script(VOWEL))
-        return F.substring(pool, (F.pmod(_byte(d, i), F.length(pool)) + 1).cast("int"), F.lit(1))
-
-    stem = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(6)), letter), "")
-    ending = F.when(~given, F.lit("")).when(female, of_script({k: v[1] for k, v in ENDING.items()})).otherwise(of_script({k: v[0] for k, v in ENDING.items()}))
-    return F.initcap(F.concat(stem, ending))
-
-
-def digest(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
-    return F.sha2(F.concat_ws("|", F.lit(key), kind, canon, attempt.cast("string")), 512)
-
-
-def surrogate(hit: Column, kind: Column, canon: Column, attempt: Column, d: Column, key: str) -> Column:
-    """The surrogate of a hit, from its type, canonical form and digest. All are columns or fields, so that
-    the expression names each of them often and computes it once."""
-    local, domain = F.substring_index(canon, "@", 1), F.substring_index(canon, "@", -1)
-    sited = F.transform(F.array(F.struct(F.regexp_extract(domain, r"^(.*)\.", 1).alias("site"), F.sha2(F.concat(F.lit(f"{key}|domain|"), domain), 512).alias("d"))), lambda x: _remap(x["site"], x["d"]))
-    email = F.concat(_remap(local, d), F.lit("@"), F.get(sited, F.lit(0)), F.lit("."), F.regexp_extract(domain, r"([^.]*)$", 1))
-    head = F.regexp_extract(hit, r"^(AKIA|ghp_|sk_|pk_)?", 1)
-    body = F.substring(hit, F.length(head) + 1, F.length(hit))
-    # letters keep their case; what stands for a digit has the case of the token, lower in mixed ones
-    upper = hit.rlike("[A-F]") & ~hit.rlike("[a-f]")
-    sixteen = lambda c: F.when(upper | c.rlike("[A-F]"), F.lit("0123456789ABCDEF")).otherwise(F.lit("0123456789abcdef"))
-    hexed = F.array_join(F.transform(_chars(body), lambda c, i: _pick(sixteen(c), _byte(d, i), 16)), "")
-    secret = F.when(head == "", hexed).otherwise(F.concat(head, _remap(body, d)))
-    octet = lambda o, i: F.when(F.length(o) == 3, 100 + F.pmod(_byte(d, 2 * i) * 256 + _byte(d, 2 * i + 1), F.lit(156))).when(F.length(o) == 2, 10 + F.pmod(_byte(d, i), F.lit(90))).otherwise(F.pmod(_byte(d, i), F.lit(10))).cast("string")
-    ip = F.array_join(F.transform(F.split(hit, r"\."), octet), ".")
-    number = F.regexp_replace(canon, r"^\+", "")
-    digits = _remap(number, d)
-    front = F.concat(F.substring(canon, 1, 1), F.substring(digits, F.lit(2), F.length(canon) - 2))
-    card = F.concat(front, F.when(_luhn(canon), _luhn_digit(front)).otherwise(F.substring(digits, -1, 1)))
-    # +1 and the like stay; the number after them begins with 2..9
-    country = F.regexp_extract(canon, COUNTRY, 1)
-    phone = F.concat(country, _pick("23456789", _byte(d, F.lit(63)), 8), F.substring(digits, F.length(country) + 2, F.length(number)))
-    new_symbols = F.when(kind == "ssn", digits).when(kind == "card", card).when(kind == "phone", phone).when(kind == "iban", _iban(canon, d))
-    # an attempt is for the whole name, so that names which share words stay distinct too
-    parts = F.regexp_extract_all(canon, F.lit(r"[\p{L}\p{M}]+"), F.lit(0))
-    word_digest = lambda w, i: F.struct(w.alias("w"), i.alias("i"), F.sha2(F.concat_ws("|", F.lit(key), F.lit("word"), w, attempt.cast("string")), 512).alias("d"))
-    made = F.transform(F.transform(parts, word_digest), lambda x: _name_word(x["w"], x["d"], canon.contains(" ") & (x["i"] == 0), hit.rlike(FEMALE)))
-    name = F.concat(F.regexp_extract(hit, r"^(\p{L}+\.? )", 1), F.array_join(F.zip_with(F.split(canon, r"[\p{L}\p{M}]+", -1), made, lambda s, w: F.concat(s, F.coalesce(w, F.lit("")))), ""))
-    out = F.when(kind == "email", email).when(kind == "secret", secret).when(kind == "ip", ip).when(kind == "name", name)
-    return out.when(kind.isin("ssn", "card", "phone"), _fill(hit, new_symbols, "[0-9]")).when(kind == "iban", _fill(hit, new_symbols, "[A-Z0-9]")).otherwise(hit)
-
-
-def _hits(text: Column) -> Column:
-    return F.when(text.rlike(MAYBE), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
-
-
-def _entities(docs: DataFrame, text_col: str) -> DataFrame:
-    """Each distinct hit with its type and canonical form."""
-    hits = docs.select(F.explode(_hits(F.col(text_col))).alias("hit")).distinct()
-    hits = hits.withColumn("kind", kind_of(F.col("hit"))).where(F.col("kind").isNotNull())
-    return hits.withColumn("canon", canonical(F.col("hit"), F.col("kind")))
-
-
-def exceptions(hits: DataFrame, key: str) -> DataFrame:
-    """Entities (kind, canon) whose surrogate of attempt 0 collides, with the attempt that doesn't."""
-    # one spelling of each entity will do, as surrogates depend on the canonical form
-    state = hits.groupBy("kind", "canon").agg(F.min("hit").alias("hit")).withColumn("attempt", F.lit(0))
-    real = hits.select("kind", F.col("canon").alias("new"), F.lit(True).alias("real")).distinct()
-    while True:
-        made = state.withColumn("d", digest(key, F.col("kind"), F.col("canon"), F.col("attempt")))
-        made = made.withColumn("new", surrogate(*[F.col(c) for c in ("hit", "kind", "canon", "attempt", "d")], key))
-        made = made.withColumn("new", canonical(F.col("new"), F.col("kind"))).drop("d")
-        # an earlier attempt keeps its surrogate; others of the same one try again
-        nth = F.row_number().over(Window.partitionBy("kind", "new").orderBy("attempt", "canon"))
-        made = materialize(made.withColumn("nth", nth).join(real, ["kind", "new"], "left"), "surrogates")
-        again = (F.col("nth") > 1) | F.col("real").isNotNull()
-        if not made.where(again).head(1):
-            return made.where("attempt > 0").select("kind", "canon", "attempt")
-        state = made.select("kind", "canon", "hit", F.when(again, F.col("attempt") + 1).otherwise(F.col("attempt")).alias("attempt"))
+    return 98 - F.aggregate(_chars(F.concat(body, country, F.lit("00"))), F.lit(0), lambda a, c: F.when(c.rlike("[0-9]"), (a * 10 + n(c)) % 97).otherwise((a * 100 + n(c)) % 97))
+
+
+def _iban(canon: Column, body: Column) -> Column:
+    """With a new body; the check digits are as far from the right ones as they were."""
+    country, check, old = F.substring(canon, 1, 2), F.substring(canon, 3, 2).cast("int"), F.substring(canon, F.lit(5), F.length(canon))
+    return F.concat(country, F.lpad(F.pmod(_iban_check(country, body) + check - _iban_check(country, old), F.lit(100)).cast("string"), 2, "0"), body)
+
+
+def _pieces(kind: Column, canon: Column, key: str) -> Column:
+    """The pieces of a canonical form that are replaced, each by itself."""
+    piece = lambda s, k, t: F.struct(s.alias("s"), F.lit(k).alias("k"), F.lit(f"{key}|{t}").alias("t"))
+    rest = lambda at: F.substring(canon, at if isinstance(at, Column) else F.lit(at), F.length(canon))
+    domain = F.substring_index(canon, "@", -1)
+    out = F.when(kind == "email", F.array(piece(F.substring_index(canon, "@", 1), PLAIN, "mail"), piece(F.regexp_extract(domain, r"^(.*)\.", 1), PLAIN, "site")))
+    out = out.when(kind == "secret", F.array(F.when(_head(canon) == "", piece(canon, HEXED, "hex")).otherwise(piece(rest(F.length(_head(canon)) + 1), PLAIN, "token"))))
+    out = out.when(kind == "login", F.array(piece(rest(F.length(_said(canon)) + 1), PLAIN, "login"))).when(kind == "ip6", F.array(piece(canon, HEXED, "ip6")))
+    out = out.when(kind == "ssn", F.array(piece(canon, PLAIN, "ssn"))).when(kind == "card", F.array(piece(F.substring(canon, F.lit(2), F.length(canon) - 2), PLAIN, "card")))
+    out = out.when(kind == "phone", F.array(piece(F.substring_index(canon, " ", -1), DIALLED, "phone"))).when(kind == "iban", F.array(piece(rest(5), PLAIN, "iban")))
+    return out.when(kind == "name", F.transform(F.regexp_extract_all(canon, F.lit(r"[\p{L}\p{M}]+"), F.lit(0)), lambda w: piece(w, NAMED, "name")))
+
+
+def _head(canon: Column) -> Column:
+    return F.regexp_extract(canon, r"^(AKIA|ghp_|sk_|pk_)?", 1)
+
+
+def _said(canon: Column) -> Column:
+    return F.regexp_extract(canon, r"^([^=:]+(?:=|: ?)[\"']?)", 1)
+
+
+def surrogate(hit: Column, kind: Column, canon: Column, key: str) -> Column:
+    """The surrogate of a hit, from its type and canonical form, in the hit's spelling."""
+
+    def spelled(new: Column) -> Column:
+        one = F.get(new, F.lit(0))
+        email = F.concat(one, F.lit("@"), F.get(new, F.lit(1)), F.lit("."), F.regexp_extract(canon, r"([^.]*)$", 1))
+        name = F.concat(F.regexp_extract(hit, f"({_LEAD})", 1), F.array_join(F.zip_with(F.split(canon, r"[\p{L}\p{M}]+", -1), new, lambda s, w: F.concat(s, F.coalesce(w, F.lit("")))), ""))
+        symbols = F.when(kind == "ssn", one).when(kind == "card", _card(canon, F.concat(F.substring(canon, 1, 1), one))).when(kind == "phone", F.concat(F.substring_index(canon, " ", 1), one)).when(kind == "iban", _iban(canon, one))
+        out = F.when(kind == "email", email).when(kind == "login", F.concat(_said(canon), one)).when(kind == "secret", F.concat(_head(canon), one)).when(kind == "ip", _octets(canon, F.lit(f"{key}|ip")))
+        out = out.when(kind == "ip6", F.when(hit.rlike("[A-F]"), F.upper(one)).otherwise(one)).when(kind == "name", name)
+        return out.when(kind.isin("ssn", "card", "phone"), _fill(hit, symbols, "[0-9]")).when(kind == "iban", _fill(hit, symbols, "[A-Z0-9]")).otherwise(hit)
+
+    return _let(F.transform(_pieces(kind, canon, key), _mapped), spelled)
+
+
+def pattern_for(text: Column) -> Column:
+    """ANY, and for a text with names after titles the words of these names wherever they stand."""
+    names = F.regexp_extract_all(text, F.lit(PATTERNS["name"]), F.lit(0))
+    words = F.flatten(F.transform(names, lambda n: F.filter(F.split(F.regexp_replace(n, _LEAD, ""), r"[ .]+"), lambda w: F.length(w) >= 3)))
+    one = _let(F.array_join(F.array_sort(F.array_distinct(words)), "|"), lambda w: F.when(w != "", F.concat(F.lit(rf"{ANY}|(?<![{_L}])(?:"), w, F.lit(")(?: (?:"), w, F.lit(rf"))*(?![{_L}])"))))
+    return F.coalesce(F.when(text.rlike(_TITLED), one), F.lit(ANY))
+
+
+def _hits(text: Column, pattern: Column) -> Column:
+    """All matches with their type and canonical form."""
+    found = F.when(text.rlike(MAYBE), F.regexp_extract_all(text, pattern, F.lit(0))).otherwise(F.array().cast("array<string>"))
+    found = F.transform(found, lambda h: F.struct(h.alias("hit"), kind_of(h).alias("kind")))
+    return F.transform(found, lambda x: F.struct(x["hit"].alias("hit"), x["kind"].alias("kind"), canonical(x["hit"], x["kind"]).alias("canon")))
+
+
+def _own(docs: DataFrame, name: str) -> str:
+    """A column name that the table doesn't have."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
+
+
+def collisions(docs: DataFrame, key: str, *, text_col: str = "text") -> DataFrame:
+    """Surrogates that stand for several entities of the table, or for themselves: kind, new, n, same."""
+    text = F.col(text_col)
+    found = docs.select(F.explode(_hits(text, pattern_for(text))).alias("x")).select("x.*").where("kind IS NOT NULL").groupBy("kind", "canon").agg(F.min("hit").alias("hit"))
+    new = canonical(surrogate(F.col("hit"), F.col("kind"), F.col("canon"), key), F.col("kind"))
+    made = found.select("kind", "canon", new.alias("new"))
+    return made.groupBy("kind", "new").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("new") == F.col("canon")).alias("same")).where("n > 1 OR same")
 
 
 def replace_pii(docs: DataFrame, key: str, *, text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """The table with surrogates in its texts, and in count_col, if given, how many there are."""
-    hits = materialize(_entities(docs, text_col), "entities")
-    odd = materialize(exceptions(hits, key), "exceptions")
-    text = F.col(text_col)
-    tries = "__tries"
-    keyed = docs
-    if odd.head(1):
-        keyed = docs.withColumn("__text", F.sha2(F.encode(text, "UTF-8"), 256))
-        found = keyed.select("__text", F.explode(_hits(text)).alias("hit")).distinct().withColumn("kind", kind_of(F.col("hit"))).where("kind IS NOT NULL")
-        found = found.withColumn("canon", canonical(F.col("hit"), F.col("kind"))).join(odd, ["kind", "canon"])
-        by_text = materialize(found.groupBy("__text").agg(F.map_from_entries(F.collect_set(F.struct("hit", "attempt"))).alias(tries)), "tries")
-        if by_text.count() <= EXCEPTIONS:
-            by_text = F.broadcast(by_text)
-        keyed = keyed.join(by_text, "__text", "left")
-        attempt = lambda h: F.coalesce(F.try_element_at(F.col(tries), h), F.lit(0))
-    else:
-        attempt = lambda h: F.lit(0)
-    # hits with their type, then their canonical form, then their digest: each is a field of the next
-    hit_col = "__hits"
-    found = F.transform(_hits(text), lambda h: F.struct(h.alias("hit"), kind_of(h).alias("kind"), attempt(h).alias("attempt")))
-    found = F.transform(found, lambda x: F.struct(x["hit"].alias("hit"), x["kind"].alias("kind"), x["attempt"].alias("attempt"), canonical(x["hit"], x["kind"]).alias("canon")))
-    found = F.transform(found, lambda x: F.struct(x["hit"].alias("hit"), x["kind"].alias("kind"), x["attempt"].alias("attempt"), x["canon"].alias("canon"), digest(key, x["kind"], x["canon"], x["attempt"]).alias("d")))
-    keyed = keyed.withColumn(hit_col, found)
-    parts = F.split(text, ANY, -1)
-    new = F.transform(F.col(hit_col), lambda x: surrogate(x["hit"], x["kind"], x["canon"], x["attempt"], x["d"], key))
-    joined = F.array_join(F.zip_with(parts, new, lambda p, s: F.concat(p, F.coalesce(s, F.lit("")))), "")
-    changed = F.size(hit_col) > 0
-    columns = []
-    for c in docs.columns:
-        if c == text_col:
-            columns.append(F.when(changed, joined).otherwise(text).alias(c))
-        else:
-            columns.append(F.col(f"`{c}`"))
+    text, pattern, hits = F.col(text_col), _own(docs, "pattern"), _own(docs, "hits")
+    keyed = docs.withColumn(pattern, pattern_for(text)).withColumn(hits, _hits(text, F.col(pattern)))
+    new = F.transform(hits, lambda x: surrogate(x["hit"], x["kind"], x["canon"], key))
+    joined = F.array_join(F.zip_with(F.split(text, F.col(pattern), -1), new, lambda p, s: F.concat(p, F.coalesce(s, F.lit("")))), "")
+    columns = [F.when(F.size(hits) > 0, joined).otherwise(text).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
     if count_col:
-        columns.append(F.size(F.filter(hit_col, lambda x: x["kind"].isNotNull())).alias(count_col))
+        columns.append(F.size(F.filter(hits, lambda x: x["kind"].isNotNull())).alias(count_col))
     out = keyed.select(*columns)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.length(text_col).isNotNull() & (F.col("n_chars").isNotNull()), F.length(text_col).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import embedding_dedup, html_extract, mixing, ngram_join, packing, pii, quality, sharding, substring_dedup, toxicity
+from tidemark.llm import embedding_dedup, html_extract, mixing, ngram_join, packing, pii, quality, sharding, sql, substring_dedup, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -86,4 +86,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(sql.SQL)

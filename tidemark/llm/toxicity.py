@@ -1,11 +1,13 @@
 """Toxicity by a classifier chain of linear models.
 
-Categories are predicted one after another; each later model sees the earlier categories' log-odds
-as features. It is trained on out-of-fold predictions: a labelled document's earlier log-odds come
-from models that haven't seen it, as they will for unlabelled ones.
+Categories are predicted one after another; each later model sees the earlier categories'
+probabilities as features. It is trained on out-of-fold predictions: a labelled document's earlier
+probabilities come from models that haven't seen it, as they will for unlabelled ones. All that a
+model learns (features, hostile words, weights) comes from the folds that it is fitted on.
 
 The chain is (strong, toxic). `toxic` is the given label. `strong` is a toxic document that has at
-least two different hostile words, where hostile words are those which the labels tie to toxicity.
+least two different hostile words, where hostile words are those which the labels of the model's own
+folds tie to toxicity.
 
 Features are the different words of the whole text, lower-cased, and their first four and five
 letters, hashed to 2**20 places. Each is scaled by its smoothed log-ratio between the classes (as in
@@ -38,6 +40,8 @@ from tidemark.llm.common import materialize
 PLACES = 1 << 20
 HALF = PLACES // 2
 FOLDS = 3
+#: Words whose features a worker remembers; then it starts anew.
+REMEMBERED = 50_000
 CHAIN = ("strong", "toxic")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -49,7 +53,7 @@ class Features:
         self.known: dict[str, tuple[int, ...]] = {}
 
     def of_word(self, word: str) -> tuple[int, ...]:
-        if len(self.known) > 500_000:
+        if len(self.known) > REMEMBERED:
             self.known.clear()
         starts = [word[:k] for k in (4, 5) if len(word) > k]
         found = (crc32(word.encode()) % HALF, *(HALF + crc32(s.encode(), k) % HALF for k, s in enumerate(starts)))
@@ -95,9 +99,23 @@ def fit(feats: list[np.ndarray], extra: np.ndarray, y: np.ndarray, steps: int =
     return used, w * scale, d
 
 
+def strong(feats: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+    """Which of the documents are toxic with two hostile words or more, by their own labels."""
+    n = len(toxic)
+    row = np.repeat(np.arange(n), [len(f) for f in feats])
+    place = np.concatenate(feats).astype(np.int64) if n else np.array([], np.int64)
+    pos = np.bincount(place, weights=toxic[row], minlength=PLACES)
+    neg = np.bincount(place, minlength=PLACES) - pos
+    ratio = np.log((pos + 0.5) / (toxic.sum() + 1)) - np.log((neg + 0.5) / (n - toxic.sum() + 1))
+    hostile = (np.arange(PLACES) < HALF) & (pos >= 5) & (ratio >= 3)
+    return ((np.bincount(row, weights=hostile[place], minlength=n) >= 2) & (toxic == 1)).astype(np.float64)
+
+
 def _fit_group(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     extra = np.array(pdf["extra"].tolist(), np.float64).reshape(len(pdf), -1)
-    places, weights, dense = fit([np.asarray(f) for f in pdf["feats"]], extra, pdf["y"].to_numpy(np.float64))
+    feats, toxic = [np.asarray(f) for f in pdf["feats"]], pdf["toxic"].to_numpy(np.float64)
+    y = strong(feats, toxic) if pdf["category"].iloc[0] == "strong" else toxic
+    places, weights, dense = fit(feats, extra, y)
     return pd.DataFrame({"model": [key[0]], "places": [places.tolist()], "weights": [weights.tolist()], "dense": [dense.tolist()]})
 
 
@@ -110,19 +128,19 @@ class Scorer:
         self.w[row["places"]] = row["weights"]
         self.dense = np.array(row["dense"])
 
-    def logit(self, feats: list[int], extra: list[float]) -> float:
-        return float(self.w[feats].sum(dtype=np.float64) + np.dot(self.dense[:-1], extra) + self.dense[-1])
+    def probability(self, feats: list[int], extra: list[float]) -> float:
+        return float(_sigmoid(self.w[feats].sum(dtype=np.float64) + np.dot(self.dense[:-1], extra) + self.dense[-1]))
 
 
-def _fitted(train: DataFrame, y: str) -> dict[int, dict]:
+def _fitted(train: DataFrame, category: str) -> dict[int, dict]:
     """Models 0..FOLDS-1 haven't seen the fold of that number; model FOLDS has seen all."""
     models = F.explode(F.array(*[F.lit(i) for i in range(FOLDS + 1)]))
-    rows = train.withColumn("model", models).where("model <> fold").select("model", "feats", "extra", F.col(y).alias("y"))
+    rows = train.withColumn("model", models).where("model <> fold").select("model", "feats", "extra", "toxic", F.lit(category).alias("category"))
     return {r["model"]: r.asDict() for r in rows.groupBy("model").applyInPandas(_fit_group, MODEL).collect()}
 
 
-def _with_logit(train: DataFrame, models: dict[int, dict]) -> DataFrame:
-    """Appends each row's out-of-fold log-odds to `extra`."""
+def _with_probability(train: DataFrame, models: dict[int, dict]) -> DataFrame:
+    """Appends each row's out-of-fold probability to `extra`."""
     sent = train.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,7 +148,7 @@ def _with_logit(train: DataFrame, models: dict[int, dict]) -> DataFrame:
         for b in batches:
             rows = b.to_pylist()
             for r in rows:
-                r["extra"] = [*r["extra"], scorers[r["fold"]].logit(r["feats"], r["extra"])]
+                r["extra"] = [*r["extra"], scorers[r["fold"]].probability(r["feats"], r["extra"])]
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([(f.name, pa.list_(pa.float64()) if f.name == "extra" else f.type) for f in b.schema]))
 
     return train.mapInArrow(run, train.schema)
@@ -164,34 +182,16 @@ def train_chain(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", t
     total, toxic = rows.agg(F.count(F.lit(1)), F.sum("toxic")).first()
     if not total or not toxic or toxic == total:
         return None
-    terms = rows.select("toxic", F.explode("feats").alias("f")).groupBy("f").agg(F.sum("toxic").alias("pos"), F.count(F.lit(1)).alias("n"))
-    terms = materialize(terms, "terms")
-    ratio = F.log((F.col("pos") + 0.5) / (toxic + 1)) - F.log((F.col("n") - F.col("pos") + 0.5) / (total - toxic + 1))
-    hostile = terms.where((F.col("f") < HALF) & (F.col("pos") >= 5) & (ratio >= 3)).select("f")
-    strong = rows.where("toxic = 1").select("doc_id", F.explode("feats").alias("f")).join(hostile, "f").groupBy("doc_id").agg(F.count_distinct("f").alias("n")).where("n >= 2").select("doc_id", F.lit(1).alias("strong"))
-    rows = rows.join(strong, "doc_id", "left").withColumn("strong", F.coalesce("strong", F.lit(0)))
-    # features that say nothing of the class aren't carried into the fits; at most PLACES numbers are sent
-    telling = np.zeros(PLACES, bool)
-    telling[terms.where((F.col("n") >= 3) & (F.abs(ratio) >= 0.8)).select("f").toPandas()["f"].to_numpy(np.int64)] = True
-    sent = docs.sparkSession.sparkContext.broadcast(np.packbits(telling))
-
-    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.unpackbits(sent.value).astype(bool)
-        for b in batches:
-            kept = [(f := x.values.to_numpy())[known[f]] for x in b.column("feats")]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), pa.array(kept, pa.list_(pa.int32())), b.column("strong")], ["doc_id", "toxic", "feats", "strong"])
-
-    rows = rows.select("doc_id", "toxic", "feats", "strong").mapInArrow(told, "doc_id long, toxic int, feats array<int>, strong int")
-    rows = materialize(rows.select("*", F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(FOLDS)).cast("int").alias("fold"), F.array().cast("array<double>").alias("extra")), "chain")
+    rows = rows.select("*", F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(FOLDS)).cast("int").alias("fold"), F.array().cast("array<double>").alias("extra"))
     models = []
     for category in CHAIN:
         fitted = _fitted(rows, category)
         if len(fitted) <= FOLDS:
             return None
-        rows = materialize(_with_logit(rows, fitted), "chain")
+        rows = materialize(_with_probability(rows, fitted), "chain")
         models.append(fitted[FOLDS])
-    held = rows.select(F.element_at("extra", -1).alias("z"), "toxic").toPandas()  # two numbers for each of max_labelled rows
-    p, y = _sigmoid(held["z"].to_numpy()), held["toxic"].to_numpy(np.float64)
+    held = rows.select(F.element_at("extra", -1).alias("p"), "toxic").toPandas()  # two numbers for each of max_labelled rows
+    p, y = held["p"].to_numpy(), held["toxic"].to_numpy(np.float64)
     cut = best_threshold(p, y)
     called = p >= cut
     hits = float((called & (y == 1)).sum())
@@ -214,10 +214,10 @@ def score(docs: DataFrame, chain: dict | None, *, id_col: str = "doc_id", text_c
         for b in batches:
             out: list[list[float]] = [[] for _ in CHAIN]
             for text in b.column(text_col).to_pylist():
-                feats, z = features.of_text(text), []
+                feats, before = features.of_text(text), []
                 for i, s in enumerate(scorers):
-                    z.append(s.logit(feats, z))
-                    out[i].append(float(_sigmoid(np.array(z[-1]))) if feats else 0.0)
+                    before.append(s.probability(feats, before))
+                    out[i].append(before[-1] if feats else 0.0)
                 for o in out[len(scorers) :]:
                     o.append(0.0)
             toxic = [bool(chain) and p > 0 and p >= chain["threshold"] for p in out[-1]]
