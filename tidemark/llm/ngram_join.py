@@ -19,8 +19,8 @@ sketch over all documents calls common, so that passages found everywhere seldom
    elsewhere, under the same filter, so that no link between components is lost.
 
 Each class has one partner a round, and the join's filter drops the others before they become rows: a
-family of near copies costs rows in proportion to its size. Up to about 3000 tokens the bitmap tells nearly
-exactly; of longer sets more pairs are left to verification.
+family of near copies costs rows in proportion to its size. Up to about 1500 tokens the bitmap tells nearly
+exactly; longer sets meet by larger bitmaps before they are compared as a whole.
 
 Rows that share an id are one document whose links are those of each. A null id links with nothing
 and has a null component. A null or empty text has an empty set and links with nothing. An empty
@@ -48,7 +48,9 @@ BASE = 0x9E3779B97F4A7C15
 BROADCAST_IDS = 500_000
 #: Long columns of a set's bitmap: 1024 bits.
 BITMAP = [f"m{i}" for i in range(16)]
-FORMS = "doc_id long, n int, s1 long, s2 long, g long, prefix binary, " + ", ".join(f"{m} long" for m in BITMAP)
+#: Tokens above which a set has a larger bitmap too when it is verified, and the longs of that.
+LONG_SET, LARGE = 1500, 256
+FORMS = "doc_id long, n int, s1 long, s2 long, g long, prefix binary, " + ", ".join(f"{m} long" for m in BITMAP) + ", large array<long>"
 
 
 def shingles(text: str, size: int) -> np.ndarray:
@@ -70,9 +72,9 @@ def _texts(batch: pa.RecordBatch) -> list[str]:
     return [t or "" for t in batch.column("text").to_pylist()]
 
 
-def bitmap(s: np.ndarray) -> np.ndarray:
-    """For each of 1024 places the parity of the tokens there, as 16 longs."""
-    odd = np.bincount((s >> np.uint64(20)).astype(np.int64) & 1023, minlength=1024) & 1
+def bitmap(s: np.ndarray, longs: int = len(BITMAP)) -> np.ndarray:
+    """For each of 64 places a long the parity of the tokens there."""
+    odd = np.bincount((s >> np.uint64(20)).astype(np.int64) & (64 * longs - 1), minlength=64 * longs) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
@@ -98,7 +100,7 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cols: list[list] = [[] for _ in range(5)]
-            maps = np.zeros((batch.num_rows, len(BITMAP)), np.int64)
+            maps, large = np.zeros((batch.num_rows, len(BITMAP)), np.int64), []
             for at, text in enumerate(_texts(batch)):
                 s = shingles(text, size)
                 n = len(s)
@@ -106,10 +108,11 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 first = s[np.lexsort((s, sketch.level_of(common.value, s)))][: n - least_common(n, percent) + 1] if n else s
                 group = xxhash.xxh3_64_intdigest(first.tobytes(), seed=n)
                 maps[at] = bitmap(s)
+                large.append(bitmap(s, LARGE) if n > LONG_SET else None)
                 for c, v in zip(cols, (n, (whole >> 64) - 2**63, (whole & (2**64 - 1)) - 2**63, group - 2**63, first.tobytes()), strict=True):
                     c.append(v)
             types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            columns = [*(pa.array(c, t) for c, t in zip(cols, types, strict=True)), *(pa.array(np.ascontiguousarray(m)) for m in maps.T)]
+            columns = [*(pa.array(c, t) for c, t in zip(cols, types, strict=True)), *(pa.array(np.ascontiguousarray(m)) for m in maps.T), pa.array(large, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], [x.split()[0] for x in FORMS.split(", ")])
 
     forms = materialize(named.mapInArrow(describe, FORMS), "forms")
@@ -132,9 +135,8 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             rows = pa.array(np.repeat(np.arange(len(sizes)), sizes)[hit])
             yield pa.RecordBatch.from_arrays([pa.array(keys[hit].view(np.int64)), batch.column("doc_id").take(rows)], ["token", "gid"])
 
-    def mixed(lists: DataFrame, state: DataFrame) -> DataFrame:
+    def mixed(lists: DataFrame) -> DataFrame:
         """The lists that hold two labels or more, one of each set of classes."""
-        lists = lists.join(state.select("cls", "label").distinct(), "cls")
         sums = [F.bit_xor(F.xxhash64("cls", F.lit(s))).alias(f"x{s}") for s in (1, 2)]
         found = lists.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"), *sums)
         found = found.where("lo < hi").groupBy("size", "x1", "x2").agg(F.min("token").alias("token"))
@@ -160,15 +162,22 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 found = [shingles(t, size).view(np.int64) for t in _texts(part)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], ["cls", "s"])
 
+    def ids_of(pairs: DataFrame) -> DataFrame:
+        """The ids in pairs; sent to every task if they are few."""
+        ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+        return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs whose whole sets are similar enough."""
         pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "pairs")
-        ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-        if ids.count() <= BROADCAST_IDS:
-            ids = F.broadcast(ids)
-        sets = materialize(named.join(ids, "doc_id", "left_semi").mapInArrow(sets_of, "cls long, s array<long>").where(F.size("s") > 0), "sets")
-        of = lambda c: sets.select(F.col("cls").alias(c), F.col("s").alias(f"s{c}"))
-        both = pairs.join(of("a"), "a").join(of("b"), "b").withColumn("i", F.size(F.array_intersect("sa", "sb")))
+        # two long sets first meet by their larger bitmaps
+        long = full.where("large IS NOT NULL").join(ids_of(pairs), "doc_id", "left_semi").select(F.col("doc_id").alias("cls"), "n", F.col("large").alias("m"))
+        as_side = lambda df, c: df.select(F.col("cls").alias(c), *[F.col(x).alias(f"{x}{c}") for x in df.columns[1:]])
+        apart = F.aggregate(F.zip_with("ma", "mb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+        may = F.col("ma").isNull() | F.col("mb").isNull() | (apart * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))
+        pairs = materialize(pairs.join(as_side(long, "a"), "a", "left").join(as_side(long, "b"), "b", "left").where(may).select("a", "b").distinct(), "likely")
+        sets = materialize(named.join(ids_of(pairs), "doc_id", "left_semi").mapInArrow(sets_of, "cls long, s array<long>").where(F.size("s") > 0), "sets")
+        both = pairs.join(as_side(sets, "a"), "a").join(as_side(sets, "b"), "b").withColumn("i", F.size(F.array_intersect("sa", "sb")))
         return both.where(F.col("i") * 100 >= (F.size("sa") + F.size("sb") - F.col("i")) * percent).select("a", "b")
 
     def joined(links: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -177,21 +186,24 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         labels = components(links).withColumnRenamed("node", "cls")
         return links, materialize(members.drop("label").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls")), "labelled")
 
+    def with_label(lists: DataFrame, state: DataFrame) -> DataFrame:
+        return lists.select("token", "cls").join(state.select("cls", "label").distinct(), "cls")
+
     # groups: their heads meet each other, their members the head
-    lists = materialize(firsts.mapInArrow(post, "token long, gid long"), "posts")
+    posts = materialize(firsts.mapInArrow(post, "token long, gid long"), "posts")
+    lists = mixed(posts.select("token", F.col("gid").alias("cls"), F.col("gid").alias("label")))
     own = members.where("cls <> gid").join(facing(members.where("cls = gid")).withColumnRenamed("y", "gid"), "gid").where(near(percent, "n", "ny")).select(F.col("gid").alias("a"), F.col("cls").alias("b"))
-    first = members.where("cls = gid")
-    pairs = partners(mixed(lists.withColumnRenamed("gid", "cls"), first), first, 0).unionAll(own)
-    links, state = joined(spark.createDataFrame([], "a long, b long"), verified(pairs))
+    links, state = joined(spark.createDataFrame([], "a long, b long"), verified(partners(lists, members.where("cls = gid"), 0).unionAll(own)))
     # classes: each member stands in its group's lists, and groups of several are lists of their own
-    lists = lists.join(members.select("gid", "cls"), "gid").select("token", "cls")
+    lists = lists.select("token", F.col("cls").alias("gid")).join(members.select("gid", "cls"), "gid").select("token", "cls")
     lists = lists.unionAll(members.where("size > 1").select(F.xxhash64(F.lit("group"), "g", "n").alias("token"), "cls"))
     for salt in range(1, rounds):
-        lists = mixed(lists.select("token", "cls"), state)
+        lists = mixed(with_label(lists, state))
         links, state = joined(links, verified(partners(lists, state, salt)))
-    lists = mixed(lists.select("token", "cls"), state)
+    lists = mixed(with_label(lists, state))
     main = lists.groupBy("token", "label").count().groupBy("token").agg(F.max_by("label", "count").alias("main"))
     minor = lists.join(main, "token").where("label <> main").select("token", F.col("cls").alias("y"))
+    # the list's side comes first: the join holds a list's minor classes and streams the others past them
     rest = lists.join(state.select(*wide), "cls").join(minor.join(facing(state), "y"), "token").where((F.col("label") != F.col("ly")) & near(percent, "n", "ny"))
     found = components(links.unionAll(verified(rest.select(F.col("cls").alias("a"), F.col("y").alias("b")))))
 
