@@ -154,6 +154,25 @@ def _with_probability(train: DataFrame, models: dict[int, dict]) -> DataFrame:
     return train.mapInArrow(run, train.schema)
 
 
+def telling(rows: DataFrame) -> np.ndarray:
+    """Which features any model may use: those that say something of the label in its own folds. The
+    others aren't carried into the fits; which of them a model uses it decides from its folds alone."""
+    folds = range(FOLDS)
+    count = [F.count_if(F.col("fold") == k).alias(f"n{k}") for k in folds] + [F.sum(F.when(F.col("fold") == k, F.col("toxic")).otherwise(0)).alias(f"p{k}") for k in folds]
+    whole = rows.agg(*count).first()
+    terms = rows.select("fold", "toxic", F.explode("feats").alias("f")).groupBy("f").agg(*count)
+    any_of = F.lit(False)
+    for model in range(FOLDS + 1):
+        own = [k for k in folds if k != model]
+        n, pos = (sum((F.col(f"{c}{k}") for k in own), F.lit(0)) for c in "np")
+        total, toxic = (sum(whole[f"{c}{k}"] or 0 for k in own) for c in "np")
+        ratio = F.log((pos + 0.5) / (toxic + 1)) - F.log((n - pos + 0.5) / (total - toxic + 1))
+        any_of = any_of | ((n >= 3) & (F.abs(ratio) >= 0.8))
+    out = np.zeros(PLACES, bool)
+    out[terms.where(any_of).select("f").toPandas()["f"].to_numpy(np.int64)] = True  # at most PLACES numbers
+    return out
+
+
 def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
     """The probability from which calling documents toxic gives the best F1, half-way to the next."""
     order = np.argsort(-p, kind="stable")
@@ -182,7 +201,16 @@ def train_chain(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", t
     total, toxic = rows.agg(F.count(F.lit(1)), F.sum("toxic")).first()
     if not total or not toxic or toxic == total:
         return None
-    rows = rows.select("*", F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(FOLDS)).cast("int").alias("fold"), F.array().cast("array<double>").alias("extra"))
+    rows = materialize(rows.select("*", F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(FOLDS)).cast("int").alias("fold"), F.array().cast("array<double>").alias("extra")), "chain")
+    sent = docs.sparkSession.sparkContext.broadcast(np.packbits(telling(rows)))
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.unpackbits(sent.value).astype(bool)
+        for b in batches:
+            kept = [(f := x.values.to_numpy())[known[f]] for x in b.column("feats")]
+            yield b.set_column(b.schema.get_field_index("feats"), "feats", pa.array(kept, pa.list_(pa.int32())))
+
+    rows = materialize(rows.mapInArrow(told, rows.schema), "chain")
     models = []
     for category in CHAIN:
         fitted = _fitted(rows, category)
