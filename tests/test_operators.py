@@ -122,7 +122,7 @@ def test_quota_brand_and_routes(spark):
     assert (r.a, r.b) == ("Soundcore", None)
     q = ["any spike in battery?", "how many reviews", "what do customers say", "the charger", "weather"]
     got = agent.routed(spark.createDataFrame([(x,) for x in q], "question string")).collect()
-    assert [r.route for r in got] == ["incident", "analytics", "retrieval", "retrieval", "insufficient"]
+    assert [r.route for r in got] == ["incident_summary", "analytics_summary", "retrieval_answer", "retrieval_answer", "insufficient_scope"]
 
 
 def test_upserts_and_reads(spark, tmp_path):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import contains_any, first_contained, sentence_with, strip
+from tidemark.functions.scalar import contains_any, first_contained, let, readable, sentence_in, strip
 from tidemark.operators import lexicon as lx
 
 MENTION = "array<struct<code:string,sentiment:string,severity:string,quote:string>>"
@@ -30,29 +30,29 @@ def _mentions(quotes: Column) -> Column:
     return F.transform(lowered, one)
 
 
-def _reliability(text: Column) -> Column:
+def _reliability(r: Column) -> Column:
     """The sentence of the first keyword that no guard rejects."""
     specific = [k for code, words in lx.ASPECTS.items() if code != "delivery" for k in words]
-    held = F.filter(F.array(*[F.lit(k) for k in lx.RELIABILITY]), lambda k: F.contains(F.lower(text), k))
-    found = F.transform(held, lambda k: sentence_with(text, k))
+    held = F.filter(F.array(*[F.lit(k) for k in lx.RELIABILITY]), lambda k: F.contains(r["low"], k))
+    found = F.transform(held, lambda k: sentence_in(r, k))
     found = F.transform(found, lambda q: F.struct(q.alias("q"), F.lower(q).alias("low")))
-    good = lambda r: (r["q"] != "") & ~contains_any(r["low"], specific) & ~(contains_any(r["low"], lx.SHIPPING) & ~contains_any(r["low"], lx.PRODUCT_FAILURE))
+    good = lambda x: (x["q"] != "") & ~contains_any(x["low"], specific) & ~(contains_any(x["low"], lx.SHIPPING) & ~contains_any(x["low"], lx.PRODUCT_FAILURE))
     return F.get(F.filter(found, good), F.lit(0))["q"]
 
 
 def extract(reviews: DataFrame, text: str = "text", aspects: dict[str, tuple[str, ...]] | None = None, reliability: bool = True, out: str = "mentions") -> DataFrame:
     """Adds the mentions of each review: at most one for each aspect, with the sentence that holds its
-    first keyword. Keywords match inside words. Nothing but column expressions."""
-    t, cols = F.coalesce(F.col(text), F.lit("")), []
-    df = reviews
-    for code, words in (aspects or lx.ASPECTS).items():
-        df = df.withColumn(f"__{code}", sentence_with(t, first_contained(F.lower(t), words)))
-        cols.append(F.struct(F.lit(code).alias("code"), F.col(f"__{code}").alias("quote")))
-    if reliability:
-        df = df.withColumn("__reliability", _reliability(t))
-        cols.append(F.struct(F.lit("reliability").alias("code"), F.col("__reliability").alias("quote")))
-    df = df.withColumn(out, _mentions(F.array(*cols)))
-    return df.drop(*[c for c in df.columns if c.startswith("__")])
+    first keyword. Keywords match inside words. Nothing but column expressions; what they share of a
+    text is computed once."""
+
+    def quotes(r: Column) -> Column:
+        of = lambda words: let(first_contained(r["low"], words), lambda k: sentence_in(r, k))
+        found = [F.struct(F.lit(code).alias("code"), of(words).alias("quote")) for code, words in (aspects or lx.ASPECTS).items()]
+        if reliability:
+            found.append(F.struct(F.lit("reliability").alias("code"), _reliability(r).alias("quote")))
+        return F.array(*found)
+
+    return reviews.withColumn(out, _mentions(let(readable(F.coalesce(F.col(text), F.lit(""))), quotes)))
 
 
 def parse(answers: DataFrame, raw: str = "raw") -> DataFrame:

@@ -61,13 +61,24 @@ def inventory(items: DataFrame, *, brand: str, sku: str, name: str, order: str,
     return items.groupBy(brand).agg(F.count(F.lit(1)).alias("items"), F.count_distinct(sku).alias("products")).join(few, brand, "left")
 
 
-def gate(inventory: DataFrame, reviews: DataFrame, *, least_items: int = 20, least_reviews: int = 1000, brand: str = "brand") -> DataFrame:
-    """Which brands have enough items and reviews, and why not."""
+def gate(inventory: DataFrame, reviews: DataFrame, *, least_items: int = 20, least_reviews: int = 1000, brand: str = "brand", merged: tuple[str, str] | None = None) -> DataFrame:
+    """Which brands have enough items and reviews, and why not. `merged` names a brand that goes under
+    another when that one is included."""
     j = inventory.select(brand, "items").join(reviews.select(brand, "reviews"), brand, "left").na.fill(0, ["reviews"])
-    few_items, few_reviews = F.col("items") < least_items, F.col("reviews") < least_reviews
-    reason = F.concat_ws("; ", F.when(few_items, F.lit("too few items")), F.when(few_reviews, F.lit("too few reviews")))
-    return j.select(brand, "items", "reviews", (~few_items & ~few_reviews).alias("included"), F.when(few_items | few_reviews, reason).otherwise("ok").alias("reason"))
-
-
-def confidence_note(weight: Column) -> Column:
-    return F.when(weight >= 90, "high").when(weight >= 50, "medium").otherwise("low")
+    items, n = F.col("items"), F.col("reviews")
+    few_items, few_reviews = items < least_items, n < least_reviews
+    reason = F.when(~few_items & ~few_reviews, "ok").when(items <= 0, "not found in metadata").when(n <= 0, "no matched reviews after metadata join")
+    reason = reason.when(few_items & few_reviews, F.format_string(f"below thresholds: %d items < {least_items} and %d reviews < {least_reviews}", items, n))
+    reason = reason.when(few_items, F.format_string(f"too few matched metadata items: %d < {least_items}", items)).otherwise(F.format_string(f"too few matched reviews: %d < {least_reviews}", n))
+    out = j.select(brand, "items", "reviews", (~few_items & ~few_reviews).alias("included"), reason.alias("reason"))
+    if merged:
+        under = out.agg(F.coalesce(F.bool_or((F.col(brand) == merged[1]) & F.col("included")), F.lit(False)).alias("__under"))  # one row
+        late = (F.col(brand) == merged[0]) & F.col("__under") & ~F.col("included") & few_reviews
+        out = out.join(F.broadcast(under)).withColumn("reason", F.when(late, f"too few matched reviews or merged under {merged[1]}").otherwise(F.col("reason"))).drop("__under")
+    return out
+
+
+def confidence_note(fields: Column) -> Column:
+    """What the fields (an array) that matched say of a brand's match."""
+    structured = F.arrays_overlap(fields, F.array(F.lit("details.Brand"), F.lit("store")))
+    return F.when(structured, "high: matched structured brand/store field").when(F.array_contains(fields, "details_json"), "medium: matched serialized details").otherwise("medium: matched title/categories alias")

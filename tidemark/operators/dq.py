@@ -23,19 +23,21 @@ def spam(text: Column) -> Column:
 def tag(rows: DataFrame, *, key: str | Column, position: str, asin: Column, rating: Column, language: Column, confidence: Column, text: Column, min_length: int = MIN_LENGTH, languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
     """Adds dq_reason: the first check that the row fails, null if it passes. Duplicates are found
     before anything else, among all rows, so a repeat of a bad row is a duplicate; of equal keys the row
-    that comes first by `position` is kept."""
+    that comes first by `position`, which is to tell rows apart, is kept."""
     key = F.col(key) if isinstance(key, str) else key
-    nth = F.row_number().over(Window.partitionBy(key).orderBy(position))
     reason = (
-        F.when(F.col("__nth") > 1, CHECKS[0])
-        .when(F.coalesce(strip(asin.cast("string")), F.lit("")) == "", CHECKS[1])
+        F.when(F.coalesce(strip(asin.cast("string")), F.lit("")) == "", CHECKS[1])
         .when(rating.isNull() | ~rating.between(1, 5), CHECKS[2])
         .when(language.isNull() | ~language.isin(*languages), CHECKS[3])
         .when(confidence.isNull() | (confidence < MIN_CONFIDENCE), CHECKS[4])
         .when(F.length(strip(F.coalesce(text, F.lit("")))) < min_length, CHECKS[5])
         .when(spam(text), CHECKS[6])
     )
-    return rows.withColumn("__nth", nth).withColumn("dq_reason", reason).drop("__nth")
+    # checked first and joined then, so that a text is shuffled only where the caller asks for it
+    checked = rows.withColumn("__key", key).withColumn("__reason", reason)
+    first = checked.groupBy(F.col("__key").alias("__k")).agg(F.min(position).alias("__first"))
+    out = checked.join(first, F.col("__key").eqNullSafe(F.col("__k")))
+    return out.withColumn("dq_reason", F.when(F.col(position) > F.col("__first"), CHECKS[0]).otherwise(F.col("__reason"))).drop("__key", "__reason", "__k", "__first")
 
 
 def metrics(tagged: DataFrame) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROUTES = ("retrieval", "analytics", "incident", "insufficient")
+#: The routes of questions.
+ROUTES = ("retrieval_answer", "analytics_summary", "incident_summary", "insufficient_scope")
 
 
 def ranking_metrics(ranking: DataFrame, gold: DataFrame, ks: tuple[int, ...] = (5, 10), mrr_k: int = 10) -> DataFrame:
@@ -95,19 +96,29 @@ def agent_metrics(scored: DataFrame) -> DataFrame:
     n, n_of = F.count(F.lit(1)), lambda r: F.count_if(is_(r))
     return scored.agg(
         n.alias("n_questions"),
-        *[n_of(r).alias(f"n_{r}") for r in ROUTES],
+        *[n_of(r).alias(f"n_{r.split('_')[0]}") for r in ROUTES],
         rate(F.count_if("route_match"), n).alias("route_accuracy"),
-        rate(F.count_if(is_("retrieval") & (F.col("n_citations") > 0)), n_of("retrieval")).alias("retrieval_citation_rate"),
-        rate(F.count_if(is_("insufficient") & (F.col("actual_route") == "insufficient")), n_of("insufficient")).alias("refusal_rate"),
-        rate(F.count_if(is_("analytics") & F.col("answer_nonempty")), n_of("analytics")).alias("analytics_answer_rate"),
-        rate(F.count_if(is_("incident") & F.col("answer_nonempty")), n_of("incident")).alias("incident_answer_rate"),
-        rate(F.sum(F.when(is_("retrieval"), F.col("n_citations"))), n_of("retrieval")).alias("average_citations"),
+        rate(F.count_if(is_("retrieval_answer") & (F.col("n_citations") > 0)), n_of("retrieval_answer")).alias("retrieval_citation_rate"),
+        rate(F.count_if(is_("insufficient_scope") & (F.col("actual_route") == "insufficient_scope")), n_of("insufficient_scope")).alias("refusal_rate"),
+        rate(F.count_if(is_("analytics_summary") & F.col("answer_nonempty")), n_of("analytics_summary")).alias("analytics_answer_rate"),
+        rate(F.count_if(is_("incident_summary") & F.col("answer_nonempty")), n_of("incident_summary")).alias("incident_answer_rate"),
+        rate(F.sum(F.when(is_("retrieval_answer"), F.col("n_citations"))), n_of("retrieval_answer")).alias("average_citations"),
         rate(F.count_if("has_warning"), n).alias("warning_rate"),
         rate(F.count_if("passed"), n).alias("pass_rate"),
     )
 
 
-def nearest_rank(x: Column, share: float = 0.95) -> Column:
-    """The value at position floor((n - 1) * share) of the sorted values (exact; for bounded groups)."""
-    v = F.array_sort(F.collect_list(x))
-    return F.try_element_at(v, (F.floor((F.size(v) - 1) * share) + 1).cast("int"))
+def nearest_rank(rows: DataFrame, group: str, value: str, share: float = 0.95, buckets: int = 1024) -> DataFrame:
+    """(group, at_rank): the value at position floor((n - 1) * share) of each group's sorted values, exact.
+    Groups may be large and few: values are counted in buckets of equal width (partial aggregation),
+    the bucket that holds the position is found from the counts, and only its values are ranked."""
+    span = rows.groupBy(group).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"), F.count(F.lit(1)).alias("__n"))
+    step = F.when(F.col("__hi") > F.col("__lo"), F.floor((F.col(value) - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * buckets)).otherwise(0)
+    placed = rows.select(group, value).join(span, group).withColumn("__b", step.cast("int"))
+    counts = placed.groupBy(group, "__b", "__n").agg(F.count(F.lit(1)).alias("__c"))
+    upto = F.sum("__c").over(Window.partitionBy(group).orderBy("__b"))  # at most buckets + 1 rows a group
+    at = F.floor((F.col("__n") - 1) * share)
+    mine = counts.withColumn("__upto", upto).where((F.col("__upto") > at) & (F.col("__upto") - F.col("__c") <= at)).select(group, "__b", (at - (F.col("__upto") - F.col("__c"))).alias("__at"))
+    few = placed.join(mine, [group, "__b"]).groupBy(group, value, "__at").agg(F.count(F.lit(1)).alias("__c"))
+    ranked = few.withColumn("__upto", F.sum("__c").over(Window.partitionBy(group).orderBy(value)))
+    return ranked.where(F.col("__upto") > F.col("__at")).groupBy(group).agg(F.min(value).alias("at_rank"))

@@ -22,7 +22,9 @@ def largest_remainder(counts: DataFrame, targets: DataFrame, group: str, strata:
 def stratified(rows: DataFrame, quotas: DataFrame, keys: list[str], score: Column, tiebreak: list[str]) -> DataFrame:
     """The rows of each stratum with the smallest scores, as many as its quota."""
     nth = F.row_number().over(Window.partitionBy(*keys).orderBy(score, *tiebreak))
-    return rows.withColumn("__n", nth).join(quotas.select(*keys, "quota"), keys).where(F.col("__n") <= F.col("quota")).drop("__n", "quota")
+    # the largest quota is known first, so that tasks cut strata before they meet
+    most = quotas.agg(F.max("quota")).first()[0] or 0
+    return rows.withColumn("__n", nth).where(F.col("__n") <= int(most)).join(quotas.select(*keys, "quota"), keys).where(F.col("__n") <= F.col("quota")).drop("__n", "quota")
 
 
 def seeded(seed: int, *columns: str) -> Column:

@@ -11,9 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import queries_analytics, queries_reviews, queries_text
+from tidemark.plans import queries_analytics, queries_flows, queries_reviews, queries_text
 
-MODULES = (queries_reviews, queries_analytics, queries_text)
+MODULES = (queries_reviews, queries_analytics, queries_text, queries_flows)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

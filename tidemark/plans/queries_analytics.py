@@ -40,12 +40,9 @@ def event_payload_values(spark: SparkSession, d: str) -> DataFrame:
 @add("latency_p95", "SELECT event_type, round(avg(value), 4) AS mean, list_sort(list(value))[CAST(floor((count(*) - 1) * 0.95) AS BIGINT) + 1] AS p95 FROM events GROUP BY event_type")
 def latency_p95(spark: SparkSession, d: str) -> DataFrame:
     """Exact nearest-rank percentile by rank, without gathering a group."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("event_type")
-    e = table(spark, d, "events").where("value IS NOT NULL").select("event_type", "value", F.row_number().over(w.orderBy("value")).alias("i"))
-    at = e.groupBy("event_type").agg((F.floor((F.count(F.lit(1)) - 1) * 0.95) + 1).alias("at"), F.round(F.avg("value"), 4).alias("mean"))
-    return e.join(F.broadcast(at), "event_type").where("i = at").select("event_type", "mean", F.col("value").alias("p95"))
+    e = table(spark, d, "events").where("value IS NOT NULL")
+    mean = e.groupBy("event_type").agg(F.round(F.avg("value"), 4).alias("mean"))
+    return mean.join(metrics.nearest_rank(e, "event_type", "value"), "event_type").select("event_type", "mean", F.col("at_rank").alias("p95"))
 
 
 # gold: the label; predicted: a rule on the document's length; code: its language
@@ -234,7 +231,7 @@ def fusion_grid(spark: SparkSession, d: str) -> DataFrame:
 
 _any = lambda col, words: "(" + " OR ".join(f"contains({col}, '{w}')" for w in words) + ")"
 _SAID = """q AS (SELECT conv_id, turn, lower(trim(CASE turn % 5 WHEN 0 THEN 'How many reviews? ' WHEN 1 THEN 'Is there a spike in battery issues? ' WHEN 2 THEN 'What do customers say about the price? ' WHEN 3 THEN 'JBL charging, ' ELSE '' END || text)) AS q FROM conversations)"""
-_ROUTE = f"""CASE WHEN q = '' THEN 'insufficient' WHEN {_any('q', lx.INCIDENT_WORDS)} THEN 'incident' WHEN {_any('q', lx.ANALYTICS_WORDS)} THEN 'analytics' WHEN {_any('q', lx.RETRIEVAL_WORDS)} THEN 'retrieval' WHEN {_any('q', lx.ASPECT_ALIASES)} THEN 'retrieval' ELSE 'insufficient' END"""
+_ROUTE = f"""CASE WHEN q = '' THEN 'insufficient_scope' WHEN {_any('q', lx.INCIDENT_WORDS)} THEN 'incident_summary' WHEN {_any('q', lx.ANALYTICS_WORDS)} THEN 'analytics_summary' WHEN {_any('q', lx.RETRIEVAL_WORDS)} THEN 'retrieval_answer' WHEN {_any('q', lx.ASPECT_ALIASES)} THEN 'retrieval_answer' ELSE 'insufficient_scope' END"""
 _ASPECT = "CASE " + " ".join(f"WHEN contains(q, '{a}') THEN '{c}'" for a, c in lx.ASPECT_ALIASES.items()) + " END"
 
 
@@ -249,21 +246,32 @@ def route_questions(spark: SparkSession, d: str) -> DataFrame:
     return agent.routed(_questions(spark, d)).drop("question")
 
 
-@add("agent_metrics", f"""WITH {_SAID}, r AS (SELECT *, {_ROUTE} AS actual, CASE turn % 4 WHEN 0 THEN 'analytics' WHEN 1 THEN 'incident' WHEN 2 THEN 'retrieval' ELSE 'insufficient' END AS expected, turn % 3 AS n FROM q),
-  s AS (SELECT *, actual = expected AS m, expected <> 'retrieval' OR n >= 1 AS c FROM r)
-  SELECT count(*) AS n_questions, round(count(*) FILTER (m) / count(*), 4) AS route_accuracy, round(count(*) FILTER (expected = 'retrieval' AND n > 0) / count(*) FILTER (expected = 'retrieval'), 4) AS retrieval_citation_rate,
-  round(count(*) FILTER (expected = 'insufficient' AND actual = 'insufficient') / count(*) FILTER (expected = 'insufficient'), 4) AS refusal_rate, round(count(*) FILTER (m AND c AND q <> '') / count(*), 4) AS pass_rate FROM s""")
+@add("agent_metrics", f"""WITH {_SAID}, r AS (SELECT *, {_ROUTE} AS actual, CASE turn % 4 WHEN 0 THEN 'analytics_summary' WHEN 1 THEN 'incident_summary' WHEN 2 THEN 'retrieval_answer' ELSE 'insufficient_scope' END AS expected, turn % 3 AS n FROM q),
+  s AS (SELECT *, actual = expected AS m, expected <> 'retrieval_answer' OR n >= 1 AS c FROM r)
+  SELECT count(*) AS n_questions,
+  count(*) FILTER (expected = 'retrieval_answer') AS n_retrieval,
+  count(*) FILTER (expected = 'analytics_summary') AS n_analytics,
+  count(*) FILTER (expected = 'incident_summary') AS n_incident,
+  count(*) FILTER (expected = 'insufficient_scope') AS n_insufficient,
+  coalesce(round(count(*) FILTER (m) / nullif(count(*), 0), 4), 0) AS route_accuracy,
+  coalesce(round(count(*) FILTER (expected = 'retrieval_answer' AND n > 0) / nullif(count(*) FILTER (expected = 'retrieval_answer'), 0), 4), 0) AS retrieval_citation_rate,
+  coalesce(round(count(*) FILTER (expected = 'insufficient_scope' AND actual = 'insufficient_scope') / nullif(count(*) FILTER (expected = 'insufficient_scope'), 0), 4), 0) AS refusal_rate,
+  coalesce(round(count(*) FILTER (expected = 'analytics_summary' AND q <> '') / nullif(count(*) FILTER (expected = 'analytics_summary'), 0), 4), 0) AS analytics_answer_rate,
+  coalesce(round(count(*) FILTER (expected = 'incident_summary' AND q <> '') / nullif(count(*) FILTER (expected = 'incident_summary'), 0), 4), 0) AS incident_answer_rate,
+  coalesce(round(sum(n) FILTER (expected = 'retrieval_answer') / nullif(count(*) FILTER (expected = 'retrieval_answer'), 0), 4), 0) AS average_citations,
+  coalesce(round(count(*) FILTER (turn % 6 = 5) / nullif(count(*), 0), 4), 0) AS warning_rate,
+  coalesce(round(count(*) FILTER (m AND c AND q <> '') / nullif(count(*), 0), 4), 0) AS pass_rate FROM s""")
 def agent_metrics(spark: SparkSession, d: str) -> DataFrame:
     turn = F.col("turn")
-    expected = F.when(turn % 4 == 0, "analytics").when(turn % 4 == 1, "incident").when(turn % 4 == 2, "retrieval").otherwise("insufficient")
+    expected = F.when(turn % 4 == 0, "analytics_summary").when(turn % 4 == 1, "incident_summary").when(turn % 4 == 2, "retrieval_answer").otherwise("insufficient_scope")
     runs = _questions(spark, d).select(
         expected.alias("expected_route"),
         agent.route(F.col("question")).alias("actual_route"),
         F.col("question").alias("answer"),
         (turn % 3).alias("n_citations"),
-        (expected == "retrieval").alias("expected_citation_required"),
+        (expected == "retrieval_answer").alias("expected_citation_required"),
         F.lit(1).alias("expected_min_citations"),
         F.array().cast("array<string>").alias("expected_contains"),
-        F.lit(0).alias("n_warnings"),
+        (turn % 6 == 5).cast("int").alias("n_warnings"),
     )
-    return metrics.agent_metrics(metrics.score_agent(runs)).select("n_questions", "route_accuracy", "retrieval_citation_rate", "refusal_rate", "pass_rate")
+    return metrics.agent_metrics(metrics.score_agent(runs))

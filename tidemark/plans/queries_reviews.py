@@ -243,7 +243,8 @@ def brand_inventory(spark: SparkSession, d: str) -> DataFrame:
 
 @add("brand_gate", f"""WITH {REVIEWS_SQL}, i AS (SELECT p_brand AS brand, count(*) AS items FROM part GROUP BY 1), v AS (SELECT brand, count(*) AS reviews FROM reviews GROUP BY 1)
   SELECT brand, items, coalesce(reviews, 0) AS reviews, items >= 80 AND coalesce(reviews, 0) >= 2300 AS included,
-  CASE WHEN items < 80 AND coalesce(reviews, 0) < 2300 THEN 'too few items; too few reviews' WHEN items < 80 THEN 'too few items' WHEN coalesce(reviews, 0) < 2300 THEN 'too few reviews' ELSE 'ok' END AS reason FROM i LEFT JOIN v USING (brand)""")
+  CASE WHEN items >= 80 AND coalesce(reviews, 0) >= 2300 THEN 'ok' WHEN coalesce(reviews, 0) = 0 THEN 'no matched reviews after metadata join' WHEN items < 80 AND reviews < 2300 THEN 'below thresholds: ' || items || ' items < 80 and ' || reviews || ' reviews < 2300'
+    WHEN items < 80 THEN 'too few matched metadata items: ' || items || ' < 80' ELSE 'too few matched reviews: ' || reviews || ' < 2300' END AS reason FROM i LEFT JOIN v USING (brand)""")
 def brand_gate(spark: SparkSession, d: str) -> DataFrame:
     items = table(spark, d, "part").groupBy(F.col("p_brand").alias("brand")).agg(F.count(F.lit(1)).alias("items"))
     return brand.gate(items, reports.counts(reviews(spark, d), "brand", name="reviews"), least_items=80, least_reviews=2300)
