@@ -39,11 +39,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import materialize
 
 #: Words whose ids a worker remembers; then it starts anew. Bytes of text, and words, tokenized together.
-CACHE = 200_000
-SLICE = 8 << 20
+CACHE = 100_000
+SLICE = 2 << 20
 TOGETHER = 2000
 #: Bytes of dealt blocks that a task keeps.
-BLOCK_BYTES = 128 << 20
+BLOCK_BYTES = 64 << 20
 #: Rows of (partition, source) up to which base offsets are broadcast: 24 bytes each, 12 MB.
 BROADCAST_ROWS = 500_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
