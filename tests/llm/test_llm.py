@@ -80,7 +80,8 @@ def test_substring_dedup(docs, rows):
         assert (got[i].n_words, got[i].n_removed, got[i].kept_sha256) == (len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest())
 
 
-def test_ngram_join(docs, rows):
+@pytest.mark.parametrize("part", [1000, 20])
+def test_ngram_join(docs, rows, part):
     sets = {}
     for i, t, *_ in rows:
         w = tuple(words((t or "").lower()))
@@ -97,11 +98,31 @@ def test_ngram_join(docs, rows):
             if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
                 x, y = root(a), root(b)
                 label[max(x, y)] = min(x, y)
-    found = ngram_join.link_documents(docs)
+    found = ngram_join.link_documents(docs, part=part)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == {i: (len(s), root(i)) for i, s in sets.items()}
     assert ngram_join.keep_one(docs, found).count() == len({root(i) for i in sets})
 
 
+@pytest.mark.parametrize("percent", [80, 85, 50])
+def test_sets_that_link_meet_in_a_part(percent):
+    """Sets just similar enough, of any sizes, share a token of a part whose bitmaps let them meet."""
+    g = np.random.default_rng(percent)
+    for n in [*range(1, 40), *range(40, 900, 17)]:
+        small, large = n, int(g.integers(n, n * 100 // percent + 1))
+        both = -(-(small + large) * percent // (100 + percent))
+        s = np.unique(g.integers(0, 2**63, small + large - both).astype(np.uint64))
+        cut = g.permutation(len(s))
+        a, b = np.sort(s[cut[:small]]), np.sort(s[cut[len(s) - large :]])
+        assert 100 * both >= percent * len(s) and len(np.intersect1d(a, b)) == both
+        met = []
+        for x, y in [(x, y) for x in ngram_join.parts_of(small, percent, 20) for y in ngram_join.parts_of(large, percent, 20) if x == y]:
+            keys = [set(zip(*(v.tolist() for v in ngram_join.prefix_of(z, np.zeros(len(z), np.uint8), x, percent)), strict=True)) for z in (a, b)]
+            maps = [ngram_join.bitmaps(z, x).view(np.uint64) for z in (a, b)]
+            apart = [sum(int(v).bit_count() for v in m) for m in maps[0] ^ maps[1]]
+            met += [k for k in keys[0] & keys[1] if apart[k[1] - x] * x * (100 + percent) <= (small + large) * (100 - percent)]
+        assert met, (small, large)
+
+
 def test_family_of_near_copies(spark, monkeypatch):
     """Pairs that are verified stay in proportion to a family's size; its components equal brute force."""
     r = random.Random(8)

@@ -19,8 +19,12 @@ sketch over all documents calls common, so that passages found everywhere seldom
    elsewhere, under the same filter, so that no link between components is lost.
 
 Each class has one partner a round, and the join's filter drops the others before they become rows: a
-family of near copies costs rows in proportion to its size. Up to about 1500 tokens the bitmap tells nearly
-exactly; longer sets meet by larger bitmaps before they are compared as a whole.
+family of near copies costs rows in proportion to its size. The bitmap of a set of many tokens would be
+full and tell nothing, so long sets meet by parts: hash bits deal both sets into as many parts, and if
+they differ in few enough tokens there is a part in which they differ in no more than its share. Each part
+has a prefix and a bitmap of its own. How many parts there are follows from the smaller set; a set that may
+be the larger one stands in the lists of both numbers. Pairs of long sets meet by larger bitmaps of the whole
+before they are compared.
 
 Rows that share an id are one document whose links are those of each. A null id links with nothing
 and has a null component. A null or empty text has an empty set and links with nothing. An empty
@@ -40,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import sketch
-from tidemark.llm.common import materialize, rolling, word_hashes
+from tidemark.llm.common import materialize, mix64, rolling, word_hashes
 from tidemark.llm.components import components
 
 BASE = 0x9E3779B97F4A7C15
@@ -50,7 +54,10 @@ BROADCAST_IDS = 500_000
 BITMAP = [f"m{i}" for i in range(16)]
 #: Tokens above which a set has a larger bitmap too when it is verified, and the longs of that.
 LONG_SET, LARGE = 1500, 256
-FORMS = "doc_id long, n int, s1 long, s2 long, g long, prefix binary, " + ", ".join(f"{m} long" for m in BITMAP) + ", large array<long>"
+#: The token of a part that has too few tokens for its prefix.
+FEW = np.uint64(0xD1B54A32D192ED03)
+FORMS = "doc_id long, n int, s1 long, s2 long, g long, prefix binary, slices binary, maps binary, large array<long>"
+PARTS = "doc_id long, n int, s1 long, s2 long, g long, slice int, parts int, " + ", ".join(f"{m} long" for m in BITMAP)
 
 
 def shingles(text: str, size: int) -> np.ndarray:
@@ -72,22 +79,64 @@ def _texts(batch: pa.RecordBatch) -> list[str]:
     return [t or "" for t in batch.column("text").to_pylist()]
 
 
-def bitmap(s: np.ndarray, longs: int = len(BITMAP)) -> np.ndarray:
-    """For each of 64 places a long the parity of the tokens there."""
-    odd = np.bincount((s >> np.uint64(20)).astype(np.int64) & (64 * longs - 1), minlength=64 * longs) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+def bitmaps(s: np.ndarray, parts: int = 1, longs: int = len(BITMAP)) -> np.ndarray:
+    """For each part a bitmap: for each of 64 places a long the parity of the tokens there."""
+    places = (s >> np.uint64(20)).astype(np.int64) & (64 * longs - 1)
+    odd = np.bincount(part_of(s, parts) * 64 * longs + places, minlength=64 * longs * parts) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").reshape(parts, longs)
 
 
-def near(percent: int, n: str, m: str) -> Column:
-    """Whether classes of n and m tokens, with bitmaps in BITMAP and in the columns named k.., may link."""
-    fits = F.least(n, m) * 100 >= F.greatest(n, m) * percent
+def parts_of(n: int, percent: int, part: int) -> list[int]:
+    """Into how many parts a set of n tokens is dealt when it is the larger or the smaller of a pair:
+    powers of two that leave about `part` tokens a part of the smaller set."""
+    lo, hi = (max(0, (-(-m // part) - 1).bit_length()) for m in (least_common(n, percent), n))
+    return [1 << k for k in range(lo, hi + 1)]
+
+
+def part_of(s: np.ndarray, parts: int) -> np.ndarray:
+    return ((s >> np.uint64(40)) & np.uint64(parts - 1)).astype(np.int64)
+
+
+def prefix_of(s: np.ndarray, level: np.ndarray, parts: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens by which a set meets others that are dealt into as many parts, and the part of each,
+    numbered from `parts` on. Two sets that may link share one of a part in which near() lets them meet."""
+    n = len(s)
+    if parts == 1:
+        first = s[np.lexsort((s, level))][: n - least_common(n, percent) + 1]
+        return first, np.ones(len(first), np.int32)
+    own = part_of(s, parts)
+    order = np.lexsort((s, level, own))
+    sizes = np.bincount(own, minlength=parts)
+    apart = n * (100 - percent) // (percent * parts)  # tokens that a part may differ in, at most
+    some = order[np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes) <= apart]
+    few = np.flatnonzero(sizes <= apart)
+    tokens = np.r_[mix64(s[some] ^ np.uint64(parts)), mix64((few + parts).astype(np.uint64) ^ FEW)]
+    return tokens, np.r_[own[some] + parts, few + parts].astype(np.int32)
+
+
+def near(percent: int) -> Column:
+    """Whether classes of n and ny tokens, with bitmaps of a part in BITMAP and in columns k.., may link."""
+    n, ny = F.col("n").cast("long"), F.col("ny").cast("long")
     apart = reduce(add, (F.bit_count(F.col(f"m{i}").bitwiseXOR(F.col(f"k{i}"))) for i in range(len(BITMAP))))
-    return fits & (apart * (100 + percent) <= (F.col(n) + F.col(m)) * (100 - percent))
+    return (F.least(n, ny) * 100 >= F.greatest(n, ny) * percent) & (apart * F.col("parts").cast("long") * (100 + percent) <= (n + ny) * (100 - percent))
+
+
+def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each part of each set, with its bitmap."""
+    for batch in batches:
+        found = [np.frombuffer(m, "<i8").reshape(-1, len(BITMAP) + 1) for m in batch.column("maps").to_pylist()]
+        if found:
+            rows, flat = np.repeat(np.arange(len(found)), [len(m) for m in found]), np.concatenate(found)
+            kept = [batch.column(c).take(pa.array(rows)) for c in ("doc_id", "n", "s1", "s2", "g")]
+            slices = flat[:, 0].astype(np.int32)
+            parts = np.left_shift(1, np.floor(np.log2(slices)).astype(np.int32)).astype(np.int32)
+            columns = [*kept, pa.array(slices), pa.array(parts), *(pa.array(np.ascontiguousarray(m)) for m in flat.T[1:])]
+            yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in PARTS.split(", ")])
 
 
-def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 4, percent: int = 85, rounds: int = 3, picks: int = 8) -> DataFrame:
+def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 4, percent: int = 85, rounds: int = 3, picks: int = 8, part: int = 1000) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id. The first round is on groups, the others
-    on classes; rounds and picks change the work, not the result."""
+    on classes; rounds, picks and part change the work, not the result."""
     spark = docs.sparkSession
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
@@ -99,30 +148,34 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols: list[list] = [[] for _ in range(5)]
-            maps, large = np.zeros((batch.num_rows, len(BITMAP)), np.int64), []
-            for at, text in enumerate(_texts(batch)):
+            cols: list[list] = [[] for _ in range(8)]
+            for text in _texts(batch):
                 s = shingles(text, size)
                 n = len(s)
                 whole = xxhash.xxh3_128_intdigest(s.tobytes())
-                first = s[np.lexsort((s, sketch.level_of(common.value, s)))][: n - least_common(n, percent) + 1] if n else s
+                level = sketch.level_of(common.value, s)
+                dealt = parts_of(n, percent, part) if n else []
+                first, slices = (np.concatenate(x) for x in zip(*(prefix_of(s, level, k, percent) for k in dealt), strict=True)) if n else (s, np.array([], np.int32))
                 group = xxhash.xxh3_64_intdigest(first.tobytes(), seed=n)
-                maps[at] = bitmap(s)
-                large.append(bitmap(s, LARGE) if n > LONG_SET else None)
-                for c, v in zip(cols, (n, (whole >> 64) - 2**63, (whole & (2**64 - 1)) - 2**63, group - 2**63, first.tobytes()), strict=True):
+                maps = [np.c_[np.arange(k, 2 * k), bitmaps(s, k)] for k in sorted({1, *dealt})]
+                large = bitmaps(s, 1, LARGE)[0] if n > LONG_SET else None
+                row = (n, (whole >> 64) - 2**63, (whole & (2**64 - 1)) - 2**63, group - 2**63, first.tobytes(), slices.tobytes(), np.concatenate(maps).astype("<i8").tobytes(), large)
+                for c, v in zip(cols, row, strict=True):
                     c.append(v)
-            types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            columns = [*(pa.array(c, t) for c, t in zip(cols, types, strict=True)), *(pa.array(np.ascontiguousarray(m)) for m in maps.T), pa.array(large, pa.list_(pa.int64()))]
+            types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+            columns = [pa.array(c, t) for c, t in zip(cols, types, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], [x.split()[0] for x in FORMS.split(", ")])
 
     forms = materialize(named.mapInArrow(describe, FORMS), "forms")
     full = forms.where("doc_id IS NOT NULL AND n > 0")
-    classes = full.groupBy("s1", "s2").agg(F.min("doc_id").alias("cls"), *[F.first(c).alias(c) for c in ("n", "g", *BITMAP)])
-    classes = materialize(classes, "classes")
+    maps = full.select("doc_id", "n", "s1", "s2", "g", "maps").mapInArrow(unfold, PARTS).groupBy("s1", "s2", "slice")
+    maps = materialize(maps.agg(F.min("doc_id").alias("cls"), *[F.first(c).alias(c) for c in ("n", "g", "parts", *BITMAP)]), "classes")
+    classes = maps.where("slice = 1").select("s1", "s2", "cls", "n", "g")  # each set has one of its whole
+    maps = maps.select("cls", "slice", "parts", "n", *BITMAP)
     heads = materialize(classes.groupBy("g", "n").agg(F.min("cls").alias("gid"), F.count(F.lit(1)).alias("size")), "heads")
     members = materialize(classes.join(heads, ["g", "n"]).drop("s1", "s2").withColumn("label", F.col("cls")), "members")
 
-    firsts = materialize(full.join(heads.select(F.col("gid").alias("doc_id"), "n", "g"), ["doc_id", "n", "g"], "left_semi").select("doc_id", "prefix"), "prefixes")
+    firsts = materialize(full.join(heads.select(F.col("gid").alias("doc_id"), "n", "g"), ["doc_id", "n", "g"], "left_semi").select("doc_id", "prefix", "slices"), "prefixes")
     width = sketch.width_for((firsts.agg(F.sum(F.length("prefix"))).first()[0] or 0) / 8)
     prefix_keys = lambda batch: np.frombuffer(b"".join(batch.column("prefix").to_pylist()), np.uint64)
     bits = spark.sparkContext.broadcast(sketch.repeated(firsts.select("prefix").mapInArrow(sketch.sketch_pass(prefix_keys, width), sketch.SCHEMA), width))
@@ -133,27 +186,30 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             keys = prefix_keys(batch)
             hit = sketch.maybe_repeated(bits.value, keys, width)
             rows = pa.array(np.repeat(np.arange(len(sizes)), sizes)[hit])
-            yield pa.RecordBatch.from_arrays([pa.array(keys[hit].view(np.int64)), batch.column("doc_id").take(rows)], ["token", "gid"])
+            slices = np.frombuffer(b"".join(batch.column("slices").to_pylist()), np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[hit].view(np.int64)), batch.column("doc_id").take(rows), pa.array(slices[hit])], ["token", "gid", "slice"])
 
     def mixed(lists: DataFrame) -> DataFrame:
         """The lists that hold two labels or more, one of each set of classes."""
         sums = [F.bit_xor(F.xxhash64("cls", F.lit(s))).alias(f"x{s}") for s in (1, 2)]
-        found = lists.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"), *sums)
-        found = found.where("lo < hi").groupBy("size", "x1", "x2").agg(F.min("token").alias("token"))
-        return materialize(lists.join(found.select("token"), "token", "left_semi").select("token", "cls", "label"), "lists")
+        found = lists.groupBy("token", "slice").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"), *sums)
+        found = found.where("lo < hi").groupBy("slice", "size", "x1", "x2").agg(F.min("token").alias("token"))
+        return materialize(lists.join(found.select("token"), "token", "left_semi").select("token", "slice", "cls", "label"), "lists")
 
-    def facing(state: DataFrame) -> DataFrame:
-        """The other side of a pair: y, its label and size, and its bitmap in the columns k.."""
-        return state.select(F.col("cls").alias("y"), F.col("label").alias("ly"), F.col("n").alias("ny"), *[F.col(m).alias(f"k{i}") for i, m in enumerate(BITMAP)])
+    #: the other side of a pair: y, its size, and its bitmap in the columns k..
+    facing = maps.select(F.col("cls").alias("y"), "slice", F.col("n").alias("ny"), *[F.col(m).alias(f"k{i}") for i, m in enumerate(BITMAP)])
 
-    wide = ["cls", "n", *BITMAP]
+    def met(lists: DataFrame, others: DataFrame) -> DataFrame:
+        """The pairs of a class in lists and one in others, of the same list and of other labels, that may link."""
+        pairs = lists.join(maps, ["cls", "slice"]).join(others.join(facing, ["y", "slice"]).drop("slice"), "token")
+        return pairs.where((F.col("label") != F.col("ly")) & near(percent))
 
-    def partners(lists: DataFrame, state: DataFrame, salt: int) -> DataFrame:
+    def partners(lists: DataFrame, salt: int) -> DataFrame:
         """For each class the one of the smallest label among those picked in its lists that may link."""
         order = F.xxhash64("cls", "token", F.lit(salt))  # other picks in each list
-        picked = lists.groupBy("token", F.pmod(order, F.lit(picks)).alias("bucket")).agg(F.min_by("cls", order).alias("y")).select("token", "y")
-        met = lists.join(state.select(*wide), "cls").join(picked.join(facing(state), "y"), "token").where((F.col("label") != F.col("ly")) & near(percent, "n", "ny"))
-        return met.groupBy(F.col("cls").alias("a")).agg(F.min_by("y", "ly").alias("b"))
+        picked = lists.groupBy("token", "slice", F.pmod(order, F.lit(picks)).alias("bucket"))
+        picked = picked.agg(F.min_by("cls", order).alias("y"), F.min_by("label", order).alias("ly")).drop("bucket")
+        return met(lists, picked).groupBy(F.col("cls").alias("a")).agg(F.min_by("y", "ly").alias("b"))
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,24 +243,26 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         return links, materialize(members.drop("label").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls")), "labelled")
 
     def with_label(lists: DataFrame, state: DataFrame) -> DataFrame:
-        return lists.select("token", "cls").join(state.select("cls", "label").distinct(), "cls")
+        return lists.select("token", "slice", "cls").join(state.select("cls", "label").distinct(), "cls")
 
     # groups: their heads meet each other, their members the head
-    posts = materialize(firsts.mapInArrow(post, "token long, gid long"), "posts")
-    lists = mixed(posts.select("token", F.col("gid").alias("cls"), F.col("gid").alias("label")))
-    own = members.where("cls <> gid").join(facing(members.where("cls = gid")).withColumnRenamed("y", "gid"), "gid").where(near(percent, "n", "ny")).select(F.col("gid").alias("a"), F.col("cls").alias("b"))
-    links, state = joined(spark.createDataFrame([], "a long, b long"), verified(partners(lists, members.where("cls = gid"), 0).unionAll(own)))
+    posts = materialize(firsts.mapInArrow(post, "token long, gid long, slice int"), "posts")
+    lists = mixed(posts.select("token", "slice", F.col("gid").alias("cls"), F.col("gid").alias("label")))
+    whole = lambda df: df.where("slice = 1").drop("slice")
+    own = members.where("cls <> gid").select("cls", "gid").join(whole(maps), "cls").join(whole(facing).withColumnRenamed("y", "gid"), "gid").where(near(percent))
+    own = own.select(F.col("gid").alias("a"), F.col("cls").alias("b"))
+    links, state = joined(spark.createDataFrame([], "a long, b long"), verified(partners(lists, 0).unionAll(own)))
     # classes: each member stands in its group's lists, and groups of several are lists of their own
-    lists = lists.select("token", F.col("cls").alias("gid")).join(members.select("gid", "cls"), "gid").select("token", "cls")
-    lists = lists.unionAll(members.where("size > 1").select(F.xxhash64(F.lit("group"), "g", "n").alias("token"), "cls"))
+    lists = lists.select("token", "slice", F.col("cls").alias("gid")).join(members.select("gid", "cls"), "gid").select("token", "slice", "cls")
+    lists = lists.unionAll(members.where("size > 1").select(F.xxhash64(F.lit("group"), "g", "n").alias("token"), F.lit(1).alias("slice"), "cls"))
     for salt in range(1, rounds):
         lists = mixed(with_label(lists, state))
-        links, state = joined(links, verified(partners(lists, state, salt)))
+        links, state = joined(links, verified(partners(lists, salt)))
     lists = mixed(with_label(lists, state))
     main = lists.groupBy("token", "label").count().groupBy("token").agg(F.max_by("label", "count").alias("main"))
-    minor = lists.join(main, "token").where("label <> main").select("token", F.col("cls").alias("y"))
+    minor = lists.join(main, "token").where("label <> main").select("token", "slice", F.col("cls").alias("y"), F.col("label").alias("ly"))
     # the list's side comes first: the join holds a list's minor classes and streams the others past them
-    rest = lists.join(state.select(*wide), "cls").join(minor.join(facing(state), "y"), "token").where((F.col("label") != F.col("ly")) & near(percent, "n", "ny"))
+    rest = met(lists, minor)
     found = components(links.unionAll(verified(rest.select(F.col("cls").alias("a"), F.col("y").alias("b")))))
 
     light = forms.select("doc_id", "n", "s1", "s2")
