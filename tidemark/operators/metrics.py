@@ -14,6 +14,12 @@ def ranking_metrics(ranking: DataFrame, gold: DataFrame, ks: tuple[int, ...] = (
     `ranking` has (query_id, doc_id, rank), `gold` has (query_id, doc_id). One join, one aggregation."""
     sizes = gold.groupBy("query_id").agg(F.count_distinct("doc_id").alias("n_gold"))
     hits = ranking.join(gold.distinct(), ["query_id", "doc_id"], "left_semi").select("query_id", "rank")
+    return metrics_of_hits(sizes, hits, ks, mrr_k)
+
+
+def metrics_of_hits(sizes: DataFrame, hits: DataFrame, ks: tuple[int, ...] = (5, 10), mrr_k: int = 10) -> DataFrame:
+    """ranking_metrics from (query_id, n_gold) and the ranks (query_id, rank) of gold documents: for gold that
+    a rule on the documents defines, whose pairs needn't be listed."""
     j = sizes.join(hits, "query_id", "left")
     aggs = [F.count_if(F.col("rank") <= k).alias(f"h{k}") for k in ks]
     aggs += [F.sum(F.when(F.col("rank") <= k, 1.0 / F.log2(F.col("rank") + 1))).alias(f"d{k}") for k in ks]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import payload_filter
@@ -105,7 +105,7 @@ _RANKS = """WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS
   sa AS (SELECT query_id, doc_id, round(list_cosine_similarity(v, e), 9) AS score FROM q, e), sb AS (SELECT query_id, doc_id, round(list_cosine_similarity(v[1:32], e[1:32]), 9) AS score FROM q, e),
   ra AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM sa), rb AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM sb),
   a AS (SELECT * FROM ra WHERE rank <= 50), b AS (SELECT * FROM rb WHERE rank <= 50),
-  gold AS (SELECT query_id, doc_id FROM q JOIN e USING (label) WHERE query_id <> doc_id AND doc_id % 7 = 0)"""
+  gold AS (SELECT query_id, doc_id FROM q JOIN e USING (label) WHERE query_id <> doc_id)"""
 
 
 def _queries(spark: SparkSession, d: str, part: int | None = None) -> DataFrame:
@@ -120,9 +120,25 @@ def _dense(spark: SparkSession, d: str, part: int | None = None, limit: int = 50
     return retrieval.dense(vectors, _queries(spark, d, part), limit=limit)
 
 
-def _gold(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), "label").where("doc_id % 7 = 0")
-    return e.join(F.broadcast(_queries(spark, d).select("query_id", "label")), "label").where("query_id <> doc_id").select("query_id", "doc_id")
+def _labels(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), "label")
+
+
+def _gold_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """How many other vectors have a query's label. Counted by label: the pairs themselves grow with the square."""
+    n = table(spark, d, "embeddings").groupBy("label").agg((F.count(F.lit(1)) - 1).alias("n_gold")).where("n_gold > 0")
+    return _queries(spark, d).select("query_id", "label").join(n, "label").select("query_id", "n_gold")
+
+
+def _judged(spark: SparkSession, d: str, ranking: DataFrame) -> DataFrame:
+    """The ranking, with whether a row is gold: another vector of the query's label."""
+    wanted = _queries(spark, d).select("query_id", F.col("label").alias("wanted"))
+    gold = F.coalesce((F.col("label") == F.col("wanted")) & (F.col("query_id") != F.col("doc_id")), F.lit(False))
+    return ranking.join(_labels(spark, d), "doc_id").join(wanted, "query_id").withColumn("gold", gold)
+
+
+def _measured(spark: SparkSession, d: str, ranking: DataFrame, ks: tuple[int, ...] = (5, 10)) -> DataFrame:
+    return metrics.metrics_of_hits(_gold_sizes(spark, d), _judged(spark, d, ranking).where("gold").select("query_id", "rank"), ks)
 
 
 @add("dense_topk_cosine", f"{_RANKS} SELECT query_id, doc_id, rank, round(score, 6) AS score FROM a WHERE rank <= 10")
@@ -174,20 +190,19 @@ _METRICS = f"""{_RANKS}, n AS (SELECT query_id, count(*) AS n_gold FROM gold GRO
 @add("retrieval_metrics", f"""{_METRICS} SELECT query_id, n_gold, CAST(h5 > 0 AS DOUBLE) AS hit_at_5, round(h5 / n_gold, 6) AS recall_at_5, round(h5 / least(n_gold, 5), 6) AS capped_recall_at_5, round(ndcg5, 6) AS ndcg_at_5,
   CAST(h10 > 0 AS DOUBLE) AS hit_at_10, round(h10 / n_gold, 6) AS recall_at_10, round(h10 / least(n_gold, 10), 6) AS capped_recall_at_10, round(ndcg10, 6) AS ndcg_at_10, round(rr, 6) AS rr_at_10, round(hr / n_gold, 6) AS r_precision FROM m""")
 def retrieval_metrics(spark: SparkSession, d: str) -> DataFrame:
-    m = metrics.ranking_metrics(_dense(spark, d), _gold(spark, d))
+    m = _measured(spark, d, _dense(spark, d))
     return m.select("query_id", "n_gold", *[F.round(c, 6).alias(c) for c in m.columns[2:]])
 
 
 @add("retrieval_summary", f"{_METRICS} SELECT count(*) AS n_queries, round(avg(CAST(h10 > 0 AS DOUBLE)), 6) AS hit_at_10, round(avg(h10 / n_gold), 6) AS recall_at_10, round(avg(rr), 6) AS rr_at_10 FROM m")
 def retrieval_summary(spark: SparkSession, d: str) -> DataFrame:
-    return metrics.averages(metrics.ranking_metrics(_dense(spark, d), _gold(spark, d))).select("n_queries", "hit_at_10", "recall_at_10", "rr_at_10")
+    return metrics.averages(_measured(spark, d, _dense(spark, d))).select("n_queries", "hit_at_10", "recall_at_10", "rr_at_10")
 
 
 @add("filter_precision", f"{_RANKS} SELECT query_id, round(avg(CAST(e.label = q.label AS DOUBLE)), 6) AS filter_precision_at_10 FROM a JOIN e USING (doc_id) JOIN q USING (query_id) WHERE rank <= 10 GROUP BY query_id")
 def filter_precision(spark: SparkSession, d: str) -> DataFrame:
-    ranking = _dense(spark, d).join(F.broadcast(_queries(spark, d).select("query_id", F.col("label").alias("wanted"))), "query_id")
-    payload = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), "label")
-    out = metrics.filter_precision(ranking, payload, F.col("label") == F.col("wanted"))
+    ranking = _dense(spark, d).join(_queries(spark, d).select("query_id", F.col("label").alias("wanted")), "query_id")
+    out = metrics.filter_precision(ranking, _labels(spark, d), F.col("label") == F.col("wanted"))
     return out.select("query_id", F.round("filter_precision_at_10", 6).alias("filter_precision_at_10"))
 
 
@@ -197,8 +212,8 @@ def filter_precision(spark: SparkSession, d: str) -> DataFrame:
   SELECT query_id, CASE WHEN good THEN 'good' WHEN hit THEN 'filter_too_strict' WHEN top <> label THEN 'wrong_aspect' WHEN NOT wide THEN 'lexical_miss' ELSE 'no_gold_hit' END AS error FROM qs JOIN w USING (query_id) JOIN t USING (query_id)""")
 def retrieval_error_class(spark: SparkSession, d: str) -> DataFrame:
     """The ranking on half of the vector is judged; the one on the whole counts as unfiltered."""
-    a, b, gold = _dense(spark, d), _dense(spark, d, 32), _gold(spark, d).withColumn("gold", F.lit(True))
-    hits = lambda r, name: r.join(gold, ["query_id", "doc_id"], "left").groupBy("query_id").agg(F.coalesce(F.bool_or((F.col("rank") <= 10) & F.col("gold")), F.lit(False)).alias(name), F.coalesce(F.bool_or("gold"), F.lit(False)).alias(f"{name}_wide"))
+    a, b = _dense(spark, d), _dense(spark, d, 32)
+    hits = lambda r, name: _judged(spark, d, r).groupBy("query_id").agg(F.bool_or((F.col("rank") <= 10) & F.col("gold")).alias(name), F.bool_or("gold").alias(f"{name}_wide"))
     labels = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("label").alias("top"))
     top = b.where("rank = 2").join(labels, "doc_id").select("query_id", "top")
     j = _queries(spark, d).select("query_id", "label").join(hits(b, "good"), "query_id").join(hits(a, "pre"), "query_id").join(top, "query_id")
@@ -206,27 +221,54 @@ def retrieval_error_class(spark: SparkSession, d: str) -> DataFrame:
     return j.select("query_id", error.alias("error"))
 
 
-@add("golden_diagnostics", f"""{_RANKS}, g AS (SELECT query_id, count(*) AS n_gold, count(*) FILTER (doc_id % 2 = 0) AS present FROM gold GROUP BY 1)
+@add("golden_diagnostics", f"""{_RANKS}, held AS (SELECT DISTINCT doc_id FROM documents WHERE lang = 'en'), g AS (SELECT query_id, count(*) AS n_gold, count(held.doc_id) AS present FROM gold LEFT JOIN held USING (doc_id) GROUP BY 1)
   SELECT query_id, n_gold, present, n_gold - present AS missing, round(least(present, 5) / n_gold, 6) AS max_recall_at_5, round(least(present, 10) / n_gold, 6) AS max_recall_at_10 FROM g""")
 def golden_diagnostics(spark: SparkSession, d: str) -> DataFrame:
-    """Gold rows against an index that holds the even ids: how many are present, and what recall is possible."""
-    index = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id")).where("doc_id % 2 = 0").withColumn("held", F.lit(True))
-    g = _gold(spark, d).join(index, "doc_id", "left").groupBy("query_id").agg(F.count(F.lit(1)).alias("n_gold"), F.count("held").alias("present"))
+    """Gold rows against an index that holds the English documents: how many are present, and what recall is
+    possible. Counted by label; a query's own vector is no gold of it."""
+    held = table(spark, d, "documents").where("lang = 'en'").select("doc_id").distinct().withColumn("held", F.lit(1))
+    e = _labels(spark, d).join(held, "doc_id", "left").withColumn("held", F.coalesce("held", F.lit(0)))
+    n = e.groupBy("label").agg((F.count(F.lit(1)) - 1).alias("n_gold"), F.sum("held").alias("all")).where("n_gold > 0")
+    g = e.where("doc_id % 100 = 0").withColumnRenamed("doc_id", "query_id").join(n, "label").withColumn("present", F.col("all") - F.col("held"))
     most = lambda k: F.round(F.least("present", F.lit(k)) / F.col("n_gold"), 6).alias(f"max_recall_at_{k}")
     return g.select("query_id", "n_gold", "present", (F.col("n_gold") - F.col("present")).alias("missing"), most(5), most(10))
 
 
-@add("fusion_grid", f"""{_RANKS}, c AS (SELECT * FROM (VALUES (0.25), (0.5), (0.75)) t(w)), u AS (SELECT w, query_id, doc_id, rank, w / (60 + rank) AS s FROM a, c UNION ALL SELECT w, query_id, doc_id, rank, (1 - w) / (60 + rank) FROM b, c),
-  f AS (SELECT w, query_id, doc_id, sum(s) AS score, min(rank) AS best FROM u GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY w, query_id ORDER BY round(score, 9) DESC, best, doc_id) AS rank FROM f),
-  n AS (SELECT query_id, count(*) AS n_gold FROM gold GROUP BY 1), h AS (SELECT w, query_id, count(*) AS hits FROM r JOIN gold USING (query_id, doc_id) WHERE rank <= 20 GROUP BY ALL)
-  SELECT CAST(c.w AS DOUBLE) AS weight, round(avg(coalesce(hits, 0) / n_gold), 6) AS recall_at_20 FROM c CROSS JOIN n LEFT JOIN h ON h.w = c.w AND h.query_id = n.query_id GROUP BY 1""")
+#: The weights that the lexical ranking has in the grid of fusions.
+GRID = (0.6, 0.7, 0.8, 0.9)
+_CONFIGS = ["dense", "lexical", "rrf_equal", "lexical_first", *[f"rrf_weighted_{w}" for w in GRID]]
+_FUSIONS = "(VALUES ('rrf_equal', 0.5, 0.5), " + ", ".join(f"('rrf_weighted_{w}', {w}, {round(1 - w, 2)})" for w in GRID) + ") t(mode, wb, wa)"
+
+
+@add("fusion_grid", f"""{_RANKS}, c AS (SELECT mode, CAST(wb AS DOUBLE) AS wb, CAST(wa AS DOUBLE) AS wa FROM {_FUSIONS}),
+  u AS (SELECT mode, query_id, doc_id, rank, wa / (60 + rank) AS s FROM a, c UNION ALL SELECT mode, query_id, doc_id, rank, wb / (60 + rank) FROM b, c),
+  f AS (SELECT mode, query_id, doc_id, sum(s) AS score, min(rank) AS best FROM u GROUP BY ALL),
+  p AS (SELECT query_id, doc_id, min(o) AS o FROM (SELECT query_id, doc_id, rank AS o FROM b UNION ALL SELECT query_id, doc_id, 1000 + rank FROM a) GROUP BY ALL),
+  r AS (SELECT mode, query_id, doc_id, row_number() OVER (PARTITION BY mode, query_id ORDER BY round(score, 9) DESC, best, doc_id) AS rank FROM f
+    UNION ALL SELECT 'lexical_first', query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY o, doc_id) FROM p UNION ALL SELECT 'dense', query_id, doc_id, rank FROM a UNION ALL SELECT 'lexical', query_id, doc_id, rank FROM b),
+  n AS (SELECT query_id, count(*) AS n_gold FROM gold GROUP BY 1), h AS (SELECT mode, query_id, count(*) AS hits, min(rank) AS first FROM r JOIN gold USING (query_id, doc_id) WHERE rank <= 20 GROUP BY ALL),
+  m AS (SELECT mode, round(avg(coalesce(hits, 0) / n_gold), 6) AS recall_at_20, round(avg(CASE WHEN first <= 10 THEN 1.0 / first ELSE 0 END), 6) AS mrr_at_10 FROM (SELECT DISTINCT mode FROM r) CROSS JOIN n LEFT JOIN h USING (mode, query_id) GROUP BY 1)
+  SELECT *, row_number() OVER (ORDER BY recall_at_20 DESC, mrr_at_10 DESC, list_position({_CONFIGS}, mode)) = 1 AS best FROM m""")
 def fusion_grid(spark: SparkSession, d: str) -> DataFrame:
-    """Recall of each weighting of the two rankings; a configuration is one of the query's keys."""
-    a, b, gold, out = _dense(spark, d), _dense(spark, d, 32), _gold(spark, d), None
-    for w in (0.25, 0.5, 0.75):
-        one = metrics.ranking_metrics(retrieval.rrf([a, b], [w, 1 - w]).where("rank <= 20"), gold, ks=(20,)).agg(F.round(F.avg("recall_at_20"), 6).alias("recall_at_20")).select(F.lit(w).alias("weight"), "recall_at_20")
-        out = one if out is None else out.unionByName(one)
-    return out
+    """Recall and mrr of all configurations and the best of them, the first of equals. The lists of both
+    rankings are scored for all weights at once."""
+    a, b = _dense(spark, d), _dense(spark, d, 32)
+    weights = [("rrf_equal", 0.5), *[(f"rrf_weighted_{w}", w) for w in GRID]]
+    pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("mode"), F.lit(w).alias("wb"), F.lit(round(1 - w, 2)).alias("wa")) for m, w in weights]))
+    both = a.select("query_id", "doc_id", "rank", F.lit("wa").alias("of")).unionByName(b.select("query_id", "doc_id", "rank", F.lit("wb").alias("of")))
+    each = both.withColumn("c", pairs).select("query_id", "doc_id", "rank", "c.mode", (F.when(F.col("of") == "wa", F.col("c.wa")).otherwise(F.col("c.wb")) / (retrieval.RRF_K + F.col("rank"))).alias("s"))
+    scores = each.groupBy("mode", "query_id", "doc_id").agg(F.sum("s").alias("score"), F.min("rank").alias("best"))
+    nth = F.row_number().over(Window.partitionBy("mode", "query_id").orderBy(F.round("score", 9).desc(), "best", "doc_id"))
+    ranks = scores.withColumn("rank", nth).select("mode", "query_id", "doc_id", "rank")
+    for mode, ranking in (("lexical_first", retrieval.first_then(b, a)), ("dense", a), ("lexical", b)):
+        ranks = ranks.unionByName(ranking.select(F.lit(mode).alias("mode"), "query_id", "doc_id", "rank"))
+    hits = _judged(spark, d, ranks.where("rank <= 20")).where("gold").groupBy("mode", "query_id").agg(F.count(F.lit(1)).alias("hits"), F.min("rank").alias("first"))
+    modes = F.explode(F.array(*[F.lit(m) for m in _CONFIGS])).alias("mode")
+    j = _gold_sizes(spark, d).select("query_id", "n_gold", modes).join(hits, ["mode", "query_id"], "left")
+    rr = F.when(F.col("first") <= 10, 1.0 / F.col("first")).otherwise(0.0)
+    m = j.groupBy("mode").agg(F.round(F.avg(F.coalesce("hits", F.lit(0)) / F.col("n_gold")), 6).alias("recall_at_20"), F.round(F.avg(rr), 6).alias("mrr_at_10"))
+    order = Window.orderBy(F.col("recall_at_20").desc(), F.col("mrr_at_10").desc(), F.array_position(F.array(*[F.lit(c) for c in _CONFIGS]), F.col("mode")))
+    return m.withColumn("best", F.row_number().over(order) == 1)  # eight rows
 
 
 _any = lambda col, words: "(" + " OR ".join(f"contains({col}, '{w}')" for w in words) + ")"
