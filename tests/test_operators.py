@@ -140,3 +140,12 @@ def test_streaming_weeks(spark, tmp_path, sf):
 
     got = weekly.run_once(spark, sf, str(tmp_path / "out"), str(tmp_path / "ck"), files="events.parquet")
     assert got.agg(F.sum("volume")).first()[0] > 0
+
+
+def test_bm25_fills_up_before_negative_scores(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, "a"), (3, "")], "doc_id long, text string")
+    q = spark.createDataFrame([(9, "a"), (8, "")], "query_id long, text string")
+    for limit in (1, 3):
+        got = {(r.query_id, r.rank): r.doc_id for r in retrieval.bm25(docs, q, limit=limit).collect()}
+        want = {(9, 1): 3, (9, 2): 1, (9, 3): 2, (8, 1): 1, (8, 2): 2, (8, 3): 3}
+        assert got == {k: v for k, v in want.items() if k[1] <= limit}

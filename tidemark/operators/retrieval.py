@@ -22,24 +22,35 @@ def postings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
 
 def bm25(docs: DataFrame, queries: DataFrame, *, limit: int | None = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """BM25Okapi with floored idf, for every query; query terms that repeat count again. Documents without
-    a query term score 0 and are ranked after the others where the limit reaches them; only as many of
-    them as could be needed are paired with a query."""
-    size = docs.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size(tokens(F.col(text_col)))).alias("avgdl"))
-    post = postings(docs, id_col=id_col, text_col=text_col)
-    df = post.groupBy("term").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(size))
+    a query term score 0: they fill up queries that have fewer than `limit` documents above 0.
+
+    Document frequencies are counted by term, partially before the shuffle; of the occurrences in documents
+    only those of terms that a query asks for are grouped."""
+    found = docs.select(F.col(id_col).alias("doc_id"), tokens(F.col(text_col)).alias("t"))
+    size = found.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("t")).alias("avgdl"))
+    df = found.select(F.explode(F.array_distinct("t")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(size))
     idf = df.select("term", "avgdl", (F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw"))
     floor = idf.agg(F.avg("raw").alias("mean"))
     idf = idf.join(F.broadcast(floor)).select("term", "avgdl", F.when(F.col("raw") < 0, EPSILON * F.col("mean")).otherwise(F.col("raw")).alias("idf"))
     q = queries.select("query_id", F.explode(tokens(F.col("text"))).alias("term")).groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
+    asked = found.select("doc_id", F.size("t").alias("dl"), F.explode("t").alias("term")).join(q.select("term").distinct(), "term", "left_semi")
+    post = asked.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl"))
     tf = F.col("tf")
     part = F.col("qtf") * F.col("idf") * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
     scores = q.join(idf, "term").join(post, "term").groupBy("query_id", "doc_id").agg(F.sum(part).alias("score"))
     if limit is None:
         return ranked(scores, None)
-    # the smallest ids may be needed to fill up with zero scores
-    n_extra = docs.select(F.col(id_col).alias("doc_id")).orderBy("doc_id").limit(limit)
-    zero = queries.select("query_id").join(F.broadcast(n_extra), how="cross").join(scores.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_anti").withColumn("score", F.lit(0.0))
-    return ranked(scores.unionByName(zero), limit)
+    above = scores.where(F.round("score", 9) > 0).groupBy("query_id").count().where(F.col("count") >= limit)
+    needy = queries.select("query_id").join(above, "query_id", "left_anti")
+    # below `limit` documents above 0, so where no score is negative 2 * limit ids hold enough without a term
+    ids = found.select("doc_id")
+    few = ids.orderBy("doc_id").limit(2 * limit)
+    without = lambda q, of: q.join(of, how="cross").join(scores.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_anti")
+    zero = without(needy, F.broadcast(few))
+    # negative scores: more of the first ids may have a term, then all ids are looked at
+    full = zero.groupBy("query_id").count().where(F.col("count") >= limit)
+    zero = zero.unionByName(without(needy.join(full, "query_id", "left_anti"), ids)).distinct()
+    return ranked(scores.unionByName(zero.withColumn("score", F.lit(0.0))), limit)
 
 
 def ranked(scores: DataFrame, limit: int | None) -> DataFrame:
