@@ -52,7 +52,7 @@ def retrieval_error(good: Column, unfiltered_hit: Column, aspect_ok: Column, sen
 
 
 def matched(gold: DataFrame, predicted: DataFrame, keys: list[str], label: str = "label") -> DataFrame:
-    """Full outer match of the first label for each key: tp, fp, fn and the label pair."""
+    """Full outer match of the smallest label for each key (rows have no order that would name a first): tp, fp, fn and the label pair."""
     one = lambda df, name: df.groupBy(*keys).agg(F.min(label).alias(name))
     j = one(gold, "gold").join(one(predicted, "predicted"), keys, "full_outer")
     both = F.col("gold").isNotNull() & F.col("predicted").isNotNull()
