@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import embedding_dedup, html_extract, mixing, ngram_join, packing, pii, quality, sharding, sql, substring_dedup, toxicity
+from tidemark.llm import embedding_dedup, html_extract, line_dedup, mixing, ngram_join, packing, pii, quality, sharding, sql, substring_dedup, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -70,6 +70,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_documents(_read(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.kept_digest(line_dedup.dedup_lines(_read(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mixing": op1_source_mixing,
@@ -82,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_embedding_dedup": op8_embedding_dedup,
         "op9_quality_rules": op9_quality_rules,
         "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+        "op11_line_dedup": op11_line_dedup,
     }
 
 

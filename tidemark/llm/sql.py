@@ -35,4 +35,14 @@ OP10 = rf"""WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(text="translate(t
   {_REACHED}
 SELECT w.doc_id, coalesce(size.n, 0) AS n_shingles, least(w.doc_id, coalesce(b, w.doc_id)) AS component_id FROM w LEFT JOIN size USING (doc_id) LEFT JOIN least l ON l.a = w.doc_id"""
 
-SQL = {"op5_substring_dedup": OP5, "op8_embedding_dedup": OP8, "op10_ngram_jaccard_join": OP10}
+_BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_SMALL = "translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11 = f"""WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+  l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM s),
+  k AS (SELECT *, {_SMALL.format(x=f"trim(line, {_BLANK})")} AS key FROM l),
+  held AS (SELECT key, min(doc_id) AS first_doc FROM k WHERE length(key) >= 10 GROUP BY key),
+  g AS (SELECT k.*, coalesce(first_doc < doc_id, false) AS gone FROM k LEFT JOIN held USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM g GROUP BY doc_id"""
+
+SQL = {"op5_substring_dedup": OP5, "op8_embedding_dedup": OP8, "op10_ngram_jaccard_join": OP10, "op11_line_dedup": OP11}
