@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import embedding_dedup, html_extract, line_dedup, mixing, ngram_join, packing, pii, quality, sharding, sql, substring_dedup, toxicity
+from tidemark.llm import embedding_dedup, hard_negatives, html_extract, line_dedup, mixing, ngram_join, packing, pii, quality, sharding, sql, substring_dedup, toxicity, turn_repair
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -74,6 +75,16 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.kept_digest(line_dedup.dedup_lines(_read(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.usable(hard_negatives.relabelled(_read(spark, sf_dir, "embeddings")))
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "conversations")
+    return turn_repair.audit(rows, turn_repair.damage(rows))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mixing": op1_source_mixing,
@@ -87,6 +98,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality_rules": op9_quality_rules,
         "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
         "op11_line_dedup": op11_line_dedup,
+        "op12_hard_negatives": op12_hard_negatives,
+        "op13_turn_repair": op13_turn_repair,
     }
 
 
