@@ -51,7 +51,8 @@ def _place(id_col: str, text: str) -> list[Column]:
 
 def line_hashes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
     """(d, t, pos, h): the hash of each line whose key is long enough, with its document, text and place."""
-    rows = docs.select(*_place(id_col, text_col), F.posexplode(_lines(text_col)).alias("pos", "line"))
+    # what names a document is found below the generator, once for all its lines
+    rows = docs.select(*_place(id_col, text_col), _lines(text_col).alias("lines")).select("d", "t", F.posexplode("lines").alias("pos", "line"))
     keys = rows.select("d", "t", "pos", F.translate(F.btrim("line", F.lit(BLANK)), UPPER, UPPER.lower()).alias("key"))
     return keys.where(F.length("key") >= least).select("d", "t", "pos", _digest(F.col("key")).alias("h"))
 
@@ -118,12 +119,14 @@ def dedup_batch(store: LineStore, docs: DataFrame, *, id_col: str = "doc_id", te
     tag = "_" * (1 + max((len(c) - len(c.lstrip("_")) for c in docs.columns), default=0))
     marks = [c.alias(f"{tag}{n}") for c, n in zip(_place(id_col, text_col), "dt", strict=True)]
     rows = docs.select("*", *marks).join(places.select(F.col("d").alias(f"{tag}d"), F.col("t").alias(f"{tag}t"), F.col("p").alias(f"{tag}p")), [f"{tag}d", f"{tag}t"], "left")
-    n = F.size(_lines(text_col))
+    # columns of their own: inside a lambda the text would be split for every piece
+    rows = rows.withColumn(f"{tag}l", _lines(text_col))
+    lines, n = F.col(f"{tag}l"), F.size(f"{tag}l")
     p = F.coalesce(F.col(f"{tag}p"), F.array().cast("array<int>"))
 
     def between(i: Column) -> Column:
         begin = F.when(i == 0, 0).otherwise(F.get(p, i - 1) + 1)
-        return F.slice(_lines(text_col), begin + 1, F.coalesce(F.get(p, i), n) - begin)
+        return F.slice(lines, begin + 1, F.coalesce(F.get(p, i), n) - begin)
 
     left = F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size(p)), between)), "\n")
     text = F.when(F.col(f"{tag}p").isNull(), F.col(text_col)).otherwise(left)
