@@ -45,8 +45,8 @@ def _lines(text: str) -> Column:
 
 
 def _place(id_col: str, text: str) -> list[Column]:
-    """What names a document's rows: its id in order, null last, and its text."""
-    return [F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id")).alias("d"), _digest(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("t")]
+    """What names a document's rows: its id in order, null last, and (for rows that share one) a hash of its text."""
+    return [F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id")).alias("d"), F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("t")]
 
 
 def line_hashes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
