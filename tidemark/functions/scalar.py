@@ -170,8 +170,17 @@ def sentence_with(text: Column, needle: Column) -> Column:
     return let(readable(text), lambda r: sentence_in(r, F.lower(needle)))
 
 
+def dot(x: Column, y: Column) -> Column:
+    return F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
+
+
+def unit(x: Column) -> Column:
+    """A vector at length 1, in doubles; null if it is null or zero or holds null or non-finite components."""
+    sized = F.struct(x.alias("v"), F.sqrt(dot(x, x)).alias("n"))
+    return let(sized, lambda r: F.when((r["n"] > 0) & (r["n"] < float("inf")), F.transform(r["v"], lambda c: c.cast("double") / r["n"])))
+
+
 def cosine(a: Column, b: Column) -> Column:
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
     return dot(a, b) / F.nullif(F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)), F.lit(0.0))
 
 

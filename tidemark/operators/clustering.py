@@ -2,66 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructType
 
 from tidemark.functions.scalar import CLUSTER_WEIGHTS, severity_weight
 from tidemark.operators import lexicon as lx
+from tidemark.operators.kmeans import KMeans
+from tidemark.sources.shared import kept
 
 MIN_SIZE, MAX_CLUSTERS, KEYWORDS, SEED, STARTS = 5, 8, 8, 42, 10
 
 
-def terms(text: Column) -> Column:
-    """Words of two letters or more without stop words, then pairs of neighbours."""
+def terms(text: Column, stop_words: bool = True) -> Column:
+    """Words of two letters or more, without stop words unless these are asked for, then pairs of neighbours."""
     stop = F.array(*[F.lit(w) for w in StopWordsRemover.loadDefaultStopWords("english")])
-    w = F.filter(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"(?U)\b\w\w+\b"), F.lit(0)), lambda x: ~F.array_contains(stop, x))
+    w = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))
+    w = F.filter(w, lambda x: ~F.array_contains(stop, x)) if stop_words else w
     pairs = lambda ws: F.transform(F.sequence(F.lit(1), F.size(ws) - 1), lambda i: F.concat_ws(" ", F.get(ws, i - 1), F.get(ws, i)))
     # as the element of an array the words are found once
     return F.get(F.transform(F.array(w), lambda ws: F.when(F.size(ws) > 1, F.concat(ws, pairs(ws))).otherwise(ws)), F.lit(0))
 
 
 def tf_idf(docs: DataFrame, group: str, id_col: str, text: str) -> DataFrame:
-    """(group, id, term, weight): sublinear tf, smoothed idf within the group, rows of length 1."""
+    """(group, id, term, weight): sublinear tf, smoothed idf within the group, rows of length 1. A group of
+    nothing but stop words keeps them."""
     listed = docs.select(group, id_col, F.explode(terms(F.col(text))).alias("term"))
+    some = docs.groupBy(group).agg(F.count(F.lit(1)).alias("__n"), F.bool_or(F.size(terms(F.col(text))) > 0).alias("__some"))
+    bare = docs.join(some.where("NOT __some").select(group), group, "left_semi")
+    listed = listed.unionByName(bare.select(group, id_col, F.explode(terms(F.col(text), stop_words=False)).alias("term")))
     tf = listed.groupBy(group, id_col, "term").agg((1 + F.log(F.count(F.lit(1)))).alias("tf"))
-    n = docs.groupBy(group).agg(F.count(F.lit(1)).alias("__n"))
-    df = tf.groupBy(group, "term").agg(F.count(F.lit(1)).alias("__df")).join(n, group)
+    df = tf.groupBy(group, "term").agg(F.count(F.lit(1)).alias("__df")).join(some.select(group, "__n"), group)
     w = tf.join(df, [group, "term"]).withColumn("w", F.col("tf") * (F.log((1 + F.col("__n")) / (1 + F.col("__df"))) + 1))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(group, id_col)))
     return w.select(group, id_col, "term", (F.col("w") / norm).alias("weight"))
 
 
-def k_of(n: int, least: int = MIN_SIZE, most: int = MAX_CLUSTERS) -> int:
-    return max(1, min(most, n // least))
-
-
-def assign(docs: DataFrame, *, group: str, id_col: str, text: str, features: int = 4096, starts: int = STARTS, least: int = MIN_SIZE) -> DataFrame:
-    """(group, id, cluster). Terms are hashed to vectors, k-means runs distributed for each group (the
-    groups are the aspects, a handful); the start with the least cost wins. Groups below `least` are
-    left out; clusters below it are dropped, and if all are, the group is one cluster."""
-    weights = tf_idf(docs, group, id_col, text).withColumn("__i", F.pmod(F.xxhash64("term"), F.lit(features)).cast("int"))
-    summed = weights.groupBy(group, id_col, "__i").agg(F.sum("weight").alias("w")).groupBy(group, id_col).agg(F.array_sort(F.collect_list(F.struct("__i", "w"))).alias("x"))
-    to_vector = F.udf(lambda x: SparseVector(features, [(r["__i"], r["w"]) for r in x]), VectorUDT())
-    data = summed.select(group, id_col, to_vector("x").alias("features")).repartition(4, id_col).sortWithinPartitions(id_col).cache()
-    out = None
-    for r in data.groupBy(group).count().where(F.col("count") >= least).orderBy(group).collect():
-        part = data.where(F.col(group) == r[group])
-        k = k_of(r["count"], least)
-        models = [KMeans(k=k, seed=SEED + s, maxIter=20).fit(part) for s in range(starts if k > 1 else 1)]
-        best = min(models, key=lambda m: m.summary.trainingCost)
-        made = best.transform(part).select(group, id_col, F.col("prediction").alias("cluster"))
-        size = F.count(F.lit(1)).over(Window.partitionBy("cluster"))
-        made = made.withColumn("__s", size).withColumn("__any", F.max("__s").over(Window.partitionBy(group)))
-        made = made.where((F.col("__s") >= least) | (F.col("__any") < least)).withColumn("cluster", F.when(F.col("__any") < least, 0).otherwise(F.col("cluster"))).drop("__s", "__any")
-        out = made if out is None else out.unionByName(made)
-    if out is None:
-        kinds = StructType([docs.schema[group], docs.schema[id_col]]).add("cluster", IntegerType())
-        return docs.sparkSession.createDataFrame([], kinds)
-    return out
+def clusters_of(n: Column, least: int = MIN_SIZE, most: int = MAX_CLUSTERS) -> Column:
+    return F.greatest(F.lit(1), F.least(F.lit(most), F.floor(n / least))).cast("int")
+
+
+def assign(docs: DataFrame, *, group: str, id_col: str, text: str, starts: int = STARTS, least: int = MIN_SIZE, most: int = MAX_CLUSTERS, seed: int = SEED) -> DataFrame:
+    """(group, id, cluster) by k-means on the TF-IDF of all terms, for all groups and starts at once; the start with
+    the least cost counts. Groups below `least` are left out; clusters below it are dropped, and if all are, or a
+    group has no terms, the group is one cluster."""
+    key = docs.select(F.col(group).cast("string").alias("g"), F.col(id_col).cast("string").alias("id"), F.col(group).alias("__group"), F.col(id_col).alias("__id")).distinct()
+    key = kept(key.join(key.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least), "g"), "documents")
+    weights = tf_idf(docs, group, id_col, text).select(F.col(group).cast("string").alias("g"), F.col(id_col).cast("string").alias("id"), "term", F.col("weight").alias("w"))
+    entries = key.select("g", "id").join(weights, ["g", "id"], "left").withColumn("w", F.coalesce("w", F.lit(0.0)))
+    found = KMeans(entries, key.groupBy("g").agg(F.first("n").alias("n")).select("g", clusters_of(F.col("n"), least, most).alias("k")), most=most, starts=starts, seed=seed).fit()
+    found = kept(found, "clusters")
+    sizes = found.groupBy("g", "cluster").agg(F.count(F.lit(1)).alias("s"))
+    whole = sizes.groupBy("g").agg((F.max("s") < least).alias("whole"))
+    made = found.join(sizes, ["g", "cluster"]).join(whole, "g").where((F.col("s") >= least) | F.col("whole"))
+    return key.join(made, ["g", "id"]).select(F.col("__group").alias(group), F.col("__id").alias(id_col), F.when(F.col("whole"), 0).otherwise(F.col("cluster")).cast("int").alias("cluster"))
 
 
 def keywords(weights: DataFrame, members: DataFrame, group: str, id_col: str, limit: int = KEYWORDS) -> DataFrame:

@@ -51,6 +51,19 @@ def retrieval_error(good: Column, unfiltered_hit: Column, aspect_ok: Column, sen
     return F.when(good, "good").when(unfiltered_hit, "filter_too_strict").when(~aspect_ok, "wrong_aspect").when(~sentiment_ok, "wrong_sentiment").when(dense_mode & ~wide_hit, "lexical_miss").otherwise("no_gold_hit")
 
 
+def run_errors(rows: DataFrame, fits: Column, wanted: DataFrame, *, aspect: str, sentiment: str, k: int = 10) -> DataFrame:
+    """(mode, query_id, error) for runs (mode, query_id, doc_id, rank, gold and payload) that are judged with a filter and
+    without it, from the same rows. wanted: the payload that a query (query_id) expects."""
+    nth = F.row_number().over(Window.partitionBy("mode", "query_id").orderBy("rank"))
+    held = rows.where(fits).withColumn("__n", nth)
+    top = lambda c: F.max(F.when(F.col("__n") == 1, F.col(c))).alias(f"__top_{c}")
+    good = held.groupBy("mode", "query_id").agg(F.bool_or((F.col("__n") <= k) & F.col("gold")).alias("__good"), top(aspect), top(sentiment))
+    wide = rows.groupBy("mode", "query_id").agg(F.bool_or((F.col("rank") <= k) & F.col("gold")).alias("__hit"), F.bool_or("gold").alias("__wide"))
+    j = wide.join(good, ["mode", "query_id"], "left").join(wanted, "query_id")
+    same = lambda c: F.col(f"__top_{c}").eqNullSafe(F.col(c))
+    return j.withColumn("error", retrieval_error(F.coalesce("__good", F.lit(False)), F.col("__hit"), same(aspect), same(sentiment), F.col("mode") == "dense", F.col("__wide")))
+
+
 def matched(gold: DataFrame, predicted: DataFrame, keys: list[str], label: str = "label") -> DataFrame:
     """Full outer match of the smallest label for each key (rows have no order that would name a first): tp, fp, fn and the label pair."""
     one = lambda df, name: df.groupBy(*keys).agg(F.min(label).alias(name))

@@ -8,66 +8,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import cosine, tokens
+from tidemark.functions.scalar import dot, unit
+from tidemark.operators.rankings import ranked
+from tidemark.operators.text_index import TextIndex
 
-K1, B, EPSILON = 1.5, 0.75, 0.25
 RRF_K = 60
 
 
-def postings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, term, tf, dl): term counts by document; aggregated before it is shuffled."""
-    t = docs.select(F.col(id_col).alias("doc_id"), tokens(F.col(text_col)).alias("t")).select("doc_id", F.size("t").alias("dl"), F.explode("t").alias("term"))
-    return t.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl"))
-
-
 def bm25(docs: DataFrame, queries: DataFrame, *, limit: int | None = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """BM25Okapi with floored idf, for every query; query terms that repeat count again. Documents without
-    a query term score 0: they fill up queries that have fewer than `limit` documents above 0.
-
-    Document frequencies are counted by term, partially before the shuffle; of the occurrences in documents
-    only those of terms that a query asks for are grouped."""
-    found = docs.select(F.col(id_col).alias("doc_id"), tokens(F.col(text_col)).alias("t"))
-    size = found.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("t")).alias("avgdl"))
-    df = found.select(F.explode(F.array_distinct("t")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(size))
-    idf = df.select("term", "avgdl", (F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw"))
-    floor = idf.agg(F.avg("raw").alias("mean"))
-    idf = idf.join(F.broadcast(floor)).select("term", "avgdl", F.when(F.col("raw") < 0, EPSILON * F.col("mean")).otherwise(F.col("raw")).alias("idf"))
-    q = queries.select("query_id", F.explode(tokens(F.col("text"))).alias("term")).groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
-    asked = found.select("doc_id", F.size("t").alias("dl"), F.explode("t").alias("term")).join(q.select("term").distinct(), "term", "left_semi")
-    post = asked.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl"))
-    tf = F.col("tf")
-    part = F.col("qtf") * F.col("idf") * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
-    scores = q.join(idf, "term").join(post, "term").groupBy("query_id", "doc_id").agg(F.sum(part).alias("score"))
-    if limit is None:
-        return ranked(scores, None)
-    above = scores.where(F.round("score", 9) > 0).groupBy("query_id").count().where(F.col("count") >= limit)
-    needy = queries.select("query_id").join(above, "query_id", "left_anti")
-    # below `limit` documents above 0, so where no score is negative 2 * limit ids hold enough without a term
-    ids = found.select("doc_id")
-    few = ids.orderBy("doc_id").limit(2 * limit)
-    without = lambda q, of: q.join(of, how="cross").join(scores.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_anti")
-    zero = without(needy, F.broadcast(few))
-    # negative scores: more of the first ids may have a term, then all ids are looked at
-    full = zero.groupBy("query_id").count().where(F.col("count") >= limit)
-    zero = zero.unionByName(without(needy.join(full, "query_id", "left_anti"), ids)).distinct()
-    return ranked(scores.unionByName(zero.withColumn("score", F.lit(0.0))), limit)
-
-
-def ranked(scores: DataFrame, limit: int | None) -> DataFrame:
-    # rounded, so that equal documents tie whatever the order in which their parts were added
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), "doc_id"))
-    out = scores.withColumn("rank", rank)
-    return out.where(F.col("rank") <= limit) if limit else out
+    a query term score 0: they fill up queries that have fewer than `limit` documents above 0. The index is built for
+    this call; keep a TextIndex where more calls follow."""
+    return TextIndex.build(docs, id_col=id_col, text_col=text_col).search(queries, limit=limit)
 
 
 def dense(vectors: DataFrame, queries: DataFrame, *, limit: int = 10, where: Column | None = None, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """Exact cosine for a stated set of queries against all vectors; the filter goes below the scan.
+    """Exact cosine for a stated set of queries against all vectors; the filter goes below the scan. For more
+    queries than fit beside a task's vectors build a VectorIndex.
 
-    The query set is the small side (its size is the caller's) and is sent to every task; each task keeps
-    its own best rows of a query (a limit on rank below the shuffle) before they meet."""
+    Lengths are taken once for each side. Spark sends the queries to every task if they are below its limit for that, and
+    pairs partitions if not; each task keeps its own best rows of a query before they meet."""
     base = vectors if where is None else vectors.where(where)
-    q = queries.select("query_id", F.col("vector").alias("__q"))
-    scores = base.join(F.broadcast(q), how="cross").select("query_id", F.col(id_col).alias("doc_id"), cosine(F.col("__q"), F.col(vector_col)).alias("score"))
+    q = queries.select("query_id", unit(F.col("vector")).alias("__q")).where("__q IS NOT NULL")
+    v = base.select(F.col(id_col).alias("doc_id"), unit(F.col(vector_col)).alias("__v")).where("__v IS NOT NULL")
+    scores = v.crossJoin(q).select("query_id", "doc_id", dot(F.col("__q"), F.col("__v")).alias("score"))
     return ranked(scores.where("score IS NOT NULL"), limit)
 
 

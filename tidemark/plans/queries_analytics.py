@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalar import payload_filter
 from tidemark.operators import agent, anomaly, metrics, retrieval
 from tidemark.operators import lexicon as lx
+from tidemark.operators.rankings import recall
+from tidemark.operators.vector_index import VectorIndex
+from tidemark.plans.queries_text import _BM25
 from tidemark.plans.registry import Registry, table
+from tidemark.sources.shared import kept
 
 REGISTRY = Registry()
 add = REGISTRY.add
@@ -102,41 +106,63 @@ def prf_macro_micro(spark: SparkSession, d: str) -> DataFrame:
 # queries: vectors whose id is divisible by 100, against all vectors; gold: the same label
 _RANKS = """WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings WHERE vec_id % 100 = 0),
   e AS (SELECT vec_id AS doc_id, CAST(embedding AS DOUBLE[]) AS e, label FROM embeddings),
-  sa AS (SELECT query_id, doc_id, round(list_cosine_similarity(v, e), 9) AS score FROM q, e), sb AS (SELECT query_id, doc_id, round(list_cosine_similarity(v[1:32], e[1:32]), 9) AS score FROM q, e),
-  ra AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM sa), rb AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM sb),
-  a AS (SELECT * FROM ra WHERE rank <= 50), b AS (SELECT * FROM rb WHERE rank <= 50),
+  sa AS (SELECT query_id, doc_id, round(list_cosine_similarity(v, e), 9) AS score FROM q, e),
+  ra AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM sa),
+  a AS (SELECT * FROM ra WHERE rank <= 50),
   gold AS (SELECT query_id, doc_id FROM q JOIN e USING (label) WHERE query_id <> doc_id)"""
 
 
-def _queries(spark: SparkSession, d: str, part: int | None = None) -> DataFrame:
-    v = F.col("embedding") if part is None else F.slice("embedding", 1, part)
-    return table(spark, d, "embeddings").where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), v.alias("vector"), "label")
+# a text and a vector for each query: benchmark items and the vectors of the same ids; documents and vectors share ids
+_HYBRID = _RANKS.replace("SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings WHERE vec_id % 100 = 0", "SELECT item_id AS query_id, CAST(embedding AS DOUBLE[]) AS v, label FROM benchmark JOIN embeddings ON vec_id = item_id") + f""",
+  b AS (SELECT query_id, doc_id, rank FROM ({_BM25} SELECT query_id, doc_id, rank FROM r WHERE rank <= 50) x JOIN q USING (query_id))"""
 
 
-def _dense(spark: SparkSession, d: str, part: int | None = None, limit: int = 50) -> DataFrame:
-    vectors = table(spark, d, "embeddings")
-    if part:
-        vectors = vectors.withColumn("embedding", F.slice("embedding", 1, part))
-    return retrieval.dense(vectors, _queries(spark, d, part), limit=limit)
+def _queries(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "embeddings").where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"), "label")
+
+
+def _dense(spark: SparkSession, d: str, limit: int = 50) -> DataFrame:
+    return retrieval.dense(table(spark, d, "embeddings"), _queries(spark, d), limit=limit)
+
+
+def _items(spark: SparkSession, d: str) -> DataFrame:
+    items = table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    vectors = table(spark, d, "embeddings").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"), "label")
+    return items.join(vectors, "query_id")
+
+
+def _both(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The first 50 by vector and by text, each computed once."""
+    items = _items(spark, d)
+    dense = retrieval.dense(table(spark, d, "embeddings"), items, limit=50).select("query_id", "doc_id", "rank", "score")
+    lexical = retrieval.bm25(table(spark, d, "documents"), items, limit=50).select("query_id", "doc_id", "rank", "score")
+    return kept(dense, "dense"), kept(lexical, "lexical")
 
 
 def _labels(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), "label")
 
 
-def _gold_sizes(spark: SparkSession, d: str) -> DataFrame:
+def _gold_sizes(spark: SparkSession, d: str, queries: DataFrame | None = None) -> DataFrame:
     """How many other vectors have a query's label. Counted by label: the pairs themselves grow with the square."""
     n = table(spark, d, "embeddings").groupBy("label").agg((F.count(F.lit(1)) - 1).alias("n_gold")).where("n_gold > 0")
-    return _queries(spark, d).select("query_id", "label").join(n, "label").select("query_id", "n_gold")
+    return (queries or _queries(spark, d)).select("query_id", "label").join(n, "label").select("query_id", "n_gold")
 
 
-def _judged(spark: SparkSession, d: str, ranking: DataFrame) -> DataFrame:
+def _judged(spark: SparkSession, d: str, ranking: DataFrame, queries: DataFrame | None = None) -> DataFrame:
     """The ranking, with whether a row is gold: another vector of the query's label."""
-    wanted = _queries(spark, d).select("query_id", F.col("label").alias("wanted"))
+    wanted = (queries or _queries(spark, d)).select("query_id", F.col("label").alias("wanted"))
     gold = F.coalesce((F.col("label") == F.col("wanted")) & (F.col("query_id") != F.col("doc_id")), F.lit(False))
     return ranking.join(_labels(spark, d), "doc_id").join(wanted, "query_id").withColumn("gold", gold)
 
 
+def _judged_by(rows: DataFrame, queries: DataFrame) -> DataFrame:
+    """Ranked rows that have labels, with whether they are gold."""
+    wanted = queries.select("query_id", F.col("label").alias("wanted"))
+    gold = F.coalesce((F.col("label") == F.col("wanted")) & (F.col("query_id") != F.col("doc_id")), F.lit(False))
+    return rows.join(wanted, "query_id").withColumn("gold", gold).drop("wanted")
+
+
 def _measured(spark: SparkSession, d: str, ranking: DataFrame, ks: tuple[int, ...] = (5, 10)) -> DataFrame:
     return metrics.metrics_of_hits(_gold_sizes(spark, d), _judged(spark, d, ranking).where("gold").select("query_id", "rank"), ks)
 
@@ -152,32 +178,61 @@ def dense_filtered_topk(spark: SparkSession, d: str) -> DataFrame:
     return out.select("query_id", "doc_id", F.col("rank").cast("long").alias("rank"))
 
 
-_FUSED = f"{_RANKS}, u AS (SELECT query_id, doc_id, rank, 1.0 / (60 + rank) AS s FROM a UNION ALL SELECT query_id, doc_id, rank, 1.0 / (60 + rank) FROM b), f AS (SELECT query_id, doc_id, sum(s) AS score, min(rank) AS best FROM u GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, best, doc_id) AS rank FROM f)"
+# the index answers with everything that its bound can't rule out, so that it equals a scan
+@add("ivf_topk", f"{_RANKS} SELECT query_id, doc_id, rank, round(score, 6) AS score FROM a WHERE rank <= 10")
+def ivf_topk(spark: SparkSession, d: str) -> DataFrame:
+    out = VectorIndex.build(table(spark, d, "embeddings")).search(_queries(spark, d), probes=4, exact=True)
+    return out.select("query_id", "doc_id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
 
 
-@add("rrf_fusion", f"{_FUSED} SELECT query_id, doc_id, rank, round(score, 6) AS score FROM r WHERE rank <= 20")
-def rrf_fusion(spark: SparkSession, d: str) -> DataFrame:
-    out = retrieval.rrf([_dense(spark, d), _dense(spark, d, 32)]).where("rank <= 20")
-    return out.select("query_id", "doc_id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
+@add("ivf_filtered_topk", f"{_RANKS}, f AS (SELECT sa.*, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM sa JOIN e USING (doc_id) WHERE label BETWEEN 2 AND 5) SELECT query_id, doc_id, rank FROM f WHERE rank <= 10")
+def ivf_filtered_topk(spark: SparkSession, d: str) -> DataFrame:
+    index = VectorIndex.build(table(spark, d, "embeddings").withColumnRenamed("label", "rating"), payload=("rating",))
+    out = index.search(_queries(spark, d), probes=4, where=payload_filter(rating_min=2, rating_max=5), exact=True)
+    return out.select("query_id", "doc_id", F.col("rank").cast("long").alias("rank"))
+
+
+@add("ivf_recall")
+def ivf_recall(spark: SparkSession, d: str) -> DataFrame:
+    """Recall of the first ten against a scan of all vectors, by the share of cells that are probed, and the share of pairs
+    that are compared then."""
+    index, queries = VectorIndex.build(table(spark, d, "embeddings")), _queries(spark, d)
+    truth, n, out = kept(retrieval.dense(table(spark, d, "embeddings"), queries), "truth"), index.cells.count(), None
+    for share in (0.1, 0.25, 0.5, 0.75):
+        probes = max(1, round(share * n))
+        found = recall(index.search(queries, probes=probes), truth)
+        row = found.select(F.lit(probes).alias("probes"), F.lit(n).alias("cells"), F.round(F.lit(index.read_share(queries, probes)), 6).alias("compared"), F.round("recall_at_10", 6).alias("recall_at_10"))
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
-_WEIGHTED = _FUSED.replace("1.0 / (60 + rank) AS s FROM a", "0.75 / (60 + rank) AS s FROM a").replace("1.0 / (60 + rank) FROM b", "0.25 / (60 + rank) FROM b")
+def _fused_sql(dense: float, lexical: float) -> str:
+    return f"""{_HYBRID}, u AS (SELECT query_id, doc_id, rank, CAST({dense} AS DOUBLE) / (60 + rank) AS s FROM a UNION ALL SELECT query_id, doc_id, rank, CAST({lexical} AS DOUBLE) / (60 + rank) FROM b), f AS (SELECT query_id, doc_id, sum(s) AS score, min(rank) AS best FROM u GROUP BY ALL),
+  r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, best, doc_id) AS rank FROM f)"""
+
+
+@add("rrf_fusion", f"{_fused_sql(1, 1)} SELECT query_id, doc_id, rank, round(score, 6) AS score FROM r WHERE rank <= 20")
+def rrf_fusion(spark: SparkSession, d: str) -> DataFrame:
+    out = retrieval.rrf([*_both(spark, d)]).where("rank <= 20")
+    return out.select("query_id", "doc_id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
 
 
-@add("weighted_rrf", f"{_WEIGHTED} SELECT query_id, doc_id, rank, round(score, 6) AS score FROM r WHERE rank <= 20")
+@add("weighted_rrf", f"{_fused_sql(0.75, 0.25)} SELECT query_id, doc_id, rank, round(score, 6) AS score FROM r WHERE rank <= 20")
 def weighted_rrf(spark: SparkSession, d: str) -> DataFrame:
-    out = retrieval.rrf([_dense(spark, d), _dense(spark, d, 32)], [0.75, 0.25]).where("rank <= 20")
+    out = retrieval.rrf([*_both(spark, d)], [0.75, 0.25]).where("rank <= 20")
     return out.select("query_id", "doc_id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
 
 
-@add("priority_fill", f"{_RANKS}, u AS (SELECT query_id, doc_id, 0 AS src, rank FROM a UNION ALL SELECT query_id, doc_id, 1, rank FROM b), m AS (SELECT query_id, doc_id, min(src * 1000 + rank) AS o FROM u GROUP BY ALL) SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY o, doc_id) AS rank FROM m")
+@add("priority_fill", f"{_HYBRID}, u AS (SELECT query_id, doc_id, 0 AS src, rank FROM b UNION ALL SELECT query_id, doc_id, 1, rank FROM a), m AS (SELECT query_id, doc_id, min(src * 1000 + rank) AS o FROM u GROUP BY ALL) SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY o, doc_id) AS rank FROM m")
 def priority_fill(spark: SparkSession, d: str) -> DataFrame:
-    return retrieval.first_then(_dense(spark, d), _dense(spark, d, 32)).select("query_id", "doc_id", F.col("rank").cast("long").alias("rank"))
+    dense, lexical = _both(spark, d)
+    return retrieval.first_then(lexical, dense).select("query_id", "doc_id", F.col("rank").cast("long").alias("rank"))
 
 
-@add("hybrid_search", f"{_WEIGHTED.replace('0.75', '0.5').replace('0.25', '0.5')} SELECT query_id, doc_id, rank, round(1.0 / rank, 6) AS score FROM r WHERE rank <= 20")
+@add("hybrid_search", f"{_fused_sql(0.5, 0.5)} SELECT query_id, doc_id, rank, round(1.0 / rank, 6) AS score FROM r WHERE rank <= 20")
 def hybrid_search(spark: SparkSession, d: str) -> DataFrame:
-    out = retrieval.hybrid(_dense(spark, d), _dense(spark, d, 32), mode="weighted")
+    """Documents by BM25 and vectors of the same ids by cosine, fused with equal weights."""
+    out = retrieval.search("weighted", table(spark, d, "documents"), table(spark, d, "embeddings"), _items(spark, d), limit=20)
     return out.select("query_id", "doc_id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
 
 
@@ -206,19 +261,22 @@ def filter_precision(spark: SparkSession, d: str) -> DataFrame:
     return out.select("query_id", F.round("filter_precision_at_10", 6).alias("filter_precision_at_10"))
 
 
-@add("retrieval_error_class", f"""{_RANKS}, qs AS (SELECT q.query_id, q.label, coalesce(bool_or(b.rank <= 10 AND g.doc_id IS NOT NULL), false) AS good FROM q LEFT JOIN b USING (query_id) LEFT JOIN gold g ON g.query_id = b.query_id AND g.doc_id = b.doc_id GROUP BY ALL),
-  w AS (SELECT a.query_id, bool_or(a.rank <= 10 AND g.doc_id IS NOT NULL) AS hit, bool_or(g.doc_id IS NOT NULL) AS wide FROM a LEFT JOIN gold g ON g.query_id = a.query_id AND g.doc_id = a.doc_id GROUP BY 1),
-  t AS (SELECT b.query_id, e.label AS top FROM b JOIN e USING (doc_id) WHERE rank = 2)
-  SELECT query_id, CASE WHEN good THEN 'good' WHEN hit THEN 'filter_too_strict' WHEN top <> label THEN 'wrong_aspect' WHEN NOT wide THEN 'lexical_miss' ELSE 'no_gold_hit' END AS error FROM qs JOIN w USING (query_id) JOIN t USING (query_id)""")
+@add("retrieval_error_class", f"""{_HYBRID}, runs AS (SELECT 'dense' AS mode, query_id, doc_id, rank FROM a UNION ALL SELECT 'lexical', query_id, doc_id, rank FROM b),
+  j AS (SELECT runs.*, l.label, d.lang, d.source, g.doc_id IS NOT NULL AS gold FROM runs LEFT JOIN e l USING (doc_id) LEFT JOIN documents d USING (doc_id) LEFT JOIN gold g USING (query_id, doc_id)),
+  f AS (SELECT *, row_number() OVER (PARTITION BY mode, query_id ORDER BY rank) AS kept FROM j WHERE lang = 'en'),
+  good AS (SELECT mode, query_id, bool_or(kept <= 10 AND gold) AS good, any_value(label) FILTER (kept = 1) AS top_label, any_value(source) FILTER (kept = 1) AS top_source FROM f GROUP BY ALL),
+  wide AS (SELECT mode, query_id, bool_or(rank <= 10 AND gold) AS hit, bool_or(gold) AS wide FROM j GROUP BY ALL)
+  SELECT w.mode, w.query_id, CASE WHEN good THEN 'good' WHEN hit THEN 'filter_too_strict' WHEN top_label IS DISTINCT FROM q.label THEN 'wrong_aspect' WHEN top_source IS DISTINCT FROM d.source THEN 'wrong_sentiment' WHEN w.mode = 'dense' AND NOT wide THEN 'lexical_miss' ELSE 'no_gold_hit' END AS error
+  FROM wide w JOIN q USING (query_id) LEFT JOIN good USING (mode, query_id) LEFT JOIN documents d ON d.doc_id = w.query_id""")
 def retrieval_error_class(spark: SparkSession, d: str) -> DataFrame:
-    """The ranking on half of the vector is judged; the one on the whole counts as unfiltered."""
-    a, b = _dense(spark, d), _dense(spark, d, 32)
-    hits = lambda r, name: _judged(spark, d, r).groupBy("query_id").agg(F.bool_or((F.col("rank") <= 10) & F.col("gold")).alias(name), F.bool_or("gold").alias(f"{name}_wide"))
-    labels = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("label").alias("top"))
-    top = b.where("rank = 2").join(labels, "doc_id").select("query_id", "top")
-    j = _queries(spark, d).select("query_id", "label").join(hits(b, "good"), "query_id").join(hits(a, "pre"), "query_id").join(top, "query_id")
-    error = metrics.retrieval_error(F.col("good"), F.col("pre"), F.col("top") == F.col("label"), F.lit(True), F.lit(True), F.col("pre_wide"))
-    return j.select("query_id", error.alias("error"))
+    """Dense and lexical runs with the English documents alone and with all. A label stands for an aspect, a
+    document's source for its sentiment."""
+    items, (dense, lexical) = _items(spark, d), _both(spark, d)
+    runs = dense.withColumn("mode", F.lit("dense")).unionByName(lexical.withColumn("mode", F.lit("lexical")))
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source")
+    facts = docs.join(_labels(spark, d), "doc_id", "full_outer")
+    j = _judged_by(runs.join(facts, "doc_id", "left"), items)
+    return metrics.run_errors(j, F.col("lang") == "en", items.select("query_id", "label").join(docs.select(F.col("doc_id").alias("query_id"), "source"), "query_id", "left"), aspect="label", sentiment="source").select("mode", "query_id", "error")
 
 
 @add("golden_diagnostics", f"""{_RANKS}, held AS (SELECT DISTINCT doc_id FROM documents WHERE lang = 'en'), g AS (SELECT query_id, count(*) AS n_gold, count(held.doc_id) AS present FROM gold LEFT JOIN held USING (doc_id) GROUP BY 1)
@@ -240,7 +298,7 @@ _CONFIGS = ["dense", "lexical", "rrf_equal", "lexical_first", *[f"rrf_weighted_{
 _FUSIONS = "(VALUES ('rrf_equal', 0.5, 0.5), " + ", ".join(f"('rrf_weighted_{w}', {w}, {round(1 - w, 2)})" for w in GRID) + ") t(mode, wb, wa)"
 
 
-@add("fusion_grid", f"""{_RANKS}, c AS (SELECT mode, CAST(wb AS DOUBLE) AS wb, CAST(wa AS DOUBLE) AS wa FROM {_FUSIONS}),
+@add("fusion_grid", f"""{_HYBRID}, c AS (SELECT mode, CAST(wb AS DOUBLE) AS wb, CAST(wa AS DOUBLE) AS wa FROM {_FUSIONS}),
   u AS (SELECT mode, query_id, doc_id, rank, wa / (60 + rank) AS s FROM a, c UNION ALL SELECT mode, query_id, doc_id, rank, wb / (60 + rank) FROM b, c),
   f AS (SELECT mode, query_id, doc_id, sum(s) AS score, min(rank) AS best FROM u GROUP BY ALL),
   p AS (SELECT query_id, doc_id, min(o) AS o FROM (SELECT query_id, doc_id, rank AS o FROM b UNION ALL SELECT query_id, doc_id, 1000 + rank FROM a) GROUP BY ALL),
@@ -252,7 +310,7 @@ _FUSIONS = "(VALUES ('rrf_equal', 0.5, 0.5), " + ", ".join(f"('rrf_weighted_{w}'
 def fusion_grid(spark: SparkSession, d: str) -> DataFrame:
     """Recall and mrr of all configurations and the best of them, the first of equals. The lists of both
     rankings are scored for all weights at once."""
-    a, b = _dense(spark, d), _dense(spark, d, 32)
+    items, (a, b) = _items(spark, d), _both(spark, d)
     weights = [("rrf_equal", 0.5), *[(f"rrf_weighted_{w}", w) for w in GRID]]
     pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("mode"), F.lit(w).alias("wb"), F.lit(round(1 - w, 2)).alias("wa")) for m, w in weights]))
     both = a.select("query_id", "doc_id", "rank", F.lit("wa").alias("of")).unionByName(b.select("query_id", "doc_id", "rank", F.lit("wb").alias("of")))
@@ -262,9 +320,9 @@ def fusion_grid(spark: SparkSession, d: str) -> DataFrame:
     ranks = scores.withColumn("rank", nth).select("mode", "query_id", "doc_id", "rank")
     for mode, ranking in (("lexical_first", retrieval.first_then(b, a)), ("dense", a), ("lexical", b)):
         ranks = ranks.unionByName(ranking.select(F.lit(mode).alias("mode"), "query_id", "doc_id", "rank"))
-    hits = _judged(spark, d, ranks.where("rank <= 20")).where("gold").groupBy("mode", "query_id").agg(F.count(F.lit(1)).alias("hits"), F.min("rank").alias("first"))
+    hits = _judged(spark, d, ranks.where("rank <= 20"), items).where("gold").groupBy("mode", "query_id").agg(F.count(F.lit(1)).alias("hits"), F.min("rank").alias("first"))
     modes = F.explode(F.array(*[F.lit(m) for m in _CONFIGS])).alias("mode")
-    j = _gold_sizes(spark, d).select("query_id", "n_gold", modes).join(hits, ["mode", "query_id"], "left")
+    j = _gold_sizes(spark, d, items).select("query_id", "n_gold", modes).join(hits, ["mode", "query_id"], "left")
     rr = F.when(F.col("first") <= 10, 1.0 / F.col("first")).otherwise(0.0)
     m = j.groupBy("mode").agg(F.round(F.avg(F.coalesce("hits", F.lit(0)) / F.col("n_gold")), 6).alias("recall_at_20"), F.round(F.avg(rr), 6).alias("mrr_at_10"))
     order = Window.orderBy(F.col("recall_at_20").desc(), F.col("mrr_at_10").desc(), F.array_position(F.array(*[F.lit(c) for c in _CONFIGS]), F.col("mode")))

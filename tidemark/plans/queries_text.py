@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalar
-from tidemark.operators import absa, agent, brand, clustering, dq, retrieval
+from tidemark.operators import absa, agent, brand, clustering, dq, retrieval, text_index
 from tidemark.operators import lexicon as lx
 from tidemark.plans.registry import Registry, table
 
@@ -97,7 +97,7 @@ _POST = """p AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]
 
 @add("tokenize_terms", f"WITH {_POST} SELECT term, count(*) AS df, sum(tf)::BIGINT AS cf FROM tf GROUP BY term")
 def tokenize_terms(spark: SparkSession, d: str) -> DataFrame:
-    return retrieval.postings(table(spark, d, "documents")).groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+    return text_index.postings(table(spark, d, "documents")).groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
 
 
 _BM25 = f"""WITH {_POST}, c AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM dl), df AS (SELECT term, count(*) AS df FROM tf GROUP BY term), raw AS (SELECT term, ln(n - df + 0.5) - ln(df + 0.5) AS raw FROM df, c),
@@ -251,7 +251,7 @@ def tfidf_keywords(spark: SparkSession, d: str) -> DataFrame:
 
 def _clusters(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     docs = table(spark, d, "documents").select("doc_id", "lang", "text")
-    return docs, clustering.assign(docs, group="lang", id_col="doc_id", text="text", features=128, starts=1)
+    return docs, clustering.assign(docs, group="lang", id_col="doc_id", text="text")
 
 
 @add("cluster_kmeans")
