@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import contains_any, first_contained, let, readable, sentence_in, strip
 from tidemark.operators import lexicon as lx
+from tidemark.operators import scans
 
 MENTION = "array<struct<code:string,sentiment:string,severity:string,quote:string>>"
 
@@ -105,13 +106,29 @@ def resolve(ids: DataFrame, reviews: DataFrame, key: str) -> DataFrame:
 
 def up_to_breach(rows: DataFrame, bad: Column, order: str, *, most: float, least_seen: int = 50, cost: Column | None = None, cost_cap: float | None = None, scope: list[str] | None = None) -> DataFrame:
     """Rows in order up to the first at which the share of bad ones exceeds `most` (once enough are seen) or
-    the cost its cap. Without a scope the order is one sequence: running counts need one task, so
-    rows are to be few (a run's log), or a scope given."""
-    w = Window.partitionBy(*(scope or [])).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    the cost its cap. Without a scope the order is one sequence: its running counts come from sums of sorted
+    stretches, one a task, and what each adds to the next."""
+    if not scope:
+        return _whole_log(rows, bad, order, most, least_seen, cost, cost_cap)
+    w = Window.partitionBy(*scope).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     seen, wrong = F.count(F.lit(1)).over(w), F.sum(bad.cast("int")).over(w)
     stop = (seen >= least_seen) & (wrong / seen > most)
     if cost is not None:
         stop = stop | (F.sum(cost).over(w) > cost_cap)
     df = rows.withColumn("n_seen", seen).withColumn("n_bad", wrong).withColumn("__stop", stop.cast("int"))
-    before = F.sum("__stop").over(Window.partitionBy(*(scope or [])).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    before = F.sum("__stop").over(Window.partitionBy(*scope).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
     return df.withColumn("__before", F.coalesce(before, F.lit(0))).where("__before = 0").withColumn("stopped", F.col("__stop") == 1).drop("__stop", "__before")
+
+
+def _whole_log(rows: DataFrame, bad: Column, order: str, most: float, least_seen: int, cost: Column | None, cost_cap: float | None) -> DataFrame:
+    sums = {"n_seen": F.lit(1), "n_bad": F.coalesce(bad, F.lit(False)).cast("int")}
+    if cost is not None:
+        sums["__cost"] = cost
+    df = scans.running_sums(scans.numbered(rows, [], [order], "__at"), [], "__at", sums)
+    stop = (F.col("n_seen") >= least_seen) & (F.col("n_bad") / F.col("n_seen") > most)
+    if cost is not None:
+        stop = stop | (F.col("__cost") > cost_cap)
+    df = df.withColumn("stopped", stop)
+    first = df.where("stopped").agg(F.min("__at").alias("__first"))  # one row
+    kept = df.join(F.broadcast(first), F.lit(True)).where("__first IS NULL OR __at <= __first")
+    return kept.drop("__at", "__first", "__cost")

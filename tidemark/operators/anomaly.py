@@ -34,7 +34,8 @@ def weekly(events: DataFrame, series: list[str], *, at: str = "posted_at", sever
 
 
 def ewma_before(value: str, series: list[str], order: str, span: int = SPAN) -> Column:
-    """EWMA of the earlier rows of the series, seeded with the first; null without any."""
+    """EWMA of the earlier rows of the series, seeded with the first; null without any. For series that the calendar
+    bounds: each row looks at its history. scans.ewma is linear in series of any length."""
     alpha = 2.0 / (span + 1)
     h = F.collect_list(F.col(value).cast("double")).over(Window.partitionBy(*series).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
     step = lambda acc, x: x * alpha + acc * (1 - alpha)

@@ -27,8 +27,9 @@ def terms(text: Column, stop_words: bool = True) -> Column:
 def tf_idf(docs: DataFrame, group: str, id_col: str, text: str) -> DataFrame:
     """(group, id, term, weight): sublinear tf, smoothed idf within the group, rows of length 1. A group of
     nothing but stop words keeps them."""
-    listed = docs.select(group, id_col, F.explode(terms(F.col(text))).alias("term"))
-    some = docs.groupBy(group).agg(F.count(F.lit(1)).alias("__n"), F.bool_or(F.size(terms(F.col(text))) > 0).alias("__some"))
+    found = kept(docs.select(group, id_col, terms(F.col(text)).alias("__t")), "terms")
+    listed = found.select(group, id_col, F.explode("__t").alias("term"))
+    some = found.groupBy(group).agg(F.count(F.lit(1)).alias("__n"), F.bool_or(F.size("__t") > 0).alias("__some"))
     bare = docs.join(some.where("NOT __some").select(group), group, "left_semi")
     listed = listed.unionByName(bare.select(group, id_col, F.explode(terms(F.col(text), stop_words=False)).alias("term")))
     tf = listed.groupBy(group, id_col, "term").agg((1 + F.log(F.count(F.lit(1)))).alias("tf"))

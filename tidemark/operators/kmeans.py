@@ -48,26 +48,36 @@ def _matrix(column: pd.Series, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.float64).reshape(len(column), width)
 
 
+PACKED = "g string, part int, ids array<string>, terms array<string>, h binary, doc binary, code binary, w binary"
+
+
+def _packed(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """A part as one row: its ids and terms once, and its entries (number of the id, number of the term, weight) as bytes, in
+    the order of ids."""
+    rows = rows.sort_values(["id", "term"], kind="stable")
+    doc, ids = pd.factorize(rows["id"])
+    code, terms = pd.factorize(rows["term"])  # -1: no term
+    real = code >= 0
+    h = rows["h"].to_numpy(np.int64)[np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])]
+    parts = (h, doc[real].astype(np.int64), code[real].astype(np.int64), rows["w"].to_numpy(np.float64)[real])
+    return pd.DataFrame([(*key, list(ids), list(terms), *[x.tobytes() for x in parts])], columns=["g", "part", "ids", "terms", "h", "doc", "code", "w"])
+
+
 class Part:
     """The rows of a part as sparse entries in the order of rows."""
 
-    def __init__(self, rows: pd.DataFrame) -> None:
-        self.ids = pd.Index(rows["id"].unique())
-        doc = self.ids.get_indexer(rows["id"])
-        order = np.argsort(doc, kind="stable")
-        self.hash = rows.drop_duplicates("id")["h"].to_numpy()
-        codes, self.terms = pd.factorize(rows["term"].to_numpy()[order])
-        real = codes >= 0
-        self.doc, self.code, self.w = doc[order][real], codes[real], rows["w"].to_numpy(np.float64)[order][real]
+    def __init__(self, packed: pd.DataFrame) -> None:
+        row = packed.iloc[0]
+        self.g, self.ids, self.terms = row["g"], row["ids"], row["terms"]
+        self.hash, self.doc, self.code = (np.frombuffer(row[x], np.int64) for x in ("h", "doc", "code"))
+        self.w = np.frombuffer(row["w"], np.float64)
         self.square = np.bincount(self.doc, self.w * self.w, minlength=len(self.ids))
 
     def distances(self, centroids: pd.DataFrame, clusters: int) -> np.ndarray:
         """Squared distances of rows to all centroids; infinite where there is none."""
         v, what = _matrix(centroids["v"], clusters), centroids["what"].to_numpy()
         sums = np.zeros((len(self.terms), clusters))
-        places = pd.Index(self.terms).get_indexer(centroids["t"])
-        own = (what == 0) & (places >= 0)
-        sums[places[own]] = v[own]
+        sums[centroids["code"].to_numpy()[what == 0]] = v[what == 0]
         n, squares = v[what == 1].sum(axis=0), v[what == 2].sum(axis=0)
         dots = np.zeros((len(self.ids), clusters))
         for lo in range(0, len(self.doc), 16384):
@@ -100,7 +110,7 @@ def _seeding(starts: int, k: int, turn: int, seed: int) -> Callable:
                     race = np.where(near[:, s] > 1e-12, -np.log(uniform(part.hash, s, turn, seed)) / near[:, s], np.inf)
                 if np.isfinite(race).any():
                     best = int(race.argmin())
-                    out.append((rows["g"].iloc[0], "r", part.ids[best], None, np.array([s, race[best]], np.float64).tobytes()))
+                    out.append((part.g, "r", part.ids[best], None, np.array([s, race[best]], np.float64).tobytes()))
         return pd.DataFrame(out, columns=COLUMNS)
 
     return run
@@ -110,7 +120,8 @@ def _step(starts: int, k: int) -> Callable:
     def run(_: tuple, rows: pd.DataFrame, centroids: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(rows) and len(centroids):
-            part, g = Part(rows), rows["g"].iloc[0]
+            part = Part(rows)
+            g = part.g
             d = part.distances(centroids, starts * k).reshape(len(part.ids), starts, k)
             nearest, cost = d.argmin(axis=2), d.min(axis=2)
             sums, n = part.sums(nearest, k)
@@ -169,20 +180,21 @@ class KMeans:
         self.starts, self.k, self.seed, self.iterations = starts, most, seed, iterations
         size = rows.groupBy("g").agg(F.count(F.lit(1)).alias("e"), F.approx_count_distinct("id").alias("n"))
         parts = F.greatest(F.ceil(F.col("e") / PART_ENTRIES), F.ceil(F.col("n") / PART_ROWS)).cast("int")
+        self.sizes = kept(size.select("g", parts.alias("parts")), "sizes")
         h = F.xxhash64("id")
-        dealt = rows.join(size.select("g", parts.alias("parts")), "g").select("g", "id", "term", "w", h.alias("h"), F.pmod(h, "parts").cast("int").alias("part"), F.pmod(F.xxhash64("term"), "parts").cast("int").alias("bucket"))
+        dealt = rows.join(self.sizes, "g").select("g", "id", "term", "w", h.alias("h"), F.pmod(h, "parts").cast("int").alias("part"))
         self.rows = kept(dealt, "entries")
-        self.terms = kept(self.rows.where("term IS NOT NULL").select("g", "part", "term", "bucket").distinct(), "terms")
-        self.parts = kept(self.rows.select("g", "part").distinct(), "parts")
+        self.packed = kept(self.rows.groupBy("g", "part").applyInPandas(_packed, PACKED), "parts")
+        self.terms = self.packed.select("g", "part", F.posexplode("terms").alias("code", "term"))
         self.clusters = clusters
         self.cost: DataFrame | None = None
 
     def _meet(self, centroids: DataFrame, found: Callable) -> DataFrame:
         """Parts at the centroid rows of the terms they hold."""
-        at = [F.col("part").alias("at"), F.col("g").alias("of"), F.col("term").alias("t"), "what", "v"]
-        c = centroids.where("what = 0").join(self.terms.select("g", "part", "term"), ["g", "term"]).select(*at)
-        c = c.unionByName(centroids.where("what <> 0").join(self.parts, "g").select(*at))
-        return self.rows.groupBy("g", "part").cogroup(c.groupBy("of", "at")).applyInPandas(found, STEP)
+        at = [F.col("part").alias("at"), F.col("g").alias("of"), "code", "what", "v"]
+        c = centroids.where("what = 0").join(self.terms, ["g", "term"]).select(*at)
+        c = c.unionByName(centroids.where("what <> 0").join(self.packed.select("g", "part"), "g").withColumn("code", F.lit(-1)).select(*at))
+        return self.packed.groupBy("g", "part").cogroup(c.groupBy("of", "at")).applyInPandas(found, STEP)
 
     def seeds(self) -> DataFrame:
         """(g, start, nth, id): rows that the starts begin with."""
@@ -220,8 +232,9 @@ class KMeans:
                 break
             before = cost
             if turn + 1 < self.iterations:
-                sums = step.where("what = 's'").join(self.terms.select("g", "term", "bucket").distinct(), ["g", "term"])
-                added = kept(sums.groupBy("g", "bucket").applyInPandas(_added(0, True), CENTROID), "sums")
+                # as many buckets of terms as parts
+                sums = step.where("what = 's'").join(self.sizes, "g").withColumn("bucket", F.pmod(F.xxhash64("term"), "parts"))
+                added = kept(sums.select("g", "bucket", "term", "v").groupBy("g", "bucket").applyInPandas(_added(0, True), CENTROID), "sums")
                 # one row a bucket and one a part: added by group
                 squares = added.where("what = 2").groupBy("g").applyInPandas(_added(2, False), CENTROID)
                 n = step.where("what = 'n'").groupBy("g").applyInPandas(_added(1, False), CENTROID)

@@ -11,9 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import queries_analytics, queries_flows, queries_reviews, queries_text
+from tidemark.plans import queries_analytics, queries_flows, queries_reviews, queries_text, queries_tools
 
-MODULES = (queries_reviews, queries_analytics, queries_text, queries_flows)
+MODULES = (queries_reviews, queries_analytics, queries_text, queries_flows, queries_tools)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

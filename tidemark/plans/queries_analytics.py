@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import payload_filter
-from tidemark.operators import agent, anomaly, metrics, retrieval
+from tidemark.operators import agent, anomaly, metrics, retrieval, scans
 from tidemark.operators import lexicon as lx
 from tidemark.operators.rankings import recall
 from tidemark.operators.vector_index import VectorIndex
@@ -27,7 +27,7 @@ def _daily(spark: SparkSession, d: str) -> DataFrame:
 @add("daily_event_ewma", f"""{_DAILY} SELECT a.event_type, a.day, a.volume, round(sum(b.volume * CASE WHEN b.i = 1 THEN power(0.6, a.i - 2) ELSE 0.4 * power(0.6, a.i - 1 - b.i) END), 6) AS baseline
   FROM n a LEFT JOIN n b ON a.event_type = b.event_type AND b.i < a.i GROUP BY ALL""")
 def daily_event_ewma(spark: SparkSession, d: str) -> DataFrame:
-    return _daily(spark, d).withColumn("baseline", F.round(anomaly.ewma_before("volume", ["event_type"], "day"), 6))
+    return scans.ewma(_daily(spark, d), "volume", ["event_type"], ["day"], anomaly.SPAN).withColumn("baseline", F.round("baseline", 6))
 
 
 @add("daily_event_expanding_std", f"{_DAILY} SELECT event_type, day, round(stddev_samp(volume) OVER (PARTITION BY event_type ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 6) AS std FROM n")
@@ -35,6 +35,13 @@ def daily_event_expanding_std(spark: SparkSession, d: str) -> DataFrame:
     return _daily(spark, d).select("event_type", "day", F.round(anomaly.rolling_std("volume", ["event_type"], "day", None), 6).alias("std"))
 
 
+@add("event_value_ewma", """WITH h AS (SELECT event_id, list(value) OVER (ORDER BY ts, event_id ROWS BETWEEN 120 PRECEDING AND 1 PRECEDING) AS h FROM events)
+  SELECT event_id, round(list_reduce(h, lambda s, x: 0.6 * s + 0.4 * x), 6) AS baseline FROM h""")
+def event_value_ewma(spark: SparkSession, d: str) -> DataFrame:
+    """All events as one series. (In SQL of the last 120 values: older ones weigh less than 1e-26.)"""
+    return scans.ewma(table(spark, d, "events"), "value", [], ["ts", "event_id"], anomaly.SPAN).select("event_id", F.round("baseline", 6).alias("baseline"))
+
+
 @add("event_payload_values", "SELECT event_type, count(*) AS n, CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS total FROM events GROUP BY event_type")
 def event_payload_values(spark: SparkSession, d: str) -> DataFrame:
     k = F.try_element_at(F.from_json("props", "map<string,bigint>"), F.lit("k"))

@@ -65,12 +65,12 @@ def zscore(spark: SparkSession, d: str) -> DataFrame:
     return anomaly.with_baseline(_weeks(spark, d), ["brand"]).select("brand", "week_start", F.col("history").cast("long").alias("history"), F.round("z", 6).alias("z"))
 
 
-@add("incident_summaries", f"""{_SCORED} SELECT brand, week_start, upper(brand[1]) || lower(brand[2:]) || ' complaints overall spiked to ' || volume || ' mentions during week ' || strftime(week_start, '%Y-%m-%d') AS head
+@add("incident_summaries", f"""{_SCORED} SELECT brand, week_start, upper(brand[1]) || lower(brand[2:]) || ' complaints overall spiked to ' || volume || ' mentions during week ' || strftime(week_start, '%Y-%m-%d') || ', above EWMA baseline ' || printf('%.1f', baseline) || ' (z=' || printf('%.1f', z) || ', severity score ' || printf('%.0f', severity_score) || ').' || CASE WHEN reviews % 2 = 0 THEN ' Representative quote: ''' || reviews || ' reviews''' ELSE '' END AS summary
   FROM scored WHERE i > 3 AND z >= 2 AND volume >= 3 AND severity_score >= 5""")
 def incident_summaries(spark: SparkSession, d: str) -> DataFrame:
     out = anomaly.detect(_weeks(spark, d), ["brand"])
-    text = anomaly.summary(F.col("brand"), F.lit(""), F.col("week_start"), F.col("volume"), F.col("baseline"), F.col("z"), F.col("severity_score"), F.array().cast("array<string>"))
-    return out.select("brand", "week_start", F.substring_index(text, ",", 1).alias("head"))
+    text = anomaly.summary(F.col("brand"), F.lit(""), F.col("week_start"), F.col("volume"), F.col("baseline"), F.col("z"), F.col("severity_score"), F.when(F.col("reviews") % 2 == 0, F.array(F.concat(F.col("reviews").cast("string"), F.lit(" reviews")))))
+    return out.select("brand", "week_start", text.alias("summary"))
 
 
 @add("overview_counts", """SELECT (SELECT count(*) FROM lineitem) AS reviews, (SELECT count(*) FROM part) AS skus, (SELECT count(DISTINCT p_brand) FROM part) AS brands, (SELECT count(*) FROM orders) AS statuses,
@@ -294,6 +294,18 @@ def guardrail_running_stop(spark: SparkSession, d: str) -> DataFrame:
     return absa.up_to_breach(e, F.col("event_type") == "error", "at", most=0.2, scope=["user_id"]).select("event_id", "user_id", "n_seen", "n_bad", "stopped")
 
 
+# the whole log is one sequence: errors count from the fiftieth row on, values up to a cap
+@add("guardrail_whole_log", """WITH w AS (SELECT event_id, count(*) OVER k AS n_seen, sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER k AS n_bad, sum(CAST(round(value * 100) AS BIGINT)) OVER k AS cost FROM events WINDOW k AS (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)),
+  cap AS (SELECT CAST(0.7 * sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cap FROM events), s AS (SELECT w.*, (n_seen >= 50 AND n_bad / n_seen > 0.5) OR cost > cap AS stop FROM w, cap), b AS (SELECT *, coalesce(sum(CAST(stop AS INT)) OVER (ORDER BY n_seen ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM s)
+  SELECT event_id, n_seen, CAST(n_bad AS BIGINT) AS n_bad, stop AS stopped FROM b WHERE before = 0""")
+def guardrail_whole_log(spark: SparkSession, d: str) -> DataFrame:
+    """Stopped by its cost, in whole hundredths, at 70 % of the log's."""
+    e = table(spark, d, "events").withColumn("at", F.struct("ts", "event_id")).withColumn("cost", F.round(F.col("value") * 100).cast("long"))
+    total = e.agg(F.sum("cost")).first()[0] or 0
+    out = absa.up_to_breach(e, F.col("event_type") == "error", "at", most=0.5, cost=F.col("cost"), cost_cap=round(0.7 * total))
+    return out.select("event_id", "n_seen", "n_bad", "stopped")
+
+
 @add("load_if_absent", """SELECT o_orderkey, o_custkey, 0 AS batch FROM orders WHERE o_orderkey % 3 <> 0 UNION ALL
   SELECT o_orderkey, min(o_custkey), 1 FROM (SELECT o_orderkey, o_custkey + 1 AS o_custkey FROM orders) t WHERE o_orderkey % 3 = 0 GROUP BY o_orderkey""")
 def load_if_absent(spark: SparkSession, d: str) -> DataFrame:
