@@ -77,11 +77,23 @@ def cluster_summary(given: DataFrame, clusters: DataFrame, key: str = "code") ->
     return came.join(made, key, "left").na.fill(0, ["clusters", "clustered"]).withColumn("skipped", F.col("clusters") == 0)
 
 
-def closed_run(tagged: DataFrame, run: Column, started_at: Column, reason: str = "dq_reason") -> DataFrame:
-    """The ledger row of a batch: what came in, what was loaded, what failed, and how it ended."""
+def opened_run(runs: DataFrame) -> DataFrame:
+    """Ledger rows of batches (run_id, started_at) that begin: nothing counted yet."""
+    none = F.lit(None).cast("long")
+    finished = F.lit(None).cast(runs.schema["started_at"].dataType)
+    return runs.select("run_id", "started_at", finished.alias("finished_at"), none.alias("rows_in"), none.alias("rows_loaded"), none.alias("rows_failed"), F.lit("running").alias("status"))
+
+
+def closed_run(tagged: DataFrame, run: Column, started_at: Column, reason: str = "dq_reason", opened: DataFrame | None = None) -> DataFrame:
+    """The ledger row of a batch: what came in, what was loaded, what failed, and how it ended. With the rows that were opened,
+    a batch of which nothing came in is closed as well, as empty."""
     n, failed = F.count(F.lit(1)), F.count(reason)
-    status = F.when(n == 0, "empty").when(failed == n, "failed").otherwise("success")
-    return tagged.groupBy(run.alias("run_id")).agg(F.min(started_at).alias("started_at"), F.max(started_at).alias("finished_at"), n.alias("rows_in"), (n - failed).alias("rows_loaded"), failed.alias("rows_failed"), status.alias("status"))
+    counts = tagged.groupBy(run.alias("run_id")).agg(F.min(started_at).alias("started_at"), F.max(started_at).alias("finished_at"), n.alias("rows_in"), (n - failed).alias("rows_loaded"), failed.alias("rows_failed"))
+    if opened is not None:
+        counts = opened.select("run_id", F.col("started_at").alias("__began")).join(counts, "run_id", "left").na.fill(0, ["rows_in", "rows_loaded", "rows_failed"])
+        counts = counts.withColumns({"finished_at": F.coalesce("finished_at", "__began"), "started_at": F.col("__began")}).drop("__began")
+    status = F.when(F.col("rows_in") == 0, "empty").when(F.col("rows_failed") == F.col("rows_in"), "failed").otherwise("success")
+    return counts.select("run_id", "started_at", "finished_at", "rows_in", "rows_loaded", "rows_failed", status.alias("status"))
 
 
 def without_ids(rows: DataFrame, ids: DataFrame, scope: dict[str, str], key: str) -> DataFrame:

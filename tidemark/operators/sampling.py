@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.sources.shared import kept
+
 
 def largest_remainder(counts: DataFrame, targets: DataFrame, group: str, strata: list[str]) -> DataFrame:
     """Adds quota to (group, strata, n): the group's target shared by size; a group with no more rows than
@@ -22,9 +24,10 @@ def largest_remainder(counts: DataFrame, targets: DataFrame, group: str, strata:
 def stratified(rows: DataFrame, quotas: DataFrame, keys: list[str], score: Column, tiebreak: list[str]) -> DataFrame:
     """The rows of each stratum with the smallest scores, as many as its quota."""
     nth = F.row_number().over(Window.partitionBy(*keys).orderBy(score, *tiebreak))
-    # the largest quota is known first, so that tasks cut strata before they meet
+    # the largest quota is known first, so that tasks cut strata before they meet; quotas are computed once
+    quotas = kept(quotas.select(*keys, "quota"), "quotas")
     most = quotas.agg(F.max("quota")).first()[0] or 0
-    return rows.withColumn("__n", nth).where(F.col("__n") <= int(most)).join(quotas.select(*keys, "quota"), keys).where(F.col("__n") <= F.col("quota")).drop("__n", "quota")
+    return rows.withColumn("__n", nth).where(F.col("__n") <= int(most)).join(quotas, keys).where(F.col("__n") <= F.col("quota")).drop("__n", "quota")
 
 
 def seeded(seed: int, *columns: str) -> Column:

@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import absa, brand, dq, evaluation, flows
+from tidemark.operators import absa, brand, dq, evaluation, flows, sampling
 from tidemark.operators import lexicon as lx
 from tidemark.plans.queries_text import _MENTIONS, _TAGGED, _tagged
 from tidemark.plans.registry import REVIEWS_SQL, Registry, reviews, table
+from tidemark.sources import lines
 
 REGISTRY = Registry()
 add = REGISTRY.add
@@ -111,6 +112,22 @@ def ingest_ledger(spark: SparkSession, d: str) -> DataFrame:
     return flows.closed_run(_tagged(spark, d), F.col("lang"), F.col("doc_id"))
 
 
+@add("ingest_ledger_opened", f"WITH {_TAGGED}, b AS (SELECT s_nationkey AS k, 'src' || s_nationkey AS run_id, min(s_suppkey) AS started_at FROM supplier GROUP BY ALL) SELECT b.run_id, started_at, coalesce(max(doc_id), started_at) AS finished_at, count(doc_id) AS rows_in, count(*) FILTER (doc_id IS NOT NULL AND dq_reason IS NULL) AS rows_loaded, count(dq_reason) AS rows_failed, CASE WHEN count(doc_id) = 0 THEN 'empty' WHEN count(dq_reason) = count(doc_id) THEN 'failed' ELSE 'success' END AS status FROM b LEFT JOIN t ON t.source = b.run_id GROUP BY b.run_id, started_at")
+def ingest_ledger_opened(spark: SparkSession, d: str) -> DataFrame:
+    """A batch is opened for each nation that has a supplier; its rows are the documents of the source with its number, if any."""
+    runs = table(spark, d, "supplier").groupBy(F.concat(F.lit("src"), F.col("s_nationkey").cast("string")).alias("run_id")).agg(F.min("s_suppkey").alias("started_at"))
+    return flows.closed_run(_tagged(spark, d), F.col("source"), F.col("doc_id"), opened=flows.opened_run(runs))
+
+
+@add("seeded_holdout")
+def seeded_holdout(spark: SparkSession, d: str) -> DataFrame:
+    """Of each language the twenty documents with the smallest seeded score; there is no such hash in SQL."""
+    docs = table(spark, d, "documents").select("doc_id", "source", "lang")
+    quotas = docs.select("lang").distinct().withColumn("quota", F.lit(20))
+    scored = docs.withColumn("score", lines.seeded_score(42, F.col("source"), F.col("doc_id")))
+    return sampling.stratified(scored, quotas, ["lang"], F.col("score"), ["doc_id"]).select("doc_id", "lang", F.hex("score").alias("score"))
+
+
 @add("delete_in_scope", f"WITH {_FLOW} SELECT doc_id, provider, status FROM st WHERE NOT (provider = 'mock' AND doc_id IN (SELECT doc_id FROM documents WHERE lang = 'en'))")
 def delete_in_scope(spark: SparkSession, d: str) -> DataFrame:
     gone = table(spark, d, "documents").where("lang = 'en'").select("doc_id")

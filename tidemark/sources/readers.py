@@ -20,8 +20,9 @@ def jsonl(spark: SparkSession, path: str, schema: str, *, strict: bool = False,
 
 def rejected(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The malformed lines of a file."""
-    df = spark.read.schema(f"{schema}, _bad string").option("columnNameOfCorruptRecord", "_bad").json(path)
-    return df.where("_bad IS NOT NULL").select("_bad")
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    parsed = F.from_json("value", f"{schema}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
+    return lines.select(parsed["_bad"].alias("_bad")).where("_bad IS NOT NULL")
 
 
 def count_lines(spark: SparkSession, path: str) -> int:

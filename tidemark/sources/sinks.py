@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.sources.shared import kept
+
 
 def absent(new: DataFrame, held: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Rows to insert: those whose key isn't held yet, the first of each key by order."""
@@ -41,6 +44,39 @@ def write_scope(df: DataFrame, path: str, scope: list[str]) -> None:
     df.write.mode("overwrite").partitionBy(*scope).option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+def merge_scope(spark: SparkSession, new: DataFrame, path: str, keys: list[str], scope: list[str]) -> None:
+    """Upsert into a table partitioned by scope: held rows of the scopes that `new` touches, but for its keys (nulls are
+    equal), with the new rows. Other scopes aren't read. The result is staged in the shared folder before a scope is
+    overwritten, so the same batch may be run again, also after a failure half-way."""
+    names = [f"__{c}" for c in scope]
+    touched = new.select(*[F.col(c).alias(n) for c, n in zip(scope, names, strict=True)]).distinct()
+    try:
+        held = spark.read.schema(new.schema).option("basePath", path).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        held = spark.createDataFrame([], new.schema)
+    held = held.join(touched, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(scope, names, strict=True)], "left_semi")
+    write_scope(kept(upsert(held, new, [*scope, *keys]), "merged"), path, scope)
+
+
+def clear_scope(spark: SparkSession, path: str, gone: DataFrame, scope: list[str], within: list[str]) -> None:
+    """Rows of the scopes (scope, within) in `gone` go; other rows of a touched scope are written back, staged first. A scope
+    that loses all rows keeps an empty partition."""
+    held = spark.read.option("basePath", path).parquet(path)
+    names = {c: f"__{c}" for c in [*scope, *within]}
+    marks = gone.select(*[F.col(c).alias(n) for c, n in names.items()]).distinct()
+    same = lambda cs: [F.col(c).eqNullSafe(F.col(names[c])) for c in cs]
+    rest = held.join(marks.select(*[names[c] for c in scope]).distinct(), same(scope), "left_semi").join(marks, same([*scope, *within]), "left_anti")
+    rest = kept(rest, "rest")
+    # scopes that are left without rows: found before anything is overwritten, a few scopes and not rows
+    bare = marks.select(*[F.col(names[c]).alias(c) for c in scope]).distinct().join(held.select(*scope).distinct(), scope, "left_semi").join(rest.select(*scope).distinct(), scope, "left_anti").collect()
+    write_scope(rest, path, scope)
+    for r in bare:
+        folder = "/".join(f"{c}={r[c]}" for c in scope)
+        spark.createDataFrame([], held.drop(*scope).schema).write.mode("overwrite").parquet(f"{path}/{folder}")
+
+
 def write_jsonl(df: DataFrame, path: str, order: list[str] | None = None, compression: str = "gzip") -> None:
     """JSON lines, nulls kept; with an order the files are sorted by range, so their content doesn't
     depend on how the input was partitioned."""
