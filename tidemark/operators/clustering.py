@@ -51,7 +51,7 @@ def assign(docs: DataFrame, *, group: str, id_col: str, text: str, starts: int =
     key = kept(key.join(key.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least), "g"), "documents")
     weights = tf_idf(docs, group, id_col, text).select(F.col(group).cast("string").alias("g"), F.col(id_col).cast("string").alias("id"), "term", F.col("weight").alias("w"))
     entries = key.select("g", "id").join(weights, ["g", "id"], "left").withColumn("w", F.coalesce("w", F.lit(0.0)))
-    found = KMeans(entries, key.groupBy("g").agg(F.first("n").alias("n")).select("g", clusters_of(F.col("n"), least, most).alias("k")), most=most, starts=starts, seed=seed).fit()
+    found = KMeans(kept(entries, "weights"), key.groupBy("g").agg(F.first("n").alias("n")).select("g", clusters_of(F.col("n"), least, most).alias("k")), most=most, starts=starts, seed=seed).fit()
     found = kept(found, "clusters")
     sizes = found.groupBy("g", "cluster").agg(F.count(F.lit(1)).alias("s"))
     whole = sizes.groupBy("g").agg((F.max("s") < least).alias("whole"))

@@ -6,9 +6,9 @@ terms by (start, cluster), or, while seeding, the part's candidate for the next
 iteration is one assignment and one aggregation, however many groups and starts there are; the driver sees
 nothing but whether a cost still fell. Parts have a bounded number of entries, whatever a group's size.
 
-Seeds are those of k-means++: the next is drawn with a probability in proportion to the squared distance to the
-nearest so far, by the smallest of -ln(u) / distance, where u is a hash of row, start and round. A start takes as many seeds as the
-group has different rows, at most. A cluster that loses all rows is given up. Ties go to the smaller cluster.
+Seeds are drawn as in k-means++, with a probability in proportion to the squared distance to the nearest so far, by the
+smallest of -ln(u) / distance, where u is a hash of row, start and round; one, one, then two, four and so on in a
+round. A start takes as many seeds as the group has different rows, at most. A cluster that loses all rows is given up. Ties go to the smaller cluster.
 """
 
 from __future__ import annotations
@@ -99,7 +99,7 @@ class Part:
         return out, n
 
 
-def _seeding(starts: int, k: int, turn: int, seed: int) -> Callable:
+def _seeding(starts: int, k: int, turn: int, seed: int, wanted: int) -> Callable:
     def run(_: tuple, rows: pd.DataFrame, centroids: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(rows):
@@ -108,9 +108,9 @@ def _seeding(starts: int, k: int, turn: int, seed: int) -> Callable:
             for s in range(starts):
                 with np.errstate(divide="ignore"):
                     race = np.where(near[:, s] > 1e-12, -np.log(uniform(part.hash, s, turn, seed)) / near[:, s], np.inf)
-                if np.isfinite(race).any():
-                    best = int(race.argmin())
-                    out.append((part.g, "r", part.ids[best], None, np.array([s, race[best]], np.float64).tobytes()))
+                for best in np.argsort(race, kind="stable")[:wanted]:
+                    if np.isfinite(race[best]):
+                        out.append((part.g, "r", part.ids[best], None, np.array([s, race[best]], np.float64).tobytes()))
         return pd.DataFrame(out, columns=COLUMNS)
 
     return run
@@ -198,18 +198,19 @@ class KMeans:
 
     def seeds(self) -> DataFrame:
         """(g, start, nth, id): rows that the starts begin with."""
-        spark, chosen, c = self.rows.sparkSession, None, None
-        for turn in range(self.k):
+        spark, chosen, have = self.rows.sparkSession, None, 0
+        while have < self.k:
+            wanted = max(1, have)
             c = spark.createDataFrame([], CENTROID) if chosen is None else self._of_seeds(chosen)
-            race = self._meet(c, _seeding(self.starts, self.k, turn, self.seed))
-            race = race.mapInPandas(_numbers(2), "g string, id string, v array<double>")
-            best = race.groupBy("g", F.col("v")[0].cast("int").alias("start")).agg(F.min(F.struct(F.col("v")[1].alias("y"), "id")).alias("b"))
-            more = best.join(self.clusters.where(F.col("k") > turn), "g").select("g", "start", F.lit(turn).alias("nth"), "b.id")
-            more = kept(more, "seeds")
-            if turn and not more.take(1):
+            race = self._meet(c, _seeding(self.starts, self.k, have, self.seed, wanted))
+            race = race.mapInPandas(_numbers(2), "g string, id string, v array<double>").select("g", F.col("v")[0].cast("int").alias("start"), F.col("v")[1].alias("race"), "id")
+            nth = F.row_number().over(Window.partitionBy("g", "start").orderBy("race", "id"))
+            more = race.withColumn("n", nth).where(F.col("n") <= wanted).join(self.clusters, "g").where(have + F.col("n") <= F.col("k"))
+            more = kept(more.select("g", "start", (have + F.col("n") - 1).cast("int").alias("nth"), "id"), "seeds")
+            if not more.take(1):
                 break
-            chosen = more if chosen is None else chosen.unionByName(more)
-        return chosen
+            chosen, have = more if chosen is None else chosen.unionByName(more), have + wanted
+        return chosen if chosen is not None else spark.createDataFrame([], "g string, start int, nth int, id string")
 
     def _of_seeds(self, chosen: DataFrame) -> DataFrame:
         """Centroid rows of single rows."""
@@ -238,7 +239,7 @@ class KMeans:
                 # one row a bucket and one a part: added by group
                 squares = added.where("what = 2").groupBy("g").applyInPandas(_added(2, False), CENTROID)
                 n = step.where("what = 'n'").groupBy("g").applyInPandas(_added(1, False), CENTROID)
-                c = kept(added.where("what = 0").unionByName(squares).unionByName(n), "centroids")
+                c = added.where("what = 0").unionByName(squares).unionByName(n)
         self.cost = cost
         nth = F.row_number().over(Window.partitionBy("g").orderBy(F.round("cost", 9), "start"))
         best = cost.withColumn("n", nth).where("n = 1").select("g", "start")
