@@ -26,7 +26,7 @@ from tidemark.sources.shared import kept
 PART_ENTRIES, PART_ROWS = 131_072, 4096
 MOST_ITERATIONS, SEED = 20, 42
 #: A row of centroids is the sum of a term (what = 0), the counts of rows (1) or the squares of the sums (2) by start and
-#: cluster: doubles, as bytes. Of a step: s(ums), n (counts), c(osts) by start, a (nearest clusters and costs of a row), r (a seed).
+#: cluster, as bytes (_rows). Of a step: s(ums), n (counts), c(osts) by start, a (nearest clusters and costs of a row), r (a seed).
 CENTROID = "g string, term string, what int, v binary"
 STEP = "g string, what string, id string, term string, v binary"
 COLUMNS = ["g", "what", "id", "term", "v"]
@@ -44,8 +44,29 @@ def uniform(h: np.ndarray, start: int, turn: int, seed: int) -> np.ndarray:
     return ((mix64(mix64(h.astype(np.int64).view(np.uint64)) ^ mix64(np.array([salt]))) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
 
 
+def _rows(x: np.ndarray) -> list[bytes]:
+    """Rows as bytes: all doubles, or, where at most half aren't 0, the places (16 bits) and then the doubles of those. A
+    rare term has as many as there are starts."""
+    full = x != 0
+    few = 2 * full.sum(axis=1) <= x.shape[1]
+    return [np.flatnonzero(f).astype(np.int16).tobytes() + r[f].tobytes() if s else r.tobytes() for r, f, s in zip(x, full, few, strict=True)]
+
+
 def _matrix(column: pd.Series, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.float64).reshape(len(column), width)
+    """The rows again, those of a length at once."""
+    out, cells = np.zeros((len(column), width)), column.to_numpy()
+    size = np.fromiter(map(len, cells), np.int64, len(cells))
+    for length in np.unique(size):
+        at = np.flatnonzero(size == length)
+        raw = b"".join(cells[at])
+        if length == 8 * width:
+            out[at] = np.frombuffer(raw, np.float64).reshape(len(at), width)
+        elif length:
+            n = length // 10
+            byte = np.frombuffer(raw, np.uint8).reshape(len(at), length)
+            places = np.ascontiguousarray(byte[:, : 2 * n]).view(np.int16)
+            out[at[:, None], places] = np.ascontiguousarray(byte[:, 2 * n :]).view(np.float64)
+    return out
 
 
 PACKED = "g string, part int, ids array<string>, terms array<string>, h binary, doc binary, code binary, w binary"
@@ -126,22 +147,22 @@ def _step(starts: int, k: int) -> Callable:
             nearest, cost = d.argmin(axis=2), d.min(axis=2)
             sums, n = part.sums(nearest, k)
             out = [(g, "a", i, None, x.tobytes()) for i, x in zip(part.ids, np.hstack([nearest, cost]), strict=True)]
-            out += [(g, "s", None, t, x.tobytes()) for t, x in zip(part.terms, sums, strict=True)]
+            out += [(g, "s", None, t, x) for t, x in zip(part.terms, _rows(sums), strict=True)]
             out += [(g, "n", None, None, n.tobytes()), (g, "c", None, None, cost.sum(axis=0).tobytes())]
         return pd.DataFrame(out, columns=COLUMNS)
 
     return run
 
 
-def _added(what: int, squares: bool) -> Callable:
+def _added(what: int, squares: bool, width: int) -> Callable:
     """Rows of the same term put together; with them, if asked for, the squares of all."""
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         codes, terms = pd.factorize(rows["term"].fillna(""))
-        v = _matrix(rows["v"], len(rows["v"].iloc[0]) // 8)
+        v = _matrix(rows["v"], width)
         total = np.zeros((len(terms), v.shape[1]))
         np.add.at(total, codes, v)
-        out = [(key[0], t or None, what, x.tobytes()) for t, x in zip(terms, total, strict=True)]
+        out = [(key[0], t or None, what, x) for t, x in zip(terms, _rows(total), strict=True)]
         if squares:
             out.append((key[0], None, 2, (total * total).sum(axis=0).tobytes()))
         return pd.DataFrame(out, columns=["g", "term", "what", "v"])
@@ -158,7 +179,7 @@ def _dense(clusters: int) -> Callable:
             for row, pairs in zip(v, pdf["p"], strict=True):
                 for p in pairs:
                     row[p["x"]] += p["y"]
-            yield pd.DataFrame({"g": pdf["g"], "term": pdf["term"], "what": pdf["what"], "v": [x.tobytes() for x in v]})
+            yield pd.DataFrame({"g": pdf["g"], "term": pdf["term"], "what": pdf["what"], "v": _rows(v)})
 
     return run
 
@@ -227,7 +248,7 @@ class KMeans:
         c, before = kept(self._of_seeds(self.seeds()), "centroids"), None
         for turn in range(self.iterations):
             step = kept(self._meet(c, _step(self.starts, self.k)), "step")
-            cost = step.where("what = 'c'").groupBy("g").applyInPandas(_added(0, False), CENTROID).withColumn("id", F.lit("")).mapInPandas(_numbers(self.starts), "g string, id string, v array<double>")
+            cost = step.where("what = 'c'").groupBy("g").applyInPandas(_added(0, False, self.starts), CENTROID).withColumn("id", F.lit("")).mapInPandas(_numbers(self.starts), "g string, id string, v array<double>")
             cost = kept(cost.select("g", F.posexplode("v").alias("start", "cost")), "cost")
             if before is not None and not cost.join(before.withColumnRenamed("cost", "was"), ["g", "start"]).where("was - cost > 1e-9 * was").take(1):
                 break
@@ -235,10 +256,10 @@ class KMeans:
             if turn + 1 < self.iterations:
                 # as many buckets of terms as parts
                 sums = step.where("what = 's'").join(self.sizes, "g").withColumn("bucket", F.pmod(F.xxhash64("term"), "parts"))
-                added = kept(sums.select("g", "bucket", "term", "v").groupBy("g", "bucket").applyInPandas(_added(0, True), CENTROID), "sums")
+                added = kept(sums.select("g", "bucket", "term", "v").groupBy("g", "bucket").applyInPandas(_added(0, True, self.starts * self.k), CENTROID), "sums")
                 # one row a bucket and one a part: added by group
-                squares = added.where("what = 2").groupBy("g").applyInPandas(_added(2, False), CENTROID)
-                n = step.where("what = 'n'").groupBy("g").applyInPandas(_added(1, False), CENTROID)
+                squares = added.where("what = 2").groupBy("g").applyInPandas(_added(2, False, self.starts * self.k), CENTROID)
+                n = step.where("what = 'n'").groupBy("g").applyInPandas(_added(1, False, self.starts * self.k), CENTROID)
                 c = added.where("what = 0").unionByName(squares).unionByName(n)
         self.cost = cost
         nth = F.row_number().over(Window.partitionBy("g").orderBy(F.round("cost", 9), "start"))

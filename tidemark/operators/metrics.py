@@ -51,6 +51,31 @@ def retrieval_error(good: Column, unfiltered_hit: Column, aspect_ok: Column, sen
     return F.when(good, "good").when(unfiltered_hit, "filter_too_strict").when(~aspect_ok, "wrong_aspect").when(~sentiment_ok, "wrong_sentiment").when(dense_mode & ~wide_hit, "lexical_miss").otherwise("no_gold_hit")
 
 
+def fused_runs(dense: DataFrame, lexical: DataFrame, lexical_weight: float = 0.75, k: int = 60) -> DataFrame:
+    """(mode, query_id, doc_id, rank) of all modes from one table of candidates: each document once with its rank in either list,
+    scored for every mode at once."""
+    d, x = dense.select("query_id", "doc_id", F.col("rank").alias("rd")), lexical.select("query_id", "doc_id", F.col("rank").alias("rl"))
+    part = lambda w, r: F.coalesce(F.lit(float(w)) / (k + F.col(r)), F.lit(0.0))
+    scores = {"dense": -F.col("rd"), "lexical": -F.col("rl"), "rrf": part(1, "rd") + part(1, "rl"), "weighted": part(1 - lexical_weight, "rd") + part(lexical_weight, "rl"), "lexical_first": F.coalesce(1_000_000 - F.col("rl"), -F.col("rd"))}
+    modes = F.explode(F.array(*[F.struct(F.lit(m).alias("mode"), c.cast("double").alias("score")) for m, c in scores.items()])).alias("m")
+    rows = d.join(x, ["query_id", "doc_id"], "full_outer").select("query_id", "doc_id", F.least("rd", "rl").alias("best"), modes).where("m.score IS NOT NULL")
+    nth = F.row_number().over(Window.partitionBy("m.mode", "query_id").orderBy(F.round("m.score", 9).desc(), "best", "doc_id"))
+    return rows.select("m.mode", "query_id", "doc_id", nth.alias("rank"))
+
+
+def evaluate(runs: DataFrame, fits: Column, sizes: DataFrame, k: int = 10) -> DataFrame:
+    """One row for each mode and query of sizes (query_id, n_gold): hit, recall and reciprocal rank at k of the run (rows with rank and
+    gold), and of the same run with only the rows that fit the query's filter. A query without rows scores 0."""
+    nth = F.sum(F.coalesce(fits, F.lit(False)).cast("int")).over(Window.partitionBy("mode", "query_id").orderBy("rank"))
+    rows = runs.withColumn("__fits", F.coalesce(fits, F.lit(False))).withColumn("__kept", F.when(F.col("__fits"), nth)).where("gold")
+    near = lambda r: F.count_if(F.col(r) <= k)
+    first = lambda r: F.min(F.when(F.col(r) <= k, F.col(r)))
+    found = rows.groupBy("mode", "query_id").agg(near("rank").alias("h"), first("rank").alias("f"), near("__kept").alias("fh"), first("__kept").alias("ff"))
+    j = sizes.join(runs.select("mode").distinct(), F.lit(True)).join(found, ["mode", "query_id"], "left")
+    own = lambda h, f, name: [(F.coalesce(h, F.lit(0)) > 0).cast("double").alias(f"{name}hit_at_{k}"), (F.coalesce(h, F.lit(0)) / F.col("n_gold")).alias(f"{name}recall_at_{k}"), F.coalesce(1.0 / F.col(f), F.lit(0.0)).alias(f"{name}rr_at_{k}")]
+    return j.select("mode", "query_id", "n_gold", *own("h", "f", ""), *own("fh", "ff", "filtered_"))
+
+
 def run_errors(rows: DataFrame, fits: Column, wanted: DataFrame, *, aspect: str, sentiment: str, k: int = 10) -> DataFrame:
     """(mode, query_id, error) for runs (mode, query_id, doc_id, rank, gold and payload) that are judged with a filter and
     without it, from the same rows. wanted: the payload that a query (query_id) expects."""

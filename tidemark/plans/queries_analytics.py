@@ -286,6 +286,50 @@ def retrieval_error_class(spark: SparkSession, d: str) -> DataFrame:
     return metrics.run_errors(j, F.col("lang") == "en", items.select("query_id", "label").join(docs.select(F.col("doc_id").alias("query_id"), "source"), "query_id", "left"), aspect="label", sentiment="source").select("mode", "query_id", "error")
 
 
+_RUNS = f"""{_HYBRID}, cand AS (SELECT query_id, doc_id, a.rank AS rd, b.rank AS rl FROM a FULL JOIN b USING (query_id, doc_id)),
+  m AS (SELECT *, unnest(['dense', 'lexical', 'rrf', 'weighted', 'lexical_first']) AS mode FROM cand),
+  s AS (SELECT mode, query_id, doc_id, least(rd, rl) AS best, CAST(CASE mode WHEN 'dense' THEN -rd WHEN 'lexical' THEN -rl WHEN 'rrf' THEN coalesce(CAST(1 AS DOUBLE) / (60 + rd), 0) + coalesce(CAST(1 AS DOUBLE) / (60 + rl), 0) WHEN 'weighted' THEN coalesce(CAST(0.25 AS DOUBLE) / (60 + rd), 0) + coalesce(CAST(0.75 AS DOUBLE) / (60 + rl), 0) ELSE coalesce(1000000 - rl, -rd) END AS DOUBLE) AS score FROM m),
+  k AS (SELECT *, row_number() OVER (PARTITION BY mode, query_id ORDER BY round(score, 9) DESC, best, doc_id) AS rank FROM s WHERE score IS NOT NULL),
+  j AS (SELECT k.mode, k.query_id, k.doc_id, rank, d.lang, d.source, l.label, g.doc_id IS NOT NULL AS gold FROM k LEFT JOIN documents d USING (doc_id) LEFT JOIN e l USING (doc_id) LEFT JOIN gold g USING (query_id, doc_id)),
+  w AS (SELECT *, CASE WHEN lang = 'en' THEN sum(CAST(coalesce(lang = 'en', false) AS INT)) OVER (PARTITION BY mode, query_id ORDER BY rank) END AS kept FROM (SELECT * FROM j) t)"""
+
+
+def _runs(spark: SparkSession, d: str, items: DataFrame) -> DataFrame:
+    """Runs of all modes over one table of candidates, with what is known of a document."""
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source").join(_labels(spark, d), "doc_id", "full_outer")
+    return _judged_by(metrics.fused_runs(*_both(spark, d)).join(docs, "doc_id", "left"), items)
+
+
+@add("retrieval_evaluation", f"""{_RUNS}, n AS (SELECT query_id, count(*) AS n_gold FROM gold GROUP BY 1),
+  h AS (SELECT mode, query_id, count(*) FILTER (rank <= 10) AS h, min(rank) FILTER (rank <= 10) AS f, count(*) FILTER (kept <= 10) AS fh, min(kept) FILTER (kept <= 10) AS ff FROM w WHERE gold GROUP BY ALL),
+  p AS (SELECT mode, query_id, n_gold, coalesce(h, 0) AS h, coalesce(1.0 / f, 0) AS rr, coalesce(fh, 0) AS fh, coalesce(1.0 / ff, 0) AS frr FROM n CROSS JOIN (SELECT DISTINCT mode FROM k) LEFT JOIN h USING (mode, query_id)),
+  t AS (SELECT mode, query_id, bool_or(rank <= 10 AND gold) AS hit, bool_or(gold) AS wide, coalesce(bool_or(kept <= 10 AND gold), false) AS good, any_value(label) FILTER (kept = 1) AS top_label, any_value(source) FILTER (kept = 1) AS top_source FROM w GROUP BY ALL),
+  er AS (SELECT t.mode, t.query_id, CASE WHEN good THEN 'good' WHEN hit THEN 'filter_too_strict' WHEN top_label IS DISTINCT FROM q.label THEN 'wrong_aspect' WHEN top_source IS DISTINCT FROM d.source THEN 'wrong_sentiment' WHEN t.mode = 'dense' AND NOT wide THEN 'lexical_miss' ELSE 'no_gold_hit' END AS error FROM t JOIN q USING (query_id) LEFT JOIN documents d ON d.doc_id = t.query_id)
+  SELECT mode, count(*) AS n_queries, round(avg(CAST(h > 0 AS DOUBLE)), 6) AS hit_at_10, round(avg(h / n_gold), 6) AS recall_at_10, round(avg(rr), 6) AS rr_at_10, round(avg(CAST(fh > 0 AS DOUBLE)), 6) AS filtered_hit_at_10, round(avg(fh / n_gold), 6) AS filtered_recall_at_10, round(avg(frr), 6) AS filtered_rr_at_10,
+    count(*) FILTER (error = 'good') AS n_good, count(*) FILTER (error = 'filter_too_strict') AS n_filter_too_strict, count(*) FILTER (error = 'wrong_aspect') AS n_wrong_aspect, count(*) FILTER (error = 'wrong_sentiment') AS n_wrong_sentiment, count(*) FILTER (error IN ('lexical_miss', 'no_gold_hit')) AS n_missed
+  FROM p LEFT JOIN er USING (mode, query_id) GROUP BY mode""")
+def retrieval_evaluation(spark: SparkSession, d: str) -> DataFrame:
+    """All modes with and without the filter on English documents, and why queries fail with it."""
+    items = _items(spark, d)
+    runs = kept(_runs(spark, d, items), "runs")
+    english = F.col("lang") == "en"
+    wanted = items.select("query_id", "label").join(table(spark, d, "documents").select(F.col("doc_id").alias("query_id"), "source"), "query_id", "left")
+    errors = metrics.run_errors(runs, english, wanted, aspect="label", sentiment="source").select("mode", "query_id", "error")
+    per = metrics.evaluate(runs, english, _gold_sizes(spark, d, items)).join(errors, ["mode", "query_id"], "left")
+    is_ = lambda *e: F.count_if(F.col("error").isin(*e))
+    named = [is_(e).alias(f"n_{e}") for e in ("good", "filter_too_strict", "wrong_aspect", "wrong_sentiment")]
+    means = [F.round(F.avg(c), 6).alias(c) for c in per.columns if c.endswith("_at_10")]
+    return per.groupBy("mode").agg(F.count(F.lit(1)).alias("n_queries"), *means, *named, is_("lexical_miss", "no_gold_hit").alias("n_missed"))
+
+
+@add("retrieval_candidates", f"{_RUNS} SELECT query_id, mode, kept AS rank, doc_id, gold FROM w WHERE kept <= 10")
+def retrieval_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """What each mode finds with the filter: its first ten rows a query, for review."""
+    runs = _runs(spark, d, _items(spark, d)).where("lang = 'en'")
+    nth = F.row_number().over(Window.partitionBy("mode", "query_id").orderBy("rank"))
+    return runs.withColumn("rank", nth.cast("long")).where("rank <= 10").select("query_id", "mode", "rank", "doc_id", "gold")
+
+
 @add("golden_diagnostics", f"""{_RANKS}, held AS (SELECT DISTINCT doc_id FROM documents WHERE lang = 'en'), g AS (SELECT query_id, count(*) AS n_gold, count(held.doc_id) AS present FROM gold LEFT JOIN held USING (doc_id) GROUP BY 1)
   SELECT query_id, n_gold, present, n_gold - present AS missing, round(least(present, 5) / n_gold, 6) AS max_recall_at_5, round(least(present, 10) / n_gold, 6) AS max_recall_at_10 FROM g""")
 def golden_diagnostics(spark: SparkSession, d: str) -> DataFrame:
