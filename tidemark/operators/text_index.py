@@ -14,6 +14,7 @@ the scores of all documents.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -31,6 +32,8 @@ from tidemark.sources.shared import kept, shared_path
 K1, B, EPSILON = 1.5, 0.75, 0.25
 #: Documents of a range, about; folders of a table; ranges that the floor is taken from.
 RANGE, FOLDERS, HEAD = 256, 16, 8
+#: What scalar.tokens finds in a lower-cased text.
+TOKEN = re.compile("[a-z0-9]+")
 
 
 def postings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -41,7 +44,10 @@ def postings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
 
 def counted(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, dl, term, tf), each document counted in the task that reads it."""
-    t = docs.select(F.col(id_col).alias("doc_id"), tokens(F.col(text_col)).alias("t"))
+    t = docs.select(F.col(id_col).alias("doc_id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("t"))
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    if t.rdd.getNumPartitions() < cores:  # a few small files
+        t = t.repartition(cores)
     kinds = to_arrow_schema(StructType([t.schema["doc_id"]]).add("dl", "integer").add("term", "string").add("tf", "integer"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -49,7 +55,8 @@ def counted(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             ids = batch.column("doc_id")
             for lo in range(0, batch.num_rows, 256):
                 at, dl, term, tf = [], [], [], []
-                for i, words in enumerate(batch.column("t").slice(lo, 256).to_pylist(), lo):
+                for i, text in enumerate(batch.column("t").slice(lo, 256).to_pylist(), lo):
+                    words = TOKEN.findall(text)
                     n = Counter(words)
                     at += [i] * len(n)
                     dl += [len(words)] * len(n)
@@ -105,19 +112,23 @@ class TextIndex:
         return tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / F.lit(self._mean)))
 
     def asked(self, queries: DataFrame) -> DataFrame:
-        """(query_id, term, w): weights of a query's terms; a repeated term counts again."""
+        """(query_id, term, w, folder, range, top): the blocks of a query's terms with the term's weight; a repeated term counts
+        again."""
         q = queries.select("query_id", F.explode(tokens(F.col("text"))).alias("term")).groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
-        return q.join(self._table("terms"), "term").select("query_id", "term", (F.col("qtf") * F.col("idf")).alias("w"))
+        weighed = q.join(self._table("terms"), "term").select("query_id", "term", (F.col("qtf") * F.col("idf")).alias("w"))
+        return weighed.join(self._table("tops").select("folder", "term", "range", "top"), "term")
 
     def bounds(self, asked: DataFrame) -> DataFrame:
         """(query_id, range, bound): the most that a document of a range can score."""
-        return asked.join(self._table("tops"), "term").groupBy("query_id", "range").agg(F.sum(F.greatest(F.col("w") * F.col("top"), F.lit(0.0))).alias("bound"))
+        return asked.groupBy("query_id", "range").agg(F.sum(F.greatest(F.col("w") * F.col("top"), F.lit(0.0))).alias("bound"))
 
     def scores(self, asked: DataFrame, ranges: DataFrame | None) -> DataFrame:
         """(query_id, doc_id, score) of the ranges (query_id, range), or of all, from the blocks of the query's terms alone."""
-        need = asked.join(self._table("tops").select("folder", "term", "range"), "term")
+        need = asked.drop("top")
         if ranges is not None:
             need = need.join(ranges.select("query_id", "range"), ["query_id", "range"], "left_semi")
+        # written: its size is known, so that Spark sends it to the blocks if it is small
+        need = kept(need, "need")
         read = self._table("blocks").select("folder", "term", "range", "docs", "tfs", "dls").join(need, ["folder", "term", "range"])
         one = read.select("query_id", "w", F.explode(F.arrays_zip("docs", "tfs", "dls")).alias("p"))
         return one.groupBy("query_id", F.col("p.docs").alias("doc_id")).agg(F.sum(F.col("w") * self._impact(F.col("p.tfs"), F.col("p.dls"))).alias("score"))
