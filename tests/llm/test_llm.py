@@ -212,6 +212,50 @@ def test_dealer_with_very_many_sources():
     assert sum(sum(m for _, m in v) == 512 for v in windows.values()) >= len(windows) - 1
 
 
+def test_products_over():
+    g = np.random.default_rng(4)
+    for m in (1, 7, 2**20 + 7, 10**13 + 37, 2**52 + 21, 2**59 + 55):
+        x, y = g.integers(0, 2**42, 500), g.integers(0, m, 500)
+        quotient, remainder = packing.product_over(x, y, m)
+        # the quotient may be as large as x, never larger
+        assert quotient.tolist() == [a * b // m for a, b in zip(x.tolist(), y.tolist(), strict=True)]
+        assert remainder.tolist() == [a * b % m for a, b in zip(x.tolist(), y.tolist(), strict=True)]
+
+
+def test_dealer_of_hundred_billion_tokens(monkeypatch):
+    monkeypatch.setattr(packing, "CELLS", 600)
+    totals = [10**11, 3 * 10**10 + 7, 9 * 10**6 + 1, 4 * 10**7]
+    dealer, windows = packing.Dealer(totals, 2048), collections.defaultdict(list)
+    whole = sum(totals)
+    at = 10**7  # all tokens of a stretch of windows, from every source
+    edges = [(at * 2048 * t // whole, (at + 500) * 2048 * t // whole) for t in totals]
+    for s, (a, b) in enumerate(edges):
+        _, _, size, window, offset = packing.cut_queue(dealer, s, np.array([a]), np.array([b - a]))
+        assert size.sum() == b - a
+        for w, o, m in zip(window.tolist(), offset.tolist(), size.tolist(), strict=True):
+            windows[w].append((o, m))
+    full = 0
+    for w in range(at + 2, at + 498):
+        end = 0
+        for o, m in sorted(windows[w]):
+            assert o == end
+            end += m
+        full += end == 2048
+    assert full == 496
+
+
+def test_rare_source_takes_little_memory():
+    import tracemalloc
+
+    totals = [10**6, 1950 * 10**6] + [10**6] * 98  # one token a window, about
+    dealer = packing.Dealer(totals, 2048)
+    tracemalloc.start()
+    window, before, after, _ = dealer.table(0, 0, 10**6)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (after - before).sum() == 10**6 and len(window) >= 900_000 and peak < 200 << 20
+
+
 def test_mixture_keeps_to_weights(spark):
     rows = [(i, " ".join(["of"] * 99), "a" if i % 4 else None, "x") for i in range(400)]
     df = spark.createDataFrame(rows, DOC)

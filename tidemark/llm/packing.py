@@ -44,6 +44,8 @@ SLICE = 2 << 20
 TOGETHER = 2000
 #: Bytes of dealt blocks that a task keeps.
 BLOCK_BYTES = 64 << 20
+#: Windows times sources that are looked at in one go (a few arrays of 8 bytes each).
+CELLS = 1 << 19
 #: Rows of (partition, source) up to which base offsets are broadcast: 24 bytes each, 12 MB.
 BROADCAST_ROWS = 500_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -149,6 +151,18 @@ def _tokenize(path: str, end_id: int):  # noqa: ANN202
     return run
 
 
+def product_over(x: np.ndarray, y: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
+    """Quotient and remainder of x * y by m, for 0 <= y < m < 2**60, without leaving 64 bits: x is taken
+    in digits that are short enough, the highest first, as in long division."""
+    bits = 61 - m.bit_length()
+    quotient = remainder = np.zeros(np.broadcast_shapes(np.shape(x), np.shape(y)), np.int64)
+    for i in reversed(range(-(-int(np.max(x, initial=1)).bit_length() // bits))):
+        now = (remainder << bits) + ((x >> (bits * i)) & ((1 << bits) - 1)) * y
+        quotient = (quotient << bits) + now // m
+        remainder = now % m
+    return quotient, remainder
+
+
 class Dealer:
     """How many tokens each source gives to each window."""
 
@@ -161,18 +175,17 @@ class Dealer:
             k *= 2
         self.k = k
         self.n_blocks = max(1, self.all // (k * length))  # the last takes the rest
-        self.small = self.all * self.all < 2**62
-        self._t = np.array(totals, np.int64 if self.small else object)
+        self._t = np.array(totals, np.int64)
+        # a window's tokens of a source: whole ones, and what is left of all
+        self._whole = np.array([t * length // self.all for t in totals] if self.all else [], np.int64)
+        self._part = np.array([t * length % self.all for t in totals] if self.all else [], np.int64)
         self.block = lru_cache(max(64, BLOCK_BYTES // (16 * self.k * max(1, len(totals)))))(self._block)
 
     def given(self, g: int) -> np.ndarray:
         """Tokens that each source has given before block g."""
         if g >= self.n_blocks:
             return self._t.copy()
-        done = g * self.k * self.length
-        a = done * self._t // self.all
-        a[self.big] = done - (a.sum() - a[self.big])
-        return a
+        return self._given_at(np.array([g * self.k]))[0]
 
     def _block(self, g: int) -> tuple[np.ndarray, np.ndarray]:
         """For block g: tokens given before each of its windows, by source, and their offsets in it."""
@@ -214,23 +227,28 @@ class Dealer:
         lo = max(0, a * self.all // (self.totals[s] * self.length) - slack)
         hi = min(last, b * self.all // (self.totals[s] * self.length) + slack)
         if s != self.big and hi - lo > b - a + 2 * slack:  # less than a token a window: the windows of the tokens
-            tokens = np.arange(a, b) if self.small else np.arange(a, b).astype(object)
-            windows = np.unique(np.minimum(((tokens + 1) * self.all - 1) // (self.totals[s] * self.length), last).astype(np.int64))
+            # token x lies in window ((x + 1) * all - 1) // (own tokens * length)
+            tokens, own = np.arange(a + 1, b + 1), self.totals[s] * self.length
+            quotient, remainder = product_over(tokens, np.int64(self.all % own), own)
+            windows = np.unique(np.minimum(tokens * (self.all // own) + quotient - (remainder == 0), last))
         else:
             windows = np.arange(lo, hi + 1)
         rest = windows[-1] == last if len(windows) else False
         windows = windows[windows < last]
-        before, after = self._given_at(windows), self._given_at(windows + 1)
-        start = np.cumsum(after - before, axis=1) - (after - before)
-        out = [windows, before[:, s], after[:, s], start[:, s]]
+        out = [windows, *(np.zeros(len(windows), np.int64) for _ in range(3))]
+        step = max(1, CELLS // len(self.totals))
+        for i in range(0, len(windows), step):  # rows of all sources for a few windows at a time
+            now = windows[i : i + step]
+            before, after = self._given_at(now), self._given_at(now + 1)
+            for column, values in zip(out[1:], (before[:, s], after[:, s], (after[:, :s] - before[:, :s]).sum(axis=1)), strict=True):
+                column[i : i + step] = values
         if rest:  # the last block holds the full window and the short one after it
             rows, offsets = self.block(last)
             out = [np.concatenate(x) for x in zip(out, (last + np.arange(len(offsets)), rows[:-1, s].astype(np.int64), rows[1:, s].astype(np.int64), offsets[:, s].astype(np.int64)), strict=True)]
         return tuple(out)
 
     def _given_at(self, windows: np.ndarray) -> np.ndarray:
-        done = windows if self.small else windows.astype(object)
-        a = ((done * self.length)[:, None] * self._t[None, :] // self.all).astype(np.int64)
+        a = windows[:, None] * self._whole + product_over(windows[:, None], self._part, self.all)[0]
         a[:, self.big] += windows * self.length - a.sum(axis=1)
         return a
 
