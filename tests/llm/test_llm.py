@@ -383,6 +383,47 @@ def test_surrogates_are_a_permutation(spark):
     assert pii.collisions(df, "k").count() == 0 and pii.replace_pii(df, "k").select("text").distinct().count() == len(names)
 
 
+@pytest.mark.parametrize("sizes", [[10, 10, 10], [26, 1, 10, 2], [1, 1, 5, 21, 6], [2], [156, 10], [1]])
+def test_a_format_is_one_cycle(spark, sizes):
+    n, values = int(np.prod(sizes)), []
+    for k in range(n):
+        values.append([])
+        for m in sizes:
+            k, v = divmod(k, m)
+            values[-1].append(v)
+    df = spark.createDataFrame([(v, sizes) for v in values], "v array<int>, m array<int>")
+    to = {tuple(r.v): tuple(r.new) for r in df.select("v", pii.permuted(F.col("v"), F.col("m"), F.lit("k|x")).alias("new")).collect()}
+    at, steps = to[tuple(values[0])], 1
+    while at != tuple(values[0]):
+        at, steps = to[at], steps + 1
+    assert steps == n and set(to.values()) == set(to)
+
+
+def test_only_the_first_digits_carry(spark):
+    sizes = [1, *[10] * 200]
+    df = spark.createDataFrame([([0] + [9] * 200, sizes), ([0] * 201, sizes), ([0] * 201, [1] * 201)], "v array<int>, m array<int>")
+    got = [r.new for r in df.select(pii._added(F.col("v"), F.col("m"), F.lit(2), F.lit(1234)).alias("new")).collect()]
+    assert got[0] == [0, 3, 3, 2, 1, *[0] * 60, *[9] * 136] and got[1] == [0, 4, 3, 2, 1, *[0] * 196] and got[2] == [0] * 201
+
+
+def test_surrogates_of_surrogates(spark):
+    r = random.Random(6)
+    digits = lambda n: "".join(r.choices("0123456789", k=n))
+    letters = lambda n: "".join(r.choices("bcdfghklmn", k=n))
+    olds = [f"{letters(6)}@{letters(7)}.example" for _ in range(300)] + [f"{digits(3)}-{digits(2)}-{digits(4)}" for _ in range(300)]
+    olds += [f"({digits(3)}) {digits(3)}-{digits(4)}" for _ in range(300)] + [f"4{digits(15)}" for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(olds)), "doc_id long, text string")
+    seen, now = [{o} for o in olds], df
+    for _ in range(2):
+        new = pii.replace_pii(now, "k")
+        with pytest.raises(ValueError, match="surrogates already"):
+            pii.replace_pii(new, "k")
+        now = spark.createDataFrame([tuple(x) for x in new.collect()], "doc_id long, text string")  # without the mark
+        for x in now.collect():
+            assert x.text not in seen[x.doc_id], (olds[x.doc_id], x.text)
+            seen[x.doc_id].add(x.text)
+
+
 def test_one_person_one_surrogate(spark):
     text = "Frau Anna Smith wrote. Later Anna Smith came; Smith left, Anna stayed. Dr. Anna Smith (987) 555-2485 or +1 (987) 555-2485, version 1.2.3.4, 2001:db8::1, password=hunter2secret."
     new = pii.replace_pii(spark.createDataFrame([(1, text)], "hits long, text string").withColumn("pattern", F.lit("own")), "k")
@@ -481,6 +522,30 @@ def test_empty_tables(spark):
     assert sharding.assign(none, limit=100).count() == 0 and html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+CLASHING = ["shard", "shard_", "__row", "row", "whole", "__words", "nth", "cut", "position", "new_text", "is_toxic", "p_toxic"]
+
+
+def test_clashing_columns(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    rows = [(i, f"word{i} " * (i % 9 + 1), f"s{i % 2}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for c in CLASHING:
+        df = df.withColumn(c, F.lit(True) if c == "is_toxic" else F.lit(77))
+    own = lambda r: all(r[c] == (c == "is_toxic" or 77) for c in CLASHING)
+    sharding.shard_documents(df, str(tmp_path / "out"), limit=300)
+    written = spark.read.parquet(str(tmp_path / "out"))
+    assert set(written.columns) == {*df.columns, "shard__"}
+    got = written.collect()
+    assert sorted((r.doc_id, r.text, r.source) for r in got) == rows and all(map(own, got))
+    mixed = mixing.mix(df)
+    assert mixed.columns == df.columns and all(map(own, mixed.collect()))
+    # nothing is labelled toxic, so nothing is rejected, whatever the table's own column says
+    monkeypatch.setattr(toxicity, "train_chain", lambda *_: None)
+    kept = corpus_pipeline.without_toxic(spark, df, "/root/testdata/sf0.001")
+    assert kept.columns == df.columns and sorted((r.doc_id, r.text, r.source) for r in kept.collect()) == rows
+
+
 def test_sharding(spark, docs, rows):
     limit = 2000
     same = [(1000, "copy " * 60, None, "x")] * 40 + [(1001, "z" * 5000, None, "x"), (1002, None, None, "x")]

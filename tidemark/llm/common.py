@@ -19,6 +19,13 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
 
 
+def own_name(docs: DataFrame, name: str) -> str:
+    """A column name that the table doesn't have."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder that the cluster names in spark.checkpoint.dir."""
     root = spark.conf.get("spark.checkpoint.dir", None)

@@ -11,8 +11,11 @@ separators and titles stay; cards and IBANs whose check digits hold get check di
 name's word that ends in a vowel keeps it, as that tells the gender.
 
 Different entities therefore have different surrogates by construction, however many the corpus holds,
-without a pass over it; and no entity is its own surrogate, since the permutation is one without fixed
-points. `collisions` checks it on a table. The same entity gets the same surrogate everywhere, whatever its spelling: a
+without a pass over it. The permutation is one cycle through all entities of a format (of one longer than
+DIGITS, cycles as long as those of its first characters), so no entity is its own surrogate, and replacing
+surrogates again leads back to an original only after as many rounds. A short format, as a mail name of one letter, has
+a short cycle; a text column that holds surrogates is therefore marked in its metadata, which tables
+keep, and replace_pii refuses a marked one. `collisions` checks it on a table. The same entity gets the same surrogate everywhere, whatever its spelling: a
 phone number with and without its country code, a card with and without spaces, a name with another
 title or without, each word of a name by itself (coreference). A surrogate may equal some other
 entity's original. Characters outside the scripts in POOLS stay.
@@ -24,10 +27,13 @@ All other columns are kept; n_chars, where there is one, is counted anew for cha
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import prod
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import own_name
+
 _L = r"\p{L}\p{N}"
 _TITLE = "Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sra?|Господин|Госпожа|Κύριος|Κυρία"
 #: Salutations; what follows is a name unless it is one of the words after them.
@@ -64,6 +70,13 @@ CONSONANTS = ["".join(c for c in p if c not in v) for p, v in zip(SCRIPTS, VOWEL
 NAME_POOLS = [*VOWELS, *[v.upper() for v in VOWELS], *CONSONANTS, *[c.upper() for c in CONSONANTS], *SCRIPTS[4:]]
 _ENDINGS = "".join([*VOWELS, *[v.upper() for v in VOWELS]])
 ROUNDS = 4
+#: Sizes of all pools, of an octet's parts and of a first dialled digit; the product of their primes; how
+#: many characters are added to as one number (their carries are walked, so they are bounded).
+SIZES = {*map(len, (*HEX, *POOLS, *NAME_POOLS)), 156, 90, 10, 2, 8}
+PRIMES = prod(p for p in range(2, max(SIZES) + 1) if all(p % q for q in range(2, p)) and any(n % p == 0 for n in SIZES))
+DIGITS = 64
+#: Key of the metadata of a text column with surrogates.
+MARK = "surrogates"
 
 
 def _luhn(digits: Column) -> Column:
@@ -106,11 +119,24 @@ def _number(digest: Column, i: Column) -> Column:
     return F.conv(F.substring(digest, (F.pmod(i, F.lit(32)) * 4 + 1).cast("int"), F.lit(4)), 16, 10).cast("int")
 
 
+def _added(values: Column, sizes: Column, first: Column, number: Column) -> Column:
+    """`number` added to `values`, digits of the given sizes with the lowest first, with carry: to DIGITS
+    of them from the `first` (from 1), which are a number of their own."""
+    digits = F.zip_with(F.slice(values, first, F.lit(DIGITS)), F.slice(sizes, first, F.lit(DIGITS)), lambda v, m: F.struct(v.alias("v"), m.alias("m")))
+    start = F.struct(F.array().cast("array<int>").alias("o"), number.cast("long").alias("c"))
+
+    def add(a: Column, x: Column) -> Column:
+        return _let(x["v"] + a["c"], lambda t: F.struct(F.concat(a["o"], F.array(F.pmod(t, x["m"]).cast("int"))).alias("o"), F.call_function("div", t, x["m"].cast("long")).alias("c")))
+
+    end = first + DIGITS
+    return F.concat(F.slice(values, F.lit(1), first - 1), F.aggregate(digits, start, add, lambda a: a["o"]), F.slice(values, end, F.greatest(F.size(values) - end + 1, F.lit(0))))
+
+
 def permuted(values: Column, sizes: Column, tag: Column) -> Column:
     """The place of `values` in a keyed permutation of all arrays in which the i-th number is below the
-    i-th size: with F a Feistel network whose halves are the even and the odd places, and S a shift of
-    the first number that can change, F, then S, then the inverse of F. As S has no fixed point, neither
-    has the whole."""
+    i-th size: with F a Feistel network whose halves are the even and the odd places, and S an addition
+    to the number whose digits the values are, lowest first: F, then S, then the inverse of F. What S adds
+    is keyed and shares no prime with the sizes, so S is one cycle, and so is the whole."""
     ops = []
     for r in range(ROUNDS):
         ops += [(0, r, 0), (1, r, 1)]
@@ -125,8 +151,8 @@ def permuted(values: Column, sizes: Column, tag: Column) -> Column:
         rest = F.when(op["r"] == 9, F.array_join(a["m"], ",")).otherwise(F.array_join(F.transform(a["v"], lambda x, i: F.when(F.pmod(i, F.lit(2)) == F.pmod(op["r"], F.lit(2)), F.lit("")).otherwise(x.cast("string"))), ","))
         digest = F.sha2(F.concat_ws("|", tag, op["r"].cast("string"), rest), 512)
         moved = F.transform(a["v"], lambda x, i: F.when(F.pmod(i, F.lit(2)) == F.pmod(op["r"], F.lit(2)), F.pmod(x + op["sign"] * _number(a["d"], i), F.get(a["m"], i))).otherwise(x))
-        first = F.array_position(F.transform(a["m"], lambda m: m > 1), F.lit(True)).cast("int") - 1
-        shifted = F.transform(a["v"], lambda x, i: F.when(i == first, F.pmod(x + 1 + F.pmod(_number(a["d"], F.lit(0)), F.greatest(F.get(a["m"], i) - 1, F.lit(1))), F.get(a["m"], i))).otherwise(x))
+        first = F.greatest(F.array_position(F.transform(a["m"], lambda m: m > 1), F.lit(True)).cast("int"), F.lit(1))
+        shifted = _added(a["v"], a["m"], first, 1 + F.lit(PRIMES).cast("long") * _number(a["d"], F.lit(0)))
         values = F.when(op["k"] == 0, a["v"]).when(op["k"] == 1, moved).otherwise(shifted)
         return F.struct(values.alias("v"), a["m"].alias("m"), F.when(op["k"] == 0, digest).otherwise(F.lit("")).alias("d"))
 
@@ -254,13 +280,6 @@ def _hits(text: Column, pattern: Column) -> Column:
     return F.transform(found, lambda x: F.struct(x["hit"].alias("hit"), x["kind"].alias("kind"), canonical(x["hit"], x["kind"]).alias("canon")))
 
 
-def _own(docs: DataFrame, name: str) -> str:
-    """A column name that the table doesn't have."""
-    while name.lower() in {c.lower() for c in docs.columns}:
-        name += "_"
-    return name
-
-
 def collisions(docs: DataFrame, key: str, *, text_col: str = "text") -> DataFrame:
     """Surrogates that stand for several entities of the table, or for themselves: kind, new, n, same."""
     text = F.col(text_col)
@@ -271,12 +290,15 @@ def collisions(docs: DataFrame, key: str, *, text_col: str = "text") -> DataFram
 
 
 def replace_pii(docs: DataFrame, key: str, *, text_col: str = "text", count_col: str | None = None) -> DataFrame:
-    """The table with surrogates in its texts, and in count_col, if given, how many there are."""
-    text, pattern, hits = F.col(text_col), _own(docs, "pattern"), _own(docs, "hits")
+    """The table with surrogates in its texts, and in count_col, if given, how many there are. A text
+    column that is marked as one with surrogates is a ValueError."""
+    if docs.schema[text_col].metadata.get(MARK):
+        raise ValueError(f"{text_col} holds surrogates already")
+    text, pattern, hits = F.col(text_col), own_name(docs, "pattern"), own_name(docs, "hits")
     keyed = docs.withColumn(pattern, pattern_for(text)).withColumn(hits, _hits(text, F.col(pattern)))
     new = F.transform(hits, lambda x: surrogate(x["hit"], x["kind"], x["canon"], key))
     joined = F.array_join(F.zip_with(F.split(text, F.col(pattern), -1), new, lambda p, s: F.concat(p, F.coalesce(s, F.lit("")))), "")
-    columns = [F.when(F.size(hits) > 0, joined).otherwise(text).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+    columns = [F.when(F.size(hits) > 0, joined).otherwise(text).alias(c, metadata={**docs.schema[c].metadata, MARK: True}) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
     if count_col:
         columns.append(F.size(F.filter(hits, lambda x: x["kind"].isNotNull())).alias(count_col))
     out = keyed.select(*columns)
