@@ -111,17 +111,19 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **op
     position. A copy that is cut keeps its first words, joined by single spaces; n_chars, where the
     table has it, is counted anew for those."""
     plan = plan_mix(docs, id_col=id_col, text_col=text_col, **options)
-    # rows that share an id are told apart by their rank among them
-    nth = "__nth"
-    plan = plan.withColumn(nth, F.row_number().over(Window.partitionBy("doc_id").orderBy("size", "part")))
-    copies = plan.select(F.col("doc_id").alias("__id"), F.col("size").alias("__size"), F.col("part").alias("__part"), F.col(nth).alias("__n"), F.posexplode("positions").alias("__epoch", "__position"), F.size("positions").alias("__copies"))
-    keyed = docs.withColumn("__words", F.size(words(F.col(text_col)))).withColumn(nth, F.row_number().over(Window.partitionBy(id_col).orderBy("__words")))
-    joined = keyed.join(copies, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col(nth) == F.col("__n")))
-    cut = (F.col("__epoch") == F.col("__copies") - 1) & (F.col("__part") > 0) & (F.col("__part") < F.col("__size"))
-    joined = joined.withColumn("__cut", cut)
-    text = F.when(F.col("__cut"), F.array_join(F.slice(words(F.col(text_col)), F.lit(1), F.col("__part").cast("int")), " ")).otherwise(F.col(text_col))
-    out = joined.withColumn(text_col, text)
+    # rows that share an id are told apart by their rank among them; a document stays whole in one column
+    plan = plan.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id").orderBy("size", "part")))
+    copies = plan.select("doc_id", "nth", "size", "part", F.posexplode("positions").alias("epoch", "position"), F.size("positions").alias("copies"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
+    keyed = docs.select(whole, F.col(id_col).alias("own_id"), F.size(words(F.col(text_col))).alias("n_words"))
+    keyed = keyed.withColumn("own_nth", F.row_number().over(Window.partitionBy("own_id").orderBy("n_words")))
+    joined = keyed.join(copies, F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_nth") == F.col("nth")))
+    joined = joined.withColumn("cut", (F.col("epoch") == F.col("copies") - 1) & (F.col("part") > 0) & (F.col("part") < F.col("size")))
+    own = {c: F.col("whole").getField(c) for c in docs.columns}
+    text = F.when(F.col("cut"), F.array_join(F.slice(words(own[text_col]), F.lit(1), F.col("part").cast("int")), " ")).otherwise(own[text_col])
+    joined = joined.withColumn("new_text", text)
+    own[text_col] = F.col("new_text")
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__cut"), F.length(text_col).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    out = out.repartitionByRange("__position", id_col).sortWithinPartitions("__position", id_col)
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        own["n_chars"] = F.when(F.col("cut"), F.length("new_text").cast(docs.schema["n_chars"].dataType)).otherwise(own["n_chars"])
+    out = joined.repartitionByRange("position", "own_id").sortWithinPartitions("position", "own_id")
+    return out.select(*[e.alias(c) for c, e in own.items()])

@@ -23,7 +23,7 @@ from math import ceil, log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize
+from tidemark.llm.common import materialize, own_name
 
 #: Cells up to which their buckets are broadcast (32 bytes each).
 BROADCAST_CELLS = 200_000
@@ -76,8 +76,12 @@ def directory(assigned: DataFrame) -> DataFrame:
 
 
 def shard_documents(docs: DataFrame, path: str, *, limit: int, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write the documents with one folder for each shard, each row to the shard that assign gives it."""
-    # the numbers are written, so that both sides of the join have the same
-    rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    homes = _assign(rows, limit, id_col, text_col, ["__row"]).select("__row", "shard")
-    rows.join(homes, "__row").drop("__row").repartition("shard").write.partitionBy("shard").parquet(path)
+    """Write the documents with one folder for each shard, each row to the shard that assign gives it.
+    The folders are named by `shard`, with underscores after it if the table has such a column."""
+    # the numbers are written, so that both sides of the join have the same; rows are kept whole
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
+    rows = materialize(docs.select(whole, F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row")), "numbered")
+    homes = _assign(rows, limit, "id", "text", ["row"]).select("row", "shard")
+    name = own_name(docs, "shard")
+    placed = rows.select("row", "whole").join(homes, "row").repartition("shard")
+    placed.select("whole.*", F.col("shard").alias(name)).write.partitionBy(name).parquet(path)

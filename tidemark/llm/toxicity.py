@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.llm.common import materialize
+from tidemark.llm.common import materialize, own_name
 
 PLACES = 1 << 20
 HALF = PLACES // 2
@@ -227,9 +227,9 @@ def train_chain(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", t
 
 
 def score(docs: DataFrame, chain: dict | None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The table with p_<category> for each category of the chain and toxic, after its own columns."""
-    taken = set(docs.columns)
-    added = [n if n not in taken else f"{n}_" for n in (*(f"p_{c}" for c in CHAIN), "is_toxic")]
+    """The table with p_<category> for each category of the chain and is_toxic, after its own columns;
+    a name that the table has already gets underscores (the last column is the verdict)."""
+    added = [own_name(docs, n) for n in (*(f"p_{c}" for c in CHAIN), "is_toxic")]
     sent = docs.sparkSession.sparkContext.broadcast(chain)
     schema = StructType(list(docs.schema.fields))
     for n in added[:-1]:
