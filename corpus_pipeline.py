@@ -22,7 +22,9 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that the classifier chain rejects go."""
     ship(spark)
     chain = toxicity.train_chain(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, chain).where(~F.col("is_toxic")).select(docs.columns)
+    scored = toxicity.score(docs, chain)
+    # the verdict is the last column, whatever the table's own are called
+    return scored.where(~F.col(f"`{scored.columns[-1]}`")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
