@@ -502,6 +502,49 @@ def test_html_names_that_may_be_topics():
     assert text("<body><div class='text-search-engines'><p>engines</p></div></body>") == "engines"
 
 
+def test_html_forms_and_headers_of_articles():
+    text = lambda page: html_extract.Page(page).text(None)
+    one = "how the engines find what they are asked for " * 5
+    body = f"<h2>Title</h2><p>{one}</p><p>{one}</p>"
+    plain = f"Title\n{one.strip()}\n{one.strip()}"
+    # a form around the page, with forms' own things in it
+    assert text(f"<body><form id=aspnetForm action=x><input type=hidden><nav>menu</nav><div class=post>{body}</div><select><option>a</select><button>go</button></form></body>") == plain
+    assert text("<body><form><article><p>short story</article></form></body>") == "short story"
+    # a form in the page, and a page that is one, are none of the article
+    assert text(f"<body><div class=post>{body}</div><form><p>Your name<p>Your message<p>{one}</form></body>") == plain
+    assert text("<body><form><label>User</label><div>Password</div></form></body>") == ""
+    # the headings of an article's own header stay; those of the page's don't
+    page = f"<body><header><h1>Site</h1></header><article><header><nav>a</nav><div><h1>The <i>title</i></h1></div><p>by x, 5 minutes</p></header><p>{one}</p></article></body>"
+    assert text(page) == f"The title\n{one.strip()}"
+    assert text(f"<body><nav><article><header><h1>A</h1></header></article></nav><p>{one}</p></body>") == one.strip()
+
+
+def test_html_of_many_levels():
+    import time
+
+    story = "".join(f"<div class=l{chr(97 + i % 26)}><p>block {i}</p>" for i in range(1500)) + "</div>" * 1500
+    start = time.process_time()
+    got = html_extract.Page(f"<body>{story}</body>").text(None)
+    assert got.split("\n") == [f"block {i}" for i in range(1500)] and time.process_time() - start < 1.5
+
+
+def test_generated_pages(spark):
+    """Articles of known text among menus, adverts and forms, in many layouts: each comes back whole."""
+    r = random.Random(12)
+    words_of = lambda n: " ".join("".join(r.choices("abcdefghij", k=r.randint(2, 8))) for _ in range(n))
+    rows, want = [], {}
+    for i in range(120):
+        blocks = [words_of(r.randint(4, 60)) for _ in range(r.randint(3, 12))]
+        inner = "".join(f"<p>{b}</p>\n" if r.random() < 0.8 else f"<ul><li>{b}</li></ul>" for b in blocks)
+        article = [f"<article>{inner}</article>", f"<div class='post-{i}'>{inner}</div>", f"<div id=content><div class=text>{inner}</div></div>"][i % 3]
+        parts = ["<nav><a href=x>home</a></nav>", article, f"<div class='sidebar'><p>{words_of(9)}</p></div>", f"<form><p>{words_of(5)}</p></form>" if i % 2 else "", f"<div class='comments'><p>{words_of(30)}</p></div>", f"<footer>{words_of(6)}</footer>"]
+        page = "".join(parts)
+        rows.append((i, f"http://host{i % 3}.example/{i}", f"<html><body>{f'<form>{page}</form>' if i % 4 == 0 else page}</body></html>"))
+        want[i] = "\n".join(blocks)
+    got = {x.page_id: x.text for x in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
+
+
 def test_toxicity_learns_from_its_folds_only():
     feats = [np.array([i % 5, 7 + i % 3]) for i in range(60)]
     toxic = np.array([float(i % 5 == 0) for i in range(60)])

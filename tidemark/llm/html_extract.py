@@ -13,7 +13,9 @@ Tags and roles that are not the article (nav, footer and the like) are left out,
 whose class or id is a word for such, as sidebar. Where it is only a part of a longer name, as in
 site-footer or post-related, the container is left out if it holds less than half of the page's text;
 if the part may as well be a topic, as in text-search-engines, only if most of its text is links or
-it is short. Names as has-sidebar, no-header or post-header (the head of the article itself) tell
+it is short. A form around the article, of three quarters of the page's text with a paragraph or an article
+in it, counts as any container; other forms are left out. Of an article's own header its headings stay.
+Names as has-sidebar, no-header or post-header (the head of the article itself) tell
 nothing. If nothing is left, names of classes don't count.
 
 A block's white space becomes one space; blocks are joined by a newline in page order. A null or empty
@@ -25,8 +27,8 @@ from __future__ import annotations
 
 import html as htmllib
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,7 +42,8 @@ BROADCAST_HOSTS = 100_000
 # Kinds of HTML elements, and words of classes and roles that mark what isn't the article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg".split())
-DROPPED = frozenset("head nav header footer aside form button select menu dialog object canvas".split()) | RAW
+DROPPED = frozenset("head nav header footer aside button select menu dialog object canvas".split()) | RAW
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSED_BY_SELF = frozenset("li dt dd tr td th option".split())
 ASIDE_WORDS = frozenset(
@@ -77,7 +80,9 @@ class Node:
     held_links: int = 0
     chars: int = 0
     link_chars: int = 0
-    blocks: list[str] = field(default_factory=list)
+    longest: int = 0
+    out: bool = False
+    head: bool = False
 
 
 def _weight(tag: str, names: set[str]) -> float:
@@ -103,18 +108,13 @@ def _mark(tokens: list[str]) -> int:
     return mark
 
 
-def _above(node: Node | None) -> Iterator[Node]:
-    while node is not None:
-        yield node
-        node = node.parent
-
-
 class Page:
     """The containers of a page, in page order, each with the blocks of text below it."""
 
     def __init__(self, source: str) -> None:
         self.root = Node("", "", None, False)
         self.nodes: list[Node] = []
+        self.every = [self.root]
         self.stack = [self.root]
         self.pending: list[tuple[str, bool]] = []
         self.found: list[tuple[Node, str, int]] = []
@@ -131,24 +131,44 @@ class Page:
         if text and not self.stack[-1].aside:
             self.found.append((self.stack[-1], text, min(linked, len(text))))
 
+    def _mark_below(self, told: Callable[[Node], bool]) -> None:
+        """Mark the containers that aren't the article, with all below them; parents come first."""
+        for n in self.every:
+            n.out = (n.parent is not None and n.parent.out) or told(n)
+
+    def _hold(self, blocks: list[tuple[Node, str, int]]) -> None:
+        """How much text, and of links, each container holds; children are added to their parents."""
+        for n in self.every:
+            n.held = n.held_links = n.longest = 0
+        for at, text, linked in blocks:
+            at.held, at.held_links, at.longest = at.held + len(text), at.held_links + linked, max(at.longest, len(text) - linked)
+        for n in reversed(self.every[1:]):
+            n.parent.held, n.parent.held_links = n.parent.held + n.held, n.parent.held_links + n.held_links
+            n.parent.longest = max(n.parent.longest, n.longest if n.tag not in ("article", "main") or not n.held else SHORT)
+
     def _credit(self) -> None:
         """Credit each block to all containers that it lies in, unless one of them isn't the article."""
-        for at, text, linked in self.found:
-            above = list(_above(at))
-            if not any(n.mark == WHOLLY for n in above):
-                for n in above:
-                    n.held += len(text)
-                    n.held_links += linked
+        if any(n.tag == "form" for n in self.every):
+            self._hold(self.found)
+            self._mark_below(lambda n: n.tag == "form" and (4 * n.held < 3 * self.root.held or n.longest < SHORT))
+            self.found = [x for x in self.found if not x[0].out]
+        self._mark_below(lambda n: n.mark == WHOLLY)
+        self._hold([x for x in self.found if not x[0].out])
         least = self.root.held / 2
         thin = lambda n: n.held < SHORT or n.held_links > n.held / 2
-        told = lambda n: n.mark == WHOLLY or (n.mark and n.held < least and (n.mark == PARTLY or thin(n)))
-        chosen = [x for x in self.found if not any(map(told, _above(x[0])))]
+        self._mark_below(lambda n: n.mark == WHOLLY or bool(n.mark and n.held < least and (n.mark == PARTLY or thin(n))))
         # where that leaves nothing the names of classes don't count
-        for at, text, linked in chosen or self.found:
-            for n in _above(at):
-                n.chars += len(text)
-                n.link_chars += linked
-                n.blocks.append(text)
+        self.kept = [x for x in self.found if not x[0].out] or self.found
+        self._hold(self.kept)
+        for n in self.every:
+            n.chars, n.link_chars = n.held, n.held_links
+
+    def blocks(self, chosen: list[Node]) -> list[str]:
+        """The blocks in these containers, in page order."""
+        top = {id(n) for n in chosen}
+        for n in self.every:
+            n.out = id(n) in top or (n.parent is not None and n.parent.out)
+        return [text for at, text, _ in self.kept if at.out]
 
     def _open(self, tag: str, attrs: str) -> None:
         if tag in CLOSED_BY_SELF:
@@ -165,10 +185,16 @@ class Page:
         classes = re.sub(r"\d+", "#", found.get("class", "")).lower().split()
         tokens = [*classes, *re.sub(r"\d+", "#", found.get("id", "")).lower().split()]
         names = set(re.split(r"[^a-z#]+", " ".join(tokens)))
-        aside = parent.aside or tag in DROPPED or found.get("role", "").lower() in ASIDE_ROLES
+        told = tag in DROPPED or found.get("role", "").lower() in ASIDE_ROLES
+        # within the header of an article: its headings are text, the rest isn't
+        head = parent.head and not told
+        if tag == "header" and not parent.aside and "role" not in found:
+            head = any(n.tag == "article" for n in self.stack)
+        aside = (parent.aside or told) and not (parent.head and tag in HEADINGS and not told)
         mark = PLAIN if tag in ("body", "html", "article", "main") else _mark(tokens)
-        node = Node(tag, f"{parent.path}/{'.'.join([tag, *sorted(classes)])}", parent, aside, mark, _weight(tag, names))
+        node = Node(tag, f"{parent.path}/{'.'.join([tag, *sorted(classes)])}", parent, aside, mark, _weight(tag, names), head=head)
         self.stack.append(node)
+        self.every.append(node)
         if not aside and tag not in ("p", "li"):
             self.nodes.append(node)
 
@@ -220,23 +246,12 @@ class Page:
 
     def text(self, path: str | None) -> str:
         chosen = [n for n in self.nodes if n.path == path]
-        # a container below another of the same path has been counted with it
-        blocks = [b for n in chosen if not _inside(n, path) for b in n.blocks]
+        blocks = self.blocks(chosen)
         if not blocks:
-            own = self.best()
-            blocks = own.blocks if own else self.root.blocks
+            blocks = self.blocks([self.best() or self.root])
         return "\n".join(blocks)
 
 
-def _inside(node: Node, path: str | None) -> bool:
-    p = node.parent
-    while p is not None:
-        if p.path == path:
-            return True
-        p = p.parent
-    return False
-
-
 def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per page: page_id, url, text, n_chars, path (its host's winning path)."""
     base = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
