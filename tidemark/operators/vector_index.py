@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions.scalar import dot, unit
+from tidemark.operators import blocks
 from tidemark.operators.rankings import ranked
 from tidemark.sources.shared import kept, shared_path
 
@@ -116,18 +117,35 @@ class VectorIndex:
         asked = probed.select("query_id", "cell").join(self._units(queries), "query_id")
         return v.select("cell", "doc_id", "unit").join(asked, "cell").select("query_id", "doc_id", dot(F.col("q"), F.col("unit")).alias("score"))
 
+    def nearest(self, queries: DataFrame, probed: DataFrame, where: Column | None, limit: int) -> DataFrame:
+        """(query_id, doc_id, score): for each query at least the first `limit` of the cells (query_id, cell) that it probes. Cells are
+        dealt into blocks, large ones by parts; a query meets a block once, with all cells that it asks there."""
+        held = self.cells.select("cell", "n")
+        q = queries.select("query_id", F.col("vector").alias("v")).where(unit(F.col("v")).isNotNull())
+        v = (self.vectors if where is None else self.vectors.where(where)).select("cell", "doc_id", F.col("unit").alias("v"))
+        of_vectors, of_queries = blocks.counts(v, q)
+        each = max(1, (held.agg(F.sum("n")).first()[0] or 0) // of_vectors)
+        held = held.join(probed.select("cell").distinct(), "cell", "left_semi").select("cell", F.ceil(F.col("n") / each).cast("int").alias("parts"))
+        at = lambda part: F.pmod(F.xxhash64("cell", part), F.lit(of_vectors)).cast("int").alias("vb")
+        v = v.join(held, "cell").withColumn("part", F.pmod(F.xxhash64("doc_id"), "parts").cast("int"))
+        v = v.select("cell", "doc_id", "v", at(F.col("part")), F.explode(F.sequence(F.lit(0), F.lit(of_queries - 1))).alias("qb"))
+        asked = probed.join(held, "cell").select("query_id", "cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        asked = asked.select("query_id", "cell", at(F.col("part"))).groupBy("query_id", "vb").agg(F.collect_set("cell").alias("cells"))
+        asked = asked.join(q, "query_id").withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(of_queries)).cast("int"))
+        return blocks.nearest(v, asked.select("query_id", "v", "cells", "vb", "qb"), limit, ("vb", "qb"), celled=True)
+
     def search(self, queries: DataFrame, *, limit: int = 10, probes: int = 8, where: Column | None = None, exact: bool = False) -> DataFrame:
         """The first `limit` vectors by cosine for each query (query_id, vector): of its `probes` nearest cells, or of all."""
         if not self.cells.take(1):
             return self.spark.createDataFrame([], StructType([queries.schema["query_id"], self.vectors.schema["doc_id"]]).add("score", "double").add("rank", "integer"))
         cells = kept(self.order(queries), "probes")
-        first = ranked(self.scores(queries, cells.where(F.col("nth") <= probes), where), limit)
+        first = ranked(self.nearest(queries, cells.where(F.col("nth") <= probes), where, limit), limit)
         if not exact:
             return first
         first = kept(first, "probed")
         floor = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("floor")).where(F.col("n") == limit).select("query_id", "floor")
         open_ = cells.where(F.col("nth") > probes).join(floor, "query_id", "left").where("floor IS NULL OR bound >= floor - 1e-7")
-        return ranked(first.select("query_id", "doc_id", "score").unionByName(self.scores(queries, open_, where)), limit)
+        return ranked(first.select("query_id", "doc_id", "score").unionByName(self.nearest(queries, open_, where, limit)), limit)
 
     def read_share(self, queries: DataFrame, probes: int) -> float:
         """Of all pairs of a query and a vector, the share that a search with so many probes compares."""
