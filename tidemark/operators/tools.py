@@ -12,6 +12,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.sources.shared import kept
+
 FACETS = ("aspect", "sentiment", "severity", "brand")
 #: Fixed value: incidents that an answer names.
 MOST_INCIDENTS = 5
@@ -66,7 +68,8 @@ def looked_up(filters: DataFrame, counts: DataFrame) -> DataFrame:
 def analytics(questions: DataFrame, counts: DataFrame) -> DataFrame:
     """(question_id, kind, total, answer): the counts as text, larger first, then by label; of aspects also the largest
     and the one with the most negative mentions. The distinct filters are answered, and questions find theirs."""
-    filters = filters_of(questions)
+    # questions are routed once; their filters are read three times
+    filters = kept(filters_of(questions), "filters")
     names = ["kind", *FACETS]
     rows = looked_up(filters, counts)
     negative = filters.where("kind = 'aspect'").withColumn("sentiment", F.lit("negative"))
@@ -87,7 +90,8 @@ def analytics(questions: DataFrame, counts: DataFrame) -> DataFrame:
     text = text.when(F.col("kind") == "sentiment", F.concat(F.lit("Sentiment distribution of aspect mentions: "), told, F.lit(".")))
     text = text.when(F.col("kind") == "status", F.concat(F.lit("ABSA processing-status distribution: "), told, F.lit("."))).otherwise(aspects)
     answers = lists.select(*[F.col(c).alias(f"__{c}") for c in names], "total", text.alias("answer"))
-    out = filters.join(answers, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in names], "left")
+    # an answer a set of filters, however many questions share it: sent to the questions
+    out = filters.join(F.broadcast(answers), [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in names], "left")
     none = F.when(F.col("kind") == "severity", "Severity distribution of negative mentions: (none).").when(F.col("kind") == "sentiment", "Sentiment distribution of aspect mentions: (none).")
     none = none.when(F.col("kind") == "status", "ABSA processing-status distribution: (none).").otherwise("No aspect mentions are present in the database yet.")
     return out.select("question_id", "kind", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("answer", none).alias("answer"))

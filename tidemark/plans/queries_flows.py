@@ -15,6 +15,7 @@ from tidemark.operators import lexicon as lx
 from tidemark.plans.queries_text import _MENTIONS, _TAGGED, _tagged
 from tidemark.plans.registry import REVIEWS_SQL, Registry, reviews, table
 from tidemark.sources import lines
+from tidemark.sources.shared import kept
 
 REGISTRY = Registry()
 add = REGISTRY.add
@@ -34,6 +35,11 @@ def _extracted(spark: SparkSession, d: str) -> DataFrame:
     return absa.extract(_documents(spark, d).select("doc_id", "text"), reliability=False)
 
 
+def _held(spark: SparkSession, d: str) -> DataFrame:
+    """(doc_id, mentions), written: for queries that read what was extracted more than once."""
+    return kept(_extracted(spark, d).select("doc_id", "mentions"), "mentions")
+
+
 _FLOW = f"""{_MENTIONS}, st AS (SELECT doc_id, CASE WHEN doc_id % 13 = 0 THEN 'failed' WHEN doc_id IN (SELECT doc_id FROM mentions) THEN 'success' ELSE 'no_mentions' END AS status, CASE WHEN doc_id % 5 = 0 THEN 'other' ELSE 'mock' END AS provider FROM documents),
   ok AS (SELECT * FROM st WHERE provider = 'mock'), ci AS (SELECT m.* FROM mentions m JOIN ok USING (doc_id) WHERE status = 'success' AND sentiment = 'negative'),
   mem AS (SELECT *, code || '-' || doc_id % 3 AS cluster_id FROM ci), cl AS (SELECT cluster_id, code, count(*) AS size, upper(cluster_id) AS label, CASE WHEN cluster_id LIKE '%-2' THEN 'other' ELSE 'mock' END AS provider FROM mem GROUP BY cluster_id, code)"""
@@ -43,13 +49,13 @@ def _provider() -> Column:
     return F.when(F.col("doc_id") % 5 == 0, "other").otherwise("mock")
 
 
-def _statuses(spark: SparkSession, d: str) -> DataFrame:
+def _statuses(spark: SparkSession, d: str, held: DataFrame | None = None) -> DataFrame:
     status = F.when(F.col("doc_id") % 13 == 0, "failed").when(F.size("mentions") > 0, "success").otherwise("no_mentions")
-    return _extracted(spark, d).select("doc_id", status.alias("status"), F.lit("v2").alias("version"), _provider().alias("provider"))
+    return (held or _extracted(spark, d)).select("doc_id", status.alias("status"), F.lit("v2").alias("version"), _provider().alias("provider"))
 
 
-def _mentions(spark: SparkSession, d: str) -> DataFrame:
-    return _extracted(spark, d).select("doc_id", F.lit("v2").alias("version"), F.inline("mentions"))
+def _mentions(spark: SparkSession, d: str, held: DataFrame | None = None) -> DataFrame:
+    return (held or _extracted(spark, d)).select("doc_id", F.lit("v2").alias("version"), F.inline("mentions"))
 
 
 def _reviews(spark: SparkSession, d: str) -> DataFrame:
@@ -57,19 +63,21 @@ def _reviews(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", "source", "lang", posted.alias("posted_at"), (F.col("doc_id") % 5 + 1).alias("rating"))
 
 
-def _members(spark: SparkSession, d: str) -> DataFrame:
-    rows = flows.clustering_input(_reviews(spark, d), _mentions(spark, d), _statuses(spark, d), SCOPE, id_col="doc_id")
+def _members(spark: SparkSession, d: str, held: DataFrame | None = None) -> DataFrame:
+    held = held or _held(spark, d)
+    rows = flows.clustering_input(_reviews(spark, d), _mentions(spark, d, held), _statuses(spark, d, held), SCOPE, id_col="doc_id")
     return rows.select("doc_id", "code", "severity", F.concat_ws("-", "code", F.col("doc_id") % 3).alias("cluster_id"))
 
 
-def _clusters(spark: SparkSession, d: str) -> DataFrame:
-    out = _members(spark, d).groupBy("cluster_id", "code").agg(F.count(F.lit(1)).alias("size"))
+def _clusters(spark: SparkSession, d: str, held: DataFrame | None = None) -> DataFrame:
+    out = _members(spark, d, held).groupBy("cluster_id", "code").agg(F.count(F.lit(1)).alias("size"))
     return out.select("*", F.upper("cluster_id").alias("label"), F.when(F.col("cluster_id").endswith("-2"), "other").otherwise("mock").alias("provider"))
 
 
 @add("indexing_input", f"WITH {_FLOW}, a AS (SELECT doc_id, string_agg(code || ':' || sentiment, ',' ORDER BY code) AS aspects, count(*) AS n FROM mentions GROUP BY 1) SELECT doc_id, source, status AS absa_status, coalesce(n, 0)::INT AS n_mentions, coalesce(aspects, '') AS aspects FROM ok JOIN documents USING (doc_id) LEFT JOIN a USING (doc_id) WHERE status <> 'failed'")
 def indexing_input(spark: SparkSession, d: str) -> DataFrame:
-    out = flows.indexing_input(_reviews(spark, d), _statuses(spark, d), _mentions(spark, d), SCOPE, id_col="doc_id")
+    held = _held(spark, d)
+    out = flows.indexing_input(_reviews(spark, d), _statuses(spark, d, held), _mentions(spark, d, held), SCOPE, id_col="doc_id")
     aspects = F.array_join(F.transform("mentions", lambda m: F.concat_ws(":", m["code"], m["sentiment"])), ",")
     return out.select("doc_id", "source", "absa_status", F.size("mentions").alias("n_mentions"), aspects.alias("aspects"))
 
@@ -81,13 +89,15 @@ def indexing_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @add("clustering_input", f"WITH {_FLOW} SELECT doc_id, code, severity, quote, source, doc_id % 5 + 1 AS rating FROM ci JOIN documents USING (doc_id)")
 def clustering_input(spark: SparkSession, d: str) -> DataFrame:
-    rows = flows.clustering_input(_reviews(spark, d), _mentions(spark, d), _statuses(spark, d), SCOPE, id_col="doc_id")
+    held = _held(spark, d)
+    rows = flows.clustering_input(_reviews(spark, d), _mentions(spark, d, held), _statuses(spark, d, held), SCOPE, id_col="doc_id")
     return rows.select("doc_id", "code", "severity", "quote", "source", "rating")
 
 
 @add("mention_events", f"WITH {_FLOW} SELECT doc_id, cluster_id, label, mem.code, severity, CAST(DATE '2024-01-01' + CAST(doc_id % 365 AS INT) AS DATE) AS posted_at, doc_id % 5 + 1 AS rating, quote FROM mem JOIN cl USING (cluster_id) WHERE cl.provider = 'mock'")
 def mention_events(spark: SparkSession, d: str) -> DataFrame:
-    out = flows.mention_events(_members(spark, d), _clusters(spark, d), _reviews(spark, d), _mentions(spark, d), SCOPE, id_col="doc_id")
+    held = _held(spark, d)
+    out = flows.mention_events(_members(spark, d, held), _clusters(spark, d, held), _reviews(spark, d), _mentions(spark, d, held), SCOPE, id_col="doc_id")
     return out.select("doc_id", "cluster_id", "label", "code", "severity", "posted_at", "rating", "quote")
 
 
@@ -98,12 +108,14 @@ def cluster_order(spark: SparkSession, d: str) -> DataFrame:
 
 @add("cluster_run_summary", f"WITH {_FLOW}, gm AS (SELECT code, count(*) AS mentions FROM mentions GROUP BY 1), cc AS (SELECT code, count(*) AS clusters, sum(size)::BIGINT AS clustered FROM cl WHERE size >= 5 GROUP BY 1) SELECT code, mentions, coalesce(clusters, 0) AS clusters, coalesce(clustered, 0) AS clustered, clusters IS NULL AS skipped FROM gm LEFT JOIN cc USING (code)")
 def cluster_run_summary(spark: SparkSession, d: str) -> DataFrame:
-    return flows.cluster_summary(_mentions(spark, d), _clusters(spark, d).where("size >= 5"))
+    held = _held(spark, d)
+    return flows.cluster_summary(_mentions(spark, d, held), _clusters(spark, d, held).where("size >= 5"))
 
 
 @add("skipped_aspects", f"WITH {_FLOW} SELECT DISTINCT code FROM mentions WHERE code NOT IN (SELECT code FROM cl WHERE size >= 5)")
 def skipped_aspects(spark: SparkSession, d: str) -> DataFrame:
-    return flows.skipped(_mentions(spark, d), _clusters(spark, d).where("size >= 5"), "code")
+    held = _held(spark, d)
+    return flows.skipped(_mentions(spark, d, held), _clusters(spark, d, held).where("size >= 5"), "code")
 
 
 @add("ingest_ledger", f"WITH {_TAGGED} SELECT lang AS run_id, min(doc_id) AS started_at, max(doc_id) AS finished_at, count(*) AS rows_in, count(*) FILTER (dq_reason IS NULL) AS rows_loaded, count(dq_reason) AS rows_failed, CASE WHEN count(dq_reason) = count(*) THEN 'failed' ELSE 'success' END AS status FROM t GROUP BY lang")
@@ -226,7 +238,8 @@ def label_distribution(spark: SparkSession, d: str) -> DataFrame:
 @add("holdout_predictions", f"WITH {_FLOW}, a AS (SELECT doc_id, string_agg(code || ':' || sentiment, ',' ORDER BY code) AS aspects FROM mentions GROUP BY 1) SELECT doc_id, CASE WHEN provider = 'mock' THEN status ELSE 'pending' END AS status, coalesce(aspects, '') AS predicted FROM documents JOIN st USING (doc_id) LEFT JOIN a USING (doc_id) WHERE lang = 'en'")
 def holdout_predictions(spark: SparkSession, d: str) -> DataFrame:
     holdout = table(spark, d, "documents").where("lang = 'en'").select("doc_id")
-    out = evaluation.predictions_of(holdout, flows.in_scope(_statuses(spark, d), SCOPE), _mentions(spark, d), "doc_id")
+    held = _held(spark, d)
+    out = evaluation.predictions_of(holdout, flows.in_scope(_statuses(spark, d, held), SCOPE), _mentions(spark, d, held), "doc_id")
     return out.select("doc_id", "status", F.array_join(F.transform("predicted", lambda m: F.concat_ws(":", m["code"], m["sentiment"])), ",").alias("predicted"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import agent, anomaly, tools
 from tidemark.operators import lexicon as lx
-from tidemark.plans.queries_flows import _FLOW, _extracted, _statuses
+from tidemark.plans.queries_flows import _FLOW, _held, _statuses
 from tidemark.plans.queries_reviews import _SCORED, _weeks
 from tidemark.plans.registry import Registry, table
 
@@ -47,8 +47,9 @@ def _asked(spark: SparkSession, d: str) -> DataFrame:
   FROM w LEFT JOIN lists l ON w.kind = l.kind AND w.aspect IS NOT DISTINCT FROM l.aspect AND w.sentiment IS NOT DISTINCT FROM l.sentiment AND w.brand IS NOT DISTINCT FROM l.brand LEFT JOIN neg ON neg.i = 1 AND w.brand IS NOT DISTINCT FROM neg.brand""")
 def analytics_answers(spark: SparkSession, d: str) -> DataFrame:
     brand = F.get(F.array(*map(F.lit, NAMES)), (F.col("doc_id") % len(NAMES)).cast("int"))
-    mentions = _extracted(spark, d).select(brand.alias("brand"), F.inline("mentions")).withColumnRenamed("code", "aspect")
-    counts = tools.counts_cube(mentions).unionByName(tools.status_counts(_statuses(spark, d)))
+    held = _held(spark, d)
+    mentions = held.select(brand.alias("brand"), F.inline("mentions")).withColumnRenamed("code", "aspect")
+    counts = tools.counts_cube(mentions).unionByName(tools.status_counts(_statuses(spark, d, held)))
     return tools.analytics(_asked(spark, d), counts)
 
 
