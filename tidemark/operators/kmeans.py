@@ -1,10 +1,13 @@
 """K-means on sparse rows for all groups and starts at once.
 
-Rows of a group are dealt into parts by hash of their id; a part meets the centroid rows of the terms it holds, of all
-starts and clusters, and one pass over it gives everything a step needs: nearest clusters and costs by start, sums of
-terms by (start, cluster), or, while seeding, the part's candidate for the next seed. Sums meet by term. So an
-iteration is one assignment and one aggregation, however many groups and starts there are; the driver sees
-nothing but whether a cost still fell. Parts have a bounded number of entries, whatever a group's size.
+Terms of a group are dealt into bands by hash, and rows into parts. A band holds all entries of its terms, so it adds up the
+sums of its terms from the clusters that all rows are in, and gives each row its share of the products with these sums;
+what it meets is a byte a row and start. Terms themselves don't travel: they are numbered in their band once. Terms of a single
+row meet no other, so those of a row are one entry. A part adds the shares of its rows and finds the nearest clusters and costs
+by start, or, while seeding, its candidates for the next seeds. So an iteration is one job of two shuffles, however many
+groups and starts there are; the driver sees nothing but whether a cost still fell. A band has a bounded number of entries but for
+those of one term, a part a bounded number of rows. The shares are a number a row, band, start and cluster, and bands grow with
+the entries: for groups of very many bands they are the larger part of what is shuffled.
 
 Seeds are drawn as in k-means++, with a probability in proportion to the squared distance to the nearest so far, by the
 smallest of -ln(u) / distance, where u is a hash of row, start and round; one, one, then two, four and so on in a
@@ -16,20 +19,24 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.sources.shared import kept
 
-#: Entries and rows of a part, about.
-PART_ENTRIES, PART_ROWS = 131_072, 4096
+#: Entries of a band and rows of a part, about.
+PART_ENTRIES, PART_ROWS = 1 << 21, 4096
 MOST_ITERATIONS, SEED = 20, 42
-#: A row of centroids is the sum of a term (what = 0), the counts of rows (1) or the squares of the sums (2) by start and
-#: cluster, as bytes (_rows). Of a step: s(ums), n (counts), c(osts) by start, a (nearest clusters and costs of a row), r (a seed).
-CENTROID = "g string, term string, what int, v binary"
-STEP = "g string, what string, id string, term string, v binary"
-COLUMNS = ["g", "what", "id", "term", "v"]
+#: A band: parts, places and numbers of entries of its rows; numbers of terms and weights of the entries, in the order of rows.
+BAND = "g string, band int, terms int, part binary, place binary, n binary, code binary, w binary"
+#: A part: hashes and squares of its rows, and their clusters by start (a byte each, -1: none).
+STATE = "g string, part int, h binary, square binary, at binary"
+#: What a band gives a part: places of rows and their products; squares of the sums and counts of rows by start and cluster.
+SHARE = "g string, part int, band int, place binary, dots binary, squares binary, n binary"
+STEP = STATE + ", cost array<double>"
+RACE = "g string, part int, i int, start int, race double"
+ARROW = {"string": pa.string(), "int": pa.int32(), "double": pa.float64(), "binary": pa.binary(), "array<double>": pa.list_(pa.float64())}
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -44,152 +51,134 @@ def uniform(h: np.ndarray, start: int, turn: int, seed: int) -> np.ndarray:
     return ((mix64(mix64(h.astype(np.int64).view(np.uint64)) ^ mix64(np.array([salt]))) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
 
 
-def _rows(x: np.ndarray) -> list[bytes]:
-    """Rows as bytes: all doubles, or, where at most half aren't 0, the places (16 bits) and then the doubles of those. A
-    rare term has as many as there are starts."""
-    full = x != 0
-    few = 2 * full.sum(axis=1) <= x.shape[1]
-    return [np.flatnonzero(f).astype(np.int16).tobytes() + r[f].tobytes() if s else r.tobytes() for r, f, s in zip(x, full, few, strict=True)]
-
-
-def _matrix(column: pd.Series, width: int) -> np.ndarray:
-    """The rows again, those of a length at once."""
-    out, cells = np.zeros((len(column), width)), column.to_numpy()
-    size = np.fromiter(map(len, cells), np.int64, len(cells))
-    for length in np.unique(size):
-        at = np.flatnonzero(size == length)
-        raw = b"".join(cells[at])
-        if length == 8 * width:
-            out[at] = np.frombuffer(raw, np.float64).reshape(len(at), width)
-        elif length:
-            n = length // 10
-            byte = np.frombuffer(raw, np.uint8).reshape(len(at), length)
-            places = np.ascontiguousarray(byte[:, : 2 * n]).view(np.int16)
-            out[at[:, None], places] = np.ascontiguousarray(byte[:, 2 * n :]).view(np.float64)
-    return out
-
-
-PACKED = "g string, part int, ids array<string>, terms array<string>, h binary, doc binary, code binary, w binary"
-
-
-def _packed(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """A part as one row: its ids and terms once, and its entries (number of the id, number of the term, weight) as bytes, in
-    the order of ids."""
-    rows = rows.sort_values(["id", "term"], kind="stable")
-    doc, ids = pd.factorize(rows["id"])
-    code, terms = pd.factorize(rows["term"])  # -1: no term
-    real = code >= 0
-    h = rows["h"].to_numpy(np.int64)[np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])]
-    parts = (h, doc[real].astype(np.int64), code[real].astype(np.int64), rows["w"].to_numpy(np.float64)[real])
-    return pd.DataFrame([(*key, list(ids), list(terms), *[x.tobytes() for x in parts])], columns=["g", "part", "ids", "terms", "h", "doc", "code", "w"])
-
-
-class Part:
-    """The rows of a part as sparse entries in the order of rows."""
-
-    def __init__(self, packed: pd.DataFrame) -> None:
-        row = packed.iloc[0]
-        self.g, self.ids, self.terms = row["g"], row["ids"], row["terms"]
-        self.hash, self.doc, self.code = (np.frombuffer(row[x], np.int64) for x in ("h", "doc", "code"))
-        self.w = np.frombuffer(row["w"], np.float64)
-        self.square = np.bincount(self.doc, self.w * self.w, minlength=len(self.ids))
-
-    def distances(self, centroids: pd.DataFrame, clusters: int) -> np.ndarray:
-        """Squared distances of rows to all centroids; infinite where there is none."""
-        v, what = _matrix(centroids["v"], clusters), centroids["what"].to_numpy()
-        sums = np.zeros((len(self.terms), clusters))
-        sums[centroids["code"].to_numpy()[what == 0]] = v[what == 0]
-        n, squares = v[what == 1].sum(axis=0), v[what == 2].sum(axis=0)
-        dots = np.zeros((len(self.ids), clusters))
-        for lo in range(0, len(self.doc), 16384):
-            d = self.doc[lo : lo + 16384]
-            begin = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
-            dots[d[begin]] += np.add.reduceat(self.w[lo : lo + 16384, None] * sums[self.code[lo : lo + 16384]], begin, axis=0)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            found = self.square[:, None] + squares / (n * n) - 2 * dots / n
-        return np.where(n > 0, np.maximum(found, 0), np.inf)
-
-    def sums(self, nearest: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Sums of terms and counts of rows by start and cluster, from the nearest cluster of each start."""
-        starts = nearest.shape[1]
-        out, n = np.zeros((len(self.terms), starts * k)), np.zeros(starts * k)
+def _table(rows: list[tuple], kind: str) -> pa.Table:
+    schema = pa.schema([(name, ARROW[t]) for name, t in (x.split() for x in kind.split(", "))])
+    columns = zip(*rows, strict=True) if rows else [[]] * len(schema)
+    return pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def _numbers(cell: pa.Scalar, kind: type) -> np.ndarray:
+    return np.frombuffer(cell.as_buffer(), kind)
+
+
+def _band(key: tuple, rows: pa.Table) -> pa.Table:
+    """The entries of a band as one row."""
+    code = rows.column("term").combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
+    at = (rows.column("part").to_numpy().astype(np.int64) << 32) | rows.column("i").to_numpy()
+    w = rows.column("w").to_numpy()
+    # terms of one row are one entry of the same square
+    alone = np.bincount(code)[code] == 1
+    own, place = np.unique(at[alone], return_inverse=True)
+    at, w, code = np.r_[at[~alone], own], np.r_[w[~alone], np.sqrt(np.bincount(place, w[alone] ** 2, len(own)))], np.r_[code[~alone], code.max() + 1 + np.arange(len(own))]
+    used, code = np.unique(code, return_inverse=True)
+    order = np.lexsort((code, at))
+    at, n = np.unique(at[order], return_counts=True)
+    cells = (at >> 32, at & 0xFFFFFFFF, n, code[order], w[order])
+    return _table([(key[0].as_py(), key[1].as_py(), len(used), *[x.astype(t).tobytes() for x, t in zip(cells, (np.int32, np.int32, np.int32, np.int32, np.float64), strict=True)])], BAND)
+
+
+def _shares(starts: int, k: int) -> Callable:
+    def run(_: tuple, bands: pa.Table, states: pa.Table) -> pa.Table:
+        if not bands.num_rows or not states.num_rows:
+            return _table([], SHARE)
+        b = {c: bands.column(c)[0] for c in bands.column_names}
+        terms = b["terms"].as_py()
+        part, place, n, code = (_numbers(b[c], np.int32) for c in ("part", "place", "n", "code"))
+        w = _numbers(b["w"], np.float64)
+        states = states.sort_by("of")
+        parts = states.column("of").to_numpy()
+        clusters = [_numbers(x, np.int8).reshape(-1, starts) for x in states.column("at")]
+        at = np.empty((len(part), starts), np.int8)
+        rows_of = [slice(*np.searchsorted(part, [p, p + 1])) for p in parts]
+        for of, a in zip(rows_of, clusters, strict=True):
+            at[of] = a[place[of]]
+        begin = np.cumsum(n) - n
+        dots, squares = np.zeros((len(part), starts * k)), np.zeros(starts * k)
         for s in range(starts):
-            j = nearest[:, s] + s * k
-            np.add.at(out, (self.code, j[self.doc]), self.w)
-            n += np.bincount(j, minlength=starts * k)
-        return out, n
+            j = np.repeat(at[:, s].astype(np.int64), n)
+            cell, x = j * terms + code, w
+            if (j < 0).any():
+                cell, x = cell[j >= 0], w[j >= 0]
+            sums = np.bincount(cell, x, k * terms).reshape(k, terms)
+            squares[s * k : (s + 1) * k] = (sums * sums).sum(axis=1)
+            for c in np.flatnonzero(squares[s * k : (s + 1) * k]):
+                dots[:, s * k + c] = np.add.reduceat(w * sums[c][code], begin)
+        counts = np.zeros(starts * k)
+        for a in clusters:
+            for s in range(starts):
+                counts[s * k : (s + 1) * k] += np.bincount(a[:, s].astype(np.int64) + 1, minlength=k + 1)[1:]
+        g, band = b["g"].as_py(), b["band"].as_py()
+        return _table([(g, int(p), band, place[of].tobytes(), dots[of].tobytes(), squares.tobytes(), counts.tobytes()) for p, of in zip(parts, rows_of, strict=True)], SHARE)
+
+    return run
+
+
+def _distances(state: pa.Table, shares: pa.Table, starts: int, k: int) -> np.ndarray:
+    """Squared distances of a part's rows to the clusters by start; infinite where there is none."""
+    square = _numbers(state.column("square")[0], np.float64)
+    dots, squares, n = np.zeros((len(square), starts * k)), np.zeros(starts * k), np.zeros(starts * k)
+    for row in np.argsort(shares.column("band").to_numpy()):
+        at = {c: shares.column(c)[int(row)] for c in ("place", "dots", "squares", "n")}
+        dots[_numbers(at["place"], np.int32)] += _numbers(at["dots"], np.float64).reshape(-1, starts * k)
+        squares, n = squares + _numbers(at["squares"], np.float64), _numbers(at["n"], np.float64)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        found = square[:, None] + squares / (n * n) - 2 * dots / n
+    # rounded, so that equal distances tie whatever the order in which their shares were added
+    return np.where(n > 0, np.round(np.maximum(found, 0), 12), np.inf).reshape(len(square), starts, k)
 
 
 def _seeding(starts: int, k: int, turn: int, seed: int, wanted: int) -> Callable:
-    def run(_: tuple, rows: pd.DataFrame, centroids: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, state: pa.Table, shares: pa.Table) -> pa.Table:
+        h = _numbers(state.column("h")[0], np.int64)
+        near = _distances(state, shares, starts, k).min(axis=2) if turn else np.ones((len(h), starts))
         out = []
-        if len(rows):
-            part = Part(rows)
-            near = part.distances(centroids, starts * k).reshape(len(part.ids), starts, k).min(axis=2) if turn else np.ones((len(part.ids), starts))
-            for s in range(starts):
-                with np.errstate(divide="ignore"):
-                    race = np.where(near[:, s] > 1e-12, -np.log(uniform(part.hash, s, turn, seed)) / near[:, s], np.inf)
-                for best in np.argsort(race, kind="stable")[:wanted]:
-                    if np.isfinite(race[best]):
-                        out.append((part.g, "r", part.ids[best], None, np.array([s, race[best]], np.float64).tobytes()))
-        return pd.DataFrame(out, columns=COLUMNS)
+        for s in range(starts):
+            with np.errstate(divide="ignore"):
+                race = np.where(near[:, s] > 1e-12, -np.log(uniform(h, s, turn, seed)) / near[:, s], np.inf)
+            out += [(key[0].as_py(), key[1].as_py(), int(i), s, race[i]) for i in np.argsort(race, kind="stable")[:wanted] if np.isfinite(race[i])]
+        return _table(out, RACE)
 
     return run
 
 
-def _step(starts: int, k: int) -> Callable:
-    def run(_: tuple, rows: pd.DataFrame, centroids: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(rows) and len(centroids):
-            part = Part(rows)
-            g = part.g
-            d = part.distances(centroids, starts * k).reshape(len(part.ids), starts, k)
-            nearest, cost = d.argmin(axis=2), d.min(axis=2)
-            sums, n = part.sums(nearest, k)
-            out = [(g, "a", i, None, x.tobytes()) for i, x in zip(part.ids, np.hstack([nearest, cost]), strict=True)]
-            out += [(g, "s", None, t, x) for t, x in zip(part.terms, _rows(sums), strict=True)]
-            out += [(g, "n", None, None, n.tobytes()), (g, "c", None, None, cost.sum(axis=0).tobytes())]
-        return pd.DataFrame(out, columns=COLUMNS)
+def _seeded(starts: int) -> Callable:
+    def run(_: tuple, state: pa.Table, seeds: pa.Table) -> pa.Table:
+        """The state with the rows that are seeds in their clusters."""
+        at = _numbers(state.column("at")[0], np.int8).reshape(-1, starts).copy()
+        i, start, nth = (seeds.column(c).to_numpy() for c in ("i", "start", "nth"))
+        at[i, start] = nth
+        return state.set_column(state.column_names.index("at"), "at", pa.chunked_array([pa.array([at.tobytes()], pa.binary())]))
 
     return run
 
 
-def _added(what: int, squares: bool, width: int) -> Callable:
-    """Rows of the same term put together; with them, if asked for, the squares of all."""
-
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        codes, terms = pd.factorize(rows["term"].fillna(""))
-        v = _matrix(rows["v"], width)
-        total = np.zeros((len(terms), v.shape[1]))
-        np.add.at(total, codes, v)
-        out = [(key[0], t or None, what, x) for t, x in zip(terms, _rows(total), strict=True)]
-        if squares:
-            out.append((key[0], None, 2, (total * total).sum(axis=0).tobytes()))
-        return pd.DataFrame(out, columns=["g", "term", "what", "v"])
+def _step(starts: int, k: int) -> Callable:
+    def run(key: tuple, state: pa.Table, shares: pa.Table) -> pa.Table:
+        d = _distances(state, shares, starts, k)
+        cells = [state.column(c)[0].as_py() for c in ("h", "square")]
+        return _table([(key[0].as_py(), key[1].as_py(), *cells, d.argmin(axis=2).astype(np.int8).tobytes(), d.min(axis=2).sum(axis=0).tolist())], STEP)
 
     return run
 
 
-def _dense(clusters: int) -> Callable:
-    """(g, term, what, p): p, pairs of a place and a value, as a row of centroids."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            v = np.zeros((len(pdf), clusters))
-            for row, pairs in zip(v, pdf["p"], strict=True):
-                for p in pairs:
-                    row[p["x"]] += p["y"]
-            yield pd.DataFrame({"g": pdf["g"], "term": pdf["term"], "what": pdf["what"], "v": _rows(v)})
+def _part(starts: int) -> Callable:
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("i")
+        cells = [rows.column(c).to_numpy().astype(t).tobytes() for c, t in (("h", np.int64), ("square", np.float64))]
+        return _table([(key[0].as_py(), key[1].as_py(), *cells, np.full(rows.num_rows * starts, -1, np.int8).tobytes())], STATE)
 
     return run
 
 
-def _numbers(width: int) -> Callable:
-    """The numbers of a binary column `v` as an array."""
+def _unfolded(starts: int) -> Callable:
+    """(g, part, i, cluster) of the start of a row."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            yield pdf[["g", "id"]].assign(v=list(_matrix(pdf["v"], width)))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for g, part, at, start in zip(*[batch.column(c).to_pylist() for c in ("g", "part", "at", "start")], strict=True):
+                c = np.frombuffer(at, np.int8).reshape(-1, starts)[:, start].astype(np.int32)
+                rows = [pa.array([x] * len(c), t) for x, t in ((g, pa.string()), (part, pa.int32()))]
+                yield pa.RecordBatch.from_arrays([*rows, pa.array(np.arange(len(c), dtype=np.int32)), pa.array(c)], ["g", "part", "i", "cluster"])
 
     return run
 
@@ -198,71 +187,61 @@ class KMeans:
     """rows: (g, id, term, w), a row without terms once with a null term; clusters: (g, k), at most `most`."""
 
     def __init__(self, rows: DataFrame, clusters: DataFrame, *, most: int, starts: int, seed: int = SEED, iterations: int = MOST_ITERATIONS) -> None:
+        if most > 127:
+            raise ValueError("at most 127 clusters: a row's cluster is a byte")
         self.starts, self.k, self.seed, self.iterations = starts, most, seed, iterations
+        rows = rows.select("g", "id", F.coalesce("term", F.lit("")).alias("term"), F.coalesce("w", F.lit(0.0)).alias("w"))
         size = rows.groupBy("g").agg(F.count(F.lit(1)).alias("e"), F.approx_count_distinct("id").alias("n"))
-        parts = F.greatest(F.ceil(F.col("e") / PART_ENTRIES), F.ceil(F.col("n") / PART_ROWS)).cast("int")
-        self.sizes = kept(size.select("g", parts.alias("parts")), "sizes")
+        self.sizes = kept(size.select("g", F.ceil(F.col("e") / PART_ENTRIES).cast("int").alias("bands"), F.ceil(F.col("n") / PART_ROWS).cast("int").alias("parts")), "sizes")
         h = F.xxhash64("id")
-        dealt = rows.join(self.sizes, "g").select("g", "id", "term", "w", h.alias("h"), F.pmod(h, "parts").cast("int").alias("part"))
-        self.rows = kept(dealt, "entries")
-        self.packed = kept(self.rows.groupBy("g", "part").applyInPandas(_packed, PACKED), "parts")
-        self.terms = self.packed.select("g", "part", F.posexplode("terms").alias("code", "term"))
+        of = rows.groupBy("g", "id").agg(F.sum(F.col("w") * F.col("w")).alias("square")).join(F.broadcast(self.sizes), "g")
+        of = of.select("g", "id", h.alias("h"), "square", F.pmod(h, "parts").cast("int").alias("part"))
+        nth = F.row_number().over(Window.partitionBy("g", "part").orderBy("id"))
+        self.ids = kept(of.withColumn("i", (nth - 1).cast("int")), "ids")
+        self.state = kept(self.ids.select("g", "part", "i", "h", "square").groupBy("g", "part").applyInArrow(_part(starts), STATE), "parts")
+        dealt = rows.join(F.broadcast(self.sizes.select("g", "bands")), "g").join(self.ids.select("g", "id", "part", "i"), ["g", "id"])
+        dealt = dealt.select("g", F.pmod(F.xxhash64("term"), "bands").cast("int").alias("band"), "part", "i", "term", "w")
+        self.bands = kept(dealt.groupBy("g", "band").applyInArrow(_band, BAND), "bands")
         self.clusters = clusters
         self.cost: DataFrame | None = None
 
-    def _meet(self, centroids: DataFrame, found: Callable) -> DataFrame:
-        """Parts at the centroid rows of the terms they hold."""
-        at = [F.col("part").alias("at"), F.col("g").alias("of"), "code", "what", "v"]
-        c = centroids.where("what = 0").join(self.terms, ["g", "term"]).select(*at)
-        c = c.unionByName(centroids.where("what <> 0").join(self.packed.select("g", "part"), "g").withColumn("code", F.lit(-1)).select(*at))
-        return self.packed.groupBy("g", "part").cogroup(c.groupBy("of", "at")).applyInPandas(found, STEP)
+    def _meet(self, state: DataFrame, found: Callable, kind: str) -> DataFrame:
+        """The parts at what the bands give their rows, by the clusters of a state."""
+        at = state.join(F.broadcast(self.sizes), "g").select(F.col("g").alias("to"), F.explode(F.sequence(F.lit(0), F.col("bands") - 1)).alias("with"), F.col("part").alias("of"), "at")
+        shares = self.bands.groupBy("g", "band").cogroup(at.groupBy("to", "with")).applyInArrow(_shares(self.starts, self.k), SHARE)
+        return state.select([x.split()[0] for x in STATE.split(", ")]).groupBy("g", "part").cogroup(shares.groupBy("g", "part")).applyInArrow(found, kind)
 
     def seeds(self) -> DataFrame:
         """(g, start, nth, id): rows that the starts begin with."""
-        spark, chosen, have = self.rows.sparkSession, None, 0
+        return self._seeds()[0].join(self.ids, ["g", "part", "i"]).select("g", "start", "nth", "id")
+
+    def _seeds(self) -> tuple[DataFrame, DataFrame]:
+        """(g, start, nth, part, i), and the state with these rows in their clusters."""
+        chosen, state, have = None, self.state, 0
         while have < self.k:
             wanted = max(1, have)
-            c = spark.createDataFrame([], CENTROID) if chosen is None else self._of_seeds(chosen)
-            race = self._meet(c, _seeding(self.starts, self.k, have, self.seed, wanted))
-            race = race.mapInPandas(_numbers(2), "g string, id string, v array<double>").select("g", F.col("v")[0].cast("int").alias("start"), F.col("v")[1].alias("race"), "id")
+            race = self._meet(state, _seeding(self.starts, self.k, have, self.seed, wanted), RACE)
             nth = F.row_number().over(Window.partitionBy("g", "start").orderBy("race", "id"))
-            more = race.withColumn("n", nth).where(F.col("n") <= wanted).join(self.clusters, "g").where(have + F.col("n") <= F.col("k"))
-            more = kept(more.select("g", "start", (have + F.col("n") - 1).cast("int").alias("nth"), "id"), "seeds")
-            if not more.take(1):
+            more = race.join(self.ids.select("g", "part", "i", "id"), ["g", "part", "i"]).withColumn("n", nth).where(F.col("n") <= wanted).join(self.clusters, "g").where(have + F.col("n") <= F.col("k"))
+            more = kept(more.select("g", "start", (have + F.col("n") - 1).cast("int").alias("nth"), "part", "i"), "seeds")
+            if chosen is not None and not more.take(1):
                 break
             chosen, have = more if chosen is None else chosen.unionByName(more), have + wanted
-        return chosen if chosen is not None else spark.createDataFrame([], "g string, start int, nth int, id string")
-
-    def _of_seeds(self, chosen: DataFrame) -> DataFrame:
-        """Centroid rows of single rows."""
-        j = (F.col("start") * self.k + F.col("nth")).cast("int").alias("x")
-        own = chosen.select("g", "id", j).join(self.rows.select("g", "id", "term", "w"), ["g", "id"])
-        one = lambda what, y: own.groupBy("g").agg(F.collect_list(F.struct("x", y.alias("y"))).alias("p")).select("g", F.lit(None).cast("string").alias("term"), F.lit(what).alias("what"), "p")
-        sums = own.where("term IS NOT NULL").groupBy("g", "term").agg(F.collect_list(F.struct("x", F.col("w").alias("y"))).alias("p")).select("g", "term", F.lit(0).alias("what"), "p")
-        # as many seeds as starts and clusters, so rows of a group here are the entries of so many rows
-        n = chosen.groupBy("g").agg(F.collect_list(F.struct(j, F.lit(1.0).alias("y"))).alias("p")).select("g", F.lit(None).cast("string").alias("term"), F.lit(1).alias("what"), "p")
-        return sums.unionByName(n).unionByName(one(2, F.col("w") * F.col("w"))).mapInPandas(_dense(self.starts * self.k), CENTROID)
+            state = kept(state.groupBy("g", "part").cogroup(more.groupBy("g", "part")).applyInArrow(_seeded(self.starts), STATE), "seeded")
+        return chosen, state
 
     def fit(self) -> DataFrame:
         """(g, id, cluster) of the start with the least cost, the first of equals. `cost` keeps (g, start, cost) of all starts."""
-        c, before = kept(self._of_seeds(self.seeds()), "centroids"), None
-        for turn in range(self.iterations):
-            step = kept(self._meet(c, _step(self.starts, self.k)), "step")
-            cost = step.where("what = 'c'").groupBy("g").applyInPandas(_added(0, False, self.starts), CENTROID).withColumn("id", F.lit("")).mapInPandas(_numbers(self.starts), "g string, id string, v array<double>")
-            cost = kept(cost.select("g", F.posexplode("v").alias("start", "cost")), "cost")
+        (_, step), before = self._seeds(), None
+        for _ in range(self.iterations):
+            step = kept(self._meet(step, _step(self.starts, self.k), STEP), "step")
+            cost = step.select("g", F.posexplode("cost").alias("start", "cost")).groupBy("g", "start").agg(F.sum("cost").alias("cost"))
+            cost = kept(cost, "cost")
             if before is not None and not cost.join(before.withColumnRenamed("cost", "was"), ["g", "start"]).where("was - cost > 1e-9 * was").take(1):
                 break
             before = cost
-            if turn + 1 < self.iterations:
-                # as many buckets of terms as parts
-                sums = step.where("what = 's'").join(self.sizes, "g").withColumn("bucket", F.pmod(F.xxhash64("term"), "parts"))
-                added = kept(sums.select("g", "bucket", "term", "v").groupBy("g", "bucket").applyInPandas(_added(0, True, self.starts * self.k), CENTROID), "sums")
-                # one row a bucket and one a part: added by group
-                squares = added.where("what = 2").groupBy("g").applyInPandas(_added(2, False, self.starts * self.k), CENTROID)
-                n = step.where("what = 'n'").groupBy("g").applyInPandas(_added(1, False, self.starts * self.k), CENTROID)
-                c = added.where("what = 0").unionByName(squares).unionByName(n)
         self.cost = cost
         nth = F.row_number().over(Window.partitionBy("g").orderBy(F.round("cost", 9), "start"))
         best = cost.withColumn("n", nth).where("n = 1").select("g", "start")
-        near = step.where("what = 'a'").mapInPandas(_numbers(2 * self.starts), "g string, id string, v array<double>")
-        return near.join(best, "g").select("g", "id", F.get("v", F.col("start")).cast("int").alias("cluster"))
+        near = step.join(best, "g").select("g", "part", "at", "start").mapInArrow(_unfolded(self.starts), "g string, part int, i int, cluster int")
+        return near.join(self.ids.select("g", "part", "i", "id"), ["g", "part", "i"]).select("g", "id", "cluster")
