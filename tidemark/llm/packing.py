@@ -38,9 +38,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialize
 
-#: Words whose ids a worker remembers; then it starts anew. Bytes of text, and words, tokenized together.
-CACHE = 100_000
-SLICE = 2 << 20
+#: Words whose ids a worker remembers, twice at most: once they are so many they are the older half, which a word leaves when it
+#: comes up again. Bytes of text, and words, tokenized together.
+CACHE = 300_000
+SLICE = 4 << 20
 TOGETHER = 2000
 #: Bytes of dealt blocks that a task keeps.
 BLOCK_BYTES = 64 << 20
@@ -57,8 +58,8 @@ MARK = "\x01"
 
 class WordIds:
     """Ids of texts by a public tokenizer that never joins across ASCII white space: each distinct word
-    of a slice is tokenized once, and the words' ids are put together by their numbers. Words that come
-    up again within a slice are remembered for the next ones."""
+    of a slice is tokenized once, and the words' ids are put together by their numbers. Words are remembered
+    for the next slices, also those that a slice has once: half of the new words of a slice stood in one before."""
 
     def __init__(self, path: str, end_id: int) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -69,6 +70,7 @@ class WordIds:
         mark = self._encode([MARK])[0]
         self.mark = mark[0] if len(mark) == 1 else None
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -90,19 +92,23 @@ class WordIds:
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after another, each with the end id; and how many each has."""
         if len(self.known) > CACHE:
-            self.known.clear()
+            self.known, self.older = {}, self.known
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
         bounds = lists.offsets.to_numpy().astype(np.int64)
         coded = lists.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
         which = coded.indices.to_numpy()
         words = coded.dictionary.to_pylist()
         found = list(map(self.known.get, words))
-        new = [i for i, x in enumerate(found) if x is None]
-        again = np.bincount(which, minlength=len(words)) > 1
-        for i, x in zip(new, self._words([words[i] for i in new]), strict=True):
-            found[i] = x
-            if again[i]:
+        missed = [i for i, x in enumerate(found) if x is None]
+        new = []
+        for i in missed:
+            found[i] = x = self.older.pop(words[i], None)
+            if x is None:
+                new.append(i)
+            else:
                 self.known[words[i]] = x
+        for i, x in zip(new, self._words([words[i] for i in new]), strict=True):
+            found[i] = self.known[words[i]] = x
         flat = np.frombuffer(b"".join(found), np.uint32)
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         starts = np.cumsum(sizes) - sizes
