@@ -158,6 +158,40 @@ def test_family_of_near_copies(spark, monkeypatch):
     assert got == {i: root(i) for i in range(len(rows))} and sum(pairs) <= 6 * len(rows)
 
 
+def test_short_lists_are_met_once(spark, monkeypatch):
+    """Documents that share passages with few others stand in the lists of one round only; links at the limit are found, whatever lists are met whole."""
+    r, rows, rounds, write = random.Random(5), [], [], ngram_join.materialize
+    for k in range(20):
+        passage = [f"p{k}_{i}" for i in range(40)]
+        rows += [(10 * k + j, " ".join(passage + [f"q{k}_{j}_{i}" for i in range(30)])) for j in range(4)]
+        near = [f"n{k}_{i}" for i in range(60)]
+        for j in range(4, 10):
+            copy = list(near)
+            for _ in range(r.randint(0, 3)):
+                copy[r.randrange(60)] = f"x{r.randrange(10**6)}"
+            rows.append((10 * k + j, " ".join(copy)))
+
+    def counted(df, name):
+        out = write(df, name)
+        if name == "lists":
+            rounds.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "materialize", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in ngram_join.link_documents(docs).collect()}
+    assert 0 < sum(rounds[1:]) < rounds[0]
+    sets = {i: {tuple(t.split()[j : j + 4]) for j in range(len(t.split()) - 3)} for i, t in rows}
+    label = {i: i for i in sets}
+    for _ in range(10):  # smallest label along links, within the ten documents of a passage
+        for a in sets:
+            for b in range(a - a % 10, a - a % 10 + 10):
+                if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                    label[a] = label[b] = min(label[a], label[b])
+    assert got == label and len(set(label.values())) < len(label)
+    assert {x.doc_id: x.component_id for x in ngram_join.link_documents(docs, short=3).collect()} == label
+
+
 def test_repeated_ids_and_long_texts(spark):
     long = " ".join(f"w{i}" for i in range(30_000))
     rows = [(1, long), (2, long + " end"), (3, "a b c d e f"), (3, "p q r s t"), (4, "p q r s t"), (5, "a b c d e f"), (None, long)]

@@ -10,15 +10,17 @@ sketch over all documents calls common, so that passages found everywhere seldom
    tokens that stand in the same groups one is kept.
 3. Pairs of groups that share a token are filtered by size and by a bound on what their sets differ
    in: each set has a bitmap of the parities of its tokens' places, and two bitmaps differ in no
-   more bits than the sets differ in tokens. In a token's list each group meets a few groups picked by
+   more bits than the sets differ in tokens. Short lists, most of them, are met whole: they give all their
+   pairs, once, and need no further round. In a longer list each group meets a few groups picked by
    hash, never all, and keeps the one of the smallest component. Each member of a group meets its
    head. What the filter leaves is verified on the whole sets; the links give components.
 4. The groups are expanded to their members. Lists with one component are done: whatever else links
-   there changes nothing. In the others step 3 is repeated with other picks. Then, in each list that
-   is still mixed, every class outside the list's main component meets all classes of the list that lie
-   elsewhere, under the same filter, so that no link between components is lost.
+   there changes nothing. In the others classes outside the list's main component meet other picks. Then, in each
+   list that is still mixed, every such class meets all classes of the list that lie elsewhere, under the same
+   filter, and so do the pairs of short lists that still lie in two components, so that no link between
+   components is lost.
 
-Each class has one partner a round, and the join's filter drops the others before they become rows: a
+Of a short list too, a class has one pair verified first, with its smallest partner. Each class has one partner a round, and the join's filter drops the others before they become rows: a
 family of near copies costs rows in proportion to its size. The bitmap of a set of many tokens would be
 full and tell nothing, so long sets meet by parts: hash bits deal both sets into as many parts, and if
 they differ in few enough tokens there is a part in which they differ in no more than its share. Each part
@@ -114,11 +116,11 @@ def prefix_of(s: np.ndarray, level: np.ndarray, parts: int, percent: int) -> tup
     return tokens, np.r_[own[some] + parts, few + parts].astype(np.int32)
 
 
-def near(percent: int) -> Column:
+def near(percent: int, of: str = "", n_other: str = "ny", bitmap_other: str = "k") -> Column:
     """Whether classes of n and ny tokens, with bitmaps of a part in BITMAP and in columns k.., may link."""
-    n, ny = F.col("n").cast("long"), F.col("ny").cast("long")
-    apart = reduce(add, (F.bit_count(F.col(f"m{i}").bitwiseXOR(F.col(f"k{i}"))) for i in range(len(BITMAP))))
-    return (F.least(n, ny) * 100 >= F.greatest(n, ny) * percent) & (apart * F.col("parts").cast("long") * (100 + percent) <= (n + ny) * (100 - percent))
+    n, ny = F.col(f"{of}n").cast("long"), F.col(n_other).cast("long")
+    apart = reduce(add, (F.bit_count(F.col(f"{of}{m}").bitwiseXOR(F.col(f"{bitmap_other}{i}"))) for i, m in enumerate(BITMAP)))
+    return (F.least(n, ny) * 100 >= F.greatest(n, ny) * percent) & (apart * F.col(f"{of}parts").cast("long") * (100 + percent) <= (n + ny) * (100 - percent))
 
 
 def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,9 +136,9 @@ def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in PARTS.split(", ")])
 
 
-def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 4, percent: int = 85, rounds: int = 3, picks: int = 8, part: int = 1000) -> DataFrame:
+def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 4, percent: int = 85, rounds: int = 3, picks: int = 8, part: int = 1000, short: int = 32) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id. The first round is on groups, the others
-    on classes; rounds, picks and part change the work, not the result."""
+    on classes; rounds, picks, part and short (lists met whole) change the work, not the result."""
     spark = docs.sparkSession
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
@@ -147,7 +149,7 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     common = spark.sparkContext.broadcast(sketch.levels(named.select("text").mapInArrow(sketch.level_pass(all_keys), sketch.LEVEL_SCHEMA)))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sketch.sliced(batches):
             cols: list[list] = [[] for _ in range(8)]
             for text in _texts(batch):
                 s = shingles(text, size)
@@ -175,7 +177,8 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     heads = materialize(classes.groupBy("g", "n").agg(F.min("cls").alias("gid"), F.count(F.lit(1)).alias("size")), "heads")
     members = materialize(classes.join(heads, ["g", "n"]).drop("s1", "s2").withColumn("label", F.col("cls")), "members")
 
-    firsts = materialize(full.join(heads.select(F.col("gid").alias("doc_id"), "n", "g"), ["doc_id", "n", "g"], "left_semi").select("doc_id", "prefix", "slices"), "prefixes")
+    own_head = heads.select(F.col("gid").alias("doc_id"), "n", "g", (F.col("size") > 1).alias("many"))
+    firsts = materialize(full.join(own_head, ["doc_id", "n", "g"]).select("doc_id", "prefix", "slices", "many"), "prefixes")
     width = sketch.width_for((firsts.agg(F.sum(F.length("prefix"))).first()[0] or 0) / 8)
     prefix_keys = lambda batch: np.frombuffer(b"".join(batch.column("prefix").to_pylist()), np.uint64)
     bits = spark.sparkContext.broadcast(sketch.repeated(firsts.select("prefix").mapInArrow(sketch.sketch_pass(prefix_keys, width), sketch.SCHEMA), width))
@@ -187,14 +190,15 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             hit = sketch.maybe_repeated(bits.value, keys, width)
             rows = pa.array(np.repeat(np.arange(len(sizes)), sizes)[hit])
             slices = np.frombuffer(b"".join(batch.column("slices").to_pylist()), np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(keys[hit].view(np.int64)), batch.column("doc_id").take(rows), pa.array(slices[hit])], ["token", "gid", "slice"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[hit].view(np.int64)), batch.column("doc_id").take(rows), pa.array(slices[hit]), batch.column("many").take(rows)], ["token", "gid", "slice", "many"])
 
     def mixed(lists: DataFrame) -> DataFrame:
-        """The lists that hold two labels or more, one of each set of classes."""
+        """The lists that hold two labels or more, one of each set of classes. few: a list of a few groups of one class each."""
         sums = [F.bit_xor(F.xxhash64("cls", F.lit(s))).alias(f"x{s}") for s in (1, 2)]
-        found = lists.groupBy("token", "slice").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"), *sums)
-        found = found.where("lo < hi").groupBy("slice", "size", "x1", "x2").agg(F.min("token").alias("token"))
-        return materialize(lists.join(found.select("token"), "token", "left_semi").select("token", "slice", "cls", "label"), "lists")
+        found = lists.groupBy("token", "slice").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"), F.max("many").alias("many"), *sums)
+        found = found.where("lo < hi").groupBy("slice", "size", "x1", "x2").agg(F.min("token").alias("token"), F.max("many").alias("many"))
+        found = found.select("token", ((F.col("size") <= short) & ~F.col("many")).alias("few"))
+        return materialize(lists.join(found, "token").select("token", "slice", "cls", "label", "few"), "lists")
 
     #: the other side of a pair: y, its size, and its bitmap in the columns k..
     facing = maps.select(F.col("cls").alias("y"), "slice", F.col("n").alias("ny"), *[F.col(m).alias(f"k{i}") for i, m in enumerate(BITMAP)])
@@ -204,12 +208,24 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         pairs = lists.join(maps, ["cls", "slice"]).join(others.join(facing, ["y", "slice"]).drop("slice"), "token")
         return pairs.where((F.col("label") != F.col("ly")) & near(percent))
 
-    def partners(lists: DataFrame, salt: int) -> DataFrame:
-        """For each class the one of the smallest label among those picked in its lists that may link."""
+    def whole_lists(lists: DataFrame) -> DataFrame:
+        """The pairs of classes of the same list that may link, all of them: for lists of a few classes."""
+        side = lists.join(maps, ["cls", "slice"])
+        l, r = side.alias("l"), side.alias("r")  # the same plan, so that it is shuffled once
+        pairs = l.join(r, (F.col("l.token") == F.col("r.token")) & (F.col("l.cls") < F.col("r.cls")) & near(percent, "l.", "r.n", "r.m"))
+        return materialize(pairs.select(F.col("l.cls").alias("a"), F.col("r.cls").alias("b")).distinct(), "open")
+
+    def partners(lists: DataFrame, some: DataFrame, salt: int, picks: int) -> DataFrame:
+        """For each class in some of the lists' rows the one of the smallest label among those picked in its lists that may link."""
         order = F.xxhash64("cls", "token", F.lit(salt))  # other picks in each list
         picked = lists.groupBy("token", "slice", F.pmod(order, F.lit(picks)).alias("bucket"))
         picked = picked.agg(F.min_by("cls", order).alias("y"), F.min_by("label", order).alias("ly")).drop("bucket")
-        return met(lists, picked).groupBy(F.col("cls").alias("a")).agg(F.min_by("y", "ly").alias("b"))
+        return met(some, picked).groupBy(F.col("cls").alias("a")).agg(F.min_by("y", "ly").alias("b"))
+
+    def minor_of(lists: DataFrame) -> DataFrame:
+        """The rows of lists outside the list's largest label."""
+        main = lists.groupBy("token", "label").count().groupBy("token").agg(F.max_by("label", "count").alias("main"))
+        return lists.join(main, "token").where("label <> main").drop("main")
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,27 +259,32 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         return links, materialize(members.drop("label").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls")), "labelled")
 
     def with_label(lists: DataFrame, state: DataFrame) -> DataFrame:
-        return lists.select("token", "slice", "cls").join(state.select("cls", "label").distinct(), "cls")
+        return lists.select("token", "slice", "cls").join(state.select("cls", "label").distinct(), "cls").withColumn("many", F.lit(True))
 
     # groups: their heads meet each other, their members the head
-    posts = materialize(firsts.mapInArrow(post, "token long, gid long, slice int"), "posts")
-    lists = mixed(posts.select("token", "slice", F.col("gid").alias("cls"), F.col("gid").alias("label")))
+    posts = materialize(firsts.mapInArrow(post, "token long, gid long, slice int, many boolean"), "posts")
+    lists = mixed(posts.select("token", "slice", F.col("gid").alias("cls"), F.col("gid").alias("label"), "many"))
+    # short lists are met whole, once: each class has its first partner verified now, and what is left of their pairs comes last
+    opened = whole_lists(lists.where("few").drop("few"))
+    lists = lists.where("NOT few").drop("few")
+    first = opened.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     whole = lambda df: df.where("slice = 1").drop("slice")
     own = members.where("cls <> gid").select("cls", "gid").join(whole(maps), "cls").join(whole(facing).withColumnRenamed("y", "gid"), "gid").where(near(percent))
     own = own.select(F.col("gid").alias("a"), F.col("cls").alias("b"))
-    links, state = joined(spark.createDataFrame([], "a long, b long"), verified(partners(lists, 0).unionAll(own)))
+    links, state = joined(spark.createDataFrame([], "a long, b long"), verified(partners(lists, lists, 0, picks).unionAll(own).unionAll(first)))
     # classes: each member stands in its group's lists, and groups of several are lists of their own
     lists = lists.select("token", "slice", F.col("cls").alias("gid")).join(members.select("gid", "cls"), "gid").select("token", "slice", "cls")
     lists = lists.unionAll(members.where("size > 1").select(F.xxhash64(F.lit("group"), "g", "n").alias("token"), F.lit(1).alias("slice"), "cls"))
     for salt in range(1, rounds):
         lists = mixed(with_label(lists, state))
-        links, state = joined(links, verified(partners(lists, salt)))
+        links, state = joined(links, verified(partners(lists, minor_of(lists), salt, 4 * picks)))
     lists = mixed(with_label(lists, state))
-    main = lists.groupBy("token", "label").count().groupBy("token").agg(F.max_by("label", "count").alias("main"))
-    minor = lists.join(main, "token").where("label <> main").select("token", "slice", F.col("cls").alias("y"), F.col("label").alias("ly"))
+    minor = minor_of(lists).select("token", "slice", F.col("cls").alias("y"), F.col("label").alias("ly"))
     # the list's side comes first: the join holds a list's minor classes and streams the others past them
-    rest = met(lists, minor)
-    found = components(links.unionAll(verified(rest.select(F.col("cls").alias("a"), F.col("y").alias("b")))))
+    rest = met(lists, minor).select(F.col("cls").alias("a"), F.col("y").alias("b"))
+    label_of = lambda c: state.select(F.col("cls").alias(c), F.col("label").alias(f"l{c}")).distinct()
+    rest = rest.unionAll(opened.join(first, ["a", "b"], "left_anti").join(label_of("a"), "a").join(label_of("b"), "b").where("la <> lb").select("a", "b"))
+    found = components(links.unionAll(verified(rest)))
 
     light = forms.select("doc_id", "n", "s1", "s2")
     # each document to its class, each class to its component

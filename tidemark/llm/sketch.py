@@ -18,12 +18,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 CHUNK = 1 << 16
-#: Keys that a task holds before it adds them up.
+#: Keys that a task holds before it adds them up; texts that it takes from a batch at once.
 HELD = 500_000
+TEXTS = 500
 ROWS = 2
 SCHEMA = "chunk int, once binary, more binary"
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that what is made of a batch of texts isn't held as a whole."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, TEXTS):
+            yield batch.slice(lo, TEXTS)
+
+
 def width_for(n_keys: float) -> int:
     """Cells a row: eight for each expected key, from 2**16 to 2**28."""
     return 1 << min(28, max(16, int(np.ceil(np.log2(max(1.0, n_keys) * 8)))))
@@ -119,7 +127,7 @@ def level_pass(keys_of: Callable[[pa.RecordBatch], np.ndarray]) -> Callable[[Ite
             for row, c in enumerate(cells(keys, LEVEL_WIDTH)):
                 counts[row] += np.bincount(c.astype(np.int64), minlength=LEVEL_WIDTH).astype(np.uint32)
 
-        for batch in batches:
+        for batch in sliced(batches):
             if counts is None:
                 counts = np.zeros((LEVEL_ROWS, LEVEL_WIDTH), np.uint32)
             held.append(keys_of(batch))
