@@ -5,17 +5,17 @@ few of each, in any order that is the same for all sets: here by hash, behind th
 sketch over all documents calls common, so that passages found everywhere seldom come up.
 
 1. Equal sets are one class, its smallest document stands for it. Classes of the same size with the
-   same prefix are one group, its smallest class stands for it.
+   same prefix are one group; its smallest class stands for it when tokens are counted.
 2. Prefix tokens that a second sketch puts in one group only are dropped: they lead to no pair. Of
    tokens that stand in the same groups one is kept.
-3. Pairs of groups that share a token are filtered by size and by a bound on what their sets differ
+3. Groups are expanded to their members. Pairs of classes that share a token are filtered by size and by a bound on what their sets differ
    in: each set has a bitmap of the parities of its tokens' places, and two bitmaps differ in no
    more bits than the sets differ in tokens. Short lists, most of them, are met whole: they give all their
-   pairs, once, and need no further round. In a longer list each group meets a few groups picked by
+   pairs, once, and need no further round. In a longer list each class meets a few classes picked by
    hash, never all, and keeps the one of the smallest component. Each member of a group meets its
    head. What the filter leaves is verified on the whole sets; the links give components.
-4. The groups are expanded to their members. Lists with one component are done: whatever else links
-   there changes nothing. In the others classes outside the list's main component meet other picks. Then, in each
+4. Lists with one component are done: whatever else links there changes nothing. In the others, if any of
+   their pairs may link, classes outside the list's main component meet other picks. Then, in each
    list that is still mixed, every such class meets all classes of the list that lie elsewhere, under the same
    filter, and so do the pairs of short lists that still lie in two components, so that no link between
    components is lost.
@@ -136,9 +136,8 @@ def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in PARTS.split(", ")])
 
 
-def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 4, percent: int = 85, rounds: int = 3, picks: int = 8, part: int = 1000, short: int = 32) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id. The first round is on groups, the others
-    on classes; rounds, picks, part and short (lists met whole) change the work, not the result."""
+def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 4, percent: int = 85, rounds: int = 3, picks: int = 8, part: int = 1000, short: int = 64) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id. rounds, picks, part and short (lists met whole) change the work, not the result."""
     spark = docs.sparkSession
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
@@ -193,11 +192,11 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             yield pa.RecordBatch.from_arrays([pa.array(keys[hit].view(np.int64)), batch.column("doc_id").take(rows), pa.array(slices[hit]), batch.column("many").take(rows)], ["token", "gid", "slice", "many"])
 
     def mixed(lists: DataFrame) -> DataFrame:
-        """The lists that hold two labels or more, one of each set of classes. few: a list of a few groups of one class each."""
+        """The lists that hold two labels or more, one of each set of classes. few: a short list."""
         sums = [F.bit_xor(F.xxhash64("cls", F.lit(s))).alias(f"x{s}") for s in (1, 2)]
-        found = lists.groupBy("token", "slice").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"), F.max("many").alias("many"), *sums)
-        found = found.where("lo < hi").groupBy("slice", "size", "x1", "x2").agg(F.min("token").alias("token"), F.max("many").alias("many"))
-        found = found.select("token", ((F.col("size") <= short) & ~F.col("many")).alias("few"))
+        found = lists.groupBy("token", "slice").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"), *sums)
+        found = found.where("lo < hi").groupBy("slice", "size", "x1", "x2").agg(F.min("token").alias("token"))
+        found = found.select("token", (F.col("size") <= short).alias("few"))
         return materialize(lists.join(found, "token").select("token", "slice", "cls", "label", "few"), "lists")
 
     #: the other side of a pair: y, its size, and its bitmap in the columns k..
@@ -211,16 +210,19 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     def whole_lists(lists: DataFrame) -> DataFrame:
         """The pairs of classes of the same list that may link, all of them: for lists of a few classes."""
         side = lists.join(maps, ["cls", "slice"])
-        l, r = side.alias("l"), side.alias("r")  # the same plan, so that it is shuffled once
-        pairs = l.join(r, (F.col("l.token") == F.col("r.token")) & (F.col("l.cls") < F.col("r.cls")) & near(percent, "l.", "r.n", "r.m"))
+        l, r = side.alias("l"), side.alias("r")  # the same plan and columns, so that it is shuffled once
+        pairs = l.join(r, (F.col("l.token") == F.col("r.token")) & (F.col("l.parts") == F.col("r.parts")) & (F.col("l.cls") < F.col("r.cls")) & near(percent, "l.", "r.n", "r.m"))
         return materialize(pairs.select(F.col("l.cls").alias("a"), F.col("r.cls").alias("b")).distinct(), "open")
 
-    def partners(lists: DataFrame, some: DataFrame, salt: int, picks: int) -> DataFrame:
-        """For each class in some of the lists' rows the one of the smallest label among those picked in its lists that may link."""
+    def partners(lists: DataFrame, some: DataFrame, salt: int, picks: int) -> tuple[DataFrame, DataFrame]:
+        """For each class in some of the lists' rows the one of the smallest label among those picked in its lists that may link;
+        and the lists where that happened."""
         order = F.xxhash64("cls", "token", F.lit(salt))  # other picks in each list
         picked = lists.groupBy("token", "slice", F.pmod(order, F.lit(picks)).alias("bucket"))
         picked = picked.agg(F.min_by("cls", order).alias("y"), F.min_by("label", order).alias("ly")).drop("bucket")
-        return met(some, picked).groupBy(F.col("cls").alias("a")).agg(F.min_by("y", "ly").alias("b"))
+        found = met(some, picked).groupBy("token", F.col("cls").alias("a")).agg(F.min(F.struct("ly", "y")).alias("o"))
+        found = materialize(found, "met")
+        return found.groupBy("a").agg(F.min("o").alias("o")).select("a", F.col("o.y").alias("b")), found.select("token").distinct()
 
     def minor_of(lists: DataFrame) -> DataFrame:
         """The rows of lists outside the list's largest label."""
@@ -259,26 +261,32 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         return links, materialize(members.drop("label").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls")), "labelled")
 
     def with_label(lists: DataFrame, state: DataFrame) -> DataFrame:
-        return lists.select("token", "slice", "cls").join(state.select("cls", "label").distinct(), "cls").withColumn("many", F.lit(True))
+        return lists.select("token", "slice", "cls").join(state.select("cls", "label").distinct(), "cls")
 
-    # groups: their heads meet each other, their members the head
     posts = materialize(firsts.mapInArrow(post, "token long, gid long, slice int, many boolean"), "posts")
-    lists = mixed(posts.select("token", "slice", F.col("gid").alias("cls"), F.col("gid").alias("label"), "many"))
+    whole = lambda df: df.where("slice = 1").drop("slice")
+    # each member stands in its group's lists, and groups of several are lists of their own
+    several = members.where("size > 1")
+    lists = posts.where("NOT many").select("token", "slice", F.col("gid").alias("cls"))
+    lists = lists.unionAll(posts.where("many").join(several.select("gid", "cls"), "gid").select("token", "slice", "cls"))
+    lists = lists.unionAll(several.select(F.xxhash64(F.lit("group"), "g", "n").alias("token"), F.lit(1).alias("slice"), "cls"))
+    lists = mixed(lists.withColumn("label", F.col("cls")))
     # short lists are met whole, once: each class has its first partner verified now, and what is left of their pairs comes last
     opened = whole_lists(lists.where("few").drop("few"))
-    lists = lists.where("NOT few").drop("few")
     first = opened.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    whole = lambda df: df.where("slice = 1").drop("slice")
+    # members meet their head
     own = members.where("cls <> gid").select("cls", "gid").join(whole(maps), "cls").join(whole(facing).withColumnRenamed("y", "gid"), "gid").where(near(percent))
     own = own.select(F.col("gid").alias("a"), F.col("cls").alias("b"))
-    links, state = joined(spark.createDataFrame([], "a long, b long"), verified(partners(lists, lists, 0, picks).unionAll(own).unionAll(first)))
-    # classes: each member stands in its group's lists, and groups of several are lists of their own
-    lists = lists.select("token", "slice", F.col("cls").alias("gid")).join(members.select("gid", "cls"), "gid").select("token", "slice", "cls")
-    lists = lists.unionAll(members.where("size > 1").select(F.xxhash64(F.lit("group"), "g", "n").alias("token"), F.lit(1).alias("slice"), "cls"))
+    lists = lists.where("NOT few").drop("few")
+    pairs, active = partners(lists, lists, 0, picks)
+    links, state = joined(spark.createDataFrame([], "a long, b long"), verified(pairs.unionAll(own).unionAll(first)))
+    # long lists where some may link go on; where none of those picked may, all meet in the last step
+    idle = lists.join(active, "token", "left_anti")
+    lists = lists.join(active, "token", "left_semi")
     for salt in range(1, rounds):
         lists = mixed(with_label(lists, state))
-        links, state = joined(links, verified(partners(lists, minor_of(lists), salt, 4 * picks)))
-    lists = mixed(with_label(lists, state))
+        links, state = joined(links, verified(partners(lists, minor_of(lists), salt, 4 * picks)[0]))
+    lists = mixed(with_label(lists.select("token", "slice", "cls").unionAll(idle.select("token", "slice", "cls")), state))
     minor = minor_of(lists).select("token", "slice", F.col("cls").alias("y"), F.col("label").alias("ly"))
     # the list's side comes first: the join holds a list's minor classes and streams the others past them
     rest = met(lists, minor).select(F.col("cls").alias("a"), F.col("y").alias("b"))
