@@ -63,6 +63,30 @@ def test_mixing(docs, rows):
     assert mixed.columns == docs.columns and sum(len(words(r.text)) for r in mixed.collect()) == sum(r.taken for r in got.values())
 
 
+def test_mixing_shuffles_texts_twice(spark, docs):
+    """Once to meet their positions, once to stand in order, also where the plan is too large to be sent to all."""
+    mode = spark.sparkContext._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = mixing.mix(docs)._jdf.queryExecution().explainString(mode)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    moved = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+    assert len([x for x in moved if re.search(r"(whole|row|text)#", x)]) == 2
+
+
+def test_mixing_of_rows_that_share_an_id(spark):
+    rows = [(i, f"w{i}.{n} " * n, f"s{n % 2}") for i in (None, 1, 2) for n in range(1, 30)] + [(9, None, "s0"), (10, "alone " * 7, "s1")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = collections.Counter({(r.doc_id, r.size): r.taken for r in mixing.plan_mix(df).collect() if r.taken})
+    got = collections.Counter()
+    for r in mixing.mix(df).collect():
+        size = next(n for i, t, _ in rows if i == r.doc_id and t and t.startswith(r.text.split()[0] + " ") for n in [len(t.split())])
+        got[r.doc_id, size] += len(r.text.split())
+    assert got == want
+
+
 def test_substring_dedup(docs, rows):
     got = {r.doc_id: r for r in substring_dedup.kept_digest(substring_dedup.dedup_substrings(docs)).collect()}
     first = {}

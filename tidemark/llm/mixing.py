@@ -111,19 +111,22 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **op
     position. A copy that is cut keeps its first words, joined by single spaces; n_chars, where the
     table has it, is counted anew for those."""
     plan = plan_mix(docs, id_col=id_col, text_col=text_col, **options)
-    # rows that share an id are told apart by their rank among them; a document stays whole in one column
-    plan = plan.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id").orderBy("size", "part")))
-    copies = plan.select("doc_id", "nth", "size", "part", F.posexplode("positions").alias("epoch", "position"), F.size("positions").alias("copies"))
+    # a document stays whole in one column
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
-    keyed = docs.select(whole, F.col(id_col).alias("own_id"), F.size(words(F.col(text_col))).alias("n_words"))
-    keyed = keyed.withColumn("own_nth", F.row_number().over(Window.partitionBy("own_id").orderBy("n_words")))
-    joined = keyed.join(copies, F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_nth") == F.col("nth")))
-    joined = joined.withColumn("cut", (F.col("epoch") == F.col("copies") - 1) & (F.col("part") > 0) & (F.col("part") < F.col("size")))
+    keyed = docs.select(F.col(id_col).alias("own_id"), F.lit(0).alias("side"), F.size(words(F.col(text_col))).cast("long").alias("size"), whole)
+    given = plan.select(F.col("doc_id").alias("own_id"), F.lit(1).alias("side"), "size", F.struct("size", "part", "positions").alias("plan"))
+    # documents and plan are dealt by id together, so that texts are shuffled once until they know their positions. Rows that share an id
+    # are told apart by their rank among them: the n-th document of an id by size comes just before the n-th row of its plan
+    rows = keyed.unionByName(given, allowMissingColumns=True).repartition("own_id")
+    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("own_id", "side").orderBy("size", "plan.part")))
+    rows = rows.withColumn("plan", F.lead("plan").over(Window.partitionBy("own_id", "nth").orderBy("side"))).where("side = 0")
+    copies = rows.select("own_id", "whole", "plan.size", "plan.part", F.size("plan.positions").alias("copies"), F.posexplode("plan.positions").alias("epoch", "position"))
+    copies = copies.withColumn("cut", (F.col("epoch") == F.col("copies") - 1) & (F.col("part") > 0) & (F.col("part") < F.col("size")))
     own = {c: F.col("whole").getField(c) for c in docs.columns}
     text = F.when(F.col("cut"), F.array_join(F.slice(words(own[text_col]), F.lit(1), F.col("part").cast("int")), " ")).otherwise(own[text_col])
-    joined = joined.withColumn("new_text", text)
+    copies = copies.withColumn("new_text", text)
     own[text_col] = F.col("new_text")
     if "n_chars" in docs.columns:
         own["n_chars"] = F.when(F.col("cut"), F.length("new_text").cast(docs.schema["n_chars"].dataType)).otherwise(own["n_chars"])
-    out = joined.repartitionByRange("position", "own_id").sortWithinPartitions("position", "own_id")
-    return out.select(*[e.alias(c) for c, e in own.items()])
+    out = copies.select("position", "own_id", F.struct(*[e.alias(c) for c, e in own.items()]).alias("row"))
+    return out.repartitionByRange("position", "own_id").sortWithinPartitions("position", "own_id").select("row.*")
