@@ -30,8 +30,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id stays."""
     ship(spark)
-    found = ngram_join.link_documents(docs, size=SHINGLE, percent=PERCENT)
-    return ngram_join.keep_one(docs, found)
+    return ngram_join.drop_copies(docs, size=SHINGLE, percent=PERCENT)
 
 
 def with_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

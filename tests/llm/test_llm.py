@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import uuid
 import zlib
 
 import numpy as np
@@ -11,7 +12,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import embedding_dedup, html_extract, mixing, ngram_join, packing, pii, quality, sharding, substring_dedup, toxicity
+from tidemark.llm import common, embedding_dedup, html_extract, mixing, ngram_join, packing, pii, quality, sharding, substring_dedup, toxicity
 from tidemark.llm.components import components
 
 DOC = "doc_id long, text string, source string, size string"
@@ -623,6 +624,19 @@ def test_empty_tables(spark):
     assert sharding.assign(none, limit=100).count() == 0 and html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_near_copies_leave_one_table(spark, docs, rows, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    found = ngram_join.link_documents(docs, size=corpus_pipeline.SHINGLE, percent=corpus_pipeline.PERCENT).collect()
+    before = spark.conf.get(common.CLEANUP)
+    monkeypatch.setattr(common, "shared_path", lambda _, name: f"{tmp_path}/{name}-{uuid.uuid4().hex}")
+    kept = corpus_pipeline.without_near_copies(spark, docs, "")
+    assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["gone"]
+    ids = {r.doc_id for r in found if r.component_id is None or r.component_id == r.doc_id}
+    assert len(ids) < len(rows) and sorted(r.doc_id for r in kept.collect()) == sorted(ids)
+    assert spark.conf.get(common.CLEANUP) == before
+
+
 CLASHING = ["shard", "shard_", "__row", "row", "whole", "__words", "nth", "cut", "position", "new_text", "is_toxic", "p_toxic"]
 
 

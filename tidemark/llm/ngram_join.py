@@ -35,7 +35,7 @@ table gives no rows. Only the id and text columns are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from operator import add
 
@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import sketch
-from tidemark.llm.common import materialize, mix64, rolling, word_hashes
+from tidemark.llm.common import materialize, mix64, rolling, scratch, word_hashes
 from tidemark.llm.components import components
 
 BASE = 0x9E3779B97F4A7C15
@@ -254,11 +254,12 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         both = pairs.join(as_side(sets, "a"), "a").join(as_side(sets, "b"), "b").withColumn("i", F.size(F.array_intersect("sa", "sb")))
         return both.where(F.col("i") * 100 >= (F.size("sa") + F.size("sb") - F.col("i")) * percent).select("a", "b")
 
-    def joined(links: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The links with those found, and the classes labelled by their components."""
-        links = materialize(links.unionAll(found), "links")
-        labels = components(links).withColumnRenamed("node", "cls")
-        return links, materialize(members.drop("label").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls")), "labelled")
+    def joined(links: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The links with those among the pairs, and the classes labelled by their components."""
+        with scratch(spark) as keep:
+            links = keep(links.unionAll(verified(pairs)), "links")
+            labels = components(links).withColumnRenamed("node", "cls")
+            return links, keep(members.drop("label").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls")), "labelled")
 
     def with_label(lists: DataFrame, state: DataFrame) -> DataFrame:
         return lists.select("token", "slice", "cls").join(state.select("cls", "label").distinct(), "cls")
@@ -279,20 +280,21 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     own = own.select(F.col("gid").alias("a"), F.col("cls").alias("b"))
     lists = lists.where("NOT few").drop("few")
     pairs, active = partners(lists, lists, 0, picks)
-    links, state = joined(spark.createDataFrame([], "a long, b long"), verified(pairs.unionAll(own).unionAll(first)))
+    links, state = joined(spark.createDataFrame([], "a long, b long"), pairs.unionAll(own).unionAll(first))
     # long lists where some may link go on; where none of those picked may, all meet in the last step
     idle = lists.join(active, "token", "left_anti")
     lists = lists.join(active, "token", "left_semi")
     for salt in range(1, rounds):
         lists = mixed(with_label(lists, state))
-        links, state = joined(links, verified(partners(lists, minor_of(lists), salt, 4 * picks)[0]))
+        links, state = joined(links, partners(lists, minor_of(lists), salt, 4 * picks)[0])
     lists = mixed(with_label(lists.select("token", "slice", "cls").unionAll(idle.select("token", "slice", "cls")), state))
     minor = minor_of(lists).select("token", "slice", F.col("cls").alias("y"), F.col("label").alias("ly"))
     # the list's side comes first: the join holds a list's minor classes and streams the others past them
     rest = met(lists, minor).select(F.col("cls").alias("a"), F.col("y").alias("b"))
     label_of = lambda c: state.select(F.col("cls").alias(c), F.col("label").alias(f"l{c}")).distinct()
     rest = rest.unionAll(opened.join(first, ["a", "b"], "left_anti").join(label_of("a"), "a").join(label_of("b"), "b").where("la <> lb").select("a", "b"))
-    found = components(links.unionAll(verified(rest)))
+    with scratch(spark) as keep:
+        found = keep(components(links.unionAll(verified(rest))), "found")
 
     light = forms.select("doc_id", "n", "s1", "s2")
     # each document to its class, each class to its component
@@ -303,9 +305,15 @@ def link_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("label", "doc_id").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, found: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
-    """The documents but those that link to one with a smaller id; null ids stay."""
-    gone = materialize(found.where("component_id < doc_id").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+def keep_one(docs: DataFrame, found: DataFrame, *, id_col: str = "doc_id", keep: Callable[[DataFrame, str], DataFrame] = materialize) -> DataFrame:
+    """The documents but those that link to one with a smaller id; null ids stay. keep writes the ids that go."""
+    gone = keep(found.where("component_id < doc_id").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
     return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+
+
+def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", **options: object) -> DataFrame:
+    """keep_one of link_documents. Of the tables written on the way only the ids that go are left."""
+    with scratch(docs.sparkSession) as keep:
+        return keep_one(docs, link_documents(docs, id_col=id_col, **options), id_col=id_col, keep=keep)
