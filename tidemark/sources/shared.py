@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark's setting by which the shuffle files of a query go when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder; a temporary one where a local session names none."""
@@ -19,7 +22,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
-    """df, written to the shared folder and read back: computed once, with its lineage cut."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """df, written to the shared folder and read back: computed once, with its lineage cut. Its shuffle files go at once."""
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
