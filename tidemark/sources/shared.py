@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Spark's setting by which the shuffle files of a query go when it ends.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Row groups of a few MB, looked at after each row: a reader holds at most one, however large the cells are.
+GROUPS = {"compression": "zstd", "parquet.block.size": str(1 << 23), "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1"}
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -28,7 +30,7 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.options(**GROUPS).parquet(path)
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
